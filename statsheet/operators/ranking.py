@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..spec import Spec
-from .observe import order_exprs
+from .observe import order_columns, order_exprs
 
 
 def top_n(obs: DataFrame, spec: Spec, n: int = 10, direction: str = "desc") -> DataFrame:
@@ -33,8 +33,24 @@ def top_n(obs: DataFrame, spec: Spec, n: int = 10, direction: str = "desc") -> D
     return obs.filter(F.col("value").isNotNull()).orderBy(v, *order_exprs(spec)).limit(n)
 
 
+def _tail_key(spec: Spec):
+    # Struct ordering puts a null field first, so the max of (period, order)
+    # is the newest period (nulls oldest), then the last row in order.
+    return F.struct(F.col("period"), *[F.col(c) for c in order_columns(spec)])
+
+
 def latest_tail(obs: DataFrame, spec: Spec, n: int = 1) -> DataFrame:
-    """L2: per measure, the last n by (period asc with nulls first, row order)."""
+    """L2: per measure, the last n by (period asc with nulls first, row order).
+
+    n = 1 is a ``max_by`` hash aggregate: partial aggregation keeps one row
+    per measure per task, no sort at all.  n > 1 is a ``row_number`` window
+    whose partial ``WindowGroupLimit`` ships at most n rows per measure and
+    task to the shuffle.
+    """
+    if n == 1:
+        cols = obs.columns
+        best = obs.groupBy("measure").agg(F.max_by(F.struct(*[F.col(c) for c in cols]), _tail_key(spec)).alias("_r"))
+        return best.select(*[F.col("_r")[c].alias(c) for c in cols])
     w = Window.partitionBy("measure").orderBy(F.col("period").desc_nulls_last(), *order_exprs(spec, descending=True))
     return obs.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
 
@@ -82,9 +98,22 @@ def choose_latest_mode(obs: DataFrame, spec: Spec, measures: list[str], mode: st
 
 
 def latest(obs: DataFrame, spec: Spec, measures: list[str], n: int = 1, mode: str = "auto") -> DataFrame:
-    """L4 without the limit: L3 or L2 by :func:`choose_latest_mode`."""
+    """L4 without the limit: L3 or L2 by :func:`choose_latest_mode`.
+
+    In 'auto' mode with several requested measures the tail result itself
+    (at most n rows per requested measure, a metadata-sized bound) is
+    computed once and tells how many measures have values: one → the
+    period branch, else that tail result is the answer.  This saves the
+    separate distinct-measures pass.
+    """
     if n < 1:
         raise ValueError("last_n must be >= 1")
+    if mode == "auto" and spec.period_column is not None and len(measures) > 1:
+        tail = latest_tail(obs, spec, n)
+        rows = tail.collect()
+        if len({r["measure"] for r in rows}) == 1:
+            return latest_periods(obs, n)
+        return obs.sparkSession.createDataFrame(rows, tail.schema)
     chosen = choose_latest_mode(obs, spec, measures, mode)
     return latest_periods(obs, n) if chosen == "period" else latest_tail(obs, spec, n)
 

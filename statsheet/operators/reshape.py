@@ -43,7 +43,7 @@ def melt_transposed(df: DataFrame, entity_alias: str) -> DataFrame:
     cells = [
         F.struct(
             F.lit(header_period(c)).alias("p"),
-            F.col(f"`{c}`").cast(vtype).alias("v"),
+            qcol(c).cast(vtype).alias("v"),
             F.lit(i).alias("i"),
         ).alias(f"_m{i}")
         for i, c in enumerate(period_cols)
@@ -77,12 +77,25 @@ def snapshot_header(df: DataFrame, spec: Spec) -> DataFrame:
     return out
 
 
+def qcol(name: str):
+    """A column by its exact name (dots and spaces are not paths)."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def drop_blank_rows(df: DataFrame, keys: list[str]) -> DataFrame:
     """Drop rows whose key columns are all null; absent keys are ignored."""
     present = [k for k in keys if k in df.columns]
     if not present:
         return df
-    return df.dropna(how="all", subset=present)
+    return df.filter(_any_not_null(present))
+
+
+def _any_not_null(names: list[str]):
+    cond = None
+    for n in names:
+        c = qcol(n).isNotNull()
+        cond = c if cond is None else (cond | c)
+    return cond
 
 
 def shape_source(raw: DataFrame, spec: Spec) -> DataFrame:
@@ -134,7 +147,7 @@ def promote_header(
     if max_rows is not None:
         data = data.orderBy("row_idx").limit(max_rows)
     cols = [F.get(F.col("cells"), i).alias(n) for i, n in enumerate(names)]
-    out = data.select(*cols, "row_idx").dropna(how="all", subset=names)
+    out = data.select(*cols, "row_idx").filter(_any_not_null(names))
     return out if keep_row_idx else out.drop("row_idx")
 
 

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from ..functions.coerce import to_double
 from ..functions.periods import validate_period_arg
+from ..operators.newest import narrow, newest_bounds
 from ..operators.filters import apply_filters, apply_period_range, check_filter_keys, expand_bounds, validate_permissive_values
 from ..operators.observe import observations, records, to_csv_text, with_dimension_map
 from ..operators.project import key_expressions, project
@@ -95,8 +96,15 @@ def build_observations(
     end_iso: str | None,
     validate: bool = False,
     source: DataFrame | None = None,
-) -> DataFrame:
-    """The lazy observation plan of one query (3.1 steps 8..12)."""
+    last_n: int | None = None,
+    mode: str = "auto",
+) -> tuple[DataFrame, str]:
+    """The lazy observation plan of one query (3.1 steps 8..12).
+
+    With ``last_n`` the filtered source is first narrowed to the newest
+    rows (see ``operators.newest``); the returned mode is the resolved
+    'period' / 'tail' branch, or the caller's when it could not be resolved.
+    """
     raw = source if source is not None else read_source(spark, spec, root)
     raw = shape_source(raw, spec)
     exprs = key_expressions(raw, spec, measure_keys)
@@ -104,6 +112,11 @@ def build_observations(
         validate_permissive_values(raw, spec, filters, exprs)
     filtered = apply_period_range(raw, spec, start_iso, end_iso)
     filtered = apply_filters(filtered, spec, filters, exprs)
+    if last_n and spec.period_column:
+        bounds = newest_bounds(filtered, spec, exprs, measure_keys, last_n, mode)
+        if bounds is not None:
+            filtered = narrow(filtered, spec, bounds)
+            mode = bounds.mode
     extra = {}
     if spec.default_sort:
         # The sort measure rides along as a hidden column, even when it
@@ -111,7 +124,7 @@ def build_observations(
         src = spec.column(spec.default_sort).source
         extra["_sortv"] = to_double(F.col(src), raw.schema[src].dataType)
     keyed = project(filtered, spec, exprs=exprs, extra=extra)
-    return observations(keyed, spec, measure_keys)
+    return observations(keyed, spec, measure_keys), mode
 
 
 def get_data(
@@ -143,9 +156,9 @@ def get_data(
     start_iso, end_iso = expand_bounds(start, end)
     if (start or end) and not spec.period_column:
         raise ValueError(f"dataset {spec.id!r} has no period column; omit start_period/end_period")
-    obs = build_observations(
+    obs, mode = build_observations(
         spark, spec, root=root, filters=flt, measure_keys=measure_keys, start_iso=start_iso, end_iso=end_iso,
-        validate=validate, source=source,
+        validate=validate, source=source, last_n=last_n, mode=mode,
     )
     if last_n:
         obs = latest_op(obs, spec, measure_keys, last_n, mode)

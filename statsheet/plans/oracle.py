@@ -174,3 +174,61 @@ SQL["default_sort_limit"] = f"""
 SELECT {CUSTOMER_COLS} FROM ({CUSTOMER_OBS}) c
 ORDER BY sortv DESC NULLS LAST, o0 LIMIT 50
 """
+
+# ---- reshape ------------------------------------------------------------------
+
+SQL["melt_transposed"] = """
+WITH m AS (
+  SELECT DISTINCT strftime(o_orderdate, '%b %Y') AS label, strftime(last_day(o_orderdate), '%Y-%m-%d') AS period
+  FROM orders WHERE o_orderdate IS NOT NULL
+), p AS (
+  SELECT DISTINCT o_orderpriority AS priority FROM orders WHERE o_orderpriority IS NOT NULL
+), agg AS (
+  SELECT o_orderpriority AS priority, strftime(o_orderdate, '%b %Y') AS label, max(o_totalprice) AS value
+  FROM orders GROUP BY 1, 2
+)
+SELECT p.priority, m.period, agg.value
+FROM p CROSS JOIN m LEFT JOIN agg ON agg.priority = p.priority AND agg.label = m.label
+"""
+SQL["transposed_latest"] = """
+WITH agg AS (
+  SELECT o_orderpriority AS priority, strftime(last_day(o_orderdate), '%Y-%m-%d') AS period, max(o_totalprice) AS value
+  FROM orders WHERE o_orderpriority IS NOT NULL GROUP BY 1, 2
+)
+SELECT period, 'max_total_price' AS measure, value, 'USD' AS unit, priority
+FROM agg WHERE period = (SELECT max(period) FROM agg) AND value IS NOT NULL
+"""
+SQL["snapshot_header"] = """
+SELECT '2001-08-31' AS period, 'account_balance' AS measure, c_acctbal AS value, 'USD' AS unit,
+       c_name AS institution, c_mktsegment AS segment, CAST(c_custkey AS VARCHAR) AS custkey
+FROM customer
+WHERE c_acctbal IS NOT NULL AND NOT isnan(c_acctbal) AND NOT (c_name IS NULL AND c_mktsegment IS NULL)
+"""
+SQL["drop_blank"] = """
+SELECT * FROM (
+  SELECT o_orderkey AS orderkey, nullif(o_orderpriority, '5-LOW') AS "A", nullif(o_orderstatus, 'P') AS "B",
+         o_totalprice AS "C"
+  FROM orders
+) t WHERE NOT ("A" IS NULL AND "B" IS NULL)
+"""
+SQL["header_promotion"] = """
+SELECT c_name AS "Customer name", CAST(c_nationkey AS VARCHAR) AS "Unnamed: 1", CAST(c_custkey AS VARCHAR) AS "Customer key",
+       c_mktsegment AS "Segment", lower(c_mktsegment) AS "Segment.1"
+FROM customer
+UNION ALL
+SELECT 'Source: synthetic register', NULL, NULL, NULL, NULL
+"""
+SQL["coerce_types"] = """
+SELECT c_custkey AS custkey,
+       CAST(c_custkey AS DOUBLE) AS value_plain,
+       CAST(c_custkey AS DOUBLE) AS value_padded,
+       CAST(c_nationkey * 1000 AS DOUBLE) AS value_exp,
+       CAST(NULL AS DOUBLE) AS value_suffix,
+       CAST(NULL AS DOUBLE) AS value_comma,
+       CAST(NULL AS DOUBLE) AS value_nbsp,
+       CAST(NULL AS DOUBLE) AS value_text,
+       c_acctbal AS value_frac,
+       CAST(c_custkey AS VARCHAR) AS id_text,
+       CAST(c_custkey AS VARCHAR) AS text_clean
+FROM customer
+"""

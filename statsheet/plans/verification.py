@@ -13,9 +13,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pyspark.sql.types import DoubleType, StringType
+
+from ..functions.coerce import clean_string, integral_check, to_double
 from ..functions.periods import expand_periods
 from ..operators.observe import records
 from ..operators.ranking import latest_tail
+from ..operators.reshape import drop_blank_rows, melt_transposed, promote_header
 from ..operators.summary import series_stats
 from ..plans.api import get_data, latest, top_n
 from ..sources.tables import read_table
@@ -177,3 +181,108 @@ def default_sort_limit(spark: SparkSession, root: str) -> DataFrame:
 
 
 QUERIES = REGISTRY
+
+
+# ---- reshape (R1..R6, S2..S5, P3..P7) -----------------------------------------
+
+
+def orders_month_pivot(spark: SparkSession, root: str) -> DataFrame:
+    """A transposed sheet derived from orders: priority × ``Mon YYYY`` columns
+    holding the largest order total, plus a non-period ``Notes`` column.
+    The month list comes from the data (pivot's own bounded distinct job)."""
+    o = read_table(spark, root, "orders").withColumn("_month", F.date_format("o_orderdate", "MMM yyyy"))
+    wide = o.groupBy(F.col("o_orderpriority").alias("Priority")).pivot("_month").agg(F.max("o_totalprice"))
+    return wide.withColumn("Notes", F.lit("largest order total in the month"))
+
+
+@register("melt_transposed")
+def melt_transposed_q(spark: SparkSession, root: str) -> DataFrame:
+    melted = melt_transposed(orders_month_pivot(spark, root), "priority")
+    return melted.select("priority", "period", "value")
+
+
+@register("transposed_latest")
+def transposed_latest(spark: SparkSession, root: str) -> DataFrame:
+    src = orders_month_pivot(spark, root).withColumnRenamed("Priority", "priority")
+    return latest(spark, "ORDERS_MONTHLY", source=src, limit=None).records
+
+
+@register("snapshot_header")
+def snapshot_header_q(spark: SparkSession, root: str) -> DataFrame:
+    c = read_table(spark, root, "customer")
+    sheet = c.select(
+        F.col("c_name").alias("Aug 2001"),
+        F.col("c_mktsegment").alias("Segment"),
+        F.col("c_custkey").alias("Customer key"),
+        F.col("c_acctbal").alias("Account balance"),
+    )
+    return get_data(spark, "CUSTOMER_SNAPSHOT", source=sheet).records
+
+
+@register("drop_blank")
+def drop_blank_q(spark: SparkSession, root: str) -> DataFrame:
+    o = read_table(spark, root, "orders").select(
+        F.col("o_orderkey").alias("orderkey"),
+        F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")).alias("A"),
+        F.nullif(F.col("o_orderstatus"), F.lit("P")).alias("B"),
+        F.col("o_totalprice").alias("C"),
+    )
+    return drop_blank_rows(o, ["A", "B", "not_a_column"])
+
+
+def customer_grid(spark: SparkSession, root: str) -> DataFrame:
+    """A raw sheet grid derived from the customer table: a title row, a unit
+    row, a header with a line break, a blank, a double space and a repeated
+    name, a blank row, a footnote, then one row per customer."""
+    head = spark.createDataFrame(
+        [
+            (1, ["Customer register", None, None, None, None]),
+            (2, [None, None, "USD", None, None]),
+            (3, ["Customer\nname", "", "Customer  key", "Segment", "Segment"]),
+            (4, [None, None, None, None, None]),
+            (5, ["Source: synthetic register", None, None, None, None]),
+        ],
+        "row_idx long, cells array<string>",
+    )
+    c = read_table(spark, root, "customer")
+    body = c.select(
+        (F.col("c_custkey") + 10).alias("row_idx"),
+        F.array(
+            F.col("c_name"),
+            F.col("c_nationkey").cast("string"),
+            F.col("c_custkey").cast("string"),
+            F.col("c_mktsegment"),
+            F.lower("c_mktsegment"),
+        ).alias("cells"),
+    )
+    return head.unionByName(body)
+
+
+@register("header_promotion")
+def header_promotion_q(spark: SparkSession, root: str) -> DataFrame:
+    return promote_header(customer_grid(spark, root), header_row=3)
+
+
+@register("coerce_types")
+def coerce_types_q(spark: SparkSession, root: str) -> DataFrame:
+    c = read_table(spark, root, "customer")
+    key = F.col("c_custkey").cast("string")
+    raw = c.select(
+        F.col("c_custkey").alias("custkey"),
+        key.alias("r_plain"),
+        F.concat(F.lit(" "), key, F.lit(" ")).alias("r_padded"),
+        F.concat(F.col("c_nationkey").cast("string"), F.lit("e3")).alias("r_exp"),
+        F.concat(key, F.lit("d")).alias("r_suffix"),
+        F.concat(key, F.lit(",000")).alias("r_comma"),
+        F.concat(F.lit(" "), key).alias("r_nbsp"),
+        F.col("c_mktsegment").alias("r_text"),
+        F.col("c_acctbal").cast("string").alias("r_frac"),
+        F.col("c_custkey").cast("double").alias("r_id"),
+    )
+    integral = raw.agg(integral_check("r_id").alias("ok")).first()["ok"]
+    return raw.select(
+        "custkey",
+        *[to_double(F.col(f"r_{n}")).alias(f"value_{n}") for n in ("plain", "padded", "exp", "suffix", "comma", "nbsp", "text", "frac")],
+        clean_string(F.col("r_id"), DoubleType(), integral).alias("id_text"),
+        clean_string(F.col("r_padded"), StringType()).alias("text_clean"),
+    )

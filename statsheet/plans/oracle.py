@@ -232,3 +232,81 @@ SELECT c_custkey AS custkey,
        CAST(c_custkey AS VARCHAR) AS text_clean
 FROM customer
 """
+
+# ---- links ----------------------------------------------------------------------
+
+_LINKS = r"""
+WITH raw AS (
+  SELECT page_id, url, regexp_extract_all(html, '(?i)href=["'']([^"'']+)["'']', 1) AS h FROM pages
+), links AS (
+  SELECT page_id, url, unnest(h) AS href, unnest(generate_series(0, len(h) - 1)) AS pos FROM raw
+), absl AS (
+  SELECT page_id, url, href, pos,
+         CASE WHEN regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN href
+              WHEN starts_with(href, '//') THEN regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*):', 1) || ':' || href
+              WHEN starts_with(href, '/') THEN regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) || href
+              ELSE regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1)
+                   || coalesce(nullif(regexp_replace(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '[^/]*$', ''), ''), '/')
+                   || href END AS link_url
+  FROM links
+), named AS (
+  SELECT *, regexp_extract(link_url, '[^/]*$') AS file_name FROM absl
+)
+"""
+
+SQL["extract_links"] = _LINKS + "SELECT page_id, CAST(pos AS BIGINT) AS pos, href, link_url, file_name FROM named"
+
+_BEST = _LINKS + r""", best AS (
+  SELECT 'DS_' || CAST(page_id AS VARCHAR) AS dataset_id, link_url, file_name, CAST(0 AS BIGINT) AS score, CAST(pos AS BIGINT) AS pos
+  FROM named
+  WHERE NOT regexp_matches(file_name, '(?i)^(the|and|der|die)\W*$') AND regexp_matches(file_name, '(?i)^[a-m]')
+  QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY pos) = 1
+), seed AS (
+  SELECT * FROM (
+    SELECT 'DS_' || CAST(page_id AS VARCHAR) AS dataset_id,
+           CASE WHEN contains(url, '#') THEN url ELSE h[1] END AS seed_url
+    FROM raw
+  ) s WHERE regexp_matches(seed_url, '^https?://')
+), ds AS (
+  SELECT 'DS_' || CAST(page_id AS VARCHAR) AS dataset_id,
+         'https://files.example.com/DS_' || CAST(page_id AS VARCHAR) || '.xlsx' AS default_url
+  FROM pages
+), resolved AS (
+  SELECT ds.dataset_id, ds.default_url, coalesce(best.link_url, seed.seed_url, ds.default_url) AS url,
+         CASE WHEN best.link_url IS NOT NULL THEN 'scrape' WHEN seed.seed_url IS NOT NULL THEN 'seed' ELSE 'default' END AS tier
+  FROM ds LEFT JOIN best USING (dataset_id) LEFT JOIN seed USING (dataset_id)
+)
+"""
+
+SQL["best_link"] = _BEST + "SELECT dataset_id, link_url, file_name, score, pos FROM best"
+SQL["resolve_tiers"] = _BEST + "SELECT dataset_id, default_url, url, tier, tier <> 'scrape' AS stale FROM resolved"
+SQL["manifest_diff"] = _BEST + """
+SELECT coalesce(seed.dataset_id, r.dataset_id) AS dataset_id, seed.seed_url AS old_url,
+       coalesce(CASE WHEN r.tier = 'scrape' THEN r.url END, seed.seed_url, r.default_url) AS new_url,
+       seed.seed_url IS DISTINCT FROM coalesce(CASE WHEN r.tier = 'scrape' THEN r.url END, seed.seed_url, r.default_url) AS changed
+FROM seed FULL OUTER JOIN resolved r ON seed.dataset_id = r.dataset_id
+"""
+
+SQL["filename_score"] = """
+SELECT o_orderkey AS orderkey,
+       CAST(year(o_orderdate) * 100 + month(o_orderdate) AS BIGINT) AS s_month_name,
+       CAST(year(o_orderdate) * 100 + month(o_orderdate) AS BIGINT) AS s_numeric,
+       CAST(year(o_orderdate) * 100 AS BIGINT) AS s_year,
+       CAST(0 AS BIGINT) AS s_none,
+       CAST(greatest(year(o_orderdate) * 100 + 9, year(o_orderdate) * 100 + month(o_orderdate)) AS BIGINT) AS s_mixed,
+       CAST(year(o_orderdate) * 100 + month(o_orderdate) AS BIGINT) AS s_path
+FROM orders
+"""
+
+SQL["host_filter"] = """
+SELECT page_id, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^@/?#]*@)?([^:/?#]*)', 1)) AS host,
+       lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^@/?#]*@)?([^:/?#]*)', 1))
+         IN ('blog.tionsh.example.net', 'thther.example.org', 'www.ththhe.example.com') AS allowed
+FROM pages
+"""
+
+_REDACT = r"""(?i)https?://(?:[A-Za-z0-9-]+\.)*example\.org(?::[0-9]+)?(?:[/?#][^\s"'<>)]*)?"""
+SQL["redact_urls"] = (
+    "SELECT page_id, regexp_replace(url, '" + _REDACT.replace("'", "''") + "', '<source>', 'g') AS url, "
+    "regexp_replace(html, '" + _REDACT.replace("'", "''") + "', '<source>', 'g') AS html FROM pages"
+)

@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType
 
 from ..functions.coerce import clean_string, integral_check, to_double
+from ..functions.links import extract_hrefs, filename_date_score, host_allowed, redact_urls, url_host
 from ..functions.periods import expand_periods
+from ..operators.links import best_links, candidate_links, extract_links, manifest_diff, resolve_tiers, seed_manifest
 from ..operators.observe import records
 from ..operators.ranking import latest_tail
 from ..operators.reshape import drop_blank_rows, melt_transposed, promote_header
@@ -286,3 +288,97 @@ def coerce_types_q(spark: SparkSession, root: str) -> DataFrame:
         clean_string(F.col("r_id"), DoubleType(), integral).alias("id_text"),
         clean_string(F.col("r_padded"), StringType()).alias("text_clean"),
     )
+
+
+# ---- links (C3..C9, L9, J2..J4) -----------------------------------------------
+
+# Fixed values of the link checks: a host allow-list and a redacted host.
+ALLOWED_HOSTS = ["blog.tionsh.example.net", "thther.example.org", "www.ththhe.example.com"]
+REDACT_HOST_PATTERN = r"example\.org"
+
+
+def page_links(spark: SparkSession, root: str) -> DataFrame:
+    return extract_links(read_table(spark, root, "pages"), extension=None)
+
+
+def page_rules(spark: SparkSession, root: str) -> DataFrame:
+    """One link rule per landing page (derived from the pages table)."""
+    p = read_table(spark, root, "pages")
+    return p.select(
+        F.concat(F.lit("DS_"), F.col("page_id").cast("string")).alias("dataset_id"),
+        F.col("url").alias("landing_url"),
+        F.lit("^[a-m]").alias("include"),
+        F.array(F.lit(r"^(the|and|der|die)\W*$")).alias("excludes"),
+        F.lit(True).alias("prefer_database"),
+    )
+
+
+def page_best_links(spark: SparkSession, root: str) -> DataFrame:
+    return best_links(candidate_links(page_links(spark, root), page_rules(spark, root)))
+
+
+def page_seed(spark: SparkSession, root: str) -> DataFrame:
+    """Seed entries derived from the pages: the page URL when it carries a
+    fragment, else the first link as written (often relative, so J3 drops it)."""
+    p = read_table(spark, root, "pages")
+    value = F.when(F.col("url").contains("#"), F.col("url")).otherwise(F.get(extract_hrefs(F.col("html"), None), 0))
+    return seed_manifest(p.select(F.concat(F.lit("DS_"), F.col("page_id").cast("string")).alias("dataset_id"), value.alias("url")))
+
+
+def page_datasets(spark: SparkSession, root: str) -> DataFrame:
+    p = read_table(spark, root, "pages")
+    did = F.concat(F.lit("DS_"), F.col("page_id").cast("string"))
+    return p.select(did.alias("dataset_id"), F.concat(F.lit("https://files.example.com/"), did, F.lit(".xlsx")).alias("default_url"))
+
+
+@register("extract_links")
+def extract_links_q(spark: SparkSession, root: str) -> DataFrame:
+    return page_links(spark, root).select("page_id", F.col("pos").cast("long").alias("pos"), "href", "link_url", "file_name")
+
+
+@register("filename_score")
+def filename_score_q(spark: SparkSession, root: str) -> DataFrame:
+    o = read_table(spark, root, "orders")
+    d = F.col("o_orderdate")
+    names = {
+        "s_month_name": F.concat(F.lit("report-"), F.date_format(d, "MMMM-yyyy"), F.lit(".xlsx")),
+        "s_numeric": F.concat(F.lit("data_"), F.date_format(d, "yyyy_MM"), F.lit(".xlsx")),
+        "s_year": F.concat(F.lit("Stats "), F.date_format(d, "yyyy"), F.lit(" final.xlsx")),
+        "s_none": F.concat(F.col("o_orderpriority"), F.lit(".xlsx")),
+        "s_mixed": F.concat(F.lit("Sept-"), F.date_format(d, "yyyy"), F.lit("-and-"), F.date_format(d, "yyyy-MM"), F.lit(".xlsx")),
+        "s_path": F.concat(F.lit("/files/"), F.date_format(d, "yyyy-MM"), F.lit("/file.xlsx")),
+    }
+    return o.select(F.col("o_orderkey").alias("orderkey"), *[filename_date_score(e).cast("long").alias(k) for k, e in names.items()])
+
+
+@register("best_link")
+def best_link_q(spark: SparkSession, root: str) -> DataFrame:
+    return page_best_links(spark, root).select("dataset_id", "link_url", "file_name", "score", F.col("pos").cast("long").alias("pos"))
+
+
+@register("resolve_tiers")
+def resolve_tiers_q(spark: SparkSession, root: str) -> DataFrame:
+    out = resolve_tiers(page_datasets(spark, root), page_best_links(spark, root), page_seed(spark, root))
+    return out.select("dataset_id", "default_url", "url", "tier", "stale")
+
+
+@register("manifest_diff")
+def manifest_diff_q(spark: SparkSession, root: str) -> DataFrame:
+    resolved = resolve_tiers(page_datasets(spark, root), page_best_links(spark, root), page_seed(spark, root))
+    return manifest_diff(page_seed(spark, root), resolved)
+
+
+@register("host_filter")
+def host_filter_q(spark: SparkSession, root: str) -> DataFrame:
+    p = read_table(spark, root, "pages")
+    return p.select("page_id", url_host("url").alias("host"), host_allowed("url", ALLOWED_HOSTS).alias("allowed"))
+
+
+@register("redact_urls")
+def redact_urls_q(spark: SparkSession, root: str) -> DataFrame:
+    p = read_table(spark, root, "pages")
+    return p.select(
+        "page_id",
+        redact_urls(F.col("url"), REDACT_HOST_PATTERN).alias("url"),
+        redact_urls(F.col("html"), REDACT_HOST_PATTERN).alias("html"),
+    )

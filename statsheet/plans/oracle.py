@@ -310,3 +310,68 @@ SQL["redact_urls"] = (
     "SELECT page_id, regexp_replace(url, '" + _REDACT.replace("'", "''") + "', '<source>', 'g') AS url, "
     "regexp_replace(html, '" + _REDACT.replace("'", "''") + "', '<source>', 'g') AS html FROM pages"
 )
+
+# ---- lookups, pairings, places ---------------------------------------------------
+
+SQL["alias_join"] = """
+WITH aliases(alias, canonical) AS (
+  VALUES ('automobile', 'AUTOMOBILE'), ('building', 'BUILDING'), ('furniture', 'FURNITURE'),
+         ('household', 'HOUSEHOLD'), ('machinery', 'MACHINERY'),
+         ('AUTOMOBILE', 'AUTOMOBILE'), ('BUILDING', 'BUILDING'), ('FURNITURE', 'FURNITURE'),
+         ('HOUSEHOLD', 'HOUSEHOLD'), ('MACHINERY', 'MACHINERY')
+), src AS (
+  SELECT c_custkey AS custkey, CASE WHEN c_nationkey < 10 THEN lower(c_mktsegment) ELSE c_mktsegment END AS segment_raw
+  FROM customer
+)
+SELECT src.custkey, src.segment_raw, a.canonical AS segment
+FROM src LEFT JOIN aliases a ON a.alias = trim(src.segment_raw)
+"""
+
+SQL["entity_join"] = """
+SELECT o_orderkey AS orderkey, c_name AS customer, c_mktsegment AS segment, o_totalprice AS total_price
+FROM orders JOIN customer ON o_custkey = c_custkey
+"""
+
+SQL["basis_union"] = f"""
+SELECT {ORDERS_COLS}, CASE WHEN period >= '1998-01-01' THEN 'current' ELSE 'historical' END AS basis
+FROM ({ORDERS_OBS}) o WHERE period IS NOT NULL
+"""
+
+
+def _state_sql() -> str:
+    from ..functions.places import NICKNAMES, POSTCODE_BANDS, STATES
+
+    names: dict[str, str] = {}
+    for code, name in STATES.items():
+        names[code] = name
+        names["AU-" + code] = name
+        names[name.upper()] = name
+    for nick, code in NICKNAMES.items():
+        names[nick] = STATES[code]
+    name_rows = ", ".join(f"('{k}', '{v}')" for k, v in sorted(names.items()))
+    band_rows = ", ".join(f"({lo}, {hi}, '{STATES[c]}')" for lo, hi, c in POSTCODE_BANDS)
+    spellings = ", ".join("'" + s.replace("'", "''") + "'" for s in (
+        "NSW", "vic", "Queensland", "AU-WA", "Tassie", "act", "nt", "South Australia",
+        "Total Australia", "au-qld", " Victoria ", "TAS", "Northern  Territory",
+    ))
+    return f"""
+WITH names(k, state) AS (VALUES {name_rows}),
+bands(lo, hi, state) AS (VALUES {band_rows}),
+src AS (
+  SELECT c_custkey AS custkey,
+         list_value({spellings})[(c_nationkey % 13) + 1] AS place,
+         lpad(CAST((c_custkey * 7) % 10000 AS VARCHAR), 4, '0') AS postcode
+  FROM customer
+)
+SELECT src.custkey, src.place, src.postcode,
+       coalesce(n1.state, b1.state, src.place) AS place_state,
+       coalesce(n2.state, b2.state, src.postcode) AS postcode_state
+FROM src
+LEFT JOIN names n1 ON n1.k = upper(regexp_replace(trim(src.place), '\\s+', ' ', 'g'))
+LEFT JOIN bands b1 ON regexp_matches(trim(src.place), '^[0-9]{{4}}$') AND TRY_CAST(trim(src.place) AS INTEGER) BETWEEN b1.lo AND b1.hi
+LEFT JOIN names n2 ON n2.k = upper(regexp_replace(trim(src.postcode), '\\s+', ' ', 'g'))
+LEFT JOIN bands b2 ON regexp_matches(trim(src.postcode), '^[0-9]{{4}}$') AND TRY_CAST(trim(src.postcode) AS INTEGER) BETWEEN b2.lo AND b2.hi
+"""
+
+
+SQL["state_lookup"] = _state_sql()

@@ -8,6 +8,7 @@ Every query reads whole tables (or DataFrames Spark derives from them).
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,13 +19,18 @@ from pyspark.sql.types import DoubleType, StringType
 from ..functions.coerce import clean_string, integral_check, to_double
 from ..functions.links import extract_hrefs, filename_date_score, host_allowed, redact_urls, url_host
 from ..functions.periods import expand_periods
+from ..functions.places import normalise_state_column
+from ..functions.similarity import best_match_col, close_matches_col
 from ..operators.links import best_links, candidate_links, extract_links, manifest_diff, resolve_tiers, seed_manifest
+from ..operators.lookups import pair_bases, pair_entities, translate_column
 from ..operators.observe import records
+from ..operators.search import entries_from_specs, search_table
 from ..operators.ranking import latest_tail
 from ..operators.reshape import drop_blank_rows, melt_transposed, promote_header
 from ..operators.summary import series_stats
 from ..plans.api import get_data, latest, top_n
 from ..sources.tables import read_table
+from ..spec import get_spec, load_all
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -382,3 +388,74 @@ def redact_urls_q(spark: SparkSession, root: str) -> DataFrame:
         redact_urls(F.col("url"), REDACT_HOST_PATTERN).alias("url"),
         redact_urls(F.col("html"), REDACT_HOST_PATTERN).alias("html"),
     )
+
+
+# ---- lookups, pairings, places (J1, J5, J6, F5, F6) --------------------------------
+
+
+@register("alias_join")
+def alias_join_q(spark: SparkSession, root: str) -> DataFrame:
+    c = read_table(spark, root, "customer")
+    raw = F.when(F.col("c_nationkey") < 10, F.lower("c_mktsegment")).otherwise(F.col("c_mktsegment"))
+    src = c.select(F.col("c_custkey").alias("custkey"), raw.alias("segment_raw"))
+    return translate_column(src, get_spec("CUSTOMER"), "segment", "segment_raw", "segment")
+
+
+@register("entity_join")
+def entity_join_q(spark: SparkSession, root: str) -> DataFrame:
+    o = read_table(spark, root, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+    c = read_table(spark, root, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    j = pair_entities(o, c, "o_custkey", "c_custkey")
+    return j.select(
+        F.col("o_orderkey").alias("orderkey"), F.col("c_name").alias("customer"), F.col("c_mktsegment").alias("segment"),
+        F.col("o_totalprice").alias("total_price"),
+    )
+
+
+@register("basis_union")
+def basis_union_q(spark: SparkSession, root: str) -> DataFrame:
+    spec = get_spec("ORDERS")
+    brk = spec.framework.break_date
+    before = (_dt.date.fromisoformat(brk) - _dt.timedelta(days=1)).isoformat()
+    current = get_data(spark, "ORDERS", start_period=brk, root=root).records
+    historical = get_data(spark, "ORDERS", end_period=before, root=root).records
+    return pair_bases(current, historical, "current", "historical")
+
+
+# Place spellings used to derive the state-lookup input.
+PLACE_SPELLINGS = [
+    "NSW", "vic", "Queensland", "AU-WA", "Tassie", "act", "nt", "South Australia",
+    "Total Australia", "au-qld", " Victoria ", "TAS", "Northern  Territory",
+]
+
+
+@register("state_lookup")
+def state_lookup_q(spark: SparkSession, root: str) -> DataFrame:
+    c = read_table(spark, root, "customer")
+    place = F.element_at(F.array(*[F.lit(s) for s in PLACE_SPELLINGS]), (F.col("c_nationkey") % len(PLACE_SPELLINGS)) + 1)
+    postcode = F.lpad(((F.col("c_custkey") * 7) % 10000).cast("string"), 4, "0")
+    src = c.select(F.col("c_custkey").alias("custkey"), place.alias("place"), postcode.alias("postcode"))
+    out = normalise_state_column(src, "place", "place_state")
+    return normalise_state_column(out, "postcode", "postcode_state")
+
+
+# ---- fuzzy text (T1, T4..T6): rows-only checks -------------------------------------
+
+
+@register("fuzzy_best_match")
+def fuzzy_best_match_q(spark: SparkSession, root: str) -> DataFrame:
+    spec = get_spec("CUSTOMER")
+    dv = spec.dimension_values["segment"]
+    candidates = sorted(set(dv.values) | set(dv.values.values()))
+    c = read_table(spark, root, "customer")
+    seg = F.col("c_mktsegment")
+    typo = F.lower(F.concat(F.substring(seg, 1, 3), F.expr("substring(c_mktsegment, 5)")))
+    src = c.select(F.col("c_custkey").alias("custkey"), typo.alias("query"))
+    best = best_match_col("query", candidates, cutoff=70)
+    return src.select("custkey", "query", best["match"].alias("match"), best["score"].alias("score"), close_matches_col("query", candidates).alias("close"))
+
+
+@register("catalogue_search")
+def catalogue_search_q(spark: SparkSession, root: str) -> DataFrame:
+    conv = read_table(spark, root, "conversations").filter(F.col("role") == "user").select("conv_id", "turn", "text")
+    return search_table(conv, "text", entries_from_specs(load_all().values()), limit=3).drop("text")

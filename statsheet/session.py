@@ -51,3 +51,34 @@ def checkpoint_dir(spark: SparkSession) -> str:
             raise RuntimeError(f"{_CHECKPOINT_KEY} is not set; a cluster job needs a shared folder")
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession | None = None) -> None:
+    """Make ``statsheet`` importable by Python workers (pandas UDFs).
+
+    Zips the package once per application and registers it with
+    ``addPyFile``, which Spark distributes to every executor.  A no-op when
+    already done for this application.
+    """
+    import zipfile
+    from pathlib import Path
+
+    spark = spark or SparkSession.getActiveSession()
+    if spark is None:
+        return
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = Path(__file__).resolve().parent
+    out_dir = Path(tempfile.mkdtemp(prefix="statsheet-py-"))
+    target = out_dir / "statsheet.zip"
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as zf:
+        for p in sorted(pkg.rglob("*")):
+            if p.is_file() and "__pycache__" not in p.parts and p.suffix in (".py", ".yaml"):
+                zf.write(p, p.relative_to(pkg.parent).as_posix())
+    sc.addPyFile(str(target))
+    _SHIPPED.add(app)

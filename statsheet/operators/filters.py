@@ -75,11 +75,13 @@ def filter_condition(df: DataFrame, spec: Spec, key: str, value: Any, expr: Colu
                 f"Filter {key!r}: wildcard value is empty after removing '*' and '~'; "
                 "pass a substring such as 'macquarie*' or 'commonwealth~'"
             )
-        return F.coalesce(F.upper(expr.cast("string")).contains(needle.upper()), F.lit(False))
+        return F.upper(expr.cast("string")).contains(needle.upper())
     resolved = spec.translate(key, v)
     if int_src and _CANON_INT.match(resolved):
         return F.col(int_src) == int(resolved)
-    return F.coalesce(expr.cast("string") == F.lit(resolved), F.lit(False))
+    # Used in Filter only, where null counts as false; a bare comparison on
+    # the source column is what Catalyst pushes into the scan.
+    return expr.cast("string") == F.lit(resolved)
 
 
 def apply_filters(df: DataFrame, spec: Spec, filters: dict[str, Any], exprs: dict[str, Column]) -> DataFrame:

@@ -19,7 +19,7 @@ from ..spec import Spec
 MELT_POSITION = "_melt_col"
 
 
-def melt_transposed(df: DataFrame, entity_alias: str) -> DataFrame:
+def melt_transposed(df: DataFrame, entity_alias: str, keep: list[str] | None = None) -> DataFrame:
     """R1..R3: first column = entity; ``Mon YYYY``/date headers melted.
 
     Other columns are dropped, rows with a null entity are dropped, null
@@ -27,6 +27,7 @@ def melt_transposed(df: DataFrame, entity_alias: str) -> DataFrame:
     ``_melt_col`` the header position, so the declared order of the melted
     table is (header position, row order) like a column-major melt.
     With no period-like header the table is returned unchanged (R3).
+    ``keep`` names extra columns to carry (e.g. a row-order column).
     """
     cols = df.columns
     if not cols:
@@ -38,7 +39,8 @@ def melt_transposed(df: DataFrame, entity_alias: str) -> DataFrame:
     types = {f.name: f.dataType for f in df.schema.fields}
     numeric = all(isinstance(types[c], NumericType) for c in period_cols)
     vtype = "double" if numeric else "string"
-    keep = [c for c in cols[1:] if c.startswith("_") or c in ("row_idx",)]
+    extra = set(keep or ())
+    keep = [c for c in cols[1:] if (c.startswith("_") or c == "row_idx" or c in extra) and c not in period_cols]
     base = df.withColumnRenamed(entity, entity_alias).dropna(subset=[entity_alias])
     cells = [
         F.struct(
@@ -102,7 +104,7 @@ def shape_source(raw: DataFrame, spec: Spec) -> DataFrame:
     """Layout step between the source read and the projection."""
     out = raw
     if spec.layout == "transposed":
-        out = melt_transposed(out, spec.entity_alias or spec.dimension_columns()[0].source)
+        out = melt_transposed(out, spec.entity_alias or spec.dimension_columns()[0].source, keep=list(spec.order_by))
     elif spec.snapshot:
         out = snapshot_header(out, spec)
     # Q15 fixed: the injected snapshot period is not a key of the blank test.

@@ -115,24 +115,26 @@ def series_nested(obs: DataFrame, spec: Spec) -> DataFrame:
     large slices use :func:`series_partitioned`, which never gathers a whole
     series into one row.
     """
-    bound = obs
     o = _ord_struct(spec)
     dims = [c for c in obs.columns if c not in OBS_HEAD and not c.startswith("_")]
-    dim_map = (
-        F.map_filter(F.map_from_arrays(F.array(*[F.lit(d) for d in dims]), F.array(*[F.col(d) for d in dims])), lambda k, v: v.isNotNull())
-        if dims
-        else F.create_map()
-    )
-    item = F.struct(o.alias("o"), F.col("period"), F.col("value"), dim_map.alias("dimensions"))
-    grouped = bound.groupBy("measure").agg(
+    # Dimensions travel as key/value entries (orderable) and become a map
+    # after the sort; null dimensions are left out.
+    entries = F.filter(
+        F.array(*[F.struct(F.lit(d).alias("key"), F.col(d).cast("string").alias("value")) for d in dims]),
+        lambda e: e["value"].isNotNull(),
+    ) if dims else F.array().cast("array<struct<key:string,value:string>>")
+    item = F.struct(o.alias("o"), F.col("period"), F.col("value"), entries.alias("dims"))
+    grouped = obs.groupBy("measure").agg(
         F.min_by("unit", o).alias("unit"),
         F.min(o).alias("_first"),
         F.sort_array(F.collect_list(item)).alias("_items"),
-        F.count(F.lit(1)).alias("_n"),
     )
     return grouped.select(
         "measure",
         "unit",
-        F.transform("_items", lambda x: F.struct(x["period"].alias("period"), x["value"].alias("value"), x["dimensions"].alias("dimensions"))).alias("observations"),
+        F.transform(
+            "_items",
+            lambda x: F.struct(x["period"].alias("period"), x["value"].alias("value"), F.map_from_entries(x["dims"]).alias("dimensions")),
+        ).alias("observations"),
         "_first",
     ).orderBy("_first").drop("_first")

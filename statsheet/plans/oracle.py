@@ -375,3 +375,11 @@ LEFT JOIN bands b2 ON regexp_matches(trim(src.postcode), '^[0-9]{{4}}$') AND TRY
 
 
 SQL["state_lookup"] = _state_sql()
+
+# ---- accumulation ------------------------------------------------------------------
+
+SQL["accumulate_latest"] = """
+SELECT user_id, strftime(ts, '%Y-%m-%d') AS day, event_id, event_type, value
+FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id, strftime(ts, '%Y-%m-%d') ORDER BY ts DESC, event_id DESC) = 1
+"""

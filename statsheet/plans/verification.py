@@ -30,6 +30,7 @@ from ..operators.reshape import drop_blank_rows, melt_transposed, promote_header
 from ..operators.summary import series_stats
 from ..plans.api import get_data, latest, top_n
 from ..sources.tables import read_table
+from ..streaming.accumulate import latest_per_key
 from ..spec import get_spec, load_all
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -459,3 +460,14 @@ def fuzzy_best_match_q(spark: SparkSession, root: str) -> DataFrame:
 def catalogue_search_q(spark: SparkSession, root: str) -> DataFrame:
     conv = read_table(spark, root, "conversations").filter(F.col("role") == "user").select("conv_id", "turn", "text")
     return search_table(conv, "text", entries_from_specs(load_all().values()), limit=3).drop("text")
+
+
+# ---- accumulation (G1), batch form ---------------------------------------------------
+
+
+@register("accumulate_latest")
+def accumulate_latest_q(spark: SparkSession, root: str) -> DataFrame:
+    """Newest event per (user, day): the upsert rule of snapshot history."""
+    e = read_table(spark, root, "events").withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+    out = latest_per_key(e, ["user_id", "day"], ["ts", "event_id"])
+    return out.select("user_id", "day", "event_id", "event_type", "value")

@@ -1,0 +1,32 @@
+import os
+import sys
+import tempfile
+
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+
+SF_SMALL = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from statsheet.session import local_session
+
+    s = local_session(4, shuffle_partitions=4, app="statsheet-tests")
+    # Tests run locally: the checkpoint folder is unset, so give it one.
+    if not s.conf.get("spark.checkpoint.dir", None):
+        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="statsheet-test-ckpt-"))
+    yield s
+    s.stop()
+
+
+@pytest.fixture(scope="session")
+def root():
+    return SF_SMALL
+
+
+@pytest.fixture()
+def tmpdir_path():
+    return tempfile.mkdtemp(prefix="statsheet-test-")

@@ -1,0 +1,112 @@
+"""Workbook decode, error rows, batch ingest into silver tables."""
+
+import datetime as dt
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from statsheet import get_data
+from statsheet.plans.ingest import ingest, read_silver
+from statsheet.sources.workbook import WorkbookError, errors, read_sheet, read_workbooks
+from statsheet.spec import spec_from_dict
+from xlsx_writer import write_xlsx
+
+SHEET = [
+    ["Quarterly statistics", None, None, None],
+    ["Entity quarter end", "Entity", "Sector", "Total\nassets"],
+    [dt.date(2025, 3, 31), "Alpha Bank", "Major banks", 100.5],
+    [dt.date(2025, 3, 31), "Beta Bank", "Other banks", 20],
+    [None, None, None, None],
+    [dt.date(2025, 6, 30), "Alpha Bank", "Major banks", 110],
+    ["Source: test", None, None, None],
+]
+
+SPEC = spec_from_dict(
+    {
+        "id": "WB_TEST",
+        "name": "workbook fixture",
+        "format": "xlsx",
+        "sheet": "Table 1",
+        "header_row": 2,
+        "period_column": "Entity quarter end",
+        "order_by": ["row_idx"],
+        "columns": [
+            {"key": "period", "source": "Entity quarter end", "role": "dimension", "dtype": "date"},
+            {"key": "institution", "source": "Entity", "role": "dimension", "dtype": "string", "permissive": True},
+            {"key": "sector", "source": "Sector", "role": "dimension", "dtype": "string"},
+            {"key": "total_assets", "source": "Total assets", "role": "measure", "dtype": "float", "unit": "AUD millions"},
+        ],
+    }
+)
+
+
+@pytest.fixture(scope="module")
+def books(tmp_path_factory):
+    d = tmp_path_factory.mktemp("books")
+    good = str(d / "good.xlsx")
+    write_xlsx(good, {"Table 1": SHEET, "Notes": [["a note", True]]})
+    inline = str(d / "inline.xlsx")
+    write_xlsx(inline, {"Table 1": SHEET}, inline=True)
+    corrupt = str(d / "corrupt.xlsx")
+    with open(corrupt, "wb") as f:
+        f.write(b"PK\x03\x04 not really a zip")
+    empty = str(d / "empty.xlsx")
+    open(empty, "wb").close()
+    return {"dir": str(d), "good": good, "inline": inline, "corrupt": corrupt, "empty": empty}
+
+
+def test_decode_grid(spark, books):
+    grid = read_workbooks(spark, books["good"])
+    rows = {(r["sheet"], r["row_idx"]): r["cells"] for r in grid.collect()}
+    assert rows[("Table 1", 3)] == ["2025-03-31", "Alpha Bank", "Major banks", "100.5"]
+    assert rows[("Table 1", 4)][3] == "20"
+    assert rows[("Notes", 1)] == ["a note", "TRUE"]
+    inline = read_workbooks(spark, books["inline"], ["Table 1"]).filter(F.col("row_idx") == 2).first()
+    assert inline["cells"][3] == "Total\nassets"
+
+
+def test_error_rows(spark, books):
+    grid = read_workbooks(spark, books["dir"], ["Table 1"])
+    errs = {os.path.basename(r["source"]): r["error"] for r in errors(grid).collect()}
+    assert set(errs) == {"corrupt.xlsx", "empty.xlsx"}
+    assert "empty" in errs["empty.xlsx"]
+    assert grid.filter(F.col("error").isNull()).select("source").distinct().count() == 2
+    missing = read_workbooks(spark, books["good"], ["No such sheet"])
+    assert "not found" in errors(missing).first()["error"]
+
+
+def test_read_sheet_and_pipeline(spark, books):
+    table = read_sheet(spark, books["good"], SPEC)
+    assert table.columns == ["Entity quarter end", "Entity", "Sector", "Total assets"]
+    assert table.count() == 4  # three data rows and the footnote
+    with pytest.raises(WorkbookError):
+        read_sheet(spark, books["corrupt"], SPEC)
+
+
+def test_ingest_to_silver(spark, books, tmpdir_path):
+    # Register the fixture specs so that ingest can look them up by id.
+    from statsheet import spec as spec_mod
+
+    spec_mod._CACHE.update(spec_mod.load_all())
+    spec_mod._CACHE["WB_TEST"] = SPEC
+    bad = spec_from_dict({"id": "WB_BAD", "name": "bad", "format": "xlsx", "sheet": "Table 1", "columns": SPEC_COLUMNS})
+    spec_mod._CACHE["WB_BAD"] = bad
+    try:
+        status = {r["dataset_id"]: r["status"] for r in ingest(
+            spark, {"WB_TEST": books["good"], "WB_BAD": books["corrupt"]}, f"{tmpdir_path}/bronze", f"{tmpdir_path}/silver"
+        ).collect()}
+        assert status["WB_TEST"] == "ok"
+        assert status["WB_BAD"].startswith("error:") and len(status["WB_BAD"]) <= 200
+        silver = read_silver(spark, f"{tmpdir_path}/silver", "WB_TEST")
+        res = get_data(spark, SPEC, source=silver, start_period="2025-Q1", end_period="2025-Q1")
+        got = sorted((r["institution"], r["value"]) for r in res.records.collect())
+        assert got == [("Alpha Bank", 100.5), ("Beta Bank", 20.0)]
+        with pytest.raises(ValueError):
+            ingest(spark, {"NOPE": books["good"]}, f"{tmpdir_path}/b2", f"{tmpdir_path}/s2")
+    finally:
+        spec_mod._CACHE.pop("WB_TEST", None)
+        spec_mod._CACHE.pop("WB_BAD", None)
+
+
+SPEC_COLUMNS = [{"key": "x", "source": "Entity", "role": "dimension", "dtype": "string"}]

@@ -59,12 +59,18 @@ def extract_hrefs(html: Column | str, extension: str | None = "xlsx") -> Column:
     return F.regexp_extract_all(_col(html), F.lit(pat), 1)
 
 
-def _month_case(name: Column) -> Column:
-    lowered = F.lower(name)
-    expr = None
-    for k, v in MONTH_NUMBERS.items():
-        expr = F.when(lowered == k, F.lit(v)) if expr is None else expr.when(lowered == k, F.lit(v))
-    return expr.otherwise(F.lit(0))
+def _month_number(name: Column) -> Column:
+    """Month number of a month name (any case) by one lookup in a literal map."""
+    lookup = F.create_map(*[x for k, v in MONTH_NUMBERS.items() for x in (F.lit(k), F.lit(v))])
+    return F.coalesce(lookup.getItem(F.lower(name)), F.lit(0))
+
+
+_MONTH_WORD = r"(?i)(january|february|march|april|may|june|july|august|september|october|november|december|jan|feb|mar|apr|may|jun|jul|aug|sep|sept|oct|nov|dec)"
+
+
+def _year_month_score(acc: Column, y: Column, m: Column) -> Column:
+    ok = m.between(1, 12) & y.between(1990, 2100)
+    return F.greatest(acc, F.when(ok, y * 100 + m).otherwise(F.lit(0)))
 
 
 def filename_date_score(name: Column | str) -> Column:
@@ -78,25 +84,23 @@ def filename_date_score(name: Column | str) -> Column:
     non-overlapping matches exactly like a scanning regex engine's.
     """
     s = _col(name)
-    mnames = F.regexp_extract_all(s, F.lit(MONTH_NAME_PATTERN), 1)
-    myears = F.regexp_extract_all(s, F.lit(MONTH_NAME_PATTERN), 2)
+    # One scan with the full pattern; each whole match is then parsed: its
+    # month word is the first month alternative in it (all alternatives of a
+    # month share its number) and its year the first four digits not followed
+    # by a digit (the match's own year, as nothing before it has four digits).
     named = F.aggregate(
-        F.arrays_zip(mnames.alias("m"), myears.alias("y")),
+        F.regexp_extract_all(s, F.lit(MONTH_NAME_PATTERN), 0),
         F.lit(0),
-        lambda acc, z: F.greatest(acc, z["y"].cast("int") * 100 + _month_case(z["m"])),
+        lambda acc, x: F.greatest(
+            acc,
+            F.regexp_extract(x, r"([0-9]{4})(?:[^0-9]|$)", 1).cast("int") * 100
+            + _month_number(F.regexp_extract(x, _MONTH_WORD, 1)),
+        ),
     )
-    ys = F.regexp_extract_all(s, F.lit(YEAR_MONTH_PATTERN), 1)
-    ms = F.regexp_extract_all(s, F.lit(YEAR_MONTH_PATTERN), 2)
     numeric = F.aggregate(
-        F.arrays_zip(ys.alias("y"), ms.alias("m")),
+        F.regexp_extract_all(s, F.lit(YEAR_MONTH_PATTERN), 0),
         F.lit(0),
-        lambda acc, z: F.greatest(
-            acc,
-            F.when(
-                z["m"].cast("int").between(1, 12) & z["y"].cast("int").between(1990, 2100),
-                z["y"].cast("int") * 100 + z["m"].cast("int"),
-            ).otherwise(F.lit(0)),
-        ),
+        lambda acc, x: _year_month_score(acc, F.substring(x, 1, 4).cast("int"), F.substring(x, 6, 2).cast("int")),
     )
     bare = F.aggregate(
         F.regexp_extract_all(s, F.lit(BARE_YEAR_PATTERN), 1),

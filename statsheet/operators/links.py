@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.links import absolute_url, decoded_file_name, extract_hrefs, filename_date_score, prefer_database
@@ -67,10 +67,15 @@ def candidate_links(links: DataFrame, rules: DataFrame, url_col: str = "url", br
 def best_links(candidates: DataFrame, key: str = "dataset_id") -> DataFrame:
     """Highest score per dataset; the first link on the page wins ties.
 
-    The window is per dataset, i.e. over the links of one landing page.
+    A ``max_by`` aggregate keyed by (score, -position): partial aggregation
+    keeps one row per dataset per task, so even a landing page repeated many
+    times never gathers its links in one task.
     """
-    w = Window.partitionBy(key).orderBy(F.col("score").desc(), F.col("pos").asc())
-    return candidates.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") == 1).drop("_rank")
+    cols = candidates.columns
+    best = candidates.groupBy(key).agg(
+        F.max_by(F.struct(*[F.col(c) for c in cols]), F.struct(F.col("score"), (-F.col("pos")).alias("p"))).alias("_b")
+    )
+    return best.select(*[F.col("_b")[c].alias(c) for c in cols])
 
 
 def seed_manifest(entries: DataFrame, key: str = "dataset_id", value: str = "url") -> DataFrame:

@@ -31,11 +31,13 @@ from ..operators.project import key_expressions, project
 from ..operators.ranking import latest as latest_op
 from ..operators.ranking import limit_rows, top_n as top_n_op
 from ..operators.reshape import shape_source
-from ..operators.summary import series_nested, series_stats, summary_row
+from ..operators.summary import series_nested, series_partitioned, series_stats, summary_row
 from ..sources.tables import read_source
 from ..spec import Spec, get_spec, list_ids, load_all, parse_filters
 
 FORMATS = ("records", "series", "csv")
+# Largest limited result returned as nested series.
+NESTED_SERIES_MAX = 100_000
 
 
 @dataclass
@@ -44,6 +46,7 @@ class Result:
     observations: DataFrame  # flat, with hidden order columns
     summary: DataFrame  # one row
     fmt: str = "records"
+    limit: int | None = None
 
     @property
     def records(self) -> DataFrame:
@@ -53,7 +56,12 @@ class Result:
         return records(with_dimension_map(self.observations, self.spec))
 
     def series(self) -> DataFrame:
-        return series_nested(self.observations, self.spec)
+        """K2.  Nested (one row per measure) only for a limited result; an
+        unlimited one is returned flat, range-partitioned by (measure, order)
+        so that no series is ever gathered into a single row or task."""
+        if self.limit is not None and self.limit <= NESTED_SERIES_MAX:
+            return series_nested(self.observations, self.spec)
+        return records(series_partitioned(self.observations, self.spec))
 
     def series_stats(self) -> DataFrame:
         return series_stats(self.observations, self.spec)
@@ -170,7 +178,7 @@ def get_data(
     summary = summary_row(obs, spec, limit=limit, start_period=start, end_period=end, query=query)
     if limit:
         obs = limit_rows(obs, spec, limit)
-    return Result(spec=spec, observations=obs, summary=summary, fmt=fmt)
+    return Result(spec=spec, observations=obs, summary=summary, fmt=fmt, limit=limit)
 
 
 def latest(

@@ -5,13 +5,14 @@ Plans chosen for scale:
 * ``top_n`` and ``limit_rows`` are ``orderBy(...).limit(n)``, planned as
   ``TakeOrderedAndProject``: each task keeps its own top n and only n rows
   per task reach the final merge.  No global sort, no shuffle of the data.
-* ``latest_tail`` (tail n per measure) is a ``row_number`` window filtered
-  to ``<= n``; Spark inserts a partial ``WindowGroupLimit`` before the
-  shuffle, so each task ships at most n rows per measure.  A measure that
-  holds a third of all rows therefore costs n rows of shuffle, not a third.
+* ``latest_tail`` (tail n per measure) is a partial ``max_by`` aggregate for
+  n = 1, else a ``row_number`` window filtered to ``<= n``, where Spark
+  inserts a partial ``WindowGroupLimit`` before the shuffle.  Either way each
+  task ships at most n rows per measure: a measure holding a third of all
+  rows costs n rows of shuffle, not a third of the data.
 * ``latest_periods`` takes the newest n distinct periods (partial
-  aggregation, then a top-n of a handful of rows) and semi-joins them back
-  by broadcast; the broadcast side holds at most n rows.
+  aggregation, then a top-n of a handful of rows; n values reach the driver)
+  and keeps the rows with a literal ``IN`` filter, no join.
 """
 
 from __future__ import annotations
@@ -118,12 +119,12 @@ def latest(obs: DataFrame, spec: Spec, measures: list[str], n: int = 1, mode: st
     return latest_periods(obs, n) if chosen == "period" else latest_tail(obs, spec, n)
 
 
-def default_sorted(obs: DataFrame, spec: Spec, keyed_sort: DataFrame | None = None) -> list:
+def default_sorted(obs: DataFrame, spec: Spec) -> list:
     """Order expressions with the spec's default sort measure first.
 
-    The sort measure's value per row is carried in ``_sortv`` (see
-    ``with_sort_value``); rows sort by it descending, nulls last, then by
-    declared order.
+    The sort measure's value per row is carried in the hidden ``_sortv``
+    column (added by ``plans.api.build_observations``); rows sort by it
+    descending, nulls last, then by declared order.
     """
     if not spec.default_sort or "_sortv" not in obs.columns:
         return order_exprs(spec)

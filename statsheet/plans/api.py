@@ -10,7 +10,8 @@ one lazy plan from the source table:
 
 and returns a :class:`Result` holding the observations DataFrame and a
 one-row summary DataFrame.  Nothing is collected unless a data-dependent
-decision needs a bounded answer (see ``ranking.choose_latest_mode``).
+decision needs a bounded answer (``operators.newest`` for ``latest``, the
+integral-id check in ``operators.project``).
 """
 
 from __future__ import annotations
@@ -113,7 +114,7 @@ def build_observations(
     rows (see ``operators.newest``); the returned mode is the resolved
     'period' / 'tail' branch, or the caller's when it could not be resolved.
     """
-    raw = source if source is not None else read_source(spark, spec, root)
+    raw = source if source is not None else read_source(spark, spec, root, start_iso, end_iso)
     raw = shape_source(raw, spec)
     exprs = key_expressions(raw, spec, measure_keys)
     if validate and filters:

@@ -35,6 +35,31 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def cluster_settings(executors: int, cores_per_executor: int, input_tb: float) -> dict[str, str]:
+    """Suggested session settings for a large cluster (set by the job owner).
+
+    Shuffle partitions start at ~3 per core and grow with the input (about
+    256 MB of shuffle input per partition) and AQE coalesces them at run
+    time; skewed partitions are split by AQE; broadcasts are capped at a
+    size the driver and every executor can hold; scan splits of 256 MB keep
+    tasks a few seconds long without flooding the scheduler.
+    """
+    cores = executors * cores_per_executor
+    by_size = int(input_tb * 1024 * 1024 / 256)
+    return {
+        "spark.sql.shuffle.partitions": str(max(3 * cores, min(by_size, 200_000))),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+        "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+        "spark.sql.parquet.filterPushdown": "true",
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 

@@ -42,7 +42,11 @@ def read_csv_text(spark: SparkSession, path: str, columns: list[str] | None = No
     return reader.schema(schema).csv(path)
 
 
-def read_source(spark: SparkSession, spec: Spec, root: str | None = None) -> DataFrame:
+def read_source(
+    spark: SparkSession, spec: Spec, root: str | None = None, start_iso: str | None = None, end_iso: str | None = None
+) -> DataFrame:
+    """The spec's source table.  Period bounds reach the workbook decoder
+    (row skip while reading); Parquet gets them as pushed filters later."""
     path = source_path(spec, root)
     if spec.format == "parquet":
         return spark.read.parquet(path)
@@ -51,7 +55,7 @@ def read_source(spark: SparkSession, spec: Spec, root: str | None = None) -> Dat
     if spec.format == "xlsx":
         from .workbook import read_sheet
 
-        return read_sheet(spark, path, spec)
+        return read_sheet(spark, path, spec, start_iso=start_iso, end_iso=end_iso)
     raise ValueError(f"unsupported format {spec.format!r}")
 
 

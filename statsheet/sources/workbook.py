@@ -167,7 +167,53 @@ class _Book:
                 yield r, [cells.get(i) for i in range(width)]
 
 
-def decode_workbooks(batches: Iterator[pd.DataFrame], sheets: list[str] | None = None) -> Iterator[pd.DataFrame]:
+def _period_text(cell: str | None) -> str | None:
+    if cell is None:
+        return None
+    s = cell.strip()
+    return s[:10] if len(s) >= 10 and s[4] == "-" and s[7] == "-" else s
+
+
+def _row_skipper(skip: dict | None):
+    """A predicate telling which data rows to drop while decoding.
+
+    ``skip`` = {header_row, data_start_row, column, start, end}: once the
+    header row is seen, the period column is located by its normalised name;
+    data rows whose period text (ISO prefix) falls outside [start, end] are
+    dropped before they are buffered.  Nulls are dropped too.
+    """
+    if not skip or not (skip.get("start") or skip.get("end")):
+        return None
+    from ..functions.coerce import normalize_header
+
+    state: dict = {"idx": None}
+    target = skip["column"].strip().lower()
+    header_row = skip["header_row"]
+    first_data = skip.get("data_start_row") or header_row + 1
+    lo, hi = skip.get("start"), skip.get("end")
+
+    def keep(r: int, cells: list) -> bool:
+        if r == header_row:
+            for i, c in enumerate(cells):
+                n = normalize_header(c)
+                if isinstance(n, str) and n.lower() == target:
+                    state["idx"] = i
+                    break
+            return True
+        if r < first_data or state["idx"] is None:
+            return True
+        i = state["idx"]
+        iso = _period_text(cells[i] if i < len(cells) else None)
+        if iso is None:
+            return False
+        return not ((lo and iso < lo) or (hi and iso > hi))
+
+    return keep
+
+
+def decode_workbooks(
+    batches: Iterator[pd.DataFrame], sheets: list[str] | None = None, skip: dict | None = None
+) -> Iterator[pd.DataFrame]:
     """``mapInPandas`` body: binaryFile rows → grid rows (or error rows)."""
 
     def flush(buf):
@@ -182,8 +228,11 @@ def decode_workbooks(batches: Iterator[pd.DataFrame], sheets: list[str] | None =
                 yield flush([(path, None, None, None, str(e)[:500])])
                 continue
             for sheet in sheets if sheets is not None else list(book.sheets):
+                keep = _row_skipper(skip)
                 try:
                     for r, cells in book.rows(sheet):
+                        if keep is not None and not keep(r, cells):
+                            continue
                         buf.append((path, sheet, r, cells, None))
                         if len(buf) >= BATCH_ROWS:
                             yield flush(buf)
@@ -217,13 +266,19 @@ def empty_files(spark: SparkSession, paths: str | list[str]) -> list[str]:
     return sorted(out)
 
 
-def read_workbooks(spark: SparkSession, paths: str | list[str], sheets: list[str] | None = None) -> DataFrame:
-    """S1 over many files: the grid of every (file, sheet), error rows included."""
+def read_workbooks(
+    spark: SparkSession, paths: str | list[str], sheets: list[str] | None = None, skip: dict | None = None
+) -> DataFrame:
+    """S1 over many files: the grid of every (file, sheet), error rows included.
+
+    ``skip`` optionally drops data rows outside a period range while decoding
+    (see :func:`_row_skipper`); the caller still applies the exact filter.
+    """
     from ..session import ship_package
 
     ship_package(spark)
     files = spark.read.format("binaryFile").load(paths)
-    grid = files.select("path", "content").mapInPandas(lambda it: decode_workbooks(it, sheets), GRID_SCHEMA)
+    grid = files.select("path", "content").mapInPandas(lambda it: decode_workbooks(it, sheets, skip), GRID_SCHEMA)
     empties = empty_files(spark, paths)
     if empties:
         rows = [(p, None, None, None, "empty workbook body") for p in empties]
@@ -236,7 +291,9 @@ def errors(grid: DataFrame) -> DataFrame:
     return grid.filter(F.col("error").isNotNull()).select("source", "sheet", "error")
 
 
-def read_sheet(spark: SparkSession, path: str, spec, strict: bool = True) -> DataFrame:
+def read_sheet(
+    spark: SparkSession, path: str, spec, strict: bool = True, start_iso: str | None = None, end_iso: str | None = None
+) -> DataFrame:
     """One sheet of one workbook as a table with its header promoted (S1..S5).
 
     Meant for one file; batch ingest of many files goes through
@@ -248,9 +305,16 @@ def read_sheet(spark: SparkSession, path: str, spec, strict: bool = True) -> Dat
 
     if spec.sheet is None:
         raise WorkbookError(f"dataset {spec.id!r} declares no sheet")
-    grid = read_workbooks(spark, path, [spec.sheet])
+    skip = None
+    if (start_iso or end_iso) and spec.period_column and spec.layout == "wide" and not spec.snapshot:
+        skip = {"header_row": spec.header_row, "data_start_row": spec.data_start_row, "column": spec.period_column,
+                "start": start_iso, "end": end_iso}
+    grid = read_workbooks(spark, path, [spec.sheet], skip)
     if strict:
         bad = errors(grid).limit(1).collect()
         if bad:
             raise WorkbookError(bad[0]["error"])
-    return promote_header(grid.filter(F.col("error").isNull()).select("row_idx", "cells"), spec.header_row, spec.data_start_row)
+    # row_idx is kept: it is the sheet's row order (usable as the spec's order_by).
+    return promote_header(
+        grid.filter(F.col("error").isNull()).select("row_idx", "cells"), spec.header_row, spec.data_start_row, keep_row_idx=True
+    )

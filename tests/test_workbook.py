@@ -22,8 +22,7 @@ SHEET = [
     ["Source: test", None, None, None],
 ]
 
-SPEC = spec_from_dict(
-    {
+SPEC_DICT = {
         "id": "WB_TEST",
         "name": "workbook fixture",
         "format": "xlsx",
@@ -37,8 +36,8 @@ SPEC = spec_from_dict(
             {"key": "sector", "source": "Sector", "role": "dimension", "dtype": "string"},
             {"key": "total_assets", "source": "Total assets", "role": "measure", "dtype": "float", "unit": "AUD millions"},
         ],
-    }
-)
+}
+SPEC = spec_from_dict(SPEC_DICT)
 
 
 @pytest.fixture(scope="module")
@@ -78,12 +77,22 @@ def test_error_rows(spark, books):
 
 def test_read_sheet_and_pipeline(spark, books):
     table = read_sheet(spark, books["good"], SPEC)
-    assert table.columns == ["Entity quarter end", "Entity", "Sector", "Total assets"]
+    assert table.columns == ["Entity quarter end", "Entity", "Sector", "Total assets", "row_idx"]
     assert table.count() == 4  # three data rows and the footnote
     with pytest.raises(WorkbookError):
         read_sheet(spark, books["corrupt"], SPEC)
 
 
+def test_period_skip_while_decoding(spark, books):
+    grid = read_workbooks(spark, books["good"], ["Table 1"], skip={
+        "header_row": 2, "data_start_row": None, "column": "entity quarter end", "start": "2025-04-01", "end": "2025-06-30"})
+    kept = sorted(r["row_idx"] for r in grid.collect())
+    assert kept == [1, 2, 6]  # title and header rows stay; one data row in range
+    spec = spec_from_dict({**SPEC_DICT, "path": books["good"]})
+    rows = get_data(spark, spec, start_period="2025-Q2", end_period="2025-Q2").records.collect()
+    assert [(r["institution"], r["value"]) for r in rows] == [("Alpha Bank", 110.0)]
+
+
 def test_ingest_to_silver(spark, books, tmpdir_path):
     # Register the fixture specs so that ingest can look them up by id.
     from statsheet import spec as spec_mod

@@ -20,19 +20,37 @@ def _ord_struct(spec: Spec) -> Column:
     return F.struct(*[F.col(c) for c in order_columns(spec)])
 
 
-def summary_aggs(limit: int | None = None) -> list[Column]:
-    """Aggregates of the summary row over an observation slice."""
+def summary_aggs(limit: int | None = None, units: list[str | None] | None = None, period_is_date: bool = False) -> list[Column]:
+    """Aggregates of the summary row over an observation slice.
+
+    All buffers are fixed-width so the plan stays a hash aggregate (no sort
+    of the input): units are spec constants per measure position, so the
+    set of positions present (at most the measure count) gives the unit
+    consensus; ISO periods of date sources aggregate as dates.
+    """
     n = F.count(F.lit(1))
-    unit_ok = F.col("unit").isNotNull() & (F.col("unit") != "")
-    units = F.count_distinct(F.when(unit_ok, F.col("unit")))
     row_count = F.least(n, F.lit(limit)) if limit else n
     truncated = F.when(n > F.lit(limit), n) if limit else F.lit(None).cast("long")
+    if units is not None:
+        table = F.array(*[F.lit(u).cast("string") for u in units])
+        present = F.array_distinct(
+            F.filter(F.transform(F.collect_set("_midx"), lambda i: F.element_at(table, i + 1)), lambda u: u.isNotNull() & (u != ""))
+        )
+        unit = F.when(F.size(present) == 1, F.element_at(present, 1))
+    else:
+        unit_ok = F.col("unit").isNotNull() & (F.col("unit") != "")
+        unit = F.when(F.count_distinct(F.when(unit_ok, F.col("unit"))) == 1, F.max(F.when(unit_ok, F.col("unit"))))
+    if period_is_date:
+        first = F.date_format(F.min(F.to_date("period")), "yyyy-MM-dd")
+        last = F.date_format(F.max(F.to_date("period")), "yyyy-MM-dd")
+    else:
+        first, last = F.min("period"), F.max("period")
     return [
         row_count.cast("long").alias("row_count"),
         truncated.cast("long").alias("truncated_at"),
-        F.when(units == 1, F.max(F.when(unit_ok, F.col("unit")))).alias("unit"),
-        F.min("period").alias("first_period"),
-        F.max("period").alias("last_period"),
+        unit.alias("unit"),
+        first.alias("first_period"),
+        last.alias("last_period"),
     ]
 
 
@@ -47,13 +65,20 @@ def summary_row(
     stale: bool = False,
     stale_reason: str | None = None,
     download_url: str | None = None,
+    measures: list[str] | None = None,
+    period_is_date: bool = False,
 ) -> DataFrame:
     """K4: one row describing the slice (before the limit) and the response.
 
     ``period_start`` / ``period_end`` echo the caller's bounds when given,
     else the first/last period of the slice (Q20).
     """
-    agg = obs.agg(*summary_aggs(limit))
+    units = None
+    if measures is not None and "_midx" in obs.columns:
+        # _midx is the position in the requested measure list.
+        unit_of = {c.key: c.unit for c in spec.measure_columns()}
+        units = [unit_of.get(m) for m in measures]
+    agg = obs.agg(*summary_aggs(limit, units, period_is_date))
     fw = spec.framework
     framework = (
         F.struct(

@@ -136,6 +136,17 @@ def build_observations(
     return observations(keyed, spec, measure_keys), mode
 
 
+def period_is_date(spark: SparkSession, spec: Spec, source: DataFrame | None, root: str | None) -> bool:
+    """True when the spec's period column is stored as a date or timestamp
+    (its ISO text then aggregates exactly as a date).  Schema only."""
+    if not spec.period_column or spec.layout != "wide" or spec.snapshot or spec.format != "parquet":
+        return False
+    df = source if source is not None else read_source(spark, spec, root)
+    if spec.period_column not in df.columns:
+        return False
+    return df.schema[spec.period_column].dataType.typeName() in ("date", "timestamp", "timestamp_ntz")
+
+
 def get_data(
     spark: SparkSession,
     dataset_id: str,
@@ -176,7 +187,10 @@ def get_data(
         default=str,
         sort_keys=True,
     )
-    summary = summary_row(obs, spec, limit=limit, start_period=start, end_period=end, query=query)
+    summary = summary_row(
+        obs, spec, limit=limit, start_period=start, end_period=end, query=query,
+        measures=measure_keys, period_is_date=period_is_date(spark, spec, source, root),
+    )
     if limit:
         obs = limit_rows(obs, spec, limit)
     return Result(spec=spec, observations=obs, summary=summary, fmt=fmt, limit=limit)

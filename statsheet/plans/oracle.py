@@ -383,3 +383,20 @@ SELECT user_id, strftime(ts, '%Y-%m-%d') AS day, event_id, event_type, value
 FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id, strftime(ts, '%Y-%m-%d') ORDER BY ts DESC, event_id DESC) = 1
 """
+
+# ---- header periods, dataset ids --------------------------------------------------------
+
+SQL["header_period_table"] = """
+SELECT o_orderkey AS orderkey,
+       strftime(last_day(o_orderdate), '%Y-%m-%d') AS h_month_period,
+       strftime(last_day(o_orderdate), '%Y-%m-%d') AS h_lower_period,
+       strftime(o_orderdate, '%Y-%m-%d') AS h_iso_period,
+       'Q' || CAST(quarter(o_orderdate) AS VARCHAR) || ' ' || strftime(o_orderdate, '%Y') AS h_other_period
+FROM orders
+"""
+SQL["dataset_id_canonical"] = """
+SELECT p_partkey AS partkey, ' ' || replace(p_name, ' ', '_') || ' ' AS raw,
+       CASE WHEN regexp_matches(upper(replace(p_name, ' ', '_')), '^[A-Z][A-Z0-9_]*$') THEN upper(replace(p_name, ' ', '_')) END AS dataset_id,
+       CASE WHEN regexp_matches(upper(trim(p_brand)), '^[A-Z][A-Z0-9_]*$') THEN upper(trim(p_brand)) END AS brand_id
+FROM part
+"""

@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType
 
 from ..functions.coerce import clean_string, integral_check, to_double
-from ..functions.links import extract_hrefs, filename_date_score, host_allowed, redact_urls, url_host
-from ..functions.periods import expand_periods
+from ..functions.links import extract_hrefs, filename_date_score, host_allowed, normalize_dataset_id_col, redact_urls, url_host
+from ..functions.periods import expand_periods, header_period_col
 from ..functions.places import normalise_state_column
 from ..functions.similarity import best_match_col, close_matches_col
 from ..operators.links import best_links, candidate_links, extract_links, manifest_diff, resolve_tiers, seed_manifest
@@ -471,3 +471,28 @@ def accumulate_latest_q(spark: SparkSession, root: str) -> DataFrame:
     e = read_table(spark, root, "events").withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
     out = latest_per_key(e, ["user_id", "day"], ["ts", "event_id"])
     return out.select("user_id", "day", "event_id", "event_type", "value")
+
+
+# ---- column forms of header periods and dataset ids (C2, C10) ---------------------
+
+
+@register("header_period_table")
+def header_period_table_q(spark: SparkSession, root: str) -> DataFrame:
+    o = read_table(spark, root, "orders")
+    d = F.col("o_orderdate")
+    src = o.select(
+        F.col("o_orderkey").alias("orderkey"),
+        F.date_format(d, "MMM yyyy").alias("h_month"),
+        F.lower(F.date_format(d, "MMM yyyy")).alias("h_lower"),
+        F.date_format(d, "yyyy-MM-dd HH:mm:ss").alias("h_iso"),
+        F.concat(F.lit("Q"), F.quarter(d).cast("string"), F.lit(" "), F.date_format(d, "yyyy")).alias("h_other"),
+    )
+    return src.select("orderkey", *[header_period_col(c).alias(f"{c}_period") for c in ("h_month", "h_lower", "h_iso", "h_other")])
+
+
+@register("dataset_id_canonical")
+def dataset_id_canonical_q(spark: SparkSession, root: str) -> DataFrame:
+    p = read_table(spark, root, "part")
+    raw = F.concat(F.lit(" "), F.regexp_replace(F.col("p_name"), " ", "_"), F.lit(" "))
+    return p.select(F.col("p_partkey").alias("partkey"), raw.alias("raw"), normalize_dataset_id_col(raw).alias("dataset_id"),
+                    normalize_dataset_id_col(F.col("p_brand")).alias("brand_id"))

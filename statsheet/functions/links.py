@@ -62,7 +62,7 @@ def extract_hrefs(html: Column | str, extension: str | None = "xlsx") -> Column:
 def _month_number(name: Column) -> Column:
     """Month number of a month name (any case) by one lookup in a literal map."""
     lookup = F.create_map(*[x for k, v in MONTH_NUMBERS.items() for x in (F.lit(k), F.lit(v))])
-    return F.coalesce(lookup.getItem(F.lower(name)), F.lit(0))
+    return F.coalesce(lookup[F.lower(name)], F.lit(0))
 
 
 _MONTH_WORD = r"(?i)(january|february|march|april|may|june|july|august|september|october|november|december|jan|feb|mar|apr|may|jun|jul|aug|sep|sept|oct|nov|dec)"

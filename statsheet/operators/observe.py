@@ -90,8 +90,10 @@ def write_csv(obs: DataFrame, spec: Spec, path: str, mode: str = "error") -> Non
 
 def to_csv_text(obs: DataFrame, spec: Spec, max_rows: int = 10_000) -> str:
     """K3 as text, for a bounded result (after a limit); refuses larger ones."""
+    from .ranking import default_sorted
+
     cols = csv_columns(spec, obs)
-    ordered = obs.orderBy(*order_exprs(spec)).select(*cols).limit(max_rows + 1)
+    ordered = obs.orderBy(*default_sorted(obs, spec)).select(*cols).limit(max_rows + 1)
     rows = ordered.collect()
     if len(rows) > max_rows:
         raise ValueError(f"result has more than {max_rows} rows; use write_csv() for a distributed sink")

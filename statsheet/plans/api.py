@@ -168,6 +168,8 @@ def get_data(
     fmt = _check_format(fmt)
     limit = _check_positive("limit", limit)
     last_n = _check_positive("last_n", last_n)
+    if mode not in ("auto", "period", "tail"):
+        raise ValueError("mode must be 'auto', 'period' or 'tail'")
     start = validate_period_arg(start_period, "start_period")
     end = validate_period_arg(end_period, "end_period")
     flt = parse_filters(filters)

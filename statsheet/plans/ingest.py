@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.reshape import shape_source
+from ..sources.tables import read_silver, write_silver  # noqa: F401  (read_silver re-exported)
 from ..sources.workbook import read_workbooks
 from ..spec import get_spec
 
@@ -63,17 +64,13 @@ def ingest(spark: SparkSession, files: dict[str, str], bronze_path: str, silver_
         try:
             table = parsed_table(bronze, src, spec)
             shaped = shape_source(table, spec)
-            shaped.write.mode("overwrite").parquet(f"{silver_root.rstrip('/')}/dataset_id={did}")
+            write_silver(shaped, silver_root, did)
             status.append((did, "ok"))
         except Exception as e:  # one dataset's failure must not stop the others
             status.append((did, (f"error: {type(e).__name__}: {e}")[:STATUS_CHARS]))
     return spark.createDataFrame(status, "dataset_id string, status string")
 
 
-def read_silver(spark: SparkSession, silver_root: str, dataset_id: str) -> DataFrame:
-    return spark.read.parquet(f"{silver_root.rstrip('/')}/dataset_id={dataset_id}")
-
-
 def _qualified(spark: SparkSession, path: str) -> str:
     """The path as the binaryFile source reports it (scheme-qualified)."""
     if "://" in path or path.startswith("file:"):

@@ -63,23 +63,19 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
 
 
-def write_silver(df: DataFrame, path: str, dataset_id: str, mode: str = "overwrite") -> None:
-    """Write a parsed table to the silver store, partitioned by dataset.
+def silver_path(silver_root: str, dataset_id: str) -> str:
+    return f"{silver_root.rstrip('/')}/dataset_id={dataset_id}"
 
-    Dynamic partition overwrite replaces only this dataset's partition.
+
+def write_silver(df: DataFrame, silver_root: str, dataset_id: str, mode: str = "overwrite") -> None:
+    """Store one dataset's parsed table (source headers) as snappy Parquet.
+
+    Each dataset has its own folder ``dataset_id=<id>`` under the silver
+    root, so datasets with different columns never share a schema and one
+    dataset's rewrite leaves the others untouched.
     """
-    from pyspark.sql import functions as F
-
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        (
-            df.withColumn("dataset_id", F.lit(dataset_id))
-            .write.mode(mode)
-            .option("compression", "snappy")
-            .partitionBy("dataset_id")
-            .parquet(path)
-        )
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    df.write.mode(mode).option("compression", "snappy").parquet(silver_path(silver_root, dataset_id))
+
+
+def read_silver(spark: SparkSession, silver_root: str, dataset_id: str) -> DataFrame:
+    return spark.read.parquet(silver_path(silver_root, dataset_id))

@@ -112,3 +112,12 @@ def test_spec_validation():
     with pytest.raises(ValueError, match="Try one of"):
         get_spec("ORDERS").resolve_measures("price")
     assert get_spec("ORDERS").resolve_measures(["o_totalprice", "total_price"]) == ["total_price"]
+
+
+def test_schema_drift_names_missing_and_seen(spark):
+    df = spark.createDataFrame([("a", 1.0)], "Entity string, Value double")
+    spec = spec_from_dict({"id": "D", "name": "d", "columns": [
+        {"key": "institution", "source": "Entity name", "role": "dimension", "dtype": "string"},
+        {"key": "v", "source": "Value", "role": "measure"}]})
+    with pytest.raises(ValueError, match=r"\['Entity name'\].*Saw"):
+        get_data(spark, spec, source=df)

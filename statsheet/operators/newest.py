@@ -78,10 +78,35 @@ def newest_bounds(raw: DataFrame, spec: Spec, exprs: dict[str, Column], measures
             raw.filter(any_valid & day.isNotNull()).select(day.alias("d")).distinct().orderBy(F.col("d").desc()).limit(n).collect()
         )
         return Newest(mode, present, min(r["d"] for r in days_rows).isoformat(), top.isoformat())
-    # tail mode: only n = 1 has a day bound (the n-th newest may be far back)
-    if n == 1 and all(d is not None for d in days):
+    if any(d is None for d in days):
+        return Newest(mode, present, None, None)  # a measure with only null periods: its tail is not bounded by day
+    if n == 1:
         return Newest(mode, present, min(days).isoformat(), None)
-    return Newest(mode, present, None, None)
+    return Newest(mode, present, _tail_day_bound(raw, exprs, present, day, n), None)
+
+
+def _tail_day_bound(raw: DataFrame, exprs: dict[str, Column], present: list[str], day: Column, n: int) -> str | None:
+    """Day bound for the tail of n rows per measure (n > 1).
+
+    A measure with values on at least n distinct days has at least n rows on
+    its n newest days, so its tail lies on or after the n-th newest of them.
+    One aggregate gives a row per day with a value count per measure (partial
+    aggregation; the result has one row per distinct day), then the n newest
+    days per measure are picked from that small table.  No bound when some
+    measure has fewer than n dated days.
+    """
+    counts = [F.count(F.when(_valid(exprs[m].cast("double")), F.lit(1))).alias(f"c{i}") for i, m in enumerate(present)]
+    daily = raw.filter(day.isNotNull()).groupBy(day.alias("d")).agg(*counts)
+    per = daily.select(
+        "d", F.explode(F.array(*[F.struct(F.lit(i).alias("m"), F.col(f"c{i}").alias("c")) for i in range(len(present))])).alias("x")
+    ).filter(F.col("x.c") > 0)
+    from pyspark.sql import Window
+
+    ranked = per.withColumn("r", F.row_number().over(Window.partitionBy("x.m").orderBy(F.col("d").desc()))).filter(F.col("r") <= n)
+    rows = ranked.groupBy("x.m").agg(F.count(F.lit(1)).alias("k"), F.min("d").alias("lo")).collect()
+    if len(rows) < len(present) or any(r["k"] < n for r in rows):
+        return None
+    return min(r["lo"] for r in rows).isoformat()
 
 
 def narrow(raw: DataFrame, spec: Spec, bounds: Newest) -> DataFrame:

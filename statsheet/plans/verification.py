@@ -24,8 +24,8 @@ from ..functions.similarity import best_match_col, close_matches_col
 from ..operators.links import best_links, candidate_links, extract_links, manifest_diff, resolve_tiers, seed_manifest
 from ..operators.lookups import pair_bases, pair_entities, translate_column
 from ..operators.observe import records
+from ..operators.parallel import spread
 from ..operators.search import entries_from_specs, search_table
-from ..operators.ranking import latest_tail
 from ..operators.reshape import drop_blank_rows, melt_transposed, promote_header
 from ..operators.summary import series_stats
 from ..plans.api import get_data, latest, top_n
@@ -103,7 +103,7 @@ def period_open_ended(spark: SparkSession, root: str) -> DataFrame:
 
 @register("expand_period_table")
 def expand_period_table(spark: SparkSession, root: str) -> DataFrame:
-    o = read_table(spark, root, "orders")
+    o = spread(read_table(spark, root, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority"))
     d = F.col("o_orderdate")
     forms = o.select(
         F.col("o_orderkey").alias("orderkey"),
@@ -157,8 +157,7 @@ def latest_n_periods(spark: SparkSession, root: str) -> DataFrame:
 
 @register("latest_tail_n")
 def latest_tail_n(spark: SparkSession, root: str) -> DataFrame:
-    res = get_data(spark, "LINEITEM", {"returnflag": "A"}, root=root)
-    return records(latest_tail(res.observations, res.spec, 5))
+    return latest(spark, "LINEITEM", {"returnflag": "A"}, root=root, last_n=5, mode="tail", limit=None).records
 
 
 @register("limit_truncated")
@@ -345,7 +344,7 @@ def extract_links_q(spark: SparkSession, root: str) -> DataFrame:
 
 @register("filename_score")
 def filename_score_q(spark: SparkSession, root: str) -> DataFrame:
-    o = read_table(spark, root, "orders")
+    o = spread(read_table(spark, root, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority"))
     d = F.col("o_orderdate")
     names = {
         "s_month_name": F.concat(F.lit("report-"), F.date_format(d, "MMMM-yyyy"), F.lit(".xlsx")),
@@ -448,7 +447,7 @@ def fuzzy_best_match_q(spark: SparkSession, root: str) -> DataFrame:
     spec = get_spec("CUSTOMER")
     dv = spec.dimension_values["segment"]
     candidates = sorted(set(dv.values) | set(dv.values.values()))
-    c = read_table(spark, root, "customer")
+    c = spread(read_table(spark, root, "customer").select("c_custkey", "c_mktsegment"))
     seg = F.col("c_mktsegment")
     typo = F.lower(F.concat(F.substring(seg, 1, 3), F.expr("substring(c_mktsegment, 5)")))
     src = c.select(F.col("c_custkey").alias("custkey"), typo.alias("query"))
@@ -478,7 +477,7 @@ def accumulate_latest_q(spark: SparkSession, root: str) -> DataFrame:
 
 @register("header_period_table")
 def header_period_table_q(spark: SparkSession, root: str) -> DataFrame:
-    o = read_table(spark, root, "orders")
+    o = spread(read_table(spark, root, "orders").select("o_orderkey", "o_orderdate"))
     d = F.col("o_orderdate")
     src = o.select(
         F.col("o_orderkey").alias("orderkey"),

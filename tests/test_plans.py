@@ -62,3 +62,15 @@ def test_no_registered_query_uses_nested_loop_or_cartesian_joins(spark, root):
             continue
         plan = _plan(spark, fn(spark, root), "simple")
         assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan, name
+
+
+def test_spread_only_when_coarse(spark, root):
+    from statsheet.operators.parallel import spread
+
+    cores = spark.sparkContext.defaultParallelism
+    tiny = spark.createDataFrame([(1,)], "x int").coalesce(1)
+    assert spread(tiny).rdd.getNumPartitions() == 1  # a few bytes: not cut up
+    wide = spark.range(0, 1000, numPartitions=cores * 2)
+    assert spread(wide) is wide  # already split finer than the cores: no shuffle added
+    orders = spark.read.parquet(f"{root}/orders.parquet")
+    assert spread(orders, bytes_per_task=1).rdd.getNumPartitions() == cores

@@ -68,7 +68,7 @@ def test_spread_only_when_coarse(spark, root):
     from statsheet.operators.parallel import spread
 
     cores = spark.sparkContext.defaultParallelism
-    tiny = spark.createDataFrame([(1,)], "x int").coalesce(1)
+    tiny = spark.range(0, 10, 1, 1)  # one partition, an 80-byte estimate
     assert spread(tiny).rdd.getNumPartitions() == 1  # a few bytes: not cut up
     wide = spark.range(0, 1000, numPartitions=cores * 2)
     assert spread(wide) is wide  # already split finer than the cores: no shuffle added

@@ -94,17 +94,24 @@ def read_seed_manifest(spark: SparkSession, path: str) -> DataFrame:
     return seed_manifest(doc.select(F.explode(as_map).alias("dataset_id", "url")))
 
 
-def resolve_tiers(datasets: DataFrame, scraped: DataFrame, seed: DataFrame) -> DataFrame:
+def resolve_tiers(datasets: DataFrame, scraped: DataFrame, seed: DataFrame, payloads: DataFrame | None = None) -> DataFrame:
     """Live link, else seed manifest, else the dataset's default URL.
 
     ``datasets``: ``dataset_id, default_url``; ``scraped``: ``dataset_id,
-    link_url`` (best links); ``seed``: ``dataset_id, seed_url``.  Output adds
-    ``url``, ``tier`` (scrape | seed | default) and ``stale``.
-    Left joins keyed by dataset id; AQE picks broadcast for small sides.
+    link_url`` (best links); ``seed``: ``dataset_id, seed_url``; optional
+    ``payloads``: ``dataset_id, stale_reason`` for payloads served stale
+    later on.  Output adds ``url``, ``tier`` (scrape | seed | default),
+    ``stale`` (not scraped, or a stale payload) and ``stale_reason`` (the
+    link-level reason wins over the payload's).  Left joins keyed by dataset
+    id; AQE picks broadcast for small sides.
     """
     s = scraped.select("dataset_id", F.col("link_url").alias("_scrape"))
     m = seed.select("dataset_id", F.col("seed_url").alias("_seed"))
     j = datasets.join(s, "dataset_id", "left").join(m, "dataset_id", "left")
+    if payloads is not None:
+        j = j.join(payloads.select("dataset_id", F.col("stale_reason").alias("_payload")), "dataset_id", "left")
+    else:
+        j = j.withColumn("_payload", F.lit(None).cast("string"))
     tier = F.when(F.col("_scrape").isNotNull(), F.lit("scrape")).when(F.col("_seed").isNotNull(), F.lit("seed")).otherwise(F.lit("default"))
     reason = (
         F.when(F.col("_scrape").isNotNull(), F.lit(None).cast("string"))
@@ -115,8 +122,8 @@ def resolve_tiers(datasets: DataFrame, scraped: DataFrame, seed: DataFrame) -> D
         *[c for c in datasets.columns],
         F.coalesce("_scrape", "_seed", "default_url").alias("url"),
         tier.alias("tier"),
-        (tier != "scrape").alias("stale"),
-        reason.alias("stale_reason"),
+        ((tier != "scrape") | F.col("_payload").isNotNull()).alias("stale"),
+        F.coalesce(reason, F.col("_payload")).alias("stale_reason"),
     )
 
 

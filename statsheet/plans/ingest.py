@@ -39,13 +39,17 @@ def parsed_table(bronze: DataFrame, source: str, spec) -> DataFrame:
     return promote_header(sheet_rows.select("row_idx", "cells"), spec.header_row, spec.data_start_row, keep_row_idx=True)
 
 
-def ingest(spark: SparkSession, files: dict[str, str], bronze_path: str, silver_root: str) -> DataFrame:
+def ingest(spark: SparkSession, files: dict[str, str], bronze_path: str, silver_root: str, max_concurrency: int = 2) -> DataFrame:
     """Parse and store every dataset; returns ``(dataset_id, status)``.
 
-    ``files`` maps dataset id → workbook path (as the binaryFile source names
-    it, e.g. ``file:/…``).  Unknown ids raise before any work.  A failing
-    dataset records its error (first 200 characters) and the others go on.
+    ``files`` maps dataset id → workbook path.  Unknown ids raise before any
+    work.  Datasets are written by up to ``max_concurrency`` concurrent Spark
+    jobs (driver threads submitting jobs; the scheduler shares the cluster).
+    A failing dataset records its error (first 200 characters) and the
+    others go on.
     """
+    if max_concurrency < 1:
+        raise ValueError("max_concurrency must be >= 1")
     specs = {d: get_spec(d) for d in files}  # raises on unknown ids
     resolved = {d: _qualified(spark, p) for d, p in files.items()}
     bronze = write_bronze(spark, resolved, bronze_path)
@@ -54,20 +58,23 @@ def ingest(spark: SparkSession, files: dict[str, str], bronze_path: str, silver_
         (r["source"], r["sheet"]): r["error"]
         for r in bronze.filter(F.col("error").isNotNull()).select("source", "sheet", "error").limit(100_000).collect()
     }
-    status: list[tuple[str, str]] = []
-    for did, spec in specs.items():
+    def one(did: str) -> tuple[str, str]:
+        spec = specs[did]
         src = resolved[did]
         err = errors.get((src, None)) or errors.get((src, spec.sheet))
         if err:
-            status.append((did, ("error: " + err)[:STATUS_CHARS]))
-            continue
+            return did, ("error: " + err)[:STATUS_CHARS]
         try:
             table = parsed_table(bronze, src, spec)
-            shaped = shape_source(table, spec)
-            write_silver(shaped, silver_root, did)
-            status.append((did, "ok"))
+            write_silver(shape_source(table, spec), silver_root, did)
+            return did, "ok"
         except Exception as e:  # one dataset's failure must not stop the others
-            status.append((did, (f"error: {type(e).__name__}: {e}")[:STATUS_CHARS]))
+            return did, (f"error: {type(e).__name__}: {e}")[:STATUS_CHARS]
+
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=max_concurrency) as pool:
+        status = list(pool.map(one, list(specs)))
     return spark.createDataFrame(status, "dataset_id string, status string")
 
 

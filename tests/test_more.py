@@ -121,3 +121,17 @@ def test_schema_drift_names_missing_and_seen(spark):
         {"key": "v", "source": "Value", "role": "measure"}]})
     with pytest.raises(ValueError, match=r"\['Entity name'\].*Saw"):
         get_data(spark, spec, source=df)
+
+
+def test_tiers_with_stale_payload(spark):
+    from statsheet.operators.links import resolve_tiers
+
+    ds = spark.createDataFrame([("A", "https://d/a"), ("B", "https://d/b"), ("C", "https://d/c")], "dataset_id string, default_url string")
+    scraped = spark.createDataFrame([("A", "https://l/a.xlsx")], "dataset_id string, link_url string")
+    seed = spark.createDataFrame([("B", "https://s/b.xlsx")], "dataset_id string, seed_url string")
+    payloads = spark.createDataFrame([("A", "payload served from cache")], "dataset_id string, stale_reason string")
+    got = {r["dataset_id"]: r for r in resolve_tiers(ds, scraped, seed, payloads).collect()}
+    assert (got["A"]["tier"], got["A"]["stale"], got["A"]["stale_reason"]) == ("scrape", True, "payload served from cache")
+    assert (got["B"]["tier"], got["B"]["url"], got["B"]["stale"]) == ("seed", "https://s/b.xlsx", True)
+    assert got["B"]["stale_reason"].startswith("no matching link")
+    assert (got["C"]["tier"], got["C"]["url"]) == ("default", "https://d/c")

@@ -66,7 +66,8 @@ def ingest(spark: SparkSession, files: dict[str, str], bronze_path: str, silver_
             return did, ("error: " + err)[:STATUS_CHARS]
         try:
             table = parsed_table(bronze, src, spec)
-            write_silver(shape_source(table, spec), silver_root, did)
+            period = spec.period_column if spec.layout == "wide" and not spec.snapshot else None
+            write_silver(shape_source(table, spec), silver_root, did, cluster_by=period)
             return did, "ok"
         except Exception as e:  # one dataset's failure must not stop the others
             return did, (f"error: {type(e).__name__}: {e}")[:STATUS_CHARS]

@@ -25,9 +25,22 @@ def order_columns(spec: Spec) -> list[str]:
     return ord_columns(spec) + [MEASURE_INDEX]
 
 
-def order_exprs(spec: Spec, descending: bool = False) -> list[Column]:
-    cols = order_columns(spec)
-    return [F.col(c).desc() if descending else F.col(c).asc() for c in cols]
+def row_order(obs: DataFrame, spec: Spec) -> list[Column]:
+    """Ascending key of the declared row order.
+
+    With a default sort (L5) the sheet's rows are ordered by that measure,
+    descending with nulls last, before the spec's ``order_by`` columns; the
+    key encodes it as (is null, minus value) so that it sorts ascending,
+    also inside structs (``max_by`` keys).  Then measure position.
+    """
+    keys: list[Column] = []
+    if spec.default_sort and "_sortv" in obs.columns:
+        keys += [F.col("_sortv").isNull().cast("int"), -F.col("_sortv")]
+    return keys + [F.col(c) for c in order_columns(spec)]
+
+
+def order_exprs(obs: DataFrame, spec: Spec, descending: bool = False) -> list[Column]:
+    return [k.desc() if descending else k.asc() for k in row_order(obs, spec)]
 
 
 def observations(keyed: DataFrame, spec: Spec, measures: list[str]) -> DataFrame:
@@ -90,10 +103,8 @@ def write_csv(obs: DataFrame, spec: Spec, path: str, mode: str = "error") -> Non
 
 def to_csv_text(obs: DataFrame, spec: Spec, max_rows: int = 10_000) -> str:
     """K3 as text, for a bounded result (after a limit); refuses larger ones."""
-    from .ranking import default_sorted
-
     cols = csv_columns(spec, obs)
-    ordered = obs.orderBy(*default_sorted(obs, spec)).select(*cols).limit(max_rows + 1)
+    ordered = obs.orderBy(*order_exprs(obs, spec)).select(*cols).limit(max_rows + 1)
     rows = ordered.collect()
     if len(rows) > max_rows:
         raise ValueError(f"result has more than {max_rows} rows; use write_csv() for a distributed sink")

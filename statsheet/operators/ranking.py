@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..spec import Spec
-from .observe import order_columns, order_exprs
+from .observe import order_exprs, row_order
 
 
 def top_n(obs: DataFrame, spec: Spec, n: int = 10, direction: str = "desc") -> DataFrame:
@@ -31,13 +31,13 @@ def top_n(obs: DataFrame, spec: Spec, n: int = 10, direction: str = "desc") -> D
     if direction not in ("desc", "asc"):
         raise ValueError("direction must be 'desc' or 'asc'")
     v = F.col("value").desc() if direction == "desc" else F.col("value").asc()
-    return obs.filter(F.col("value").isNotNull()).orderBy(v, *order_exprs(spec)).limit(n)
+    return obs.filter(F.col("value").isNotNull()).orderBy(v, *order_exprs(obs, spec)).limit(n)
 
 
-def _tail_key(spec: Spec):
+def _tail_key(obs: DataFrame, spec: Spec):
     # Struct ordering puts a null field first, so the max of (period, order)
     # is the newest period (nulls oldest), then the last row in order.
-    return F.struct(F.col("period"), *[F.col(c) for c in order_columns(spec)])
+    return F.struct(F.col("period"), *row_order(obs, spec))
 
 
 def latest_tail(obs: DataFrame, spec: Spec, n: int = 1) -> DataFrame:
@@ -50,9 +50,9 @@ def latest_tail(obs: DataFrame, spec: Spec, n: int = 1) -> DataFrame:
     """
     if n == 1:
         cols = obs.columns
-        best = obs.groupBy("measure").agg(F.max_by(F.struct(*[F.col(c) for c in cols]), _tail_key(spec)).alias("_r"))
+        best = obs.groupBy("measure").agg(F.max_by(F.struct(*[F.col(c) for c in cols]), _tail_key(obs, spec)).alias("_r"))
         return best.select(*[F.col("_r")[c].alias(c) for c in cols])
-    w = Window.partitionBy("measure").orderBy(F.col("period").desc_nulls_last(), *order_exprs(spec, descending=True))
+    w = Window.partitionBy("measure").orderBy(F.col("period").desc_nulls_last(), *order_exprs(obs, spec, descending=True))
     return obs.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
 
 
@@ -120,15 +120,11 @@ def latest(obs: DataFrame, spec: Spec, measures: list[str], n: int = 1, mode: st
 
 
 def default_sorted(obs: DataFrame, spec: Spec) -> list:
-    """Order expressions with the spec's default sort measure first.
-
-    The sort measure's value per row is carried in the hidden ``_sortv``
-    column (added by ``plans.api.build_observations``); rows sort by it
-    descending, nulls last, then by declared order.
-    """
-    if not spec.default_sort or "_sortv" not in obs.columns:
-        return order_exprs(spec)
-    return [F.col("_sortv").desc_nulls_last(), *order_exprs(spec)]
+    """Output order.  The sort measure's value per row is carried in the
+    hidden ``_sortv`` column (added by ``plans.api.build_observations``);
+    rows sort by it descending, nulls last, then by declared order (see
+    ``observe.row_order``)."""
+    return order_exprs(obs, spec)
 
 
 def limit_rows(obs: DataFrame, spec: Spec, n: int) -> DataFrame:

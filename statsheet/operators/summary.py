@@ -13,11 +13,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..spec import Spec
-from .observe import OBS_HEAD, order_columns
+from .observe import OBS_HEAD, row_order
 
 
-def _ord_struct(spec: Spec) -> Column:
-    return F.struct(*[F.col(c) for c in order_columns(spec)])
+def _ord_struct(obs: DataFrame, spec: Spec) -> Column:
+    return F.struct(*row_order(obs, spec))
 
 
 def summary_aggs(limit: int | None = None, units: list[str | None] | None = None, period_is_date: bool = False) -> list[Column]:
@@ -116,7 +116,7 @@ def series_stats(obs: DataFrame, spec: Spec) -> DataFrame:
     order; first/last period likewise.  Partial aggregation keeps a hot
     measure from landing whole in one task.
     """
-    o = _ord_struct(spec)
+    o = _ord_struct(obs, spec)
     return obs.groupBy("measure").agg(
         F.min_by("unit", o).alias("unit"),
         F.count(F.lit(1)).alias("n_obs"),
@@ -129,7 +129,7 @@ def series_partitioned(obs: DataFrame, spec: Spec) -> DataFrame:
     """K2 for large results: observations range-partitioned by (measure, order)
     and sorted within partitions, so each series is contiguous and a hot
     measure spreads over many partitions instead of one group."""
-    keys = [F.col("measure"), *[F.col(c) for c in order_columns(spec)]]
+    keys = [F.col("measure"), *row_order(obs, spec)]
     return obs.repartitionByRange(*keys).sortWithinPartitions(*keys)
 
 
@@ -140,7 +140,7 @@ def series_nested(obs: DataFrame, spec: Spec) -> DataFrame:
     large slices use :func:`series_partitioned`, which never gathers a whole
     series into one row.
     """
-    o = _ord_struct(spec)
+    o = _ord_struct(obs, spec)
     dims = [c for c in obs.columns if c not in OBS_HEAD and not c.startswith("_")]
     # Dimensions travel as key/value entries (orderable) and become a map
     # after the sort; null dimensions are left out.

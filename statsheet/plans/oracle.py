@@ -400,3 +400,8 @@ SELECT p_partkey AS partkey, ' ' || replace(p_name, ' ', '_') || ' ' AS raw,
        CASE WHEN regexp_matches(upper(trim(p_brand)), '^[A-Z][A-Z0-9_]*$') THEN upper(trim(p_brand)) END AS brand_id
 FROM part
 """
+
+SQL["latest_default_sort"] = f"""
+SELECT {CUSTOMER_COLS} FROM ({CUSTOMER_OBS}) c
+QUALIFY row_number() OVER (ORDER BY (sortv IS NULL) DESC, sortv ASC, o0 DESC) = 1
+"""

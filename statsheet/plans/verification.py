@@ -495,3 +495,9 @@ def dataset_id_canonical_q(spark: SparkSession, root: str) -> DataFrame:
     raw = F.concat(F.lit(" "), F.regexp_replace(F.col("p_name"), " ", "_"), F.lit(" "))
     return p.select(F.col("p_partkey").alias("partkey"), raw.alias("raw"), normalize_dataset_id_col(raw).alias("dataset_id"),
                     normalize_dataset_id_col(F.col("p_brand")).alias("brand_id"))
+
+
+@register("latest_default_sort")
+def latest_default_sort_q(spark: SparkSession, root: str) -> DataFrame:
+    """No period and a default sort: the tail is the last row in sorted order."""
+    return latest(spark, "CUSTOMER", root=root).records

@@ -28,7 +28,7 @@ from ..functions.periods import validate_period_arg
 from ..operators.newest import narrow, newest_bounds
 from ..operators.filters import apply_filters, apply_period_range, check_filter_keys, expand_bounds, validate_permissive_values
 from ..operators.observe import observations, records, to_csv_text, with_dimension_map
-from ..operators.project import key_expressions, project
+from ..operators.project import key_expressions, period_source_type, project
 from ..operators.ranking import latest as latest_op
 from ..operators.ranking import limit_rows, top_n as top_n_op
 from ..operators.reshape import shape_source
@@ -107,12 +107,14 @@ def build_observations(
     source: DataFrame | None = None,
     last_n: int | None = None,
     mode: str = "auto",
-) -> tuple[DataFrame, str]:
+) -> tuple[DataFrame, str, bool]:
     """The lazy observation plan of one query (3.1 steps 8..12).
 
     With ``last_n`` the filtered source is first narrowed to the newest
     rows (see ``operators.newest``); the returned mode is the resolved
     'period' / 'tail' branch, or the caller's when it could not be resolved.
+    The last value tells whether periods come from a date/timestamp column
+    (from the schema already read, so the source is listed once).
     """
     raw = source if source is not None else read_source(spark, spec, root, start_iso, end_iso)
     raw = shape_source(raw, spec)
@@ -133,18 +135,7 @@ def build_observations(
         src = spec.column(spec.default_sort).source
         extra["_sortv"] = to_double(F.col(src), raw.schema[src].dataType)
     keyed = project(filtered, spec, exprs=exprs, extra=extra)
-    return observations(keyed, spec, measure_keys), mode
-
-
-def period_is_date(spark: SparkSession, spec: Spec, source: DataFrame | None, root: str | None) -> bool:
-    """True when the spec's period column is stored as a date or timestamp
-    (its ISO text then aggregates exactly as a date).  Schema only."""
-    if not spec.period_column or spec.layout != "wide" or spec.snapshot or spec.format != "parquet":
-        return False
-    df = source if source is not None else read_source(spark, spec, root)
-    if spec.period_column not in df.columns:
-        return False
-    return df.schema[spec.period_column].dataType.typeName() in ("date", "timestamp", "timestamp_ntz")
+    return observations(keyed, spec, measure_keys), mode, period_source_type(raw, spec) in ("date", "timestamp", "timestamp_ntz")
 
 
 def get_data(
@@ -178,7 +169,7 @@ def get_data(
     start_iso, end_iso = expand_bounds(start, end)
     if (start or end) and not spec.period_column:
         raise ValueError(f"dataset {spec.id!r} has no period column; omit start_period/end_period")
-    obs, mode = build_observations(
+    obs, mode, dated = build_observations(
         spark, spec, root=root, filters=flt, measure_keys=measure_keys, start_iso=start_iso, end_iso=end_iso,
         validate=validate, source=source, last_n=last_n, mode=mode,
     )
@@ -191,7 +182,7 @@ def get_data(
     )
     summary = summary_row(
         obs, spec, limit=limit, start_period=start, end_period=end, query=query,
-        measures=measure_keys, period_is_date=period_is_date(spark, spec, source, root),
+        measures=measure_keys, period_is_date=dated,
     )
     if limit:
         obs = limit_rows(obs, spec, limit)

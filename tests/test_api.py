@@ -165,3 +165,10 @@ def test_search_ranks(spark):
         assert search_datasets(spark, q, entries, 3).first()["id"] == want, q
     with pytest.raises(ValueError):
         search_datasets(spark, "  ", entries)
+
+
+def test_top_n_empty_when_nothing_matches(spark, root):
+    res = top_n(spark, "ORDERS", "total_price", 5, {"priority": "*no such priority"}, root=root)
+    assert res.records.count() == 0
+    s = res.summary.first()
+    assert s["row_count"] == 0 and s["period_start"] is None

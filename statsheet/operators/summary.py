@@ -54,6 +54,48 @@ def summary_aggs(limit: int | None = None, units: list[str | None] | None = None
     ]
 
 
+def summary_aggs_wide(keyed: DataFrame, spec: Spec, measures: list[str], limit: int | None, period_is_date: bool) -> list[Column]:
+    """The summary aggregates straight from the keyed (wide) table.
+
+    Same values as :func:`summary_aggs` over the observations, without the
+    per-measure row expansion: each source row contributes its number of
+    valid measure cells, the measures present decide the unit, and periods
+    count where at least one cell is valid.  Fixed-width buffers only.
+    """
+    valid = [F.col(m).isNotNull() & ~F.isnan(F.col(m)) for m in measures]
+    cells = sum((v.cast("long") for v in valid[1:]), valid[0].cast("long")) if valid else F.lit(0).cast("long")
+    any_valid = valid[0] if valid else F.lit(False)
+    for v in valid[1:]:
+        any_valid = any_valid | v
+    n = F.coalesce(F.sum(cells), F.lit(0)).cast("long")
+    unit_of = {c.key: c.unit for c in spec.measure_columns()}
+    present_units = F.array_distinct(
+        F.filter(
+            F.array(*[F.when(F.max(v.cast("int")) == 1, F.lit(unit_of.get(m)).cast("string")) for m, v in zip(measures, valid)]),
+            lambda u: u.isNotNull() & (u != ""),
+        )
+    )
+    unit = F.when(F.size(present_units) == 1, F.element_at(present_units, 1))
+    pkey = spec.period_key
+    if pkey and pkey in keyed.columns:
+        p = F.when(any_valid, F.col(pkey))
+        if period_is_date:
+            first, last = F.date_format(F.min(F.to_date(p)), "yyyy-MM-dd"), F.date_format(F.max(F.to_date(p)), "yyyy-MM-dd")
+        else:
+            first, last = F.min(p), F.max(p)
+    else:
+        first = last = F.lit(None).cast("string")
+    row_count = F.least(n, F.lit(limit)) if limit else n
+    truncated = F.when(n > F.lit(limit), n) if limit else F.lit(None).cast("long")
+    return [
+        row_count.cast("long").alias("row_count"),
+        truncated.cast("long").alias("truncated_at"),
+        unit.alias("unit"),
+        first.cast("string").alias("first_period"),
+        last.cast("string").alias("last_period"),
+    ]
+
+
 def summary_row(
     obs: DataFrame,
     spec: Spec,
@@ -67,18 +109,24 @@ def summary_row(
     download_url: str | None = None,
     measures: list[str] | None = None,
     period_is_date: bool = False,
+    keyed: DataFrame | None = None,
 ) -> DataFrame:
     """K4: one row describing the slice (before the limit) and the response.
 
     ``period_start`` / ``period_end`` echo the caller's bounds when given,
     else the first/last period of the slice (Q20).
     """
-    units = None
-    if measures is not None and "_midx" in obs.columns:
-        # _midx is the position in the requested measure list.
-        unit_of = {c.key: c.unit for c in spec.measure_columns()}
-        units = [unit_of.get(m) for m in measures]
-    agg = obs.agg(*summary_aggs(limit, units, period_is_date))
+    if keyed is not None and measures:
+        # No step between the source rows and the observations: aggregate
+        # the wide rows directly (no row expansion).
+        agg = keyed.agg(*summary_aggs_wide(keyed, spec, measures, limit, period_is_date))
+    else:
+        units = None
+        if measures is not None and "_midx" in obs.columns:
+            # _midx is the position in the requested measure list.
+            unit_of = {c.key: c.unit for c in spec.measure_columns()}
+            units = [unit_of.get(m) for m in measures]
+        agg = obs.agg(*summary_aggs(limit, units, period_is_date))
     fw = spec.framework
     framework = (
         F.struct(

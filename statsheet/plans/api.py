@@ -107,14 +107,15 @@ def build_observations(
     source: DataFrame | None = None,
     last_n: int | None = None,
     mode: str = "auto",
-) -> tuple[DataFrame, str, bool]:
+) -> tuple[DataFrame, str, bool, DataFrame]:
     """The lazy observation plan of one query (3.1 steps 8..12).
 
     With ``last_n`` the filtered source is first narrowed to the newest
     rows (see ``operators.newest``); the returned mode is the resolved
     'period' / 'tail' branch, or the caller's when it could not be resolved.
-    The last value tells whether periods come from a date/timestamp column
-    (from the schema already read, so the source is listed once).
+    The third value tells whether periods come from a date/timestamp column
+    (from the schema already read, so the source is listed once); the last
+    is the keyed wide table the observations are expanded from.
     """
     raw = source if source is not None else read_source(spark, spec, root, start_iso, end_iso)
     raw = shape_source(raw, spec)
@@ -135,7 +136,8 @@ def build_observations(
         src = spec.column(spec.default_sort).source
         extra["_sortv"] = to_double(F.col(src), raw.schema[src].dataType)
     keyed = project(filtered, spec, exprs=exprs, extra=extra)
-    return observations(keyed, spec, measure_keys), mode, period_source_type(raw, spec) in ("date", "timestamp", "timestamp_ntz")
+    dated = period_source_type(raw, spec) in ("date", "timestamp", "timestamp_ntz")
+    return observations(keyed, spec, measure_keys), mode, dated, keyed
 
 
 def get_data(
@@ -169,7 +171,7 @@ def get_data(
     start_iso, end_iso = expand_bounds(start, end)
     if (start or end) and not spec.period_column:
         raise ValueError(f"dataset {spec.id!r} has no period column; omit start_period/end_period")
-    obs, mode, dated = build_observations(
+    obs, mode, dated, keyed = build_observations(
         spark, spec, root=root, filters=flt, measure_keys=measure_keys, start_iso=start_iso, end_iso=end_iso,
         validate=validate, source=source, last_n=last_n, mode=mode,
     )
@@ -182,7 +184,7 @@ def get_data(
     )
     summary = summary_row(
         obs, spec, limit=limit, start_period=start, end_period=end, query=query,
-        measures=measure_keys, period_is_date=dated,
+        measures=measure_keys, period_is_date=dated, keyed=None if last_n else keyed,
     )
     if limit:
         obs = limit_rows(obs, spec, limit)

@@ -15,8 +15,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-# About 0.1-0.3 s of regex or Python scoring per task on compressed columnar input.
+# About 0.1-0.3 s of JVM regex work per task on compressed columnar input.
 DEFAULT_BYTES_PER_TASK = 64 << 10
+# Python similarity scoring costs far more per input byte.
+UDF_BYTES_PER_TASK = 8 << 10
 
 
 def estimated_bytes(df: DataFrame) -> int:

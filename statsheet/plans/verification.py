@@ -24,7 +24,7 @@ from ..functions.similarity import best_match_col, close_matches_col
 from ..operators.links import best_links, candidate_links, extract_links, manifest_diff, resolve_tiers, seed_manifest
 from ..operators.lookups import pair_bases, pair_entities, translate_column
 from ..operators.observe import records
-from ..operators.parallel import spread
+from ..operators.parallel import UDF_BYTES_PER_TASK, spread
 from ..operators.search import entries_from_specs, search_table
 from ..operators.reshape import drop_blank_rows, melt_transposed, promote_header
 from ..operators.summary import series_stats
@@ -447,7 +447,7 @@ def fuzzy_best_match_q(spark: SparkSession, root: str) -> DataFrame:
     spec = get_spec("CUSTOMER")
     dv = spec.dimension_values["segment"]
     candidates = sorted(set(dv.values) | set(dv.values.values()))
-    c = spread(read_table(spark, root, "customer").select("c_custkey", "c_mktsegment"))
+    c = spread(read_table(spark, root, "customer").select("c_custkey", "c_mktsegment"), UDF_BYTES_PER_TASK)
     seg = F.col("c_mktsegment")
     typo = F.lower(F.concat(F.substring(seg, 1, 3), F.expr("substring(c_mktsegment, 5)")))
     src = c.select(F.col("c_custkey").alias("custkey"), typo.alias("query"))

@@ -29,6 +29,7 @@ from ..operators.search import entries_from_specs, search_table
 from ..operators.reshape import drop_blank_rows, melt_transposed, promote_header
 from ..operators.summary import series_stats
 from ..plans.api import get_data, latest, top_n
+from ..session import ship_package
 from ..sources.tables import read_table
 from ..streaming.accumulate import latest_per_key
 from ..spec import get_spec, load_all
@@ -444,6 +445,7 @@ def state_lookup_q(spark: SparkSession, root: str) -> DataFrame:
 
 @register("fuzzy_best_match")
 def fuzzy_best_match_q(spark: SparkSession, root: str) -> DataFrame:
+    ship_package(spark)
     spec = get_spec("CUSTOMER")
     dv = spec.dimension_values["segment"]
     candidates = sorted(set(dv.values) | set(dv.values.values()))
@@ -457,6 +459,7 @@ def fuzzy_best_match_q(spark: SparkSession, root: str) -> DataFrame:
 
 @register("catalogue_search")
 def catalogue_search_q(spark: SparkSession, root: str) -> DataFrame:
+    ship_package(spark)
     conv = read_table(spark, root, "conversations").filter(F.col("role") == "user").select("conv_id", "turn", "text")
     return search_table(conv, "text", entries_from_specs(load_all().values()), limit=3).drop("text")
 

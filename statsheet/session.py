@@ -91,7 +91,7 @@ def ship_package(spark: SparkSession | None = None) -> None:
     import zipfile
     from pathlib import Path
 
-    spark = spark or SparkSession.getActiveSession()
+    spark = spark or SparkSession.getActiveSession() or getattr(SparkSession, "_instantiatedSession", None)
     if spark is None:
         return
     sc = spark.sparkContext

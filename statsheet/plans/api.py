@@ -155,8 +155,15 @@ def get_data(
     mode: str = "auto",
     validate: bool = False,
     source: DataFrame | None = None,
+    hints: bool = False,
 ) -> Result:
-    """K6: one dataset, filtered and shaped; see module docs for the plan."""
+    """K6: one dataset, filtered and shaped; see module docs for the plan.
+
+    ``validate=True`` checks plain values on permissive dimensions against
+    the aliases and the data (F10); ``hints=True`` runs one ``isEmpty`` job
+    and, when the result is empty, raises with a hint for the equality
+    filter that emptied it (F11).
+    """
     spec = get_spec(dataset_id)
     fmt = _check_format(fmt)
     limit = _check_positive("limit", limit)
@@ -175,6 +182,8 @@ def get_data(
         spark, spec, root=root, filters=flt, measure_keys=measure_keys, start_iso=start_iso, end_iso=end_iso,
         validate=validate, source=source, last_n=last_n, mode=mode,
     )
+    if hints and flt and obs.isEmpty():
+        _raise_empty_hint(spark, spec, flt, source, root, start_iso, end_iso)
     if last_n:
         obs = latest_op(obs, spec, measure_keys, last_n, mode)
     query = json.dumps(
@@ -191,6 +200,25 @@ def get_data(
     return Result(spec=spec, observations=obs, summary=summary, fmt=fmt, limit=limit)
 
 
+def _raise_empty_hint(spark, spec, flt, source, root, start_iso, end_iso) -> None:
+    """find the first equality filter (free-form, not permissive, no
+    alias map) after which nothing is left, and raise with its hint."""
+    from ..operators.filters import empty_result_hint, filter_condition
+
+    raw = shape_source(source if source is not None else read_source(spark, spec, root, start_iso, end_iso), spec)
+    exprs = key_expressions(raw, spec)
+    current = apply_period_range(raw, spec, start_iso, end_iso)
+    for k, v in flt.items():
+        nxt = current.filter(filter_condition(raw, spec, k, v, exprs[k]))
+        col = spec.column(k)
+        free_form = col is not None and not col.permissive and not spec.dimension_values.get(k)
+        if free_form and not isinstance(v, (list, tuple)) and nxt.isEmpty() and not current.isEmpty():
+            hint = empty_result_hint(current, spec, k, str(v).strip(), exprs[k])
+            if hint:
+                raise ValueError(hint)
+        current = nxt
+
+
 def latest(
     spark: SparkSession,
     dataset_id: str,

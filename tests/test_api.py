@@ -172,3 +172,15 @@ def test_top_n_empty_when_nothing_matches(spark, root):
     assert res.records.count() == 0
     s = res.summary.first()
     assert s["row_count"] == 0 and s["period_start"] is None
+
+
+def test_empty_result_hints(spark, wide):
+    spec = spec_from_dict({"id": "WIDE_HINT", "name": "w",
+                           "period_column": "period", "order_by": ["row"],
+                           "columns": [{"key": "period", "source": "period", "role": "dimension", "dtype": "date"},
+                                       {"key": "entity", "source": "entity", "role": "dimension", "dtype": "string"},
+                                       {"key": "m1", "source": "m1", "role": "measure", "dtype": "float"}]})
+    with pytest.raises(ValueError, match="Did you mean 'Alpha Bank'"):
+        get_data(spark, spec, {"entity": "Alpha Bnak"}, source=wide, hints=True)
+    assert get_data(spark, spec, {"entity": "Alpha Bnak"}, source=wide).records.count() == 0  # hints are opt-in
+    assert get_data(spark, spec, {"entity": "Alpha Bank"}, source=wide, hints=True).records.count() == 1  # one NaN cell dropped

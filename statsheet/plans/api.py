@@ -129,6 +129,10 @@ def build_observations(
         if bounds is not None:
             filtered = narrow(filtered, spec, bounds)
             mode = bounds.mode
+            if mode == "period" and bounds.lower and bounds.upper:
+                # The scan now holds exactly the newest n periods: nothing
+                # left for the period step to remove.
+                mode = "narrowed"
     extra = {}
     if spec.default_sort:
         # The sort measure rides along as a hidden column, even when it
@@ -184,7 +188,7 @@ def get_data(
     )
     if hints and flt and obs.isEmpty():
         _raise_empty_hint(spark, spec, flt, source, root, start_iso, end_iso)
-    if last_n:
+    if last_n and mode != "narrowed":
         obs = latest_op(obs, spec, measure_keys, last_n, mode)
     query = json.dumps(
         {"dataset_id": spec.id, "filters": flt, "measures": measures, "start_period": start, "end_period": end, "format": fmt},

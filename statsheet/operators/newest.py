@@ -50,6 +50,10 @@ def newest_bounds(raw: DataFrame, spec: Spec, exprs: dict[str, Column], measures
     if kind not in _DATE_KINDS:
         return None
     day = F.to_date(F.col(spec.period_column))
+    if n == 1:
+        fast = _newest_day_fast(raw, spec, exprs, measures, mode, day)
+        if fast is not None:
+            return fast
     aggs = []
     for i, m in enumerate(measures):
         v = _valid(exprs[m].cast("double"))
@@ -109,6 +113,24 @@ def _tail_day_bound(raw: DataFrame, exprs: dict[str, Column], present: list[str]
     return min(r["lo"] for r in rows).isoformat()
 
 
+def _newest_day_fast(raw: DataFrame, spec: Spec, exprs: dict[str, Column], measures: list[str], mode: str, day: Column) -> Newest | None:
+    """Common case of n = 1: the newest day D of the period column alone (a
+    one-column aggregate), then the value counts per measure on rows of day
+    D only (a range filter pushed to the scan).  When every requested
+    measure has a value on D, each measure's newest period is D: the branch
+    and the bounds follow without reading the measure columns of older
+    rows.  Otherwise None (the general pre-pass decides)."""
+    top = raw.agg(F.max(day).alias("d")).first()["d"]
+    if top is None:
+        return None
+    on_top = narrow(raw, spec, Newest("period", [], top.isoformat(), top.isoformat()))
+    row = on_top.agg(*[F.count(F.when(_valid(exprs[m].cast("double")), F.lit(1))).alias(f"c{i}") for i, m in enumerate(measures)]).first()
+    if not all(row[f"c{i}"] > 0 for i in range(len(measures))):
+        return None
+    resolved = mode if mode != "auto" else ("period" if len(measures) == 1 else "tail")
+    return Newest(resolved, list(measures), top.isoformat(), top.isoformat() if resolved == "period" else None)
+
+
 def narrow(raw: DataFrame, spec: Spec, bounds: Newest) -> DataFrame:
     """Apply the day bounds on the stored period column (pushed to the scan)."""
     kind = period_source_type(raw, spec)

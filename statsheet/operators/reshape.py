@@ -8,12 +8,14 @@ the header row of a sheet is one row, read once, and becomes column names.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from ..functions.coerce import disambiguate, normalize_header, normalize_header_col
-from ..functions.periods import header_period, is_period_header
+from ..functions.periods import header_period, is_iso_date, is_period_header
 from ..spec import Spec
 
 MELT_POSITION = "_melt_col"
@@ -42,13 +44,18 @@ def melt_transposed(df: DataFrame, entity_alias: str, keep: list[str] | None = N
     extra = set(keep or ())
     keep = [c for c in cols[1:] if (c.startswith("_") or c == "row_idx" or c in extra) and c not in period_cols]
     base = df.withColumnRenamed(entity, entity_alias).dropna(subset=[entity_alias])
+    # Period headers are dates or "Mon YYYY", so every melted period is an
+    # ISO date: emit it typed (DATE), which lets range filters and the
+    # newest-day pre-pass of ``latest`` compare dates.
+    isos = [header_period(c) for c in period_cols]
+    typed = all(is_iso_date(p) for p in isos)
     cells = [
         F.struct(
-            F.lit(header_period(c)).alias("p"),
+            (F.lit(_dt.date.fromisoformat(p)) if typed else F.lit(p)).alias("p"),
             qcol(c).cast(vtype).alias("v"),
             F.lit(i).alias("i"),
         ).alias(f"_m{i}")
-        for i, c in enumerate(period_cols)
+        for i, (c, p) in enumerate(zip(period_cols, isos))
     ]
     wide = base.select(entity_alias, *keep, *cells)
     long = wide.unpivot([entity_alias, *keep], [f"_m{i}" for i in range(len(period_cols))], "_hdr", "_cell")

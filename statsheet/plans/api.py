@@ -118,13 +118,17 @@ def build_observations(
     is the keyed wide table the observations are expanded from.
     """
     raw = source if source is not None else read_source(spark, spec, root, start_iso, end_iso)
+    # The newest-day pre-pass pays off only when the period is a stored
+    # column (its bound can skip row groups); a period made by the layout
+    # step (melt, snapshot header) would only recompute that step.
+    stored_period = bool(spec.period_column) and spec.period_column in raw.columns
     raw = shape_source(raw, spec)
     exprs = key_expressions(raw, spec, measure_keys)
     if validate and filters:
         validate_permissive_values(raw, spec, filters, exprs)
     filtered = apply_period_range(raw, spec, start_iso, end_iso)
     filtered = apply_filters(filtered, spec, filters, exprs)
-    if last_n and spec.period_column:
+    if last_n and stored_period:
         bounds = newest_bounds(filtered, spec, exprs, measure_keys, last_n, mode)
         if bounds is not None:
             filtered = narrow(filtered, spec, bounds)

@@ -207,7 +207,7 @@ def orders_month_pivot(spark: SparkSession, root: str) -> DataFrame:
 @register("melt_transposed")
 def melt_transposed_q(spark: SparkSession, root: str) -> DataFrame:
     melted = melt_transposed(orders_month_pivot(spark, root), "priority")
-    return melted.select("priority", "period", "value")
+    return melted.select("priority", F.col("period").cast("string").alias("period"), "value")
 
 
 @register("transposed_latest")

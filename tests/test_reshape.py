@@ -14,7 +14,7 @@ def test_melt_transposed(spark):
         "`Property type` string, `Mar 2025` double, `jun 2025` double, Notes string",
     )
     rows = melt_transposed(df, "property_type").orderBy("_melt_col", "property_type").collect()
-    assert [(r["property_type"], r["period"], r["value"]) for r in rows] == [
+    assert [(r["property_type"], r["period"].isoformat(), r["value"]) for r in rows] == [
         ("Office", "2025-03-31", 1.0), ("Retail", "2025-03-31", 2.0), ("Office", "2025-06-30", None), ("Retail", "2025-06-30", 3.0),
     ]
     assert "Notes" not in rows[0].asDict()

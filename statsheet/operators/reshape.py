@@ -21,7 +21,9 @@ from ..spec import Spec
 MELT_POSITION = "_melt_col"
 
 
-def melt_transposed(df: DataFrame, entity_alias: str, keep: list[str] | None = None) -> DataFrame:
+def melt_transposed(
+    df: DataFrame, entity_alias: str, keep: list[str] | None = None, start_iso: str | None = None, end_iso: str | None = None
+) -> DataFrame:
     """R1..R3: first column = entity; ``Mon YYYY``/date headers melted.
 
     Other columns are dropped, rows with a null entity are dropped, null
@@ -30,6 +32,8 @@ def melt_transposed(df: DataFrame, entity_alias: str, keep: list[str] | None = N
     table is (header position, row order) like a column-major melt.
     With no period-like header the table is returned unchanged (R3).
     ``keep`` names extra columns to carry (e.g. a row-order column).
+    ``start_iso`` / ``end_iso`` select the period columns inside the range
+    from the header text alone, so columns outside it are never read.
     """
     cols = df.columns
     if not cols:
@@ -38,6 +42,11 @@ def melt_transposed(df: DataFrame, entity_alias: str, keep: list[str] | None = N
     period_cols = [c for c in cols[1:] if is_period_header(c)]
     if not period_cols:
         return df
+    if start_iso or end_iso:
+        period_cols = [
+            c for c in period_cols
+            if not (start_iso and header_period(c) < start_iso) and not (end_iso and header_period(c) > end_iso)
+        ]
     types = {f.name: f.dataType for f in df.schema.fields}
     numeric = all(isinstance(types[c], NumericType) for c in period_cols)
     vtype = "double" if numeric else "string"
@@ -107,11 +116,12 @@ def _any_not_null(names: list[str]):
     return cond
 
 
-def shape_source(raw: DataFrame, spec: Spec) -> DataFrame:
+def shape_source(raw: DataFrame, spec: Spec, start_iso: str | None = None, end_iso: str | None = None) -> DataFrame:
     """Layout step between the source read and the projection."""
     out = raw
     if spec.layout == "transposed":
-        out = melt_transposed(out, spec.entity_alias or spec.dimension_columns()[0].source, keep=list(spec.order_by))
+        entity = spec.entity_alias or spec.dimension_columns()[0].source
+        out = melt_transposed(out, entity, keep=list(spec.order_by), start_iso=start_iso, end_iso=end_iso)
     elif spec.snapshot:
         out = snapshot_header(out, spec)
     # Q15 fixed: the injected snapshot period is not a key of the blank test.

@@ -122,7 +122,7 @@ def build_observations(
     # column (its bound can skip row groups); a period made by the layout
     # step (melt, snapshot header) would only recompute that step.
     stored_period = bool(spec.period_column) and spec.period_column in raw.columns
-    raw = shape_source(raw, spec)
+    raw = shape_source(raw, spec, start_iso, end_iso)
     exprs = key_expressions(raw, spec, measure_keys)
     if validate and filters:
         validate_permissive_values(raw, spec, filters, exprs)

@@ -96,3 +96,16 @@ def test_snapshot_header(spark):
     df = spark.createDataFrame([("Alpha", "100"), (None, None), ("Beta", "2,000")], "`2025-03-31 00:00:00` string, `Total assets` string")
     rows = get_data(spark, SNAPSHOT, source=df).records.collect()
     assert [(r["institution"], r["period"], r["value"]) for r in rows] == [("Alpha", "2025-03-31", 100.0)]
+
+
+def test_transposed_period_columns_pruned_before_melt(spark, tmpdir_path):
+    path = f"{tmpdir_path}/t.parquet"
+    spark.createDataFrame(
+        [("Industry", 1, 10.0, 11.0, 12.0)], "fund_type string, row long, `Mar_2025` double, `Jun_2025` double, `Sep_2025` double"
+    ).toDF("fund_type", "row", "Mar 2025", "Jun 2025", "Sep 2025").write.parquet(path)
+    df = spark.read.parquet(path)
+    res = get_data(spark, TRANSPOSED, start_period="2025-06", end_period="2025-06", source=df)
+    assert [(r["period"], r["value"]) for r in res.records.collect()] == [("2025-06-30", 11.0)]
+    plan = spark._jvm.PythonSQLUtils.explainString(res.records._jdf.queryExecution(), "formatted")
+    schema = [ln for ln in plan.splitlines() if ln.startswith("ReadSchema")][0]
+    assert "Jun 2025" in schema and "Mar 2025" not in schema and "Sep 2025" not in schema

@@ -405,3 +405,14 @@ SQL["latest_default_sort"] = f"""
 SELECT {CUSTOMER_COLS} FROM ({CUSTOMER_OBS}) c
 QUALIFY row_number() OVER (ORDER BY (sortv IS NULL) DESC, sortv ASC, o0 DESC) = 1
 """
+
+# ---- API surfaces -------------------------------------------------------------------------
+
+_MBS_WHERE = "l_linestatus = 'F' AND l_shipdate >= TIMESTAMP '1999-10-01'"
+SQL["measures_by_source"] = f"SELECT {LINE_COLS} FROM ({lineitem_obs(('tax', 'quantity'), where=_MBS_WHERE)}) x"
+SQL["filters_json"] = _orders("status IN ('O', 'P') AND contains(upper(priority), 'LOW')")
+SQL["bottom_n_wildcard"] = f"""
+SELECT {ORDERS_COLS} FROM ({ORDERS_OBS}) o
+WHERE contains(upper(priority), 'HIGH')
+ORDER BY value ASC, o0 LIMIT 15
+"""

@@ -504,3 +504,23 @@ def dataset_id_canonical_q(spark: SparkSession, root: str) -> DataFrame:
 def latest_default_sort_q(spark: SparkSession, root: str) -> DataFrame:
     """No period and a default sort: the tail is the last row in sorted order."""
     return latest(spark, "CUSTOMER", root=root).records
+
+
+# ---- API surfaces: measures by source name, JSON filters, ranked wildcard -----------
+
+
+@register("measures_by_source")
+def measures_by_source_q(spark: SparkSession, root: str) -> DataFrame:
+    """A source column name and a key, duplicates dropped."""
+    return get_data(spark, "LINEITEM", {"linestatus": "filled"}, ["l_tax", "quantity", "tax"], start_period="1999-Q4", root=root).records
+
+
+@register("filters_json")
+def filters_json_q(spark: SparkSession, root: str) -> DataFrame:
+    """filters as JSON text (a list and a contains-match)."""
+    return get_data(spark, "ORDERS", '{"status": ["O", "pending"], "priority": "~LOW"}', root=root).records
+
+
+@register("bottom_n_wildcard")
+def bottom_n_wildcard_q(spark: SparkSession, root: str) -> DataFrame:
+    return top_n(spark, "ORDERS", "o_totalprice", 15, {"priority": "*high"}, direction="asc", root=root).records

@@ -108,7 +108,7 @@ def test_latest_on_driver_tables(spark, root):
     rows = latest(spark, "LINEITEM", root=root).records.collect()
     assert len(rows) == 4 and len({r["measure"] for r in rows}) == 4
     ev = latest(spark, "EVENTS", root=root, limit=None).records.collect()
-    assert len(ev) > 1 and len({r["period"] for r in ev}) == 1
+    assert len(ev) > 10 and len({r["period"] for r in ev}) == 1
     filt = latest(spark, "EVENTS", {"data_item": "click"}, root=root).records.collect()
     assert len({r["period"] for r in filt}) == 1 and {r["data_item"] for r in filt} == {"click"}
 

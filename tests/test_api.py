@@ -184,3 +184,14 @@ def test_empty_result_hints(spark, wide):
         get_data(spark, spec, {"entity": "Alpha Bnak"}, source=wide, hints=True)
     assert get_data(spark, spec, {"entity": "Alpha Bnak"}, source=wide).records.count() == 0  # hints are opt-in
     assert get_data(spark, spec, {"entity": "Alpha Bank"}, source=wide, hints=True).records.count() == 1  # one NaN cell dropped
+
+
+def test_wildcard_rules(spark, wide):
+    # Q11: '~' anywhere or '*' at either end = case-insensitive substring; all '*'/'~' removed.
+    assert {r["entity"] for r in get_data(spark, WIDE, {"entity": "al~pha"}, source=wide).records.collect()} == {"Alpha Bank"}
+    assert {r["entity"] for r in get_data(spark, WIDE, {"entity": "*MUTUAL"}, source=wide).records.collect()} == {"Gamma Mutual"}
+    # Q10: inside a list the value is literal.
+    assert get_data(spark, WIDE, {"entity": ["*bank"]}, source=wide).records.count() == 0
+    # Not permissive: '*' is part of the value, which the strict alias map rejects.
+    with pytest.raises(ValueError, match="Unknown value"):
+        get_data(spark, WIDE, {"sector": "major*"}, source=wide)

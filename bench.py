@@ -5,6 +5,9 @@ nothing is collected to the driver), timed with a wall clock.  The value is
 the sum over queries.  Usage::
 
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py [name ...]
+
+Set ``BENCH_EVENT_LOG_DIR`` to a scratch folder to record Spark's event log
+there (stage and task times, read with any event-log tool; no UI is used).
 """
 
 from __future__ import annotations
@@ -22,7 +25,18 @@ def main(argv: list[str]) -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     from statsheet.session import local_session
 
-    spark = local_session(cpus, shuffle_partitions=int(cpus) * 2 if cpus.isdigit() else 16, app="statsheet-bench")
+    extra = {}
+    log_dir = os.environ.get("BENCH_EVENT_LOG_DIR")
+    if log_dir:
+        os.makedirs(log_dir, exist_ok=True)
+        extra = {
+            "spark.eventLog.enabled": "true",
+            "spark.eventLog.dir": f"file://{os.path.abspath(log_dir)}",
+            "spark.eventLog.compress": "false",
+        }
+    spark = local_session(
+        cpus, shuffle_partitions=int(cpus) * 2 if cpus.isdigit() else 16, app="statsheet-bench", extra_conf=extra
+    )
     spark.conf.set("spark.sql.files.maxPartitionBytes", str(64 * 1024 * 1024))
 
     import importlib.util

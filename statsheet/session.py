@@ -16,10 +16,15 @@ from pyspark.sql import SparkSession
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "statsheet") -> SparkSession:
+def local_session(
+    cores: int | str = "*", shuffle_partitions: int = 8, app: str = "statsheet", extra_conf: dict[str, str] | None = None
+) -> SparkSession:
     """A local session for tests and the bench (not used by library code)."""
+    builder = SparkSession.builder
+    for k, v in (extra_conf or {}).items():
+        builder = builder.config(k, v)
     spark = (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")

@@ -203,3 +203,39 @@ def test_absolute_url_and_names(spark):
 def test_expand_period_total(value, bound):
     out = expand_period(value, bound)
     assert out == value or isinstance(out, str)
+
+
+def _py_filename_score(name: str) -> int:
+    """Plain-Python statement of the C3 rule, for the property test below."""
+    import re
+
+    from statsheet.functions.links import BARE_YEAR_PATTERN, MONTH_NAME_PATTERN, MONTH_NUMBERS, YEAR_MONTH_PATTERN
+
+    best = 0
+    for m in re.finditer(MONTH_NAME_PATTERN, name):
+        best = max(best, int(m.group(2)) * 100 + MONTH_NUMBERS[m.group(1).lower()])
+    for m in re.finditer(YEAR_MONTH_PATTERN, name):
+        y, mo = int(m.group(1)), int(m.group(2))
+        if 1 <= mo <= 12 and 1990 <= y <= 2100:
+            best = max(best, y * 100 + mo)
+    if best == 0:
+        for tok in re.findall(BARE_YEAR_PATTERN, name):
+            if 1990 <= int(tok) <= 2100:
+                best = max(best, int(tok) * 100)
+    return best
+
+
+_PIECES = st.sampled_from(
+    ["March", "sept", "Sep", "dec", "December", "mayday", "jun", "2025", "1999", "2101", "12", "3", "13", "-", "_", "/", " ", ".xlsx", "x", "Q4", "0"]
+)
+
+
+@settings(max_examples=3, deadline=None)
+@given(st.lists(st.lists(_PIECES, min_size=1, max_size=8).map("".join), min_size=150, max_size=150))
+def test_filename_score_matches_python_rule(spark, names):
+    from statsheet.functions.links import filename_date_score
+
+    df = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "i int, n string")
+    got = {r["i"]: r["s"] for r in df.select("i", filename_date_score("n").alias("s")).collect()}
+    for i, n in enumerate(names):
+        assert got[i] == _py_filename_score(n), n

@@ -239,3 +239,15 @@ def test_filename_score_matches_python_rule(spark, names):
     got = {r["i"]: r["s"] for r in df.select("i", filename_date_score("n").alias("s")).collect()}
     for i, n in enumerate(names):
         assert got[i] == _py_filename_score(n), n
+
+
+@settings(max_examples=3, deadline=None)
+@given(st.lists(st.text(alphabet="0123456789-Qq x ", max_size=11), min_size=200, max_size=200))
+def test_expand_period_column_matches_python_on_random_text(spark, values):
+    from statsheet.functions.periods import expand_periods
+
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
+    rows = {r["i"]: r for r in expand_periods(df, ["v"]).collect()}
+    for i, v in enumerate(values):
+        assert rows[i]["v_start"] == expand_period(v, "start"), repr(v)
+        assert rows[i]["v_end"] == expand_period(v, "end"), repr(v)

@@ -251,3 +251,27 @@ def test_expand_period_column_matches_python_on_random_text(spark, values):
     for i, v in enumerate(values):
         assert rows[i]["v_start"] == expand_period(v, "start"), repr(v)
         assert rows[i]["v_end"] == expand_period(v, "end"), repr(v)
+
+
+@settings(max_examples=3, deadline=None)
+@given(st.lists(st.text(alphabet="0123456789.eE+- \tinfa,d", max_size=10), min_size=200, max_size=200))
+def test_to_double_matches_python_on_random_text(spark, values):
+    from statsheet.functions.coerce import to_double
+
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
+    got = {r["i"]: r["d"] for r in df.select("i", to_double("v").alias("d")).collect()}
+    for i, v in enumerate(values):
+        assert got[i] == safe_value(v), repr(v)
+
+
+@settings(max_examples=2, deadline=None)
+@given(st.lists(st.sampled_from(["nsw", "NSW ", " Vic", "AU-QLD", "au-tas", "Tassie", "Queensland", "new  south wales",
+                                  "0800", "0899", "2600", "2619", "2920", "2921", "3000", "6798", "9999", "12345", "",
+                                  "Total", "WA", "act"]), min_size=60, max_size=60))
+def test_state_column_matches_python_on_random_spellings(spark, values):
+    from statsheet.functions.places import normalise_state_column
+
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
+    got = {r["i"]: r["state"] for r in normalise_state_column(df, "v").collect()}
+    for i, v in enumerate(values):
+        assert got[i] == (normalise_state(v) or v), repr(v)

@@ -21,6 +21,9 @@ from ..functions.similarity import best_match, close_matches
 from ..spec import Spec
 
 _CANON_INT = re.compile(r"^(0|-?[1-9][0-9]{0,17})$")
+# Lists longer than this become a broadcast left-semi join instead of an IN
+# predicate (the list is caller input, so its size is known here).
+LONG_LIST = 2_000
 
 
 def _is_wildcard(v: str) -> bool:
@@ -84,6 +87,14 @@ def filter_condition(df: DataFrame, spec: Spec, key: str, value: Any, expr: Colu
     return expr.cast("string") == F.lit(resolved)
 
 
+def _semi_join_list(df: DataFrame, spec: Spec, key: str, values: list, expr: Column) -> DataFrame:
+    """F2 for a long list: left-semi join with the broadcast list of
+    translated values (one row per value, size known on the driver)."""
+    resolved = sorted({spec.translate(key, str(v).strip()) for v in values})
+    table = df.sparkSession.createDataFrame([(v,) for v in resolved], "_flt_v string")
+    return df.join(F.broadcast(table), expr.cast("string") == F.col("_flt_v"), "left_semi")
+
+
 def apply_filters(df: DataFrame, spec: Spec, filters: dict[str, Any], exprs: dict[str, Column]) -> DataFrame:
     """all filter entries AND-ed, applied to the source table."""
     if not filters:
@@ -91,7 +102,10 @@ def apply_filters(df: DataFrame, spec: Spec, filters: dict[str, Any], exprs: dic
     check_filter_keys(spec, filters)
     out = df
     for k, v in filters.items():
-        out = out.filter(filter_condition(df, spec, k, v, exprs[k]))
+        if isinstance(v, (list, tuple)) and len(v) > LONG_LIST:
+            out = _semi_join_list(out, spec, k, list(v), exprs[k])
+        else:
+            out = out.filter(filter_condition(df, spec, k, v, exprs[k]))
     return out
 
 

@@ -195,3 +195,12 @@ def test_wildcard_rules(spark, wide):
     # Not permissive: '*' is part of the value, which the strict alias map rejects.
     with pytest.raises(ValueError, match="Unknown value"):
         get_data(spark, WIDE, {"sector": "major*"}, source=wide)
+
+
+def test_long_value_list_is_a_broadcast_semi_join(spark, root):
+    keys = [str(k) for k in range(0, 30_000, 3)]  # 10,000 values
+    res = get_data(spark, "ORDERS", {"orderkey": keys}, root=root)
+    plan = spark._jvm.PythonSQLUtils.explainString(res.records._jdf.queryExecution(), "simple")
+    assert "LeftSemi" in plan and "Broadcast" in plan
+    want = get_data(spark, "ORDERS", root=root).records.filter("cast(orderkey as bigint) % 3 = 0").count()
+    assert res.records.count() == want

@@ -74,3 +74,21 @@ def test_spread_only_when_coarse(spark, root):
     assert spread(wide) is wide  # already split finer than the cores: no shuffle added
     orders = spark.read.parquet(f"{root}/orders.parquet")
     assert spread(orders, bytes_per_task=1).rdd.getNumPartitions() == cores
+
+
+def _read_schema(spark, df):
+    plan = _plan(spark, df)
+    return [ln for ln in plan.splitlines() if ln.startswith("ReadSchema")]
+
+
+def test_one_measure_reads_only_that_measure(spark, root):
+    res = get_data(spark, "LINEITEM", {"returnflag": "R"}, "tax", start_period="1998", root=root)
+    schema = _read_schema(spark, res.records)[0]
+    assert "l_tax" in schema
+    assert not any(c in schema for c in ("l_quantity", "l_extendedprice", "l_discount"))
+
+
+def test_summary_reads_no_id_columns(spark, root):
+    res = get_data(spark, "LINEITEM", {"returnflag": "R"}, root=root, limit=50)
+    schema = _read_schema(spark, res.summary)[0]
+    assert not any(c in schema for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))

@@ -204,3 +204,11 @@ def test_long_value_list_is_a_broadcast_semi_join(spark, root):
     assert "LeftSemi" in plan and "Broadcast" in plan
     want = get_data(spark, "ORDERS", root=root).records.filter("cast(orderkey as bigint) % 3 = 0").count()
     assert res.records.count() == want
+
+
+def test_search_default_catalogue(spark):
+    from statsheet import search_datasets
+
+    assert search_datasets(spark, "orders").first()["id"] == "ORDERS"
+    with pytest.raises(ValueError):
+        search_datasets(spark, "orders", limit=0)

@@ -92,3 +92,14 @@ def test_summary_reads_no_id_columns(spark, root):
     res = get_data(spark, "LINEITEM", {"returnflag": "R"}, root=root, limit=50)
     schema = _read_schema(spark, res.summary)[0]
     assert not any(c in schema for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))
+
+
+def test_cluster_settings_scale_with_input():
+    from statsheet.session import cluster_settings
+
+    small = cluster_settings(executors=10, cores_per_executor=4, input_tb=0.01)
+    big = cluster_settings(executors=1000, cores_per_executor=8, input_tb=100)
+    assert int(small["spark.sql.shuffle.partitions"]) >= 3 * 40
+    assert int(big["spark.sql.shuffle.partitions"]) >= 100 * 1024 * 1024 // 256 // 2
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    assert int(big["spark.sql.autoBroadcastJoinThreshold"]) <= 64 * 1024 * 1024

@@ -1,0 +1,20 @@
+import pytest
+
+
+def rows(df, *cols):
+    """Sorted tuples of a DataFrame, nulls first."""
+    cols = cols or df.columns
+    got = [tuple(r[c] for c in cols) for r in df.collect()]
+    return sorted(got, key=lambda r: tuple((v is not None, v) for v in r))
+
+
+@pytest.fixture(scope="session")
+def docs(spark):
+    """Make a documents table of (doc_id, text[, lang]) rows, with a clashing extra column."""
+
+    def make(data, parts=3):
+        data = [(*r, None)[:3] for r in data]
+        df = spark.createDataFrame(data, "doc_id bigint, text string, lang string").repartition(parts)
+        return df.selectExpr("*", "'x' as source", "cast(length(text) as bigint) as n_chars", "1 as kept", "2 as start")
+
+    return make

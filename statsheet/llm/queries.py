@@ -6,7 +6,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import langid, near_dedup, quality, suffix_dedup
 from .common import read
 from .packing import pack
 from .records import read_records, write_records
@@ -30,6 +32,17 @@ def register(fn: Query) -> Query:
     return fn
 
 
+# ---- language ID -----------------------------------------------------------------
+
+
+@register
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    profiles = langid.learn(docs.where(~held_out))
+    return langid.predict(docs, profiles).select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 # ---- URL filter ----------------------------------------------------------------
 
 URL_RULES = (
@@ -84,6 +97,33 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read(spark, sf_dir, "documents"), vocabulary_path("word_bpe_49k.json"), end_id=1)
 
 
+# ---- repeated passages ---------------------------------------------------------------
+
+
+@register
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.find_repeats(read(spark, sf_dir, "documents"), length=200).drop("spans")
+
+
+# ---- near duplicates ---------------------------------------------------------------
+
+
+@register
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.link_documents(read(spark, sf_dir, "documents"), near_dedup.Rule(words=3, percent=85))
+
+
+# ---- quality rules -----------------------------------------------------------------
+
+
+@register
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = quality.fit(docs, read(spark, sf_dir, "labels"))
+    kept = ~F.col("base_failed") & (F.col("score") >= quality.THRESHOLD)
+    return quality.judge(docs, model).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), "score")
+
+
 # ---- WARC ------------------------------------------------------------------------
 
 

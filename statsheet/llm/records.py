@@ -5,7 +5,7 @@ A shard ``shard-00007.rec`` is a sequence of records, one per document::
     u64 length | u32 masked CRC-32 of those 8 bytes | payload | u32 masked CRC-32 of the payload
 
 all little-endian; the payload is an i64 document id, a flag byte (1: the id
-is null) and the ids as u32.  The mask is ``rotate_right(crc, 15) + 0xA282EAD8``
+is null, 2: ids are u16) and the ids, as u16 where all of them fit, else u32.  The mask is ``rotate_right(crc, 15) + 0xA282EAD8``
 (mod 2**32), so that a checksum of data that holds checksums stays useful.
 ``shard-00007.idx`` holds the u64 offset of every record, and the file's end
 last, for reads in any order.  Shards hold ascending document ids, and shard
@@ -24,6 +24,7 @@ import zlib
 from array import array
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -43,7 +44,9 @@ def masked_crc(data: bytes) -> int:
 
 
 def frame(doc_id: int | None, ids: bytes) -> bytes:
-    payload = _ID.pack(doc_id or 0, doc_id is None) + ids
+    values = np.frombuffer(ids, "<u4")
+    narrow = not len(values) or int(values.max()) < 1 << 16
+    payload = _ID.pack(doc_id or 0, (doc_id is None) | narrow << 1) + (values.astype("<u2").tobytes() if narrow else ids)
     length = struct.pack("<Q", len(payload))
     return b"".join((length, struct.pack("<I", masked_crc(length)), payload, struct.pack("<I", masked_crc(payload))))
 
@@ -68,8 +71,9 @@ def read_record(f) -> tuple[int | None, bytes] | None:
     payload = _exactly(f, length)
     if masked_crc(payload) != struct.unpack("<I", _exactly(f, 4))[0]:
         raise ValueError("a record does not fit its checksum")
-    doc_id, null = _ID.unpack_from(payload)
-    return (None if null else doc_id), payload[_ID.size :]
+    doc_id, flags = _ID.unpack_from(payload)
+    ids = payload[_ID.size :]
+    return (None if flags & 1 else doc_id), np.frombuffer(ids, "<u2").astype("<u4").tobytes() if flags & 2 else ids
 
 
 def read_index(uri: str) -> array:

@@ -21,8 +21,8 @@ from pyspark import Broadcast
 from pyspark.sql import SparkSession
 
 MAX_VOCABULARY_BYTES = 64 << 20
-MEMO_ENTRIES = 600_000
-MEMO_PIECE = 14
+MEMO_ENTRIES = 500_000
+MEMO_LENGTH = 14
 
 _L = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xffŒœ"
 _N = "0-9\xb2\xb3\xb9\xbc-\xbe"
@@ -58,17 +58,27 @@ def _pattern(spec: dict) -> tuple[re.Pattern | None, bool]:
     return None, False
 
 
+def _byte_letters() -> dict[int, str]:
+    """Byte-level vocabularies write each byte as one printable character: a
+    printable byte as itself, the others, in order, from U+0100 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(256 + i) for i, b in enumerate(others)}
+
+
 class _Memo(dict):
-    """Pre-token -> ids; a missing one comes from the library.  Long pre-tokens
-    seldom come again and are not kept; a full memo starts anew."""
+    """Pre-token -> ids.  A missing one goes to the library's merge model; a
+    full memo starts anew, and long pre-tokens, which seldom come again, are
+    not kept."""
 
     def __init__(self, library):
         super().__init__()
-        self.encode = library.encode_batch_fast
+        self.tokenize = library.model.tokenize
+        self.letters = _byte_letters()
 
     def __missing__(self, piece: str) -> bytes:
-        ids = array("I", self.encode([piece], add_special_tokens=False)[0].ids).tobytes()
-        if len(piece) <= MEMO_PIECE:
+        ids = array("I", [t.id for t in self.tokenize(piece.encode().decode("latin-1").translate(self.letters))]).tobytes()
+        if len(piece) <= MEMO_LENGTH:
             if len(self) >= MEMO_ENTRIES:
                 self.clear()
             self[piece] = ids
@@ -87,7 +97,8 @@ class Encoder:
         self.library = Tokenizer.from_str(spec)
         self.library.encode_special_tokens = True  # their strings in a text are ordinary text
         self.pattern, self.lower = _pattern(json.loads(spec))
-        self.memo = _Memo(self.library)
+        if self.pattern is not None:
+            self.memo = _Memo(self.library)
 
     def whole(self, text: str) -> bytes:
         return array("I", self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes()

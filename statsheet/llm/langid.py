@@ -197,8 +197,9 @@ def predict(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_co
 
 def accept(docs: DataFrame, profiles: Profiles, least_score: float, text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, whose text reads as a learned language
-    with at least that score.  The text goes to Python beside the row, so the
-    filter needs no join and keeps repeated rows."""
+    with at least that score; where no language was learned, those with a
+    letter.  The text goes to Python beside the row, so the filter needs no join
+    and keeps repeated rows."""
     spark = docs.sparkSession
     prepare(spark)
     model = spark.sparkContext.broadcast(profiles)
@@ -206,7 +207,14 @@ def accept(docs: DataFrame, profiles: Profiles, least_score: float, text_col: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = model.value
+
+        def good(text: str | None) -> bool:
+            if not p.languages:
+                return bool(len(ngrams(text or "")[0]))
+            lang, score = p.predict(text)
+            return lang != UNKNOWN and score >= least_score
+
         for b in batches:
-            yield b.filter(pa.array([lang != UNKNOWN and score >= least_score for lang, score in map(p.predict, b.column(at).to_pylist())], pa.bool_()))
+            yield b.filter(pa.array(list(map(good, b.column(at).to_pylist())), pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -8,10 +8,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, near_dedup, quality, suffix_dedup
+from . import langid, near_dedup, pivot_index, quality, suffix_dedup
 from .common import read
 from .packing import pack
 from .records import read_records, write_records
+from .sentence_pieces import encode_texts
 from .url_filter import SOFT, SOFT_LIMIT, STRICT, Rule, judge_urls
 from .warc import read_archives, write_archives
 
@@ -92,11 +93,35 @@ def op3_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_records(spark, manifest)
 
 
+@register
+def op4_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_texts(read(spark, sf_dir, "documents"), vocabulary_path("piece_bpe_32k.model"), with_ids=False)
+
+
 @register
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read(spark, sf_dir, "documents"), vocabulary_path("word_bpe_49k.json"), end_id=1)
 
 
+# ---- exact search --------------------------------------------------------------------
+
+
+@register
+def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_index.search(read(spark, sf_dir, "embeddings"), "vec_id % 100 = 0", k=10, scale=1024)
+
+
+SQL["op5_exact_topk"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS q FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS query_id, b.vec_id, list_inner_product(a.q, b.q)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10"""
+
+
 # ---- repeated passages ---------------------------------------------------------------
 
 

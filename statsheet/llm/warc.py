@@ -124,14 +124,14 @@ def read_archive(f) -> Iterator[Record]:
         if not mark or not lines[0].startswith(b"WARC/"):
             raise ValueError("no WARC record where one should start")
         headers = _fields(lines[1:])
-        n = int(headers["content-length"])
-        if rest[n:] != b"\r\n\r\n":
-            raise ValueError(f"{headers['warc-record-id']}: the block has not the stated length")
+        name, n = headers.get("warc-record-id", "a record without id"), int(headers.get("content-length", -1))
+        if n < 0 or rest[n:] != b"\r\n\r\n":
+            raise ValueError(f"{name}: the block has not the stated length")
         r = Record(headers, rest[:n])
         if (d := headers.get("warc-block-digest")) and d != "sha1:" + base32_sha1(r.block):
-            raise ValueError(f"{headers['warc-record-id']}: wrong block digest")
+            raise ValueError(f"{name}: wrong block digest")
         if r.kind == "response" and (d := headers.get("warc-payload-digest")) and d != "sha1:" + base32_sha1(r.http()[1]):
-            raise ValueError(f"{headers['warc-record-id']}: wrong payload digest")
+            raise ValueError(f"{name}: wrong payload digest")
         yield r
 
 

@@ -1,0 +1,55 @@
+import corpus_pipeline
+import zlib
+from brute import near_components, repeats
+from statsheet.llm import langid, quality
+from statsheet.llm.tokens import Encoder
+from statsheet.llm.queries import REGISTRY, SQL, vocabulary_path
+
+
+def test_stages_and_registry():
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["language", "quality", "near_dedup", "suffix_dedup", "packing"]
+    assert sorted(int(n[2:].split("_")[0]) for n in REGISTRY) == list(range(1, 11)) and set(SQL) <= set(REGISTRY)
+
+
+def test_run_against_plain_stages(spark, root):
+    docs = spark.read.parquet(f"{root}/documents.parquet")
+    data = {r["doc_id"]: r["text"] for r in docs.collect()}
+    profiles = langid.learn(docs)
+    left = {i: t for i, t in data.items() if (p := profiles.predict(t))[0] != langid.UNKNOWN and p[1] >= corpus_pipeline.LEAST_SCORE}
+    labels = [r for r in spark.read.parquet(f"{root}/labels.parquet").collect() if r["doc_id"] in left]
+    x = [(quality.statistics(left[r["doc_id"]])[1], float(r["quality"])) for r in labels]
+    import numpy as np
+
+    xs, ys = np.array([a for a, _ in x]), np.array([b for _, b in x])
+    order = np.lexsort((*xs.T, ys))
+    trees = quality.train(xs[order], ys[order], list(quality.FEATURES.values()))
+    good = {}
+    for i, t in left.items():
+        base, f = quality.statistics(t)
+        if not quality.base_failed(base) and trees.score(np.array([f]))[0] >= quality.THRESHOLD:
+            good[i] = t
+    # clean documents stay
+    fine = {r["doc_id"] for r in labels if r["quality"] == 1 and not quality.base_failed(quality.statistics(left[r["doc_id"]])[0])}
+    assert fine <= set(good)
+    one = {c: good[c] for _, c in near_components(list(good.items()), 5, 80).values()}
+    cut = {r[0]: r[5].decode(errors="ignore") for r in repeats(list(one.items()), 200)}
+    e = Encoder(open(vocabulary_path("word_bpe_49k.json"), encoding="utf-8").read())
+    ids = {i: e.whole(t) + (1).to_bytes(4, "little") for i, t in cut.items()}
+    got = corpus_pipeline.run(spark, root).collect()
+    seen = {}
+    for r in sorted(got, key=lambda r: (r["doc_id"], r["start"])):
+        own = ids[r["doc_id"]]
+        assert r["start"] == seen.get(r["doc_id"], 0) and r["doc_tokens"] == len(own) // 4
+        assert zlib.crc32(own[4 * r["start"] : 4 * (r["start"] + r["length"])]) == r["ids_crc32"]
+        seen[r["doc_id"]] = r["start"] + r["length"]
+    assert seen == {i: len(x) // 4 for i, x in ids.items()}
+    assert 0 < len(cut) < len(data)
+
+
+def test_stages_keep_columns_and_take_empty_tables(spark, docs):
+    df = docs([(1, "the cat sat on the mat and the dog sat on it", "en"), (2, None, None), (None, "", "de")])
+    for some in (df, df.limit(0)):
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, some, "/root/testdata/sf0.001")
+            assert out.columns == df.columns and out.dtypes == df.dtypes
+            out.collect()

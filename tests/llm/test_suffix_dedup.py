@@ -1,0 +1,71 @@
+import random
+
+import numpy as np
+import pytest
+from brute import repeats, words
+from conftest import rows
+from statsheet.llm import suffix_dedup
+from statsheet.llm.suffix_dedup import anchors, find_repeats, remove_repeats, removed, string_hashes, unpack
+
+
+def compare(spark, df, data, length, seed):
+    want = sorted(((r[:5]) for r in repeats(data, length)), key=lambda r: tuple((v is not None, v) for v in r))
+    assert rows(find_repeats(df, length, seed), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == want
+
+
+def test_anchor_runs_cover_each_string_once(monkeypatch):
+    rng = random.Random(2)
+    data = bytes(rng.choice(b"abc") for _ in range(700)) + b"a" * 200 + b"xyz" * 60
+    for segment in (1 << 20, 64):
+        monkeypatch.setattr(suffix_dedup, "_SEGMENT", segment)
+        key, run, packed = anchors(data, 40, 10)
+        start, count = unpack(packed)
+        assert [x for s, c in zip(start.tolist(), count.tolist()) for x in range(s, s + c)] == list(range(len(data) - 39))
+        # equal strings have anchors with equal seeds
+        seed_of = {x: k for s, c, k in zip(start.tolist(), count.tolist(), key.tolist()) for x in range(s, s + c)}
+        seen = {}
+        for x, k in seed_of.items():
+            assert seen.setdefault(data[x : x + 40], k) == k
+        h, place = string_hashes(data, packed, 40)
+        at = unpack(place)[0].tolist()
+        by = {}
+        for x, v in zip(at, h.tolist()):
+            assert by.setdefault(data[x : x + 40], v) == v
+        assert sorted(at) == list(range(len(data) - 39)) and len(set(by.values())) == len(by)
+    assert anchors(b"short", 40, 10)[0].size == 0
+
+
+def test_union_of_spans():
+    packed = suffix_dedup._pack(np.array([10, 0, 12]), np.array([1, 2, 5]), np.array([0, 0, 0]))
+    start, end = removed(20, packed, 4)
+    assert start.tolist() == [0, 10] and end.tolist() == [5, 20]
+    assert removed(5, np.empty(0, np.int64), 4)[0].size == 0
+
+
+def test_sample_table(spark, root):
+    df = spark.read.parquet(f"{root}/documents.parquet")
+    compare(spark, df, [(r["doc_id"], r["text"]) for r in df.collect()], 200, 50)
+
+
+def test_common_passages_and_copies(spark, docs):
+    rng = random.Random(4)
+    passage, line = words(rng, 30), words(rng, 8)
+    data = [(i, words(rng, 12) + " " + (passage if i % 2 else line) + " " + words(rng, 9)) for i in range(60)]
+    data += [(100 + i, data[3][1]) for i in range(25)] + [(200 + i, data[4][1][: 60 + i]) for i in range(15)]
+    data += [(300, "ab" * 300), (301, "é" * 90), (302, words(rng, 20) + passage[:80]), (303, passage * 3)]
+    for length, seed in ((40, 10), (60, 59)):
+        compare(spark, docs(data, 4), data, length, seed)
+
+
+def test_edges(spark, docs):
+    rng = random.Random(6)
+    long = words(rng, 60)
+    data = [(1, None), (2, ""), (3, "short"), (4, long), (4, long), (None, words(rng, 40)), (5, "é" * 30 + words(rng, 20))]
+    compare(spark, docs(data), data, 50, 12)
+    cut = remove_repeats(docs(data + [(6, "x" + "é" * 30)]), 50, 12)
+    got = dict(rows(cut.where("doc_id <> 4 and doc_id is not null"), "doc_id", "text"))
+    assert cut.columns == docs([]).columns and got[1] is None and got[2] == "" and got[3] == "short" and got[6] == "x"
+    assert rows(cut.where("doc_id = 4"), "text") == [("",), ("",)]
+    assert find_repeats(docs(data).limit(0), 50, 12).count() == 0
+    with pytest.raises(ValueError):
+        find_repeats(docs(data), 50, 50)

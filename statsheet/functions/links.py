@@ -12,6 +12,8 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .periods import strip_col
+
 # Month names and abbreviations → month number, as recognised
 # in published file names.
 MONTH_NUMBERS = {
@@ -41,7 +43,7 @@ BARE_YEAR_PATTERN = r"\b(\d{4})\b"
 # Bonus that makes a "database" file win over any dated alternative.
 DATABASE_BONUS = 1_000_000
 # Canonical dataset ids.
-DATASET_ID_PATTERN = r"^[A-Z][A-Z0-9_]*$"
+DATASET_ID_PATTERN = r"[A-Z][A-Z0-9_]*"
 
 
 def _col(c: Column | str) -> Column:
@@ -65,9 +67,6 @@ def _month_number(name: Column) -> Column:
     return F.coalesce(lookup[F.lower(name)], F.lit(0))
 
 
-_MONTH_WORD = r"(?i)(january|february|march|april|may|june|july|august|september|october|november|december|jan|feb|mar|apr|may|jun|jul|aug|sep|sept|oct|nov|dec)"
-
-
 def _year_month_score(acc: Column, y: Column, m: Column) -> Column:
     ok = m.between(1, 12) & y.between(1990, 2100)
     return F.greatest(acc, F.when(ok, y * 100 + m).otherwise(F.lit(0)))
@@ -84,51 +83,59 @@ def filename_date_score(name: Column | str) -> Column:
     non-overlapping matches exactly like a scanning regex engine's.
     """
     s = _col(name)
-    # One scan with the full pattern; each whole match is then parsed: its
-    # month word is the first month alternative in it (all alternatives of a
-    # month share its number) and its year the first four digits not followed
-    # by a digit (the match's own year, as nothing before it has four digits).
-    named = F.aggregate(
-        F.regexp_extract_all(s, F.lit(MONTH_NAME_PATTERN), 0),
-        F.lit(0),
-        lambda acc, x: F.greatest(
-            acc,
-            F.regexp_extract(x, r"([0-9]{4})(?:[^0-9]|$)", 1).cast("int") * 100
-            + _month_number(F.regexp_extract(x, _MONTH_WORD, 1)),
-        ),
-    )
-    numeric = F.aggregate(
-        F.regexp_extract_all(s, F.lit(YEAR_MONTH_PATTERN), 0),
-        F.lit(0),
-        lambda acc, x: _year_month_score(acc, F.substring(x, 1, 4).cast("int"), F.substring(x, 6, 2).cast("int")),
-    )
+
+    def best(pattern: str, month) -> Column:
+        """Largest score over all matches; groups 1 and 2 of each are read once."""
+        pairs = F.arrays_zip(*(F.regexp_extract_all(s, F.lit(pattern), k).alias(n) for k, n in ((1, "x"), (2, "y"))))
+        return F.aggregate(pairs, F.lit(0), lambda acc, p: month(acc, p["x"], p["y"]))
+
+    named = best(MONTH_NAME_PATTERN, lambda acc, word, year: F.greatest(acc, year.cast("int") * 100 + _month_number(word)))
+    numeric = best(YEAR_MONTH_PATTERN, lambda acc, year, month: _year_month_score(acc, year.cast("int"), month.cast("int")))
     bare = F.aggregate(
         F.regexp_extract_all(s, F.lit(BARE_YEAR_PATTERN), 1),
         F.lit(0),
         lambda acc, y: F.greatest(acc, F.when(y.cast("int").between(1990, 2100), y.cast("int") * 100).otherwise(F.lit(0))),
     )
-    best = F.greatest(named, numeric)
-    return F.when(best > 0, best).otherwise(bare)
+    dated = F.greatest(named, numeric)
+    return F.when(dated > 0, dated).otherwise(bare)
+
+
+def _without_dots(path: Column) -> Column:
+    """A path with its ``.`` and ``..`` segments resolved."""
+    parts = F.split(path, "/")
+    last = F.element_at(parts, -1)
+    folded = F.aggregate(
+        parts,
+        F.array().cast("array<string>"),
+        lambda done, part: F.when(part == ".", done)
+        .when(part == "..", F.when(F.size(done) > 1, F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(1)))).otherwise(done))
+        .otherwise(F.array_append(done, part)),
+    )
+    # A path that ends in a dot segment is a folder.
+    whole = F.when(last.isin(".", ".."), F.array_append(folded, F.lit(""))).otherwise(folded)
+    return F.when(path.contains("/."), F.array_join(whole, "/")).otherwise(path)
 
 
 def absolute_url(base: Column | str, href: Column | str) -> Column:
     """Resolve ``href`` against the page URL ``base``.
 
-    Cases: absolute (has a scheme), protocol-relative ``//host``, root-relative
-    ``/path``, and relative ``path`` (joined to the base's directory).  Query
-    and fragment of the base are dropped; dot segments are not collapsed.
+    Absolute (with a scheme), protocol-relative ``//host``, root-relative
+    ``/path``, relative ``path`` (to the base's folder), a query or a fragment
+    alone, and dot segments, which are resolved.
     """
-    b = _col(base)
-    h = _col(href)
+    b, h = _col(base), _col(href)
     scheme = F.regexp_extract(b, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1)
     origin = F.regexp_extract(b, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
     base_path = F.regexp_extract(b, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
-    base_dir = F.regexp_replace(base_path, r"[^/]*$", "")
+    folder = F.when(base_path == "", F.lit("/")).otherwise(F.regexp_replace(base_path, r"[^/]*$", ""))
+    path, tail = F.regexp_extract(h, r"^([^?#]*)", 1), F.regexp_extract(h, r"^[^?#]*(.*)$", 1)
     return (
         F.when(h.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), h)
         .when(h.startswith("//"), F.concat(scheme, F.lit(":"), h))
-        .when(h.startswith("/"), F.concat(origin, h))
-        .otherwise(F.concat(origin, F.when(base_dir == "", F.lit("/")).otherwise(base_dir), h))
+        .when(h.startswith("/"), F.concat(origin, _without_dots(path), tail))
+        .when(h.startswith("?"), F.concat(origin, base_path, h))
+        .when(path == "", F.concat(F.regexp_extract(b, r"^([^#]*)", 1), h))
+        .otherwise(F.concat(origin, _without_dots(F.concat(folder, path)), tail))
     )
 
 
@@ -154,9 +161,10 @@ def host_allowed(url: Column | str, hosts: list[str]) -> Column:
 
 
 def redact_urls(text: Column | str, host_pattern: str, replacement: str = "<source>") -> Column:
-    """Replace URLs on hosts matching ``host_pattern`` by a placeholder."""
-    pat = r"(?i)https?://(?:[A-Za-z0-9-]+\.)*" + host_pattern + r"(?::[0-9]+)?(?:[/?#][^\s\"'<>)]*)?"
-    return F.regexp_replace(_col(text), pat, replacement)
+    """Replace every URL that names the host anywhere (as host or part of
+    it, in user info, path or query) by a placeholder, the whole of it."""
+    url = r"[^\s\"'<>)]*"
+    return F.regexp_replace(_col(text), rf"(?i)https?://{url}{host_pattern}{url}", replacement)
 
 
 def normalize_dataset_id(value: str) -> str:
@@ -164,15 +172,15 @@ def normalize_dataset_id(value: str) -> str:
     if not isinstance(value, str) or not value.strip():
         raise ValueError("dataset_id must be a non-empty string")
     s = value.strip().upper()
-    if not re.match(DATASET_ID_PATTERN, s):
+    if not re.fullmatch(DATASET_ID_PATTERN, s):
         raise ValueError(f"dataset_id {value!r} is not a valid id (letters, digits and underscores)")
     return s
 
 
 def normalize_dataset_id_col(c: Column | str) -> Column:
     """C10 as a column: canonical id, or null when not a valid id."""
-    s = F.upper(F.trim(_col(c)))
-    return F.when(s.rlike(DATASET_ID_PATTERN), s)
+    s = F.upper(strip_col(_col(c)))
+    return F.when(s.rlike(rf"^{DATASET_ID_PATTERN}\z"), s)
 
 
 def stale_age_minutes(fetched_at: Column | str, now: Column | None = None) -> Column:

@@ -17,17 +17,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from ..functions.periods import checked_bound, period_iso_col
-from ..functions.similarity import best_match, close_matches
+from ..functions.similarity import best_match
 from ..spec import Spec
 
 _CANON_INT = re.compile(r"^(0|-?[1-9][0-9]{0,17})$")
-# Lists longer than this become a broadcast left-semi join instead of an IN
-# predicate (the list is caller input, so its size is known here).
-LONG_LIST = 2_000
+#: How close (one less the share of edits) a value must be to be suggested.
+CLOSE = 0.6
 
 
-def _is_wildcard(v: str) -> bool:
-    return v.endswith("*") or v.startswith("*") or "~" in v
+def wildcard(v: str) -> str | None:
+    """What a contains-match looks for (F4): the text without its marks; None
+    for a plain value.  Marks are ``*`` at either end and ``~`` anywhere."""
+    marked = "~" in v or "*" in (v[:1], v[-1:])
+    return v.translate({ord("*"): None, ord("~"): None}).strip() if marked else None
 
 
 def check_filter_keys(spec: Spec, filters: dict[str, Any]) -> None:
@@ -35,10 +37,8 @@ def check_filter_keys(spec: Spec, filters: dict[str, Any]) -> None:
     valid = sorted(spec.filterable_keys())
     for k in filters:
         if k not in valid:
-            hint = best_match(k, valid, cutoff=60)
-            suggestion = f"Did you mean {hint!r}? " if hint else ""
-            shown = ", ".join(valid[:15]) + ("..." if len(valid) > 15 else "")
-            raise ValueError(f"Unknown filter {k!r} for dataset {spec.id!r}. {suggestion}Valid filters: {shown}.")
+            near = best_match(k, valid, cutoff=60)
+            raise ValueError(f"{k!r} is no filter of {spec.id!r}." + (f" Did you mean {near!r}?" if near else "") + f" Filters: {', '.join(valid)}.")
 
 
 def _integral_source(df: DataFrame, spec: Spec, key: str) -> str | None:
@@ -71,13 +71,10 @@ def filter_condition(df: DataFrame, spec: Spec, key: str, value: Any, expr: Colu
             return F.col(int_src).isin([int(r) for r in resolved])
         return expr.cast("string").isin(resolved)
     v = str(value).strip()
-    if permissive and _is_wildcard(v):
-        needle = v.replace("*", "").replace("~", "").strip()
+    needle = wildcard(v) if permissive else None
+    if needle is not None:
         if not needle:
-            raise ValueError(
-                f"Filter {key!r}: wildcard value is empty after removing '*' and '~'; "
-                "pass a substring such as 'macquarie*' or 'commonwealth~'"
-            )
+            raise ValueError(f"filter {key!r} has only wildcard marks; write some text with them, such as 'acme*'")
         return F.upper(expr.cast("string")).contains(needle.upper())
     resolved = spec.translate(key, v)
     if int_src and _CANON_INT.match(resolved):
@@ -87,14 +84,6 @@ def filter_condition(df: DataFrame, spec: Spec, key: str, value: Any, expr: Colu
     return expr.cast("string") == F.lit(resolved)
 
 
-def _semi_join_list(df: DataFrame, spec: Spec, key: str, values: list, expr: Column) -> DataFrame:
-    """F2 for a long list: left-semi join with the broadcast list of
-    translated values (one row per value, size known on the driver)."""
-    resolved = sorted({spec.translate(key, str(v).strip()) for v in values})
-    table = df.sparkSession.createDataFrame([(v,) for v in resolved], "_flt_v string")
-    return df.join(F.broadcast(table), expr.cast("string") == F.col("_flt_v"), "left_semi")
-
-
 def apply_filters(df: DataFrame, spec: Spec, filters: dict[str, Any], exprs: dict[str, Column]) -> DataFrame:
     """all filter entries AND-ed, applied to the source table."""
     if not filters:
@@ -102,10 +91,7 @@ def apply_filters(df: DataFrame, spec: Spec, filters: dict[str, Any], exprs: dic
     check_filter_keys(spec, filters)
     out = df
     for k, v in filters.items():
-        if isinstance(v, (list, tuple)) and len(v) > LONG_LIST:
-            out = _semi_join_list(out, spec, k, list(v), exprs[k])
-        else:
-            out = out.filter(filter_condition(df, spec, k, v, exprs[k]))
+        out = out.filter(filter_condition(df, spec, k, v, exprs[k]))
     return out
 
 
@@ -174,62 +160,65 @@ def apply_period_range(df: DataFrame, spec: Spec, start_iso: str | None, end_iso
 # ---- data-dependent checks (F10, F11), run only when asked -----------------
 
 
+def _unlisted(spec: Spec, key: str, value: Any) -> list[str]:
+    """Plain values of a permissive column with aliases that are neither."""
+    known, col = spec.dimension_values.get(key), spec.column(key)
+    if col is None or not col.permissive or known is None or not known.values:
+        return []
+    several = isinstance(value, (list, tuple))
+    items = [str(v).strip() for v in (value if several else [value])]
+    return [v for v in items if known.canonical(v) is None and (several or wildcard(v) is None)]
+
+
+def close_values(df: DataFrame, expr: Column, value: str, n: int = 3) -> list[str]:
+    """The ``n`` distinct values nearest to ``value`` by edits, best first.  They
+    are scored where they are; only these ``n`` reach the driver."""
+    v = F.trim(expr.cast("string"))
+    longer = F.greatest(F.length("v"), F.lit(max(len(value), 1)))
+    score = 1 - F.levenshtein(F.lower("v"), F.lit(value.lower())) / longer
+    rows = df.select(v.alias("v")).where("v <> ''").distinct().select("v", score.alias("s")).where(F.col("s") >= CLOSE)
+    return [r["v"] for r in rows.orderBy(F.desc("s"), "v").limit(n).collect()]
+
+
 def validate_permissive_values(df: DataFrame, spec: Spec, filters: dict[str, Any], exprs: dict[str, Column]) -> None:
     """a plain value on a permissive column with an alias map must be an
     alias, a canonical value, or present in the unfiltered data.
 
-    One bounded job per checked key: ``filter(expr IN candidates)`` and a
-    ``limit`` on the distinct matches, never a scan of all distinct values.
+    One job per checked key, which looks for those values only; the source's
+    own values are searched for a suggestion when one is missing.
     """
-    for k, value in filters.items():
-        col_spec = spec.column(k)
-        dv = spec.dimension_values.get(k)
-        if not (col_spec and col_spec.permissive and dv and dv.values):
-            continue
-        items = value if isinstance(value, (list, tuple)) else [value]
-        unknown: list[tuple[str, str]] = []
-        for raw in items:
-            v = str(raw).strip()
-            if not isinstance(value, (list, tuple)) and _is_wildcard(v):
-                continue
-            resolved = spec.translate(k, v)
-            if v in dv.values or v in dv.values.values() or resolved in dv.values.values():
-                continue
-            unknown.append((v, resolved))
-        if not unknown:
+    for key, value in filters.items():
+        asked = {v: {v, spec.translate(key, v)} for v in _unlisted(spec, key, value)}
+        if not asked:
             continue
-        cands = sorted({x for pair in unknown for x in pair})
-        seen = {r[0] for r in df.select(exprs[k].cast("string").alias("v")).filter(F.col("v").isin(cands)).distinct().limit(len(cands)).collect()}
-        for v, resolved in unknown:
-            if v in seen or resolved in seen:
+        wanted = sorted(set().union(*asked.values()))
+        text = exprs[key].cast("string")
+        present = {r["v"] for r in df.select(text.alias("v")).where(F.col("v").isin(wanted)).distinct().collect()}
+        for v, forms in asked.items():
+            if forms & present:
                 continue
-            aliases = sorted(dv.values)
-            hint = best_match(v, aliases, cutoff=70)
-            suggestion = f" Did you mean {hint!r}?" if hint else ""
+            aliases = sorted(spec.dimension_values[key].values)
+            near = best_match(v, aliases, cutoff=70)
+            hints = ([near] if near else []) + close_values(df, exprs[key], v)
             raise ValueError(
-                f"Unknown {k} {v!r} for dataset {spec.id!r}.{suggestion} Valid aliases: {', '.join(aliases[:10])}. "
-                f"Pass the exact name from the source data, or a trailing '*' for a substring search."
+                f"{v!r} is no value of {key!r} in {spec.id!r}."
+                + (f" Did you mean {' or '.join(map(repr, dict.fromkeys(hints)))}?" if hints else "")
+                + f" Aliases: {', '.join(aliases[:10])}; a name as the source writes it, or one with '*' at its end, works too."
             )
 
 
-def empty_result_hint(df: DataFrame, spec: Spec, key: str, value: str, expr: Column, max_values: int = 10_000) -> str | None:
+def empty_result_hint(df: DataFrame, spec: Spec, key: str, value: str, expr: Column) -> str | None:
     """why an equality filter matched nothing.
 
-    A four-digit year outside the column's year range gets a before/after
-    message with the range (one min/max aggregate).  Otherwise up to three
-    close values by sequence ratio ≥ 0.7 from the column's distinct values;
-    that list is bounded by ``max_values`` and the hint is skipped beyond it.
+    A year is answered with the years that the column covers (one min/max
+    aggregate), never with another year as a suggestion.  Any other value is
+    answered with up to three close values.
     """
     s = F.trim(expr.cast("string"))
-    if value.isdigit() and len(value) == 4:
-        row = df.filter(s.rlike(r"^[0-9]{4}$")).agg(F.min(s.cast("int")).alias("lo"), F.max(s.cast("int")).alias("hi")).first()
-        if row and row["lo"] is not None and not (row["lo"] <= int(value) <= row["hi"]):
-            where = "BEFORE the earliest" if int(value) < row["lo"] else "AFTER the latest"
-            return f"No data for {key}={value}: valid range {row['lo']}-{row['hi']}; requested {value} is {where} published year."
-    values = [r[0] for r in df.select(s.alias("v")).filter(F.col("v").isNotNull()).distinct().limit(max_values + 1).collect()]
-    if len(values) > max_values:
-        return None
-    close = close_matches(value, values, n=3, cutoff=0.7)
-    if close:
-        return f"No matches for {value!r} in {key!r}. Did you mean {close[0]!r}?"
-    return None
+    if value.isascii() and value.isdigit() and len(value) == 4:
+        years = df.where(s.rlike(r"^[0-9]{4}$")).agg(F.min(s).alias("first"), F.max(s).alias("last")).first()
+        if years["first"] is not None:
+            place = "before the first" if value < years["first"] else "after the last" if value > years["last"] else "inside, but without rows"
+            return f"No rows for {key}={value}: {key} runs from {years['first']} to {years['last']}, and {value} is {place}."
+    near = close_values(df, expr, value)
+    return f"No rows for {key}={value!r}. Close values: {', '.join(map(repr, near))}." if near else None

@@ -6,8 +6,7 @@ exclude patterns, "prefer database" flag).  Links are extracted with a
 regex generator, resolved to absolute URLs, filtered by the rule patterns
 (column-valued regexes), scored by the date in the file name, and the best
 link per dataset is kept.  The page ↔ rule join is an equi-join on the
-landing URL: rules declared in specs are a bounded broadcast side; rule
-tables derived from data are left to AQE's runtime size check.
+landing URL; whether the rules are broadcast is left to AQE's size check.
 """
 
 from __future__ import annotations
@@ -21,8 +20,6 @@ from ..functions.links import absolute_url, decoded_file_name, extract_hrefs, fi
 from ..spec import LinkRule
 
 RULES_SCHEMA = "dataset_id string, landing_url string, include string, excludes array<string>, prefer_database boolean"
-# Spec-declared rule tables above this many rows are not broadcast.
-MAX_BROADCAST_RULES = 100_000
 
 
 def extract_links(pages: DataFrame, url_col: str = "url", html_col: str = "html", extension: str | None = "xlsx") -> DataFrame:
@@ -47,15 +44,14 @@ def rules_table(spark: SparkSession, rules: dict[str, LinkRule]) -> DataFrame:
     return spark.createDataFrame(rows, RULES_SCHEMA)
 
 
-def candidate_links(links: DataFrame, rules: DataFrame, url_col: str = "url", broadcast_rules: bool = False) -> DataFrame:
+def candidate_links(links: DataFrame, rules: DataFrame, url_col: str = "url") -> DataFrame:
     """Links of each rule's landing page that pass its patterns,
     with ``score`` = file-name date score + database bonus.
 
     Patterns are searched (not anchored) and are case-insensitive as in the
     published rules (``(?i)`` prefix added when missing).
     """
-    r = F.broadcast(rules) if broadcast_rules else rules
-    joined = links.join(r, links[url_col] == r["landing_url"], "inner")
+    joined = links.join(rules, links[url_col] == rules["landing_url"], "inner")
     ci = lambda p: F.when(p.startswith("(?i)"), p).otherwise(F.concat(F.lit("(?i)"), p))
     excluded = F.exists(F.coalesce(F.col("excludes"), F.array().cast("array<string>")), lambda p: F.rlike(F.col("file_name"), ci(p)))
     included = F.rlike(F.col("file_name"), ci(F.col("include")))

@@ -1,8 +1,7 @@
 """Lookups and pairings (J1, F5 column form, J5, J6).
 
 * ``translate_column``: alias → canonical for a whole column, by a
-  broadcast left join on the spec's alias table (its size is the spec's
-  alias count, checked against ``MAX_ALIAS_ROWS``).
+  left join on the spec's alias table (AQE broadcasts it when it is small).
 * ``pair_entities``: two tables joined on an identifier after identifier
   normalisation (P4).  Integer keys on both sides join as numbers; text
   keys are stripped.  The plan is left to AQE: broadcast when a side is
@@ -19,8 +18,6 @@ from pyspark.sql.types import NumericType
 
 from ..spec import Spec
 
-MAX_ALIAS_ROWS = 50_000
-
 
 def alias_table(spark, spec: Spec, dim: str) -> DataFrame:
     """``(alias, canonical)`` rows of one dimension, canonicals included as
@@ -31,8 +28,6 @@ def alias_table(spark, spec: Spec, dim: str) -> DataFrame:
         for canon in dv.values.values():
             pairs.setdefault(canon, canon)
         pairs.update(dv.values)
-    if len(pairs) > MAX_ALIAS_ROWS:
-        raise ValueError(f"{len(pairs)} aliases exceed the broadcast bound {MAX_ALIAS_ROWS}")
     return spark.createDataFrame(sorted(pairs.items()), "alias string, canonical string")
 
 
@@ -40,13 +35,12 @@ def translate_column(df: DataFrame, spec: Spec, dim: str, column: str, out: str,
     """``out`` = canonical value of ``column`` (stripped).
 
     Unknown values pass through on permissive dimensions; on strict ones
-    they become null unless ``strict=False``.  The alias table is tiny and
-    broadcast; the join preserves every input row (left join on a unique
+    they become null unless ``strict=False``.  The join preserves every input row (left join on a unique
     alias key).
     """
     dv = spec.dimension_values.get(dim)
     is_strict = (dv is not None and bool(dv.values) and not dv.permissive) if strict is None else strict
-    table = F.broadcast(alias_table(df.sparkSession, spec, dim).withColumnRenamed("alias", "_al_key").withColumnRenamed("canonical", "_al_val"))
+    table = alias_table(df.sparkSession, spec, dim).withColumnRenamed("alias", "_al_key").withColumnRenamed("canonical", "_al_val")
     key = F.regexp_replace(F.col(column).cast("string"), r"(?U)^\s+|\s+$", "")
     joined = df.withColumn("_al_in", key).join(table, F.col("_al_in") == F.col("_al_key"), "left")
     resolved: Column = F.col("_al_val") if is_strict else F.coalesce(F.col("_al_val"), F.col("_al_in"))
@@ -66,7 +60,7 @@ def identifier_key(df: DataFrame, c: str) -> Column:
     if _is_integral(df, c):
         return col.cast("string")
     if isinstance(t, NumericType):
-        return F.when(col % 1 == 0, col.cast("long").cast("string")).otherwise(col.cast("string"))
+        return F.when(col % 1 == 0, F.coalesce(col.try_cast("long").cast("string"), col.cast("string"))).otherwise(col.cast("string"))
     return F.regexp_replace(col.cast("string"), r"(?U)^\s+|\s+$", "")
 
 

@@ -78,10 +78,8 @@ def newest_bounds(raw: DataFrame, spec: Spec, exprs: dict[str, Column], measures
         for m in present:
             v = _valid(exprs[m].cast("double"))
             any_valid = v if any_valid is None else (any_valid | v)
-        days_rows = (
-            raw.filter(any_valid & day.isNotNull()).select(day.alias("d")).distinct().orderBy(F.col("d").desc()).limit(n).collect()
-        )
-        return Newest(mode, present, min(r["d"] for r in days_rows).isoformat(), top.isoformat())
+        newest_days = raw.filter(any_valid & day.isNotNull()).select(day.alias("d")).distinct().orderBy(F.col("d").desc()).limit(n)
+        return Newest(mode, present, newest_days.agg(F.min("d")).first()[0].isoformat(), top.isoformat())
     if any(d is None for d in days):
         return Newest(mode, present, None, None)  # a measure with only null periods: its tail is not bounded by day
     if n == 1:

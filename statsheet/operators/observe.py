@@ -101,21 +101,24 @@ def write_csv(obs: DataFrame, spec: Spec, path: str, mode: str = "error") -> Non
     records(obs).select(*csv_columns(spec, obs)).write.mode(mode).option("header", True).csv(path)
 
 
-def to_csv_text(obs: DataFrame, spec: Spec, max_rows: int = 10_000) -> str:
-    """K3 as text, for a bounded result (after a limit); refuses larger ones."""
+def csv_lines(obs: DataFrame, spec: Spec) -> DataFrame:
+    """K3 as rows: one CSV line per observation in declared order, without the
+    header (its names are ``csv_columns``)."""
     cols = csv_columns(spec, obs)
-    ordered = obs.orderBy(*order_exprs(obs, spec)).select(*cols).limit(max_rows + 1)
-    rows = ordered.collect()
-    if len(rows) > max_rows:
-        raise ValueError(f"result has more than {max_rows} rows; use write_csv() for a distributed sink")
-    if not rows:
-        return ""
+    return obs.orderBy(*order_exprs(obs, spec)).select(F.to_csv(F.struct(*cols), {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "emptyValue": "", "nullValue": ""}).alias("csv"))
+
+
+def to_csv_text(obs: DataFrame, spec: Spec) -> str:
+    """K3 as text, for a result that the caller has limited."""
     import csv
     import io
 
+    cols = csv_columns(spec, obs)
+    rows = obs.orderBy(*order_exprs(obs, spec)).select(*cols).collect()
+    if not rows:
+        return ""
     buf = io.StringIO()
     w = csv.writer(buf, lineterminator="\n")
     w.writerow(cols)
-    for r in rows:
-        w.writerow(["" if v is None else v for v in r])
+    w.writerows(["" if v is None else v for v in r] for r in rows)
     return buf.getvalue()

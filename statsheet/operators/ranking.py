@@ -10,9 +10,9 @@ Plans chosen for scale:
   inserts a partial ``WindowGroupLimit`` before the shuffle.  Either way each
   task ships at most n rows per measure: a measure holding a third of all
   rows costs n rows of shuffle, not a third of the data.
-* ``latest_periods`` takes the newest n distinct periods (partial
-  aggregation, then a top-n of a handful of rows; n values reach the driver)
-  and keeps the rows with a literal ``IN`` filter, no join.
+* ``latest_periods`` keeps the rows from the n-th newest period on; that
+  period is a scalar subquery of the same plan (partial aggregation, then a
+  top-n of a handful of rows), so nothing is collected and nothing is joined.
 """
 
 from __future__ import annotations
@@ -43,8 +43,9 @@ def _tail_key(obs: DataFrame, spec: Spec):
 def latest_tail(obs: DataFrame, spec: Spec, n: int = 1) -> DataFrame:
     """L2: per measure, the last n by (period asc with nulls first, row order).
 
-    n = 1 is a ``max_by`` hash aggregate: partial aggregation keeps one row
-    per measure per task, no sort at all.  n > 1 is a ``row_number`` window
+    n = 1 is a ``max_by`` aggregate over structs: Spark sorts each task's rows
+    by measure for it, and partial aggregation ships one row per measure and
+    task.  n > 1 is a ``row_number`` window
     whose partial ``WindowGroupLimit`` ships at most n rows per measure and
     task to the shuffle.
     """
@@ -67,12 +68,8 @@ def latest_periods(obs: DataFrame, n: int = 1) -> DataFrame:
     When no observation has a period at all, every observation is kept
     (there is nothing to be newest by).
     """
-    # At most n values come back to the driver; the filter is then a literal
-    # IN list, evaluated in the scan stage with no join at all.
-    periods = [r[0] for r in newest_periods(obs, n).collect()]
-    if not periods:
-        return obs
-    return obs.filter(F.col("period").isin(periods))
+    oldest = newest_periods(obs, n).agg(F.min("period").alias("p"))
+    return obs.filter(oldest.scalar().isNull() | (F.col("period") >= oldest.scalar()))
 
 
 def distinct_measures(obs: DataFrame, cap: int = 2) -> list[str]:
@@ -101,20 +98,11 @@ def choose_latest_mode(obs: DataFrame, spec: Spec, measures: list[str], mode: st
 def latest(obs: DataFrame, spec: Spec, measures: list[str], n: int = 1, mode: str = "auto") -> DataFrame:
     """L4 without the limit: L3 or L2 by :func:`choose_latest_mode`.
 
-    In 'auto' mode with several requested measures the tail result itself
-    (at most n rows per requested measure, a metadata-sized bound) is
-    computed once and tells how many measures have values: one → the
-    period branch, else that tail result is the answer.  This saves the
-    separate distinct-measures pass.
+    In 'auto' mode with several requested measures one small job tells whether
+    more than one of them has values; the answer itself stays a plan.
     """
     if n < 1:
         raise ValueError("last_n must be >= 1")
-    if mode == "auto" and spec.period_column is not None and len(measures) > 1:
-        tail = latest_tail(obs, spec, n)
-        rows = tail.collect()
-        if len({r["measure"] for r in rows}) == 1:
-            return latest_periods(obs, n)
-        return obs.sparkSession.createDataFrame(rows, tail.schema)
     chosen = choose_latest_mode(obs, spec, measures, mode)
     return latest_periods(obs, n) if chosen == "period" else latest_tail(obs, spec, n)
 

@@ -14,7 +14,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
+from ..functions.coerce import clean_string, to_double
+from ..functions.periods import period_iso_col
 from ..operators.reshape import shape_source
 from ..sources.tables import read_silver, write_silver  # noqa: F401  (read_silver re-exported)
 from ..sources.workbook import read_workbooks
@@ -53,21 +56,17 @@ def ingest(spark: SparkSession, files: dict[str, str], bronze_path: str, silver_
     specs = {d: get_spec(d) for d in files}  # raises on unknown ids
     resolved = {d: _qualified(spark, p) for d, p in files.items()}
     bronze = write_bronze(spark, resolved, bronze_path)
-    # Error rows are one per failed (file, sheet); bounded by files × sheets.
-    errors = {
-        (r["source"], r["sheet"]): r["error"]
-        for r in bronze.filter(F.col("error").isNotNull()).select("source", "sheet", "error").limit(100_000).collect()
-    }
+    errors = _failed(spark, bronze, resolved, specs)
+
     def one(did: str) -> tuple[str, str]:
         spec = specs[did]
         src = resolved[did]
-        err = errors.get((src, None)) or errors.get((src, spec.sheet))
-        if err:
-            return did, ("error: " + err)[:STATUS_CHARS]
+        if did in errors:
+            return did, ("error: " + errors[did])[:STATUS_CHARS]
         try:
             table = parsed_table(bronze, src, spec)
             period = spec.period_column if spec.layout == "wide" and not spec.snapshot else None
-            write_silver(shape_source(table, spec), silver_root, did, cluster_by=period)
+            write_silver(typed(shape_source(table, spec), spec), silver_root, did, cluster_by=period)
             return did, "ok"
         except Exception as e:  # one dataset's failure must not stop the others
             return did, (f"error: {type(e).__name__}: {e}")[:STATUS_CHARS]
@@ -79,6 +78,33 @@ def ingest(spark: SparkSession, files: dict[str, str], bronze_path: str, silver_
     return spark.createDataFrame(status, "dataset_id string, status string")
 
 
+def _failed(spark: SparkSession, bronze: DataFrame, files: dict[str, str], specs: dict) -> dict[str, str]:
+    """Dataset -> the error of its file or sheet.  The datasets are joined to the
+    error rows, so one row per dataset comes back however many errors there are."""
+    asked = spark.createDataFrame([(d, files[d], specs[d].sheet) for d in files], "dataset_id string, source string, own_sheet string")
+    bad = bronze.filter(F.col("error").isNotNull()).select("source", "sheet", "error")
+    hit = asked.join(bad, "source").where("sheet is null or sheet = own_sheet")
+    return {r["dataset_id"]: r["e"] for r in hit.groupBy("dataset_id").agg(F.min("error").alias("e")).collect()}
+
+
+def typed(table: DataFrame, spec) -> DataFrame:
+    """Silver types by the spec (P3..P5): measures as double, a period declared
+    as a date as DATE (so ranges on it reach the Parquet scan), other declared
+    columns as stripped text.  Columns that the spec does not name stay."""
+    out = {}
+    for c in spec.columns:
+        if c.source not in table.columns or not isinstance(table.schema[c.source].dataType, StringType):
+            continue
+        col = F.col(f"`{c.source}`")
+        if c.role == "measure":
+            out[c.source] = to_double(col, StringType())
+        elif c.source == spec.period_column and c.dtype == "date":
+            out[c.source] = F.to_date(F.try_to_timestamp(period_iso_col(col, "string"), F.lit("yyyy-MM-dd")))
+        else:
+            out[c.source] = clean_string(col, StringType())
+    return table.withColumns(out) if out else table
+
+
 def _qualified(spark: SparkSession, path: str) -> str:
     """The path as the binaryFile source reports it (scheme-qualified)."""
     if "://" in path or path.startswith("file:"):

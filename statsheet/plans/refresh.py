@@ -1,14 +1,14 @@
 """Finding the newest published file of every dataset (the manifest refresh).
 
     landing pages (url, html) ─ extract links ─┐
-    spec discovery rules (broadcast, bounded) ─┴─ equi-join on landing URL
+    spec discovery rules ──────────────────────┴─ equi-join on landing URL
         → include / exclude patterns → file-name date score (+ "database")
         → best link per dataset (partial max_by)
         → tiers: live link, else seed manifest, else the spec's default URL
         → manifest diff against the previous manifest
 
 The pages table can be any size (one row per fetched landing page); the rule
-table has one row per spec and is broadcast after a size check.
+table has one row per spec, so AQE broadcasts it.
 """
 
 from __future__ import annotations
@@ -18,7 +18,6 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.links import (
-    MAX_BROADCAST_RULES,
     best_links,
     candidate_links,
     extract_links,
@@ -35,10 +34,8 @@ def discover(
 ) -> DataFrame:
     """Best link per dataset: ``dataset_id, link_url, file_name, score, pos``."""
     rules = rules_from_specs(specs)
-    if len(rules) > MAX_BROADCAST_RULES:
-        raise ValueError(f"{len(rules)} rules exceed the broadcast bound {MAX_BROADCAST_RULES}")
     links = extract_links(pages, url_col, html_col, extension)
-    best = best_links(candidate_links(links, rules_table(spark, rules), url_col, broadcast_rules=True))
+    best = best_links(candidate_links(links, rules_table(spark, rules), url_col))
     return best.select("dataset_id", "link_url", "file_name", "score", "pos")
 
 

@@ -29,7 +29,9 @@ def source_path(spec: Spec, root: str | None) -> str:
 def read_csv_text(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
     """CSV with every column as text.  The header names come from ``columns``
     when given (metadata), else from the file's header line."""
-    reader = spark.read.option("header", True).option("mode", "PERMISSIVE").option("multiLine", False)
+    # Names are matched by each file's header, not by position: a file whose
+    # header differs is an error rather than a silent shift of its columns.
+    reader = spark.read.option("header", True).option("mode", "PERMISSIVE").option("multiLine", False).option("enforceSchema", False)
     if columns is not None:
         schema = StructType([StructField(c, StringType(), True) for c in columns])
         return reader.schema(schema).csv(path)

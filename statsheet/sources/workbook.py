@@ -3,8 +3,8 @@
 Files are read with the ``binaryFile`` source (one row per file) and decoded
 inside ``mapInPandas``: the task opens the zip container, reads shared
 strings and cell styles, and streams each sheet's XML with ``iterparse``,
-yielding rows in Arrow batches, so task memory is bounded by one batch plus
-the shared-string table.  Scale comes from many files (one file is one
+yielding rows in Arrow batches, so a task holds one file's bytes, its shared
+strings and one batch.  Scale comes from many files (one file is one
 task's work); a single huge sheet is one task.
 
 Output grid schema::
@@ -26,6 +26,7 @@ import io
 import re
 import zipfile
 from collections.abc import Iterator
+from decimal import Decimal, InvalidOperation
 from xml.etree import ElementTree as ET
 
 import pandas as pd
@@ -44,6 +45,7 @@ _M = "{" + _NS["m"] + "}"
 # Built-in number formats that are dates or times.
 BUILTIN_DATE_FORMATS = frozenset({14, 15, 16, 17, 18, 19, 20, 21, 22, 27, 30, 36, 45, 46, 47, 50, 57})
 _EXCEL_EPOCH = _dt.datetime(1899, 12, 30)
+_EPOCH_1904 = _dt.datetime(1904, 1, 1)
 _CELL_REF = re.compile(r"^([A-Z]+)([0-9]+)$")
 
 
@@ -67,18 +69,26 @@ def _text(el) -> str:
     return "".join(t.text or "" for t in el.iter(_M + "t"))
 
 
-def _render_number(v: str, is_date: bool) -> str:
+def _whole(text: str) -> str | None:
+    """The digits of a whole number as they are stored (an id may be longer
+    than a double is exact); None for anything else."""
+    try:
+        d = Decimal(text)
+    except InvalidOperation:
+        return None
+    return format(d.to_integral_value(), "f") if d.is_finite() and d == d.to_integral_value() and d.adjusted() < 400 else None
+
+
+def _render_number(v: str, is_date: bool, epoch: _dt.datetime = _EXCEL_EPOCH) -> str:
     try:
         f = float(v)
     except ValueError:
         return v
     if is_date:
-        ts = _EXCEL_EPOCH + _dt.timedelta(days=f)
-        ts = ts.replace(microsecond=0) if ts.microsecond < 500_000 else (ts + _dt.timedelta(seconds=1)).replace(microsecond=0)
+        ts = epoch + _dt.timedelta(days=f)
+        ts = (ts + _dt.timedelta(microseconds=500_000)).replace(microsecond=0)
         return ts.strftime("%Y-%m-%d") if ts.time() == _dt.time(0) else ts.strftime("%Y-%m-%d %H:%M:%S")
-    if f.is_integer() and abs(f) < 1e16:
-        return str(int(f))
-    return repr(f)
+    return _whole(v) or repr(f)
 
 
 class _Book:
@@ -96,6 +106,8 @@ class _Book:
                 rels[r.get("Id")] = r.get("Target")
         except KeyError:
             pass
+        flag = (p.get("date1904") for p in wb.iter(_M + "workbookPr"))
+        self.epoch = _EPOCH_1904 if next(flag, None) in ("1", "true") else _EXCEL_EPOCH
         self.sheets: dict[str, str] = {}
         for s in wb.iter(_M + "sheet"):
             target = rels.get(s.get("{" + _NS["r"] + "}id"), "")
@@ -135,11 +147,12 @@ class _Book:
     def rows(self, sheet: str) -> Iterator[tuple[int, list[str | None]]]:
         if sheet not in self.sheets:
             raise WorkbookError(f"sheet {sheet!r} not found in workbook")
+        last = 0
         with self.zf.open(self.sheets[sheet]) as fh:
             for _event, el in ET.iterparse(fh, events=("end",)):
                 if el.tag != _M + "row":
                     continue
-                r = int(el.get("r") or 0)
+                last = r = int(el.get("r") or last + 1)  # rows may leave out their number
                 cells: dict[int, str | None] = {}
                 for pos, c in enumerate(el.iter(_M + "c")):
                     ref = c.get("r")
@@ -158,7 +171,7 @@ class _Book:
                         val = v.text if v is not None else None
                     else:
                         style = int(c.get("s") or 0)
-                        val = None if v is None or v.text is None else _render_number(v.text, style in self.date_styles)
+                        val = None if v is None or v.text is None else _render_number(v.text, style in self.date_styles, self.epoch)
                     if val == "":
                         val = None
                     cells[idx] = val
@@ -211,6 +224,10 @@ def _row_skipper(skip: dict | None):
     return keep
 
 
+def _problem(e: Exception) -> str:
+    return (str(e) if isinstance(e, WorkbookError) else f"could not decode: {type(e).__name__}: {e}")[:500]
+
+
 def decode_workbooks(
     batches: Iterator[pd.DataFrame], sheets: list[str] | None = None, skip: dict | None = None
 ) -> Iterator[pd.DataFrame]:
@@ -224,8 +241,8 @@ def decode_workbooks(
             buf: list[tuple] = []
             try:
                 book = _Book(bytes(body) if body is not None else b"")
-            except WorkbookError as e:
-                yield flush([(path, None, None, None, str(e)[:500])])
+            except Exception as e:  # whatever one file holds, the others go on
+                yield flush([(path, None, None, None, _problem(e))])
                 continue
             for sheet in sheets if sheets is not None else list(book.sheets):
                 keep = _row_skipper(skip)
@@ -237,8 +254,8 @@ def decode_workbooks(
                         if len(buf) >= BATCH_ROWS:
                             yield flush(buf)
                             buf = []
-                except (WorkbookError, ET.ParseError, KeyError, ValueError) as e:
-                    buf.append((path, sheet, None, None, str(e)[:500]))
+                except Exception as e:
+                    buf.append((path, sheet, None, None, _problem(e)))
             if buf:
                 yield flush(buf)
 
@@ -299,7 +316,8 @@ def read_sheet(
     Meant for one file; batch ingest of many files goes through
     ``plans.ingest``, which writes the decoded grid once to a bronze table.
     The header row is read with one bounded job.  In strict mode a decode
-    error raises :class:`WorkbookError`.
+    error raises :class:`WorkbookError`; otherwise a sheet with an error has no
+    rows, rather than those before the error.
     """
     from ..operators.reshape import promote_header
 
@@ -314,6 +332,8 @@ def read_sheet(
         bad = errors(grid).limit(1).collect()
         if bad:
             raise WorkbookError(bad[0]["error"])
+    else:
+        grid = grid.join(errors(grid).select("source", "sheet").distinct(), ["source"], "left_anti")
     # row_idx is kept: it is the sheet's row order (usable as the spec's order_by).
     return promote_header(
         grid.filter(F.col("error").isNull()).select("row_idx", "cells"), spec.header_row, spec.data_start_row, keep_row_idx=True

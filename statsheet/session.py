@@ -2,13 +2,12 @@
 
 Library code never creates its own session; it takes the caller's.  The only
 settings touched here are the ones a job needs to be correct (time zone for
-ISO period text) and the checkpoint folder, which is read from the session
-and set only where the cluster left it unset (tests, local runs).
+ISO period text) and the checkpoint folder, which the caller or the session
+names.
 """
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -52,7 +51,7 @@ def cluster_settings(executors: int, cores_per_executor: int, input_tb: float) -
     cores = executors * cores_per_executor
     by_size = int(input_tb * 1024 * 1024 / 256)
     return {
-        "spark.sql.shuffle.partitions": str(max(3 * cores, min(by_size, 200_000))),
+        "spark.sql.shuffle.partitions": str(max(3 * cores, by_size)),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
@@ -65,20 +64,12 @@ def cluster_settings(executors: int, cores_per_executor: int, input_tb: float) -
     }
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by the cluster.
-
-    On a cluster ``spark.checkpoint.dir`` points at shared storage and is used
-    as is.  Only when it is unset (a local run) do we pick a scratch folder,
-    and we record it on the session so every later call agrees.
-    """
-    path = spark.conf.get(_CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(_CHECKPOINT_KEY, None)
+def checkpoint_dir(spark: SparkSession, folder: str | None = None) -> str:
+    """The shared checkpoint folder: the argument, else the one that the session
+    names in ``spark.checkpoint.dir``.  Without either, an error, also locally."""
+    path = folder or spark.conf.get(_CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(_CHECKPOINT_KEY, None)
     if not path:
-        if spark.sparkContext.master.startswith("local"):
-            path = tempfile.mkdtemp(prefix="statsheet-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-            spark.conf.set(_CHECKPOINT_KEY, path)
-        else:
-            raise RuntimeError(f"{_CHECKPOINT_KEY} is not set; a cluster job needs a shared folder")
+        raise RuntimeError(f"name a folder that all executors share, as an argument or in {_CHECKPOINT_KEY}")
     spark.sparkContext.setCheckpointDir(path)
     return path
 

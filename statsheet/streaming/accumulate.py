@@ -19,6 +19,7 @@ Each upsert touches only the period partitions present in the batch:
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,11 +28,16 @@ from pyspark.sql import functions as F
 from ..session import checkpoint_dir
 
 
+#: Files of one period in one write: a hot period is spread over that many tasks.
+FILES_PER_PERIOD = 8
+
+
 def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """One row per key: the one with the greatest ``order`` tuple."""
-    cols = df.columns
-    best = df.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(c) for c in cols]), F.struct(*[F.col(c) for c in order])).alias("_r"))
-    return best.select(*[F.col("_r")[c].alias(c) for c in cols])
+    """One row per key: the one with the greatest ``order`` tuple; rows that tie
+    on it are decided by a hash of the whole row."""
+    row = F.struct(*df.columns)
+    best = df.groupBy(*keys).agg(F.max_by(row, F.struct(*order, F.xxhash64(*df.columns).alias("_tie"))).alias("_r"))
+    return best.select("_r.*")
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -41,8 +47,11 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def upsert(batch: DataFrame, history_path: str, keys: list[str], order: list[str], partition_col: str) -> None:
-    """Merge one batch of snapshot rows into the history table."""
+def upsert(
+    batch: DataFrame, history_path: str, keys: list[str], order: list[str], partition_col: str, checkpoints: str | None = None
+) -> None:
+    """Merge one batch of snapshot rows into the history table.  ``checkpoints``
+    is the shared folder for staging (else ``spark.checkpoint.dir``)."""
     spark = batch.sparkSession
     if batch.isEmpty():
         return
@@ -54,15 +63,20 @@ def upsert(batch: DataFrame, history_path: str, keys: list[str], order: list[str
         old = spark.read.schema(batch.schema).parquet(history_path).join(touched, partition_col, "left_semi")
         combined = old.unionByName(batch.select(*old.columns))
     merged = latest_per_key(combined, keys, order)
-    staging = f"{checkpoint_dir(spark).rstrip('/')}/statsheet-staging-{uuid.uuid4().hex}"
-    merged.write.mode("overwrite").partitionBy(partition_col).parquet(staging)
-    staged = spark.read.schema(merged.schema).parquet(staging)
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        staged.select(*merged.columns).write.mode("overwrite").partitionBy(partition_col).parquet(history_path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    staging = f"{checkpoint_dir(spark, checkpoints).rstrip('/')}/statsheet-staging-{uuid.uuid4().hex}"
+    placed = merged.repartition(F.col(partition_col), F.pmod(F.xxhash64(*keys), F.lit(FILES_PER_PERIOD)))
+    placed.write.partitionBy(partition_col).parquet(staging)
+    staged = spark.read.schema(merged.schema).parquet(staging).select(*merged.columns)
+    staged.repartition(F.col(partition_col), F.pmod(F.xxhash64(*keys), F.lit(FILES_PER_PERIOD))).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy(partition_col).parquet(history_path)
+    _delete(spark, staging)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder of our own making."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def accumulate_stream(
@@ -77,11 +91,12 @@ def accumulate_stream(
 ):
     """Run the upsert over every file in ``landing`` not yet seen, then stop.
 
-    The stream's own checkpoint (under the shared checkpoint directory by
-    default) records which files were processed, so a rerun picks up only
-    new snapshots.
+    The stream's own checkpoint records which files were processed, so a rerun
+    picks up only new snapshots, in another process too: by default it lies in
+    the shared checkpoint folder under a digest of the history's path.
     """
-    ckpt = query_checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/statsheet-accumulate-{abs(hash(history_path))}"
+    name = hashlib.sha256(history_path.encode()).hexdigest()[:24]
+    ckpt = query_checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/statsheet-accumulate-{name}"
     stream = spark.readStream.schema(schema).parquet(landing)
     q = (
         stream.writeStream.foreachBatch(lambda df, _id: upsert(df, history_path, keys, order, partition_col))

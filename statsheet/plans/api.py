@@ -27,7 +27,7 @@ from ..functions.coerce import to_double
 from ..functions.periods import validate_period_arg
 from ..operators.newest import narrow, newest_bounds
 from ..operators.filters import apply_filters, apply_period_range, check_filter_keys, expand_bounds, validate_permissive_values
-from ..operators.observe import observations, records, to_csv_text, with_dimension_map
+from ..operators.observe import csv_lines, observations, records, to_csv_text, with_dimension_map
 from ..operators.project import key_expressions, period_source_type, project
 from ..operators.ranking import latest as latest_op
 from ..operators.ranking import limit_rows, top_n as top_n_op
@@ -37,8 +37,6 @@ from ..sources.tables import read_source
 from ..spec import Spec, get_spec, list_ids, load_all, parse_filters
 
 FORMATS = ("records", "series", "csv")
-# Largest limited result returned as nested series.
-NESTED_SERIES_MAX = 100_000
 
 
 @dataclass
@@ -57,33 +55,42 @@ class Result:
         return records(with_dimension_map(self.observations, self.spec))
 
     def series(self) -> DataFrame:
-        """K2.  Nested (one row per measure) only for a limited result; an
-        unlimited one is returned flat, range-partitioned by (measure, order)
-        so that no series is ever gathered into a single row or task."""
-        if self.limit is not None and self.limit <= NESTED_SERIES_MAX:
-            return series_nested(self.observations, self.spec)
+        """K2, flat: observations range-partitioned by (measure, order), so that
+        no series is ever gathered into a single row or task."""
         return records(series_partitioned(self.observations, self.spec))
 
+    def nested_series(self) -> DataFrame:
+        """K2, nested: one row per measure with all its observations.  For a
+        result that the caller has limited, since a series becomes one row."""
+        if self.limit is None:
+            raise ValueError("nested series gather each measure in one row; pass a limit, or use series()")
+        return series_nested(self.observations, self.spec)
+
     def series_stats(self) -> DataFrame:
         return series_stats(self.observations, self.spec)
 
-    def csv_text(self, max_rows: int = 10_000) -> str:
-        return to_csv_text(self.observations, self.spec, max_rows)
+    def csv_text(self) -> str:
+        """K3 as one text with its header, for a limited result."""
+        if self.limit is None:
+            raise ValueError("csv_text() gathers the result; pass a limit, or use operators.observe.write_csv")
+        return to_csv_text(self.observations, self.spec)
 
     def output(self) -> DataFrame:
+        """The result in the format asked for."""
         if self.fmt == "series":
             return self.series()
-        return self.records
+        return csv_lines(self.observations, self.spec) if self.fmt == "csv" else self.records
 
 
-def _check_format(fmt: str) -> str:
-    if fmt not in FORMATS:
+def _check_format(fmt: str | None) -> str:
+    """A known format in any case; None is records."""
+    known = "records" if fmt is None else str(fmt).strip().lower()
+    if known not in FORMATS:
         from ..functions.similarity import best_match
 
-        hint = best_match(str(fmt), list(FORMATS), cutoff=60)
-        suggestion = f" Did you mean {hint!r}?" if hint else ""
-        raise ValueError(f"format must be one of {', '.join(FORMATS)}.{suggestion}")
-    return fmt
+        near = best_match(known, list(FORMATS), cutoff=60)
+        raise ValueError(f"format must be one of {', '.join(FORMATS)}." + (f" Did you mean {near!r}?" if near else ""))
+    return known
 
 
 def _check_positive(name: str, v: int | None) -> int | None:
@@ -155,7 +162,7 @@ def get_data(
     measures: str | list[str] | None = None,
     start_period: str | int | None = None,
     end_period: str | int | None = None,
-    fmt: str = "records",
+    fmt: str | None = "records",
     *,
     root: str | None = None,
     limit: int | None = None,
@@ -237,12 +244,16 @@ def latest(
     limit: int | None = 50,
     last_n: int = 1,
     mode: str = "auto",
-    fmt: str = "records",
+    fmt: str | None = "records",
     source: DataFrame | None = None,
+    validate: bool = False,
+    hints: bool = False,
 ) -> Result:
-    """L4: newest observations, then the default limit of 50."""
+    """L4: newest observations, then the default limit of 50.  ``validate`` and
+    ``hints`` as in :func:`get_data`."""
     return get_data(
-        spark, dataset_id, filters, measures, fmt=fmt, root=root, limit=limit, last_n=last_n, mode=mode, source=source
+        spark, dataset_id, filters, measures, fmt=fmt, root=root, limit=limit, last_n=last_n, mode=mode, source=source,
+        validate=validate, hints=hints,
     )
 
 
@@ -258,23 +269,33 @@ def top_n(
     *,
     root: str | None = None,
     source: DataFrame | None = None,
+    validate: bool = False,
+    hints: bool = False,
 ) -> Result:
-    """L1 on one measure.  The summary describes the whole slice (Q17)."""
+    """L1 on one measure.  The summary describes the whole slice (Q17);
+    ``validate`` and ``hints`` as in :func:`get_data`."""
     if not isinstance(measure, str) or not measure.strip():
         raise ValueError("measure is required")
     _check_positive("n", n)
-    res = get_data(spark, dataset_id, filters, measure, start_period, end_period, root=root, source=source)
+    res = get_data(spark, dataset_id, filters, measure, start_period, end_period, root=root, source=source, validate=validate, hints=hints)
     top = top_n_op(res.observations, res.spec, n, direction)
     summary = res.summary.withColumn("row_count", F.least(F.col("row_count"), F.lit(n)).cast("long"))
-    return Result(spec=res.spec, observations=top, summary=summary)
+    return Result(spec=res.spec, observations=top, summary=summary, limit=n)
 
 
 # ---- metadata calls (driver-side spec tables) -------------------------------
 
 
-def describe_dataset(spark: SparkSession, dataset_id: str) -> DataFrame:
-    """K5: one row: id, name, description, dimensions[], measures[], framework."""
+def describe_dataset(spark: SparkSession, dataset_id: str, *, root: str | None = None, source: DataFrame | None = None) -> DataFrame:
+    """K5: one row: id, name, description, dimensions[], measures[], framework,
+    source and download URL.  With the data at hand (``root`` or ``source``) the
+    first and last period too, by one min/max aggregate over the period alone."""
     spec = get_spec(dataset_id)
+    coverage = (None, None)
+    if spec.period_key and (root is not None or source is not None):
+        raw = shape_source(source if source is not None else read_source(spark, spec, root), spec)
+        period = key_expressions(raw, spec, [])[spec.period_key].cast("string")
+        coverage = tuple(raw.agg(F.min(period), F.max(period)).first())
     col_t = "array<struct<key:string,source_column:string,description:string,unit:string,role:string>>"
 
     def cols(cs):
@@ -290,11 +311,15 @@ def describe_dataset(spark: SparkSession, dataset_id: str) -> DataFrame:
         cols(spec.dimension_columns() + spec.id_columns()),
         cols(spec.measure_columns()),
         (fw.basis, fw.break_date, fw.break_reason, fw.historical_dataset) if fw else None,
+        coverage if any(coverage) else None,
+        spec.source_url,
+        spec.download_url,
     )
     schema = (
         f"id string, name string, description string, update_frequency string, period_key string, "
         f"dimensions {col_t}, measures {col_t}, "
-        "framework struct<basis:string,break_date:string,break_reason:string,historical_dataset:string>"
+        "framework struct<basis:string,break_date:string,break_reason:string,historical_dataset:string>, "
+        "period_coverage struct<first:string,last:string>, source_url string, download_url string"
     )
     return spark.createDataFrame([row], schema)
 

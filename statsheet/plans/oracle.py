@@ -116,6 +116,10 @@ SELECT {ORDERS_COLS} FROM ({ORDERS_OBS}) o
 WHERE period BETWEEN '1996-01-01' AND '1996-12-31'
 ORDER BY value ASC, o0 LIMIT 10
 """
+SQL["top_n_all"] = f"""
+SELECT {LINE_COLS} FROM ({lineitem_obs(('extended_price',))}) x
+ORDER BY value DESC, o0, o1, o2, o3 LIMIT 25
+"""
 SQL["top_n_lines"] = f"""
 SELECT {LINE_COLS} FROM ({lineitem_obs(('extended_price',), where="l_linestatus = 'O'")}) x
 ORDER BY value DESC, o0, o1, o2, o3 LIMIT 25
@@ -139,11 +143,11 @@ SELECT {ORDERS_COLS} FROM ({ORDERS_OBS}) o
 WHERE period IN (SELECT DISTINCT period FROM ({ORDERS_OBS}) p WHERE period IS NOT NULL ORDER BY period DESC LIMIT 3)
 """
 SQL["latest_tail_n"] = f"""
-SELECT {LINE_COLS} FROM ({lineitem_obs(where="l_returnflag = 'A'")}) x
+SELECT {LINE_COLS} FROM ({lineitem_obs()}) x
 QUALIFY row_number() OVER (PARTITION BY measure ORDER BY period DESC NULLS LAST, o0 DESC, o1 DESC, o2 DESC, o3 DESC) <= 5
 """
 SQL["limit_truncated"] = f"""
-SELECT {LINE_COLS} FROM ({lineitem_obs(where="l_shipdate >= TIMESTAMP '1997-01-01' AND l_shipdate < TIMESTAMP '1998-01-01'")}) x
+SELECT {LINE_COLS} FROM ({lineitem_obs()}) x
 ORDER BY o0, o1, o2, o3, midx LIMIT 50
 """
 SQL["summary_row"] = f"""
@@ -151,15 +155,14 @@ SELECT 'LINEITEM' AS dataset_id, CAST(least(count(*), 50) AS BIGINT) AS row_coun
        CAST(CASE WHEN count(*) > 50 THEN count(*) END AS BIGINT) AS truncated_at,
        CASE WHEN count(DISTINCT unit) = 1 THEN max(unit) END AS unit,
        min(period) AS period_start, max(period) AS period_end
-FROM ({lineitem_obs(where="l_returnflag = 'R'")}) x
+FROM ({lineitem_obs()}) x
 """
 SQL["summary_unit"] = f"""
 SELECT 'ORDERS' AS dataset_id, CAST(least(count(*), 50) AS BIGINT) AS row_count,
        CAST(CASE WHEN count(*) > 50 THEN count(*) END AS BIGINT) AS truncated_at,
        CASE WHEN count(DISTINCT unit) = 1 THEN max(unit) END AS unit,
-       '1997-Q3' AS period_start, max(period) AS period_end
+       min(period) AS period_start, max(period) AS period_end
 FROM ({ORDERS_OBS}) o
-WHERE contains(upper(priority), 'HIGH') AND period >= '1997-07-01'
 """
 SQL["series"] = f"""
 SELECT measure,
@@ -167,7 +170,7 @@ SELECT measure,
        count(*) AS n_obs,
        arg_min(period, (o0, o1, o2, o3)) AS first_period,
        arg_max(period, (o0, o1, o2, o3)) AS last_period
-FROM ({lineitem_obs(where="l_shipdate >= TIMESTAMP '1997-01-01' AND l_shipdate < TIMESTAMP '1998-07-01'")}) x
+FROM ({lineitem_obs()}) x
 GROUP BY measure
 """
 SQL["default_sort_limit"] = f"""
@@ -305,11 +308,37 @@ SELECT page_id, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^@/?#]
 FROM pages
 """
 
-_REDACT = r"""(?i)https?://(?:[A-Za-z0-9-]+\.)*example\.org(?::[0-9]+)?(?:[/?#][^\s"'<>)]*)?"""
-SQL["redact_urls"] = (
-    "SELECT page_id, regexp_replace(url, '" + _REDACT.replace("'", "''") + "', '<source>', 'g') AS url, "
-    "regexp_replace(html, '" + _REDACT.replace("'", "''") + "', '<source>', 'g') AS html FROM pages"
-)
+# Redaction by cutting the text at its URLs and putting it together again.
+def _redacted(text: str) -> str:
+    url = "(?i)https?://[^\\s\"''<>)]*"
+    return (
+        f"(SELECT string_agg(part, '' ORDER BY i) FROM (SELECT unnest(string_split_regex({text}, '{url}')) AS part, unnest(range(1000000)[:len(string_split_regex({text}, '{url}'))]) * 2 AS i"
+        f" UNION ALL SELECT CASE WHEN contains(lower(u), 'example.org') THEN '<source>' ELSE u END, i * 2 + 1 FROM "
+        f"(SELECT unnest(regexp_extract_all({text}, '{url}')) AS u, unnest(range(1000000)[:len(regexp_extract_all({text}, '{url}'))]) AS i)))"
+    )
+
+
+SQL["redact_urls"] = f"""
+WITH p AS (SELECT page_id, url, html, 'see https://x.example.org.mirror.net/secret/' || page_id || ' or http://me:pw@EXAMPLE.org/' || page_id
+  || ', http://o.net/?to=example.org&k=' || page_id || ' but not example.org nor http://o.net/' || page_id AS made FROM pages)
+SELECT page_id, {_redacted('p.url')} AS url, {_redacted('p.html')} AS html, {_redacted('p.made')} AS made FROM p
+"""
+
+SQL["resolve_urls"] = """
+SELECT page_id, o || '/a/up' || page_id AS up, o || '/a/b' || page_id || '/here' || page_id AS here, o || '/top' || page_id AS top,
+       o || '/a/b' || page_id || '/x/z%20' || page_id || '.xlsx?u=/../v' AS mixed, o || '/a/b' || page_id || '/c.html?q=' || page_id AS query,
+       o || '/a/b' || page_id || '/c.html?x=1#m' || page_id AS mark, o || '/s' || page_id AS rooted, o || '/a/' AS folder, 'v' AS file_name
+FROM (SELECT page_id, 'https://h' || page_id || '.example.org' AS o FROM pages)
+"""
+
+SQL["best_dated_link"] = """
+SELECT 'DS_' || (o_custkey % 97) AS dataset_id, o_orderkey AS pos,
+       CASE WHEN o_orderpriority = '1-URGENT' THEN 'data_' || strftime(o_orderdate, '%Y-%m') || ' DataBase.xlsx'
+            ELSE 'Report ' || strftime(o_orderdate, '%B %Y') || '.xlsx' END AS file_name,
+       (year(o_orderdate) * 100 + month(o_orderdate) + CASE WHEN o_orderpriority = '1-URGENT' AND o_custkey % 2 = 0 THEN 1000000 ELSE 0 END)::BIGINT AS score
+FROM orders
+QUALIFY row_number() OVER (PARTITION BY o_custkey % 97 ORDER BY score DESC, o_orderkey) = 1
+"""
 
 # ---- lookups, pairings, places ---------------------------------------------------
 
@@ -339,17 +368,20 @@ FROM ({ORDERS_OBS}) o WHERE period IS NOT NULL
 
 
 def _state_sql() -> str:
-    from ..functions.places import NICKNAMES, POSTCODE_BANDS, STATES
-
-    names: dict[str, str] = {}
-    for code, name in STATES.items():
-        names[code] = name
-        names["AU-" + code] = name
-        names[name.upper()] = name
-    for nick, code in NICKNAMES.items():
-        names[nick] = STATES[code]
+    # Written out here rather than taken from the library's own tables.
+    long_names = {
+        "NSW": "New South Wales", "VIC": "Victoria", "QLD": "Queensland", "SA": "South Australia", "WA": "Western Australia",
+        "TAS": "Tasmania", "NT": "Northern Territory", "ACT": "Australian Capital Territory",
+    }
+    names = {"TASSIE": "Tasmania"}
+    for code, name in long_names.items():
+        names |= {code: name, "AU-" + code: name, name.upper(): name}
     name_rows = ", ".join(f"('{k}', '{v}')" for k, v in sorted(names.items()))
-    band_rows = ", ".join(f"({lo}, {hi}, '{STATES[c]}')" for lo, hi, c in POSTCODE_BANDS)
+    band_rows = """(200, 299, 'Australian Capital Territory'), (800, 999, 'Northern Territory'), (1000, 2599, 'New South Wales'),
+      (2600, 2618, 'Australian Capital Territory'), (2619, 2899, 'New South Wales'), (2900, 2920, 'Australian Capital Territory'),
+      (2921, 2999, 'New South Wales'), (3000, 3999, 'Victoria'), (4000, 4999, 'Queensland'), (5000, 5999, 'South Australia'),
+      (6000, 6797, 'Western Australia'), (6800, 6999, 'Western Australia'), (7000, 7999, 'Tasmania'), (8000, 8999, 'Victoria'),
+      (9000, 9999, 'Queensland')"""
     spellings = ", ".join("'" + s.replace("'", "''") + "'" for s in (
         "NSW", "vic", "Queensland", "AU-WA", "Tassie", "act", "nt", "South Australia",
         "Total Australia", "au-qld", " Victoria ", "TAS", "Northern  Territory",
@@ -408,11 +440,33 @@ QUALIFY row_number() OVER (ORDER BY (sortv IS NULL) DESC, sortv ASC, o0 DESC) =
 
 # ---- API surfaces -------------------------------------------------------------------------
 
-_MBS_WHERE = "l_linestatus = 'F' AND l_shipdate >= TIMESTAMP '1999-10-01'"
-SQL["measures_by_source"] = f"SELECT {LINE_COLS} FROM ({lineitem_obs(('tax', 'quantity'), where=_MBS_WHERE)}) x"
+SQL["measures_by_source"] = f"SELECT {LINE_COLS} FROM ({lineitem_obs(('tax', 'quantity'))}) x"
 SQL["filters_json"] = _orders("status IN ('O', 'P') AND contains(upper(priority), 'LOW')")
 SQL["bottom_n_wildcard"] = f"""
 SELECT {ORDERS_COLS} FROM ({ORDERS_OBS}) o
 WHERE contains(upper(priority), 'HIGH')
 ORDER BY value ASC, o0 LIMIT 15
 """
+
+_NESTED = f"(SELECT * FROM ({lineitem_obs()}) x ORDER BY o0, o1, o2, o3, midx LIMIT 2000)"
+SQL["series_nested"] = f"""
+SELECT measure, any_value(unit) AS unit, count(*) AS n_obs,
+       arg_min(period, (o0, o1, o2, o3)) AS first_period, arg_min(value, (o0, o1, o2, o3)) AS first_value,
+       arg_max(period, (o0, o1, o2, o3)) AS last_period, arg_max(value, (o0, o1, o2, o3)) AS last_value,
+       arg_max(orderkey, (o0, o1, o2, o3)) AS last_orderkey
+FROM {_NESTED} n GROUP BY measure
+"""
+SQL["csv_output"] = f"""
+SELECT concat_ws(',', period, measure, CAST(value AS VARCHAR), unit, status, priority, customer, orderkey) AS csv
+FROM (SELECT * FROM ({ORDERS_OBS}) o ORDER BY o0 LIMIT 200) x
+"""
+SQL["summary_full"] = f"""
+SELECT 'ORDERS' AS dataset_id, 'Orders by status and priority' AS dataset_name,
+       '{{"dataset_id": "ORDERS", "end_period": null, "filters": {{"status": "filled"}}, "format": "records", "measures": null, "start_period": null}}' AS query,
+       min(period) AS period_start, max(period) AS period_end, CASE WHEN count(DISTINCT unit) = 1 THEN max(unit) END AS unit,
+       CAST(least(count(*), 50) AS BIGINT) AS row_count, CAST(CASE WHEN count(*) > 50 THEN count(*) END AS BIGINT) AS truncated_at,
+       '{{"basis":"Order book as recorded from 1995","break_date":"1998-01-01","break_reason":"Orders before this date were recorded on the earlier basis."}}' AS framework,
+       FALSE AS stale, CAST(NULL AS VARCHAR) AS stale_reason, CAST(NULL AS VARCHAR) AS source_url, CAST(NULL AS VARCHAR) AS download_url,
+       'Synthetic order book.' AS attribution
+FROM ({ORDERS_OBS}) o WHERE status = 'F'
+"""

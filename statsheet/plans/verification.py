@@ -17,22 +17,28 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType
 
 from ..functions.coerce import clean_string, integral_check, to_double
-from ..functions.links import extract_hrefs, filename_date_score, host_allowed, normalize_dataset_id_col, redact_urls, url_host
+from ..functions.links import (
+    absolute_url,
+    decoded_file_name,
+    extract_hrefs,
+    filename_date_score,
+    host_allowed,
+    normalize_dataset_id_col,
+    prefer_database,
+    redact_urls,
+    url_host,
+)
 from ..functions.periods import expand_periods, header_period_col
 from ..functions.places import normalise_state_column
-from ..functions.similarity import best_match_col, close_matches_col
 from ..operators.links import best_links, candidate_links, extract_links, manifest_diff, resolve_tiers, seed_manifest
 from ..operators.lookups import pair_bases, pair_entities, translate_column
 from ..operators.observe import records
-from ..operators.parallel import UDF_BYTES_PER_TASK, spread
-from ..operators.search import entries_from_specs, search_table
 from ..operators.reshape import drop_blank_rows, melt_transposed, promote_header
 from ..operators.summary import series_stats
 from ..plans.api import get_data, latest, top_n
-from ..session import ship_package
 from ..sources.tables import read_table
 from ..streaming.accumulate import latest_per_key
-from ..spec import get_spec, load_all
+from ..spec import get_spec
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -104,7 +110,7 @@ def period_open_ended(spark: SparkSession, root: str) -> DataFrame:
 
 @register("expand_period_table")
 def expand_period_table(spark: SparkSession, root: str) -> DataFrame:
-    o = spread(read_table(spark, root, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority"))
+    o = read_table(spark, root, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority")
     d = F.col("o_orderdate")
     forms = o.select(
         F.col("o_orderkey").alias("orderkey"),
@@ -131,6 +137,11 @@ def bottom_n_q(spark: SparkSession, root: str) -> DataFrame:
     return top_n(spark, "ORDERS", "total_price", 10, direction="asc", start_period="1996", end_period="1996", root=root).records
 
 
+@register("top_n_all")
+def top_n_all(spark: SparkSession, root: str) -> DataFrame:
+    return top_n(spark, "LINEITEM", "extended_price", 25, root=root).records
+
+
 @register("top_n_lines")
 def top_n_lines(spark: SparkSession, root: str) -> DataFrame:
     return top_n(spark, "LINEITEM", "extended_price", 25, {"linestatus": "open"}, root=root).records
@@ -158,29 +169,29 @@ def latest_n_periods(spark: SparkSession, root: str) -> DataFrame:
 
 @register("latest_tail_n")
 def latest_tail_n(spark: SparkSession, root: str) -> DataFrame:
-    return latest(spark, "LINEITEM", {"returnflag": "A"}, root=root, last_n=5, mode="tail", limit=None).records
+    return latest(spark, "LINEITEM", root=root, last_n=5, mode="tail", limit=None).records
 
 
 @register("limit_truncated")
 def limit_truncated(spark: SparkSession, root: str) -> DataFrame:
-    return get_data(spark, "LINEITEM", start_period="1997", end_period="1997", root=root, limit=50).records
+    return get_data(spark, "LINEITEM", root=root, limit=50).records
 
 
 @register("summary_row")
 def summary_row_q(spark: SparkSession, root: str) -> DataFrame:
-    res = get_data(spark, "LINEITEM", {"returnflag": "R"}, root=root, limit=50)
+    res = get_data(spark, "LINEITEM", root=root, limit=50)
     return res.summary.select("dataset_id", "row_count", "truncated_at", "unit", "period_start", "period_end")
 
 
 @register("summary_unit")
 def summary_unit(spark: SparkSession, root: str) -> DataFrame:
-    res = get_data(spark, "ORDERS", {"priority": "~high"}, start_period="1997-Q3", root=root, limit=50)
+    res = get_data(spark, "ORDERS", root=root, limit=50)
     return res.summary.select("dataset_id", "row_count", "truncated_at", "unit", "period_start", "period_end")
 
 
 @register("series")
 def series_q(spark: SparkSession, root: str) -> DataFrame:
-    res = get_data(spark, "LINEITEM", start_period="1997", end_period="1998-06", root=root, fmt="series")
+    res = get_data(spark, "LINEITEM", root=root, fmt="series")
     return series_stats(res.observations, res.spec)
 
 
@@ -189,9 +200,6 @@ def default_sort_limit(spark: SparkSession, root: str) -> DataFrame:
     return get_data(spark, "CUSTOMER", root=root, limit=50).records
 
 
-QUERIES = REGISTRY
-
-
 # ---- reshape (R1..R6, S2..S5, P3..P7) -----------------------------------------
 
 
@@ -343,9 +351,40 @@ def extract_links_q(spark: SparkSession, root: str) -> DataFrame:
     return page_links(spark, root).select("page_id", F.col("pos").cast("long").alias("pos"), "href", "link_url", "file_name")
 
 
+@register("resolve_urls")
+def resolve_urls_q(spark: SparkSession, root: str) -> DataFrame:
+    """C5 on hrefs with dot segments, queries, fragments and percent codes."""
+    n = F.col("page_id").cast("string")
+    base = F.concat(F.lit("https://h"), n, F.lit(".example.org/a/b"), n, F.lit("/c.html?x=1#f"))
+    hrefs = {
+        "up": F.concat(F.lit("../up"), n), "here": F.concat(F.lit("./here"), n), "top": F.concat(F.lit("../../../top"), n),
+        "mixed": F.concat(F.lit("x/./y/../z%20"), n, F.lit(".xlsx?u=/../v")), "query": F.concat(F.lit("?q="), n),
+        "mark": F.concat(F.lit("#m"), n), "rooted": F.concat(F.lit("/r/../s"), n), "folder": F.lit(".."),
+    }
+    urls = read_table(spark, root, "pages").select("page_id", *[absolute_url(base, h).alias(k) for k, h in hrefs.items()])
+    return urls.withColumn("file_name", decoded_file_name("mixed"))
+
+
+@register("best_dated_link")
+def best_dated_link_q(spark: SparkSession, root: str) -> DataFrame:
+    """C3, C7, L9 on file names that carry dates and, for urgent orders, "database"."""
+    o = read_table(spark, root, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    d = F.col("o_orderdate")
+    named = F.concat(F.lit("Report "), F.date_format(d, "MMMM yyyy"), F.lit(".xlsx"))
+    coded = F.concat(F.lit("data_"), F.date_format(d, "yyyy-MM"), F.lit(" DataBase.xlsx"))
+    name = F.when(F.col("o_orderpriority") == "1-URGENT", coded).otherwise(named)
+    links = o.select(
+        F.concat(F.lit("DS_"), (F.col("o_custkey") % 97).cast("string")).alias("dataset_id"),
+        F.col("o_orderkey").alias("pos"),
+        name.alias("file_name"),
+        (filename_date_score(name) + prefer_database(name, F.col("o_custkey") % 2 == 0)).cast("long").alias("score"),
+    )
+    return best_links(links).select("dataset_id", "pos", "file_name", "score")
+
+
 @register("filename_score")
 def filename_score_q(spark: SparkSession, root: str) -> DataFrame:
-    o = spread(read_table(spark, root, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority"))
+    o = read_table(spark, root, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority")
     d = F.col("o_orderdate")
     names = {
         "s_month_name": F.concat(F.lit("report-"), F.date_format(d, "MMMM-yyyy"), F.lit(".xlsx")),
@@ -384,10 +423,16 @@ def host_filter_q(spark: SparkSession, root: str) -> DataFrame:
 @register("redact_urls")
 def redact_urls_q(spark: SparkSession, root: str) -> DataFrame:
     p = read_table(spark, root, "pages")
+    n = F.col("page_id").cast("string")
+    made = F.concat(
+        F.lit("see https://x.example.org.mirror.net/secret/"), n, F.lit(" or http://me:pw@EXAMPLE.org/"), n,
+        F.lit(", http://o.net/?to=example.org&k="), n, F.lit(" but not example.org nor http://o.net/"), n,
+    )
     return p.select(
         "page_id",
         redact_urls(F.col("url"), REDACT_HOST_PATTERN).alias("url"),
         redact_urls(F.col("html"), REDACT_HOST_PATTERN).alias("html"),
+        redact_urls(made, REDACT_HOST_PATTERN).alias("made"),
     )
 
 
@@ -440,30 +485,6 @@ def state_lookup_q(spark: SparkSession, root: str) -> DataFrame:
     return normalise_state_column(out, "postcode", "postcode_state")
 
 
-# ---- fuzzy text (T1, T4..T6): rows-only checks -------------------------------------
-
-
-@register("fuzzy_best_match")
-def fuzzy_best_match_q(spark: SparkSession, root: str) -> DataFrame:
-    ship_package(spark)
-    spec = get_spec("CUSTOMER")
-    dv = spec.dimension_values["segment"]
-    candidates = sorted(set(dv.values) | set(dv.values.values()))
-    c = spread(read_table(spark, root, "customer").select("c_custkey", "c_mktsegment"), UDF_BYTES_PER_TASK)
-    seg = F.col("c_mktsegment")
-    typo = F.lower(F.concat(F.substring(seg, 1, 3), F.expr("substring(c_mktsegment, 5)")))
-    src = c.select(F.col("c_custkey").alias("custkey"), typo.alias("query"))
-    best = best_match_col("query", candidates, cutoff=70)
-    return src.select("custkey", "query", best["match"].alias("match"), best["score"].alias("score"), close_matches_col("query", candidates).alias("close"))
-
-
-@register("catalogue_search")
-def catalogue_search_q(spark: SparkSession, root: str) -> DataFrame:
-    ship_package(spark)
-    conv = read_table(spark, root, "conversations").filter(F.col("role") == "user").select("conv_id", "turn", "text")
-    return search_table(conv, "text", entries_from_specs(load_all().values()), limit=3).drop("text")
-
-
 # ---- accumulation (G1), batch form ---------------------------------------------------
 
 
@@ -480,7 +501,7 @@ def accumulate_latest_q(spark: SparkSession, root: str) -> DataFrame:
 
 @register("header_period_table")
 def header_period_table_q(spark: SparkSession, root: str) -> DataFrame:
-    o = spread(read_table(spark, root, "orders").select("o_orderkey", "o_orderdate"))
+    o = read_table(spark, root, "orders").select("o_orderkey", "o_orderdate")
     d = F.col("o_orderdate")
     src = o.select(
         F.col("o_orderkey").alias("orderkey"),
@@ -509,10 +530,34 @@ def latest_default_sort_q(spark: SparkSession, root: str) -> DataFrame:
 # ---- API surfaces: measures by source name, JSON filters, ranked wildcard -----------
 
 
+@register("series_nested")
+def series_nested_q(spark: SparkSession, root: str) -> DataFrame:
+    """K2 nested: of the first 2,000 observations, each measure's length, ends and dimensions."""
+    nested = get_data(spark, "LINEITEM", root=root, limit=2000).nested_series()
+    first, last = F.col("observations")[0], F.element_at("observations", -1)
+    return nested.select(
+        "measure", "unit", F.size("observations").cast("long").alias("n_obs"), first["period"].alias("first_period"), first["value"].alias("first_value"),
+        last["period"].alias("last_period"), last["value"].alias("last_value"), last["dimensions"]["orderkey"].alias("last_orderkey"),
+    )
+
+
+@register("summary_full")
+def summary_full_q(spark: SparkSession, root: str) -> DataFrame:
+    """K4 with every column but the time stamp; the query text and framework as JSON."""
+    s = get_data(spark, "ORDERS", {"status": "filled"}, root=root, limit=50).summary
+    return s.withColumn("framework", F.to_json("framework")).drop("retrieved_at")
+
+
+@register("csv_output")
+def csv_output_q(spark: SparkSession, root: str) -> DataFrame:
+    """K3 through the format argument: the lines of the first 200 observations."""
+    return get_data(spark, "ORDERS", root=root, limit=200, fmt="csv").output()
+
+
 @register("measures_by_source")
 def measures_by_source_q(spark: SparkSession, root: str) -> DataFrame:
     """A source column name and a key, duplicates dropped."""
-    return get_data(spark, "LINEITEM", {"linestatus": "filled"}, ["l_tax", "quantity", "tax"], start_period="1999-Q4", root=root).records
+    return get_data(spark, "LINEITEM", None, ["l_tax", "quantity", "tax"], root=root).records
 
 
 @register("filters_json")

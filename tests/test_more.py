@@ -60,7 +60,11 @@ def test_permissive_value_check_and_hints(spark, root):
     hint = empty_result_hint(raw, spec, "priority", "1-URGNT", exprs["priority"])
     assert "1-URGENT" in hint
     year = spark.createDataFrame([("2019",), ("2021",)], "y string")
-    assert "AFTER" in empty_result_hint(year, spec, "y", "2030", F.col("y"))
+    for asked, place in (("2030", "after the last"), ("1999", "before the first"), ("2020", "without rows")):
+        hint = empty_result_hint(year, spec, "y", asked, F.col("y"))
+        assert place in hint and "2019 to 2021" in hint and "Close" not in hint
+    three = spark.createDataFrame([("alpha",), ("alpho",), ("alphx",), ("alphaa",), ("zzz",)], "y string")
+    assert "'alpha', 'alphaa', 'alpho'" in empty_result_hint(three, spec, "y", "alpha ", F.col("y"))
 
 
 def test_filters_as_json(spark, root):
@@ -109,7 +113,7 @@ def test_spec_validation():
         spec_from_dict({"id": "X", "name": "x", "layout": "diagonal", "columns": []})
     with pytest.raises(SpecError):
         spec_from_dict({"id": "X", "name": "x", "columns": [{"key": "a", "source": "A", "role": "id"}, {"key": "a", "source": "B", "role": "id"}]})
-    with pytest.raises(ValueError, match="Try one of"):
+    with pytest.raises(ValueError, match="is no measure of"):
         get_spec("ORDERS").resolve_measures("price")
     assert get_spec("ORDERS").resolve_measures(["o_totalprice", "total_price"]) == ["total_price"]
 

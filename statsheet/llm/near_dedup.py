@@ -4,7 +4,7 @@
    a class; from here on one document stands for its class.
 2. HyperMinHash: the hash range is cut into equal buckets, and a bucket keeps of
    its least hash the count of leading zeros and some mantissa bits, in 16 bits.
-   An empty bucket takes over the next one's register, so short documents have
+   An empty bucket borrows the register of a full one, so short documents have
    full signatures.  Registers are banded; band values are grouped with partial
    aggregation, and every class of a band is tied to its least member only.
 3. Ties join classes into candidate groups (``components``).  Only their members'
@@ -31,14 +31,15 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Out, cut_lineage, prepare, rows_of, shared_folder
+from .common import Out, cut_lineage, prepare, rows_of, shared_folder, slices
 from .components import components
 from .hashing import mix, prefix, ranges
 
@@ -125,9 +126,19 @@ def signature(shingle_set: np.ndarray, starts: np.ndarray) -> np.ndarray:
     # The mantissa from the integer itself: its bits below the leading one.
     bits = np.maximum(high.astype(np.int64) - 1 - MANTISSA, 0).astype(np.uint64)
     mantissa = ((value >> bits) & np.uint64((1 << MANTISSA) - 1)).astype(np.uint16)
-    registers = (zeros << MANTISSA) | mantissa
-    following = np.searchsorted(full, np.arange(len(starts))) % len(full)
-    return registers[following]
+    registers = np.empty(len(starts), np.uint16)
+    registers[full] = (zeros << MANTISSA) | mantissa
+    if len(full) < len(starts):
+        empty = np.setdiff1d(np.arange(len(starts)), full, assume_unique=True)
+        registers[empty] = registers[full[_lenders(len(starts))[np.ix_(empty, full)].argmin(axis=1)]]
+    return registers
+
+
+@lru_cache(maxsize=4)
+def _lenders(registers: int) -> np.ndarray:
+    """Fixed random ranks: an empty bucket borrows from the full one that ranks
+    first for it, so each borrowed register agrees as often as the sets do."""
+    return np.random.Generator(np.random.PCG64(registers)).integers(0, 1 << 32, (registers, registers), np.uint32)
 
 
 def band_hashes(registers: np.ndarray, bands: int, rows: int) -> np.ndarray:
@@ -221,11 +232,9 @@ def _with_sets(rows: DataFrame, rule: Rule) -> DataFrame:
     at = rows.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for i in range(0, b.num_rows, 2000):
-                c = b.slice(i, 2000)
-                sets = pa.array([shingles(t, rule.words).tobytes() for t in c.column(at).to_pylist()], pa.binary())
-                yield pa.RecordBatch.from_arrays([sets if k == at else c.column(k) for k in range(c.num_columns)], names=["shingles" if k == at else n for k, n in enumerate(c.schema.names)])
+        for c in slices(batches):
+            sets = pa.array([shingles(t, rule.words).tobytes() for t in c.column(at).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([sets if k == at else c.column(k) for k in range(c.num_columns)], names=["shingles" if k == at else n for k, n in enumerate(c.schema.names)])
 
     return rows.mapInArrow(run, ", ".join(f"{'shingles binary' if n == 'text' else f'{n} {k}'}" for n, k in rows.dtypes))
 
@@ -278,14 +287,15 @@ def link_documents(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id",
     # 2. Bands: each class is tied to the least class of its bucket.
     banded = able.join(classes.select(F.col("node").alias("doc_id"), F.col("set_key").alias("own_key")), "doc_id").where("set_key = own_key").select(F.col("doc_id").alias("node"), F.explode("bands").alias("band"))
     buckets = banded.groupBy("band").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least < most").select("band", "least")
-    ties = banded.join(buckets, "band").where("node <> least").select("node", "least").distinct()
-    groups = cut_lineage(components(ties))
+    ties = banded.join(buckets, "band").where("node <> least").select("node", "least")
+    groups = components(ties)
 
     # 3. Blocks of each candidate group.
     sizes = groups.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
     chunk, chunks = _chunk("node", "size", CHUNK, 1)
     member = groups.join(sizes, "component").select("node", F.col("component").alias("grp"), chunk.alias("chunk"), chunks.alias("chunks"), "size")
-    texts = _with_sets(rows.join(member, F.col("doc_id") == F.col("node")).select("node", "grp", "chunk", "chunks", "size", "text"), rule)
+    # Merge join at every size: broadcasting the members would hold only for small tables.
+    texts = _with_sets(rows.join(member.hint("merge"), F.col("doc_id") == F.col("node")).select("node", "grp", "chunk", "chunks", "size", "text"), rule)
     texts.write.parquet(f"{folder}/members")
     members = spark.read.parquet(f"{folder}/members")
     landmark = (F.col("chunks") > 1) & (F.pmod(F.xxhash64("node", F.lit(2)), F.col("size")) < LANDMARKS)
@@ -312,9 +322,21 @@ def link_documents(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id",
         ).alias("side"),
     ).select("node", "component", "side.*")
     second = _in_blocks(members.select("node", "shingles").join(sides, "node"), ["grp", "left", "right"], rule)
-    of_node = components(first.union(second))
+    of_node = components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).union(second))
 
     # Every row's class, its node, its component.
     found = signed.join(classes, "set_key", "left").join(of_node, "node", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node", "doc_id"))
     return found.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+
+
+def one_of_each(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one document of each component: the row of its least id
+    (of rows that repeat that id, the one whose text hashes least).  Rows with a
+    null id all stay."""
+    linked = link_documents(docs, rule, id_col, text_col)
+    dropped = linked.where("not kept").select(F.col("doc_id").alias("_dropped")).distinct()
+    order = Window.partitionBy(id_col).orderBy(F.xxhash64(text_col))
+    named = docs.where(F.col(id_col).isNotNull()).join(dropped, F.col(id_col).cast("bigint") == F.col("_dropped"), "left_anti")
+    first = named.withColumn("_place", F.row_number().over(order)).where("_place = 1").drop("_place")
+    return first.union(docs.where(F.col(id_col).isNull()))

@@ -80,11 +80,18 @@ def make_folder(uri: str) -> None:
 
 
 def rows_of(batches: Iterable[pa.RecordBatch], *columns: str) -> Iterator[Iterator[tuple]]:
-    """For each Arrow batch, its rows as tuples of Python values."""
-    for b in batches:
+    """The rows as tuples of Python values, in runs of bounded length."""
+    for b in slices(batches):
         yield zip(*(b.column(b.schema.get_field_index(c)).to_pylist() for c in columns))
 
 
+def slices(batches: Iterable[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Cut batches, so that only so many rows are Python values at a time."""
+    for b in batches:
+        for i in range(0, b.num_rows, rows):
+            yield b.slice(i, rows)
+
+
 class Out:
     """Collects output columns and cuts them into Arrow batches of bounded size."""
 

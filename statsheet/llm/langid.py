@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Out, cut_lineage, prepare, rows_of
+from .common import Out, cut_lineage, prepare, rows_of, slices
 
 PROFILE = 400  # n-grams of a profile
 #: Learn from about this many rows of each language (drawn by a hash of the id).
@@ -214,7 +214,7 @@ def accept(docs: DataFrame, profiles: Profiles, least_score: float, text_col: st
             lang, score = p.predict(text)
             return lang != UNKNOWN and score >= least_score
 
-        for b in batches:
+        for b in slices(batches):
             yield b.filter(pa.array(list(map(good, b.column(at).to_pylist())), pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -8,8 +8,8 @@ score.  The trees are flattened into numpy node arrays and score a batch of
 documents in one vectorised descent.
 
 Defined cases: a null text has no words, so it fails the base rules.  Labels
-that are null, or whose document is missing, are not learned from; a document
-labelled twice counts twice.  Without labels of both kinds every document that
+that are null, or whose document is missing, are not learned from; a repeated
+label, or a repeated text with it, counts once.  Without labels of both kinds every document that
 passes the base rules is kept.  Repeated rows are judged alike.
 """
 
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Out, prepare, rows_of
+from .common import Out, prepare, rows_of, slices
 
 LEAST_WORDS = 10
 MOST_REPEATED = 20  # percent of the words
@@ -216,7 +216,7 @@ def judge(docs: DataFrame, model: Trees | None, id_col: str = "doc_id", text_col
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Trees | None:
     """Train on a bounded sample of labelled documents; None without both labels."""
-    own = labels.selectExpr(f"cast(`{id_col}` as bigint) as label_doc", f"cast(`{label_col}` as int) as good").where("label_doc is not null and good in (0, 1)")
+    own = labels.selectExpr(f"cast(`{id_col}` as bigint) as label_doc", f"cast(`{label_col}` as int) as good").where("label_doc is not null and good in (0, 1)").distinct()
     n = own.count()
     if not n:
         return None
@@ -224,7 +224,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str =
         own = own.where(F.pmod(F.xxhash64("label_doc"), F.lit(1 << 20)) < F.lit(-(-(sample << 20) // n)))
     # About ``sample`` rows of two numbers each: a bounded broadcast.
     chosen = docs.selectExpr(f"cast(`{id_col}` as bigint) doc_id", f"cast(`{text_col}` as string) text").join(F.broadcast(own), F.col("doc_id") == F.col("label_doc"))
-    both = chosen.selectExpr("cast(good as bigint) as doc_id", "text")  # the label travels as the id
+    # The label travels as the id; copies of one row, however many, count once.
+    both = chosen.selectExpr("cast(good as bigint) as doc_id", "text").distinct()
     rows = judge(both, None).select("doc_id", "features").collect()
     y = np.array([r["doc_id"] for r in rows], float)
     if len(set(y)) < 2:
@@ -242,7 +243,7 @@ def accept(docs: DataFrame, model: Trees | None, threshold: float = THRESHOLD, t
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             found = [statistics(t) for t in b.column(at).to_pylist()]
             if found:
                 good = _scored(shipped.value, [f for _, f in found]) >= threshold

@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare, rows_of, shared_folder
+from .common import prepare, rows_of, shared_folder, slices
 from .hashing import mix, prefix, ranges, windows
 
 LENGTH = 200
@@ -314,7 +314,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, id_c
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             texts = [t if t is None or p is None else _kept(t.encode(), p, length)[0].decode(errors="ignore") for t, p in zip(b.column(at).to_pylist(), b.column(b.num_columns - 1).to_pylist())]
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if k == at else b.column(k) for k in range(b.num_columns - 1)], names=b.schema.names[:-1])
 

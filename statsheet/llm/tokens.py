@@ -21,8 +21,8 @@ from pyspark import Broadcast
 from pyspark.sql import SparkSession
 
 MAX_VOCABULARY_BYTES = 64 << 20
-MEMO_ENTRIES = 500_000
-MEMO_LENGTH = 14
+MEMO_ENTRIES = 400_000
+MEMO_LENGTH = 13
 
 _L = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xffŒœ"
 _N = "0-9\xb2\xb3\xb9\xbc-\xbe"
@@ -67,21 +67,34 @@ def _byte_letters() -> dict[int, str]:
 
 
 class _Memo(dict):
-    """Pre-token -> ids.  A missing one goes to the library's merge model; a
-    full memo starts anew, and long pre-tokens, which seldom come again, are
-    not kept."""
+    """Pre-token -> ids.  A missing one goes to the library's merge model.
+
+    Long pre-tokens seldom come again and are not kept.  A full memo takes no
+    more, since the frequent ones are in it; when very many have been missing
+    since, the texts have changed and it starts anew.
+    """
 
     def __init__(self, library):
         super().__init__()
         self.tokenize = library.model.tokenize
         self.letters = _byte_letters()
+        self.space = self.letters[32]
+        self.missed = 0
 
     def __missing__(self, piece: str) -> bytes:
-        ids = array("I", [t.id for t in self.tokenize(piece.encode().decode("latin-1").translate(self.letters))]).tobytes()
+        if piece.isascii() and piece.isprintable():
+            letters = piece.replace(" ", self.space)
+        else:
+            letters = piece.encode().decode("latin-1").translate(self.letters)
+        ids = array("I", [t.id for t in self.tokenize(letters)]).tobytes()
         if len(piece) <= MEMO_LENGTH:
-            if len(self) >= MEMO_ENTRIES:
-                self.clear()
-            self[piece] = ids
+            if len(self) < MEMO_ENTRIES:
+                self[piece] = ids
+            else:
+                self.missed += 1
+                if self.missed > 10 * MEMO_ENTRIES:
+                    self.missed = 0
+                    self.clear()
         return ids
 
 

@@ -2,7 +2,7 @@ import random
 from collections import Counter
 
 import pytest
-from conftest import rows
+from brute import docs, rows  # noqa: F401
 from statsheet.llm import langid
 from statsheet.llm.langid import UNKNOWN, Profiles, accept, learn, ngrams, predict
 

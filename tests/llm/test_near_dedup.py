@@ -1,8 +1,7 @@
 import random
 
 import numpy as np
-from brute import near_components, shingle_set, words
-from conftest import rows
+from brute import docs, near_components, rows, shingle_set, words  # noqa: F401
 from statsheet.llm import near_dedup
 from statsheet.llm.hashing import mix
 from statsheet.llm.near_dedup import Rule, estimate, link_documents, links_of_block, one_of_each, shingles, signature

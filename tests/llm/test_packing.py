@@ -4,6 +4,7 @@ from collections import Counter
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from brute import docs  # noqa: F401
 from statsheet.llm.packing import Packer, pack, powers_of_two, step_groups
 from statsheet.llm.queries import vocabulary_path
 from statsheet.llm.tokens import Encoder

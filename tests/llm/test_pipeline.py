@@ -1,6 +1,6 @@
 import corpus_pipeline
 import zlib
-from brute import near_components, repeats
+from brute import docs, near_components, repeats  # noqa: F401
 from statsheet.llm import langid, quality
 from statsheet.llm.tokens import Encoder
 from statsheet.llm.queries import REGISTRY, SQL, vocabulary_path
@@ -17,7 +17,7 @@ def test_run_against_plain_stages(spark, root):
     profiles = langid.learn(docs)
     left = {i: t for i, t in data.items() if (p := profiles.predict(t))[0] != langid.UNKNOWN and p[1] >= corpus_pipeline.LEAST_SCORE}
     labels = [r for r in spark.read.parquet(f"{root}/labels.parquet").collect() if r["doc_id"] in left]
-    x = [(quality.statistics(left[r["doc_id"]])[1], float(r["quality"])) for r in labels]
+    x = [(quality.statistics(t)[1], float(q)) for q, t in {(r["quality"], left[r["doc_id"]]) for r in labels}]
     import numpy as np
 
     xs, ys = np.array([a for a, _ in x]), np.array([b for _, b in x])

@@ -2,7 +2,7 @@ import math
 import random
 
 import numpy as np
-from conftest import rows
+from brute import rows
 from statsheet.llm.pivot_index import best, search
 
 

@@ -1,8 +1,7 @@
 import random
 
 import numpy as np
-from brute import WORD
-from conftest import rows
+from brute import WORD, docs, rows  # noqa: F401
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from statsheet.llm.quality import FEATURES, accept, base_failed, fit, judge, repeated_words, statistics, train

@@ -6,7 +6,7 @@ import zlib
 from array import array
 
 import pytest
-from conftest import rows
+from brute import docs, rows  # noqa: F401
 from statsheet.llm.queries import vocabulary_path
 from statsheet.llm.records import frame, masked_crc, read_at, read_index, read_record, read_records, write_records
 from statsheet.llm.tokens import Encoder

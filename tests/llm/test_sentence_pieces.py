@@ -4,7 +4,7 @@ import re
 import pytest
 import sentencepiece
 from array import array
-from conftest import rows
+from brute import docs, rows  # noqa: F401
 from statsheet.llm.queries import vocabulary_path
 from statsheet.llm.sentence_pieces import MARK, Coder, Model, Search, decode_ids, encode, encode_texts
 

@@ -2,8 +2,7 @@ import random
 
 import numpy as np
 import pytest
-from brute import repeats, words
-from conftest import rows
+from brute import docs, repeats, rows, words  # noqa: F401
 from statsheet.llm import suffix_dedup
 from statsheet.llm.suffix_dedup import anchors, find_repeats, remove_repeats, removed, string_hashes, unpack
 

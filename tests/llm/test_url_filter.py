@@ -1,6 +1,6 @@
 import re
 
-from conftest import rows
+from brute import rows
 from statsheet.llm.queries import URL_RULES
 from statsheet.llm.url_filter import Judge, Rule, Vocabulary, judge_urls, split_url
 

@@ -6,7 +6,7 @@ import os
 import tempfile
 
 import pytest
-from conftest import rows
+from brute import rows
 from statsheet.llm.warc import info_record, page_record, read_archive, read_archives, write_archives
 
 

@@ -61,10 +61,10 @@ def extract_hrefs(html: Column | str, extension: str | None = "xlsx") -> Column:
     return F.regexp_extract_all(_col(html), F.lit(pat), 1)
 
 
-def _month_number(name: Column) -> Column:
-    """Month number of a month name (any case) by one lookup in a literal map."""
-    lookup = F.create_map(*[x for k, v in MONTH_NUMBERS.items() for x in (F.lit(k), F.lit(v))])
-    return F.coalesce(lookup[F.lower(name)], F.lit(0))
+def _month_number(prefix: Column) -> Column:
+    """Month number by the first three letters of a name (any case)."""
+    lookup = F.create_map(*[x for k, v in MONTH_NUMBERS.items() if len(k) == 3 for x in (F.lit(k), F.lit(v))])
+    return F.coalesce(lookup[F.lower(prefix)], F.lit(0))
 
 
 def _year_month_score(acc: Column, y: Column, m: Column) -> Column:
@@ -84,13 +84,19 @@ def filename_date_score(name: Column | str) -> Column:
     """
     s = _col(name)
 
-    def best(pattern: str, month) -> Column:
-        """Largest score over all matches; groups 1 and 2 of each are read once."""
-        pairs = F.arrays_zip(*(F.regexp_extract_all(s, F.lit(pattern), k).alias(n) for k, n in ((1, "x"), (2, "y"))))
-        return F.aggregate(pairs, F.lit(0), lambda acc, p: month(acc, p["x"], p["y"]))
+    def best(pattern: str, score) -> Column:
+        """Largest score over all matches, each read by position, not by another regex."""
+        return F.aggregate(F.regexp_extract_all(s, F.lit(pattern), F.lit(0)), F.lit(0), score)
 
-    named = best(MONTH_NAME_PATTERN, lambda acc, word, year: F.greatest(acc, year.cast("int") * 100 + _month_number(word)))
-    numeric = best(YEAR_MONTH_PATTERN, lambda acc, year, month: _year_month_score(acc, year.cast("int"), month.cast("int")))
+    def month_name(acc: Column, x: Column) -> Column:
+        # A match is: one other character or none, the month's name, ..., the
+        # year, one other character or none.
+        start = F.when(F.lower(F.left(x, F.lit(1))).between("a", "z"), 1).otherwise(2)
+        end = F.when(F.right(x, F.lit(1)).between("0", "9"), F.length(x) - 3).otherwise(F.length(x) - 4)
+        return F.greatest(acc, F.substring(x, end, F.lit(4)).cast("int") * 100 + _month_number(F.substring(x, start, F.lit(3))))
+
+    named = best(MONTH_NAME_PATTERN, month_name)
+    numeric = best(YEAR_MONTH_PATTERN, lambda acc, x: _year_month_score(acc, F.substring(x, 1, 4).cast("int"), F.substring(x, 6, 2).cast("int")))
     bare = F.aggregate(
         F.regexp_extract_all(s, F.lit(BARE_YEAR_PATTERN), 1),
         F.lit(0),

@@ -180,48 +180,31 @@ class _Book:
                 yield r, [cells.get(i) for i in range(width)]
 
 
-def _period_text(cell: str | None) -> str | None:
-    if cell is None:
-        return None
-    s = cell.strip()
-    return s[:10] if len(s) >= 10 and s[4] == "-" and s[7] == "-" else s
-
-
-def _row_skipper(skip: dict | None):
-    """A predicate telling which data rows to drop while decoding.
+def within_periods(rows: Iterator[tuple[int, list]], skip: dict | None) -> Iterator[tuple[int, list]]:
+    """A sheet's rows without the data rows outside a period range.
 
-    ``skip`` = {header_row, data_start_row, column, start, end}: once the
-    header row is seen, the period column is located by its normalised name;
-    data rows whose period text (ISO prefix) falls outside [start, end] are
-    dropped before they are buffered.  Nulls are dropped too.
-    """
-    if not skip or not (skip.get("start") or skip.get("end")):
-        return None
+    ``skip`` holds header_row, data_start_row, column, start and end (ISO).
+    The header row says where the period stands; without such a column every
+    row passes.  A data row without a period does not."""
     from ..functions.coerce import normalize_header
 
-    state: dict = {"idx": None}
-    target = skip["column"].strip().lower()
-    header_row = skip["header_row"]
-    first_data = skip.get("data_start_row") or header_row + 1
-    lo, hi = skip.get("start"), skip.get("end")
-
-    def keep(r: int, cells: list) -> bool:
-        if r == header_row:
-            for i, c in enumerate(cells):
-                n = normalize_header(c)
-                if isinstance(n, str) and n.lower() == target:
-                    state["idx"] = i
-                    break
-            return True
-        if r < first_data or state["idx"] is None:
-            return True
-        i = state["idx"]
-        iso = _period_text(cells[i] if i < len(cells) else None)
-        if iso is None:
-            return False
-        return not ((lo and iso < lo) or (hi and iso > hi))
-
-    return keep
+    low, high = ((skip or {}).get(k) or "" for k in ("start", "end"))
+    if not (low or high):
+        yield from rows
+        return
+    name, head = skip["column"].strip().lower(), skip["header_row"]
+    data = skip.get("data_start_row") or head + 1
+    place: int | None = None
+    for number, cells in rows:
+        if number == head:
+            titles = [str(normalize_header(c)).lower() for c in cells]
+            place = titles.index(name) if name in titles else None
+        elif place is not None and number >= data:
+            period = (cells[place] or "").strip() if place < len(cells) else ""
+            day = period[:10] if period[4:8:3] == "--" else period
+            if not day or day < low or (high and day > high):
+                continue
+        yield number, cells
 
 
 def _problem(e: Exception) -> str:
@@ -245,11 +228,8 @@ def decode_workbooks(
                 yield flush([(path, None, None, None, _problem(e))])
                 continue
             for sheet in sheets if sheets is not None else list(book.sheets):
-                keep = _row_skipper(skip)
                 try:
-                    for r, cells in book.rows(sheet):
-                        if keep is not None and not keep(r, cells):
-                            continue
+                    for r, cells in within_periods(book.rows(sheet), skip):
                         buf.append((path, sheet, r, cells, None))
                         if len(buf) >= BATCH_ROWS:
                             yield flush(buf)
@@ -289,7 +269,7 @@ def read_workbooks(
     """S1 over many files: the grid of every (file, sheet), error rows included.
 
     ``skip`` optionally drops data rows outside a period range while decoding
-    (see :func:`_row_skipper`); the caller still applies the exact filter.
+    (see :func:`within_periods`); the caller still applies the exact filter.
     """
     from ..session import ship_package
 

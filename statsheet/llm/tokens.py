@@ -21,7 +21,7 @@ from pyspark import Broadcast
 from pyspark.sql import SparkSession
 
 MAX_VOCABULARY_BYTES = 64 << 20
-MEMO_ENTRIES = 400_000
+MEMO_ENTRIES = 300_000
 MEMO_LENGTH = 13
 
 _L = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xffŒœ"

@@ -1,8 +1,10 @@
 import re
 
+import pyarrow.parquet as pq
+import pytest
 from brute import rows
 from statsheet.llm.queries import URL_RULES
-from statsheet.llm.url_filter import Judge, Rule, Vocabulary, judge_urls, split_url
+from statsheet.llm.url_filter import SOFT, STRICT, Judge, Rule, Vocabulary, forms, judge_urls, split_url
 
 
 def test_split_url():
@@ -39,3 +41,26 @@ def test_nulls_repeats_empty_and_clashing_columns(spark):
     got = rows(judge_urls(df, URL_RULES), "page_id", "host", "path", "rule", "verdict")
     assert got == [(None, "a.com", "/de/x", "com/de/", "block"), (1, "", "", None, "allow"), (2, "", "", None, "allow"), (2, "", "", None, "allow"), (3, "", "", None, "block")]
     assert judge_urls(df.limit(0), (Rule("a", "/", "block"),)).count() == 0
+
+
+def test_forms_of_a_word_are_one_term():
+    assert forms("casino") == ["casino"] and forms("bet(s|ting)?") == ["bets", "betting", "bet"] and forms("gambl(e|ing)") == ["gamble", "gambling"]
+    for bad in ("", "a|b", "(s)?", "bet(s|ting", "bet?"):
+        with pytest.raises(ValueError):
+            forms(bad)
+    j = Judge((), Vocabulary(strict=(), soft=("loan(s)?", "payday", "day"), soft_limit=2))
+    assert j.hits("http://bank.net/loans/car-loan") == (0, 1) and j.hits("http://bank.net/payday-loans") == (0, 2) and j.hits("http://loaned.net") == (0, 0)
+
+
+def test_shipped_vocabulary_blocks_and_spares():
+    words = [w for t in STRICT + SOFT for w in forms(t)]
+    assert len(words) == len(set(words)) > 350 and all(w == w.lower() and w.isalnum() for w in words)
+    j = Judge((), Vocabulary())
+    for url in ["http://lucky-sportsbook.net/", "http://x.net/roulette/bonus?bets=1", "http://x.net/buy-cialis", "http://rx-pills.net/", "http://x.net/naked/webcams", "http://pornos.net", "http://x.net/banner/tracking.gif", "http://x.net/torrents/cracked", "http://x.net/spam/backlinks", "http://x.net/trojan-spyware"]:
+        assert j.judge(url)[3] == "block", url
+    for url in ["http://a.net/free-download", "http://a.net/cheap-sale", "http://bank.net/loans/car-loan", "http://a.net/tracks/track-1", "http://essex.net/adult-education", "http://a.net/spam-filter", "http://alphabets.net/", "http://a.net/en/1.html?utm_source=feed"]:
+        assert j.judge(url)[3] == "allow", url
+    # the given table has URLs that no rule decides and the vocabulary blocks
+    urls = pq.read_table("/root/testdata/sf0.1/pages.parquet", columns=["url"]).column(0).to_pylist()
+    judged = list(map(Judge(URL_RULES, Vocabulary()).judge, urls))
+    assert any(r[2] is None and r[3] == "block" for r in judged)

@@ -8,7 +8,8 @@ different pre-token come from the library once and are kept in a bounded memo.
 That path is taken only by texts made of characters whose classes (letter,
 number, space) are the same in every Unicode version, and only for the two
 pre-token rules known here; any other text or tokenizer goes through the
-library whole.
+library whole.  So does a text that holds one of the file's added tokens
+(``<|endoftext|>``), which the library reads as one id.
 """
 
 from __future__ import annotations
@@ -108,8 +109,12 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_str(spec)
-        self.library.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.pattern, self.lower = _pattern(json.loads(spec))
+        rules = json.loads(spec)
+        self.pattern, self.lower = _pattern(rules)
+        added = [t for t in rules.get("added_tokens") or [] if t["content"]]
+        if rules.get("normalizer") and any(t.get("normalized") for t in added):
+            self.pattern = None  # these are looked for in the normalized text
+        self.added = re.compile("|".join(re.escape(t["content"]) for t in added) or r"(?!)")
         if self.pattern is not None:
             self.memo = _Memo(self.library)
 
@@ -117,7 +122,7 @@ class Encoder:
         return array("I", self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes()
 
     def ids(self, text: str) -> bytes:
-        if self.pattern is None or _ODD.search(text):
+        if self.pattern is None or self.added.search(text) or _ODD.search(text):
             return self.whole(text)
         return b"".join(map(self.memo.__getitem__, self.pattern.findall(text.lower() if self.lower else text)))
 

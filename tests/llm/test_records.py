@@ -1,4 +1,5 @@
 import io
+import json
 import os
 import struct
 import tempfile
@@ -10,6 +11,7 @@ from brute import docs, rows  # noqa: F401
 from statsheet.llm.queries import vocabulary_path
 from statsheet.llm.records import frame, masked_crc, read_at, read_index, read_record, read_records, write_records
 from statsheet.llm.tokens import Encoder
+from tokenizers import Tokenizer
 
 TEXTS = ["Hello  world, it's 3 o'clock.\n\n Ärger über Maß", "", "a b\t\tc \n", "日本語 mixed тест ﬁ", "x" * 3000, " lead  and trail  ", "don't'll  ²½ £5 «q»\r\nœuvre", "<|endoftext|> a"]
 
@@ -24,6 +26,29 @@ def test_memo_gives_the_librarys_ids(name):
     assert [e.ids(t) for t in TEXTS] == [e.whole(t) for t in TEXTS]
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_ids_are_those_of_an_untouched_tokenizer(name):
+    path = vocabulary_path(name)
+    plain, e = Tokenizer.from_file(path), Encoder(open(path, encoding="utf-8").read())
+    added = [t["content"] for t in json.loads(open(path, encoding="utf-8").read())["added_tokens"]]
+    texts = TEXTS + [x for t in added for x in (t, f"ab{t}cd", f"one {t}\n{t} two", f"é {t.upper()} {t[:-1]}", f"日本{t}")]
+    assert added
+    for t in texts * 2:
+        assert array("I", e.ids(t)).tolist() == plain.encode(t, add_special_tokens=False).ids, t
+    for t in added:
+        assert len(e.ids(t)) == 4
+
+
+def test_added_tokens_of_the_normalized_text():
+    path = vocabulary_path("word_bpe_49k.json")
+    spec = json.loads(open(path, encoding="utf-8").read())
+    spec["added_tokens"] = [{**t, "normalized": True, "special": False} for t in spec["added_tokens"]]
+    text = json.dumps(spec)
+    plain, e = Tokenizer.from_str(text), Encoder(text)
+    for t in TEXTS + ["a <|ENDOFTEXT|> b"]:
+        assert array("I", e.ids(t)).tolist() == plain.encode(t, add_special_tokens=False).ids, t
+
+
 def test_frames_round_trip_and_damage_raises():
     many = struct.pack("<3I", 1, 2, 70000)
     data = frame(-5, struct.pack("<2I", 7, 65535)) + frame(None, b"") + frame(2**62, many)

@@ -32,6 +32,10 @@ PROFILE = 400  # n-grams of a profile
 SAMPLE_PER_LANGUAGE = 5000
 MAX_LANGUAGES = 500
 UNKNOWN = "und"
+#: Least scores lie this far under this quantile of the learned rows' scores.
+LOW, MARGIN = 0.001, 0.1
+LEAST_ROWS = 100  # for a quantile
+_STEPS = 1000  # of scores in a histogram
 
 _PIECE = 1 << 20
 _BITS = 21  # a code point plus one, so three fit into 63 bits
@@ -111,9 +115,13 @@ class Profiles:
         return Profiles(languages, keys, ranks, size)
 
     def predict(self, text: str | None) -> tuple[str, float]:
+        return self.nearest(text)[:2]
+
+    def nearest(self, text: str | None) -> tuple[str, float, int]:
+        """(language, score, n-grams ranked)."""
         keys, counts = ngrams(text or "")
         if not len(keys) or not self.languages:
-            return UNKNOWN, 0.0
+            return UNKNOWN, 0.0, len(keys)
         own = ranked(keys, counts, self.size)
         at = np.minimum(np.searchsorted(self.keys, own), len(self.keys) - 1)
         known = self.keys[at] == own
@@ -122,25 +130,31 @@ class Profiles:
         out = np.where(here < self.size, np.abs(here - place), self.size)
         distance = out.sum(axis=0, dtype=np.int64) + self.size * int((~known).sum())
         best = int(np.argmin(distance))
-        return self.languages[best], float(1 - distance[best] / (self.size * len(own)))
+        return self.languages[best], float(1 - distance[best] / (self.size * len(own))), len(own)
 
 
 _COUNTS = pa.schema([("lang", pa.string()), ("gram", pa.int64()), ("n", pa.int64())])
 
 
-def learn(labelled: DataFrame, size: int = PROFILE, sample_per_language: int = SAMPLE_PER_LANGUAGE, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Profiles:
-    """Profiles from the labelled rows' texts; a bounded sample of each language."""
-    spark = labelled.sparkSession
-    prepare(spark)
+def _sample(labelled: DataFrame, per_language: int, id_col: str, text_col: str, lang_col: str) -> tuple[DataFrame, list[str]]:
+    """The rows (lang, text) to learn from, and the languages."""
     rows = labelled.selectExpr(f"cast(`{id_col}` as bigint) doc_id", f"cast(`{text_col}` as string) text", f"cast(`{lang_col}` as string) lang").where("lang is not null and text is not null")
     sizes = rows.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()
     if len(sizes) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} different values: {lang_col} holds no language names")
     if not sizes:
-        return Profiles.of({}, size)
+        return rows.select("lang", "text"), []
     # A row is in if its hash falls under its language's share of 2**20.
-    share = F.create_map(*(F.lit(x) for r in sizes for x in (r["lang"], min(1 << 20, -(-(sample_per_language << 20) // r["count"])))))
-    sample = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share[F.col("lang")])
+    share = F.create_map(*(F.lit(x) for r in sizes for x in (r["lang"], min(1 << 20, -(-(per_language << 20) // r["count"])))))
+    return rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share[F.col("lang")]).select("lang", "text"), [r["lang"] for r in sizes]
+
+
+def learn(labelled: DataFrame, size: int = PROFILE, sample_per_language: int = SAMPLE_PER_LANGUAGE, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Profiles:
+    """Profiles from the labelled rows' texts; a bounded sample of each language."""
+    prepare(labelled.sparkSession)
+    sample, languages = _sample(labelled, sample_per_language, id_col, text_col, lang_col)
+    if not languages:
+        return Profiles.of({}, size)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list] = {}
@@ -167,9 +181,9 @@ def learn(labelled: DataFrame, size: int = PROFILE, sample_per_language: int = S
                         load = 0
         yield from flush()
 
-    counts = cut_lineage(sample.select("lang", "text").mapInArrow(count, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n")))
+    counts = cut_lineage(sample.mapInArrow(count, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     # The model itself: ``size`` rows of each language.
-    profiles = {r["lang"]: [x["gram"] for x in counts.where(F.col("lang") == r["lang"]).orderBy(F.desc("n"), "gram").limit(size).collect()] for r in sizes}
+    profiles = {lang: [x["gram"] for x in counts.where(F.col("lang") == lang).orderBy(F.desc("n"), "gram").limit(size).collect()] for lang in languages}
     return Profiles.of(profiles, size)
 
 
@@ -195,7 +209,71 @@ def predict(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_co
     return docs.selectExpr(f"cast(`{id_col}` as bigint) doc_id", f"cast(`{text_col}` as string) text").mapInArrow(run, "doc_id bigint, lang_pred string, score double")
 
 
-def accept(docs: DataFrame, profiles: Profiles, least_score: float, text_col: str = "text") -> DataFrame:
+@dataclass
+class Least:
+    """The least score of a text that reads as a language, by the number of its
+    n-grams (short texts score differently)."""
+
+    of: dict[tuple[str, int], float]  # language, bit length of the number
+    otherwise: dict[str, float]
+    floor: float
+
+    def __call__(self, lang: str, grams: int) -> float:
+        return self.of.get((lang, grams.bit_length()), self.otherwise.get(lang, self.floor))
+
+
+_SCORES = pa.schema([("lang", pa.string()), ("bits", pa.int32()), ("step", pa.int32())])
+
+
+def least_scores(labelled: DataFrame, profiles: Profiles, floor: float, sample_per_language: int = SAMPLE_PER_LANGUAGE, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Least:
+    """Least scores from the rows that were learned from and read as their own
+    language: their ``LOW`` quantile less ``MARGIN``, and ``floor`` at least.
+    A language or size with too few rows takes the wider group's quantile, or
+    its own lowest score where that is lower."""
+    prepare(labelled.sparkSession)
+    sample, languages = _sample(labelled, sample_per_language, id_col, text_col, lang_col)
+    model = labelled.sparkSession.sparkContext.broadcast(profiles)
+
+    def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out, p = Out(_SCORES), model.value
+        for part in rows_of(batches, "lang", "text"):
+            for lang, text in part:
+                found, score, grams = p.nearest(text)
+                if found == lang:
+                    out.add(lang, grams.bit_length(), int(score * _STEPS))
+                    if out.full():
+                        yield out.take()
+        yield out.take()
+
+    # A histogram: at most languages * sizes * steps rows.
+    steps = sample.mapInArrow(scores, "lang string, bits int, step int").groupBy("lang", "bits", "step").count().collect() if languages else []
+
+    def low(rows: list, wider: float | None) -> float | None:
+        n = {}
+        for r in rows:
+            n[r["step"]] = n.get(r["step"], 0) + r["count"]
+        total, below = sum(n.values()), 0
+        if not total or total < LEAST_ROWS and wider is None:
+            return wider
+        if total < LEAST_ROWS:
+            return min(wider, min(n) / _STEPS)
+        for step in sorted(n):
+            below += n[step]
+            if below > LOW * total:
+                return step / _STEPS
+
+    def less(x: float | None) -> float:
+        return floor if x is None else max(floor, x - MARGIN)
+
+    every = low(steps, None)
+    own = {lang: low([r for r in steps if r["lang"] == lang], every) for lang in languages}
+    sizes = {(r["lang"], r["bits"]): [] for r in steps}
+    for r in steps:
+        sizes[r["lang"], r["bits"]].append(r)
+    return Least({k: less(low(rows, own[k[0]])) for k, rows in sizes.items()}, {k: less(x) for k, x in own.items()}, floor)
+
+
+def accept(docs: DataFrame, profiles: Profiles, least_score: float | Least, text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, whose text reads as a learned language
     with at least that score; where no language was learned, those with a
     letter.  The text goes to Python beside the row, so the filter needs no join
@@ -211,8 +289,8 @@ def accept(docs: DataFrame, profiles: Profiles, least_score: float, text_col: st
         def good(text: str | None) -> bool:
             if not p.languages:
                 return bool(len(ngrams(text or "")[0]))
-            lang, score = p.predict(text)
-            return lang != UNKNOWN and score >= least_score
+            lang, score, grams = p.nearest(text)
+            return lang != UNKNOWN and score >= (least_score(lang, grams) if isinstance(least_score, Least) else least_score)
 
         for b in slices(batches):
             yield b.filter(pa.array(list(map(good, b.column(at).to_pylist())), pa.bool_()))

@@ -78,3 +78,18 @@ def test_edges(spark, docs):
     assert predict(df.limit(0), profiles).count() == 0
     with pytest.raises(ValueError):
         learn(spark.range(langid.MAX_LANGUAGES + 1).selectExpr("id doc_id", "'a' text", "cast(id as string) lang"))
+
+
+def test_least_scores_by_language_and_size(spark, docs):
+    rng = random.Random(8)
+    long = [(i, " ".join(rng.choice(("the", "dog", "cat", "house", "and", "then")) for _ in range(40)), "en") for i in range(150)]
+    rare = [(200 + i, " ".join(rng.choice(("der", "hund", "katze")) for _ in range(n)), "de") for i, n in enumerate((1, 2, 30, 40))]
+    df = docs(long + rare)
+    p = learn(df)
+    least = langid.least_scores(df, p, 0.05)
+    own = sorted(p.nearest(t)[1] for _, t, _ in long)
+    bits = p.nearest(long[0][1])[2].bit_length()
+    assert abs(least("en", (1 << bits) - 1) - (own[0] - langid.MARGIN)) <= 2 / langid._STEPS
+    assert rows(accept(df, p, least), "doc_id") == [(i,) for i, *_ in long + rare]  # all that was learned from stays
+    assert least("xx", 5) == 0.05 and langid.least_scores(docs(rare), learn(docs(rare)), 0.05)("de", 50) == 0.05
+    assert langid.least_scores(df.limit(0), p, 0.2)("en", 50) == 0.2

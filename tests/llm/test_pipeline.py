@@ -53,3 +53,16 @@ def test_stages_keep_columns_and_take_empty_tables(spark, docs):
             out = stage(spark, some, "/root/testdata/sf0.001")
             assert out.columns == df.columns and out.dtypes == df.dtypes
             out.collect()
+
+
+def test_language_stage_rejects_languages_that_were_not_learned(spark, root):
+    table = spark.read.parquet(f"{root}/documents.parquet")
+    strange = {
+        -1: "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, ja heidän on toimittava toisiaan kohtaan veljeyden hengessä.",
+        -2: "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana sahiptirler ve birbirlerine karşı kardeşlik zihniyeti ile hareket etmelidirler.",
+        -3: "asdf qwerty zxcv asdf hjkl " * 20,
+    }
+    more = spark.createDataFrame([(i, t, None, "x", len(t)) for i, t in strange.items()], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    df = table.unionByName(more.select(*[more[c].cast(table.schema[c].dataType).alias(c) for c in table.columns]))
+    got = sorted(r["doc_id"] for r in corpus_pipeline.language(spark, df, root).select("doc_id").collect())
+    assert got == sorted(r["doc_id"] for r in table.select("doc_id").collect())

@@ -277,8 +277,9 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def _places(docs: DataFrame, length: int, seed: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     keyed = _keyed(docs, id_col, text_col)
+    # Rows that repeat id and text share a uid; a set holds its runs once for all of them.
     runs = repeated_runs(keyed.select(F.col("_uid").alias("uid"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")), length, seed)
-    return keyed, runs.groupBy("uid").agg(F.collect_list("place").alias("_places")).withColumnRenamed("uid", "_uid")
+    return keyed, runs.groupBy("uid").agg(F.collect_set("place").alias("_places")).withColumnRenamed("uid", "_uid")
 
 
 def _kept(data: bytes, places, length: int) -> tuple[bytes, np.ndarray, np.ndarray]:

@@ -68,3 +68,12 @@ def test_edges(spark, docs):
     assert find_repeats(docs(data).limit(0), 50, 12).count() == 0
     with pytest.raises(ValueError):
         find_repeats(docs(data), 50, 50)
+
+
+def test_repeated_rows_hold_their_runs_once(spark, docs):
+    text = words(random.Random(9), 60)
+    data = [(1, text)] * 40 + [(2, text)]
+    _, places = suffix_dedup._places(docs(data, 3), 50, 12, "doc_id", "text")
+    got = [r["_places"] for r in places.collect()]
+    assert len(got) == 2 and all(x and len(x) == len(set(x)) for x in got)
+    compare(spark, docs(data, 3), data, 50, 12)

@@ -8,10 +8,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, near_dedup, pivot_index, quality, suffix_dedup
+from . import alignment, langid, mixing, near_dedup, pivot_index, quality, suffix_dedup
 from .common import read
 from .packing import pack
 from .records import read_records, write_records
+from .runs import find_runs
 from .sentence_pieces import encode_texts
 from .url_filter import SOFT, SOFT_LIMIT, STRICT, Rule, judge_urls
 from .warc import read_archives, write_archives
@@ -167,3 +168,87 @@ SELECT page_id, n::BIGINT AS payload_bytes,
   CASE WHEN page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
   CASE WHEN page_id < last THEN last END AS refers_to
 FROM (SELECT page_id, h, octet_length(encode(html)) AS n FROM p) JOIN g USING (h, n)"""
+
+
+# ---- periodic runs ---------------------------------------------------------------------
+
+
+def planted(docs: DataFrame) -> DataFrame:
+    """doc_id, text: where crc32(doc_id) % 10 = 0, the words from a place on repeat their first p."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    words = F.regexp_extract_all("text", F.lit(mixing.WORDS), F.lit(0))
+    listed = docs.select("doc_id", "text", F.when(h % 10 == 0, words).alias("words"), g.alias("g"))
+    n, a, p, rest = (F.col(c).cast("int") for c in ("n", "a", "p", "rest"))
+    rows = (
+        listed.withColumn("n", F.size("words"))
+        .withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+        .withColumn("rest", F.col("n") - F.col("a"))
+        .withColumn("p", 1 + F.floor(F.col("rest") / (3 + F.col("g") % 8)))
+    )
+    unit = F.slice("words", a + 1, p)
+    tail = F.slice(F.flatten(F.array_repeat(unit, F.ceil(rest / p).cast("int"))), F.lit(1), rest)
+    text = F.array_join(F.concat(F.slice("words", F.lit(1), a), tail), " ")
+    return rows.select("doc_id", F.when(n > 0, text).otherwise(F.col("text")).alias("text"))
+
+
+@register
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_runs(planted(read(spark, sf_dir, "documents")), least=24, exponent=3)
+
+    def ahead(x, y):  # the greater length / period, exactly; then the smaller start, then period
+        more = y["length"] * x["period"] - x["length"] * y["period"]
+        return F.coalesce(*(F.nullif(F.signum(d).cast("int"), F.lit(0)) for d in (more, x["start"] - y["start"], x["period"] - y["period"])), F.lit(0))
+
+    best = F.get(F.array_sort("runs", ahead), F.lit(0))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    with_best = found.select("*", best.alias("best"), F.size("runs").cast("bigint").alias("n_runs"))
+    return with_best.select(
+        "doc_id",
+        "n_runs",
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.when(F.col("n_runs") > 0, F.concat(listed, F.lit("\n"))).otherwise("").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+# ---- mixing ------------------------------------------------------------------------------
+
+
+@register
+def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = mixing.plan(read(spark, sf_dir, "documents"), most=3, seed=0)
+    return mixing.taken_words(mix).select("doc_id", "size", "source_size", "target", "taken")
+
+
+SQL["op12_mixing"] = """
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size,
+         ('0x' || substr(md5('0:' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS draw FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size, 3 * sum(size)::BIGINT AS cap,
+        1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS w FROM d GROUP BY source),
+r AS (SELECT *, row_number() OVER (ORDER BY cap / w, source NULLS LAST) AS k,
+        (SELECT sum(source_size) FROM s)::BIGINT - coalesce(sum(cap) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS rem,
+        sum(w) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)::BIGINT AS weight FROM s),
+l AS (SELECT rem, weight FROM r WHERE cap::HUGEINT * weight >= rem::HUGEINT * w ORDER BY k LIMIT 1),
+t AS (SELECT source, source_size, least(l.rem::DOUBLE * w::DOUBLE / l.weight::DOUBLE, cap::DOUBLE) AS target FROM r CROSS JOIN l),
+p AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target + 0.5)::BIGINT // source_size ELSE 0 END AS whole,
+        CASE WHEN source_size > 0 THEN floor(target + 0.5)::BIGINT % source_size ELSE 0 END AS rest FROM t),
+g AS (SELECT source, draw, sum(size)::BIGINT AS held FROM d GROUP BY source, draw),
+c AS (SELECT source, draw, held, sum(held) OVER (PARTITION BY source ORDER BY draw)::BIGINT - held AS before FROM g)
+SELECT d.doc_id, d.size, p.source_size, p.target,
+  (p.whole * d.size + CASE WHEN c.before + c.held <= p.rest THEN d.size
+     WHEN c.before < p.rest THEN (d.size::HUGEINT * (p.rest - c.before)) // c.held ELSE 0 END)::BIGINT AS taken
+FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source JOIN c ON d.source IS NOT DISTINCT FROM c.source AND d.draw = c.draw"""
+
+
+# ---- alignment -----------------------------------------------------------------------------
+
+
+@register
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    both = alignment.Tokenizers(spark, vocabulary_path("byte_bpe_50k.json"), vocabulary_path("piece_bpe_32k.model"))
+    return alignment.compare(read(spark, sf_dir, "documents"), both)

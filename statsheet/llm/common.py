@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import posixpath
-import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -20,20 +19,21 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder all executors share, as the session names it.
-
-    Only a local run that names none gets a scratch folder of its own; a
-    cluster without the setting is an error.
-    """
+    """The folder all executors share, as the session names it; without one, an error."""
     root = spark.conf.get(_CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(_CHECKPOINT_KEY, None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(f"{_CHECKPOINT_KEY} is not set; a cluster job needs a shared folder")
-        root = tempfile.mkdtemp(prefix="statsheet-shared-")
-        spark.conf.set(_CHECKPOINT_KEY, root)
+        raise RuntimeError(f"{_CHECKPOINT_KEY} is not set; the job needs a folder that all executors share")
     return root
 
 
+def free_name(df: DataFrame, stem: str) -> str:
+    """A name like ``stem`` that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while stem.lower() in taken:
+        stem += "_"
+    return stem
+
+
 def shared_folder(spark: SparkSession, label: str) -> str:
     """A new folder name under the shared root (created by whoever writes it)."""
     return posixpath.join(shared_root(spark), f"{label}-{uuid.uuid4().hex}")

@@ -1,34 +1,46 @@
-"""64-bit hashes of byte ranges in numpy, without a Python loop over bytes.
-
-``prefix`` sums ``table[byte] * B**i`` (modulo 2**64), so the hash of any range
-is a difference of two sums times the inverse power of its start; ``mix``
-spreads it over all bits.
+"""Hashes of byte ranges in numpy, without a Python loop over bytes.
+
+``prefix`` sums ``(byte + 1) * B**i`` modulo the prime 2**61 - 1, so the hash of any
+range is a difference of two sums times the inverse power of its start.  Two
+different strings of n bytes collide for at most n of the 2**61 - 2 bases, so for a
+base drawn at random with a probability of at most n / 2**61, whatever the strings are
+(sums modulo 2**64, by contrast, collide for some strings at every base).  Jobs
+draw their base on the driver (``draw``); where equality alone decides a result, two
+hashers of different bases are used, or what is hashed is compared.  ``mix`` spreads
+a value over 64 bits.
 """
 
 from __future__ import annotations
 
+import secrets
+from functools import lru_cache
+
 import numpy as np
 
-_B = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_B, -1, 1 << 64)
-_TABLE = np.random.Generator(np.random.PCG64(20240101)).integers(1, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
+PRIME = (1 << 61) - 1
+#: Longest array of bytes that ``prefix`` takes: the sums of high and low halves stay below 2**63.
+LONGEST = 1 << 22
+
+_P = np.uint64(PRIME)
+
 
-_powers = np.ones(1, np.uint64)
-_inverses = np.ones(1, np.uint64)
+def _u(x: int) -> np.uint64:
+    return np.uint64(x)
 
 
-def _grow(a: np.ndarray, base: int, n: int) -> np.ndarray:
-    while len(a) < n:
-        a = np.concatenate((a, a * np.uint64(pow(base, len(a), 1 << 64))))
-    return a
+def reduced(x: np.ndarray) -> np.ndarray:
+    """``x`` modulo the prime."""
+    x = (x & _P) + (x >> _u(61))
+    return np.where(x >= _P, x - _P, x)
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse, at least ``n``; kept up to the longest asked for."""
-    global _powers, _inverses
-    if len(_powers) < n:
-        _powers, _inverses = _grow(_powers, _B, n), _grow(_inverses, _INVERSE, n)
-    return _powers, _inverses
+def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``a * b`` modulo the prime, of reduced values, by halves of 31 and 30 bits."""
+    a_high, a_low = a >> _u(31), a & _u((1 << 31) - 1)
+    b_high, b_low = b >> _u(31), b & _u((1 << 31) - 1)
+    middle = a_high * b_low + a_low * b_high  # below 2**62
+    # 2**62 is 2, and 2**31 * 2**30 is 1.
+    return reduced(_u(2) * a_high * b_high + (middle >> _u(30)) + ((middle & _u((1 << 30) - 1)) << _u(31)) + a_low * b_low)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -41,22 +53,57 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def prefix(data: np.ndarray) -> np.ndarray:
-    """``len(data) + 1`` running sums over an array of bytes."""
-    p, _ = powers(len(data) + 1)
-    out = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_TABLE[data] * p[: len(data)], out=out[1:])
-    return out
-
-
-def ranges(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hashes of the byte ranges [start, end); equal bytes give equal hashes."""
-    _, inverse = powers(len(sums))
-    return mix((sums[end] - sums[start]) * inverse[start])
-
-
-def windows(sums: np.ndarray, size: int) -> np.ndarray:
-    """Hashes of all ranges of ``size`` bytes, by start."""
-    _, inverse = powers(len(sums))
-    n = len(sums) - size
-    return mix((sums[size:] - sums[:n]) * inverse[:n]) if n > 0 else np.empty(0, np.uint64)
+def draw() -> int:
+    """A base for one job."""
+    return 2 + secrets.randbelow(PRIME - 3)
+
+
+class Hasher:
+    """Hashes for one base; keeps its powers up to the longest array asked for."""
+
+    def __init__(self, base: int):
+        self.base, self.inverse_base = base, pow(base, -1, PRIME)
+        self.powers = self.inverses = np.ones(1, np.uint64)
+        self.low = self.high = self.powers
+
+    def _grow(self, n: int) -> None:
+        if n > LONGEST:
+            raise ValueError(f"at most {LONGEST} bytes at a time")
+        while len(self.powers) < n:
+            have = len(self.powers)
+            self.powers, self.inverses = (
+                np.concatenate((x, times(x, np.full(have, pow(b, have, PRIME), np.uint64)))) for x, b in ((self.powers, self.base), (self.inverses, self.inverse_base))
+            )
+            self.low, self.high = self.powers & _u((1 << 32) - 1), self.powers >> _u(32)
+
+    def prefix(self, data: np.ndarray) -> np.ndarray:
+        """``len(data) + 1`` running sums over an array of bytes."""
+        n = len(data)
+        self._grow(n + 1)
+        value = data.astype(np.uint64) + _u(1)
+        low, high = np.cumsum(value * self.low[:n]), np.cumsum(value * self.high[:n])  # below 2**63, 2**60
+        out = np.zeros(n + 1, np.uint64)
+        # high * 2**32: 2**29 of these are 1.
+        out[1:] = reduced((high >> _u(29)) + ((high & _u((1 << 29) - 1)) << _u(32)) + reduced(low))
+        return out
+
+    def ranges(self, sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Hashes of the byte ranges [start, end); equal bytes give equal hashes."""
+        return mix(times(reduced(sums[end] + _P - sums[start]), self.inverses[start]))
+
+    def windows(self, sums: np.ndarray, size: int) -> np.ndarray:
+        """Hashes of all ranges of ``size`` bytes, by start."""
+        n = len(sums) - size
+        if n <= 0:
+            return np.empty(0, np.uint64)
+        return mix(times(reduced(sums[size:] + _P - sums[:n]), self.inverses[:n]))
+
+
+@lru_cache(maxsize=8)
+def hasher(base: int) -> Hasher:
+    """One hasher for each base and Python worker."""
+    return Hasher(base)
+
+
+#: For uses outside a job, such as tests.
+FIXED_BASE = 0x1B873593CC9E2D51

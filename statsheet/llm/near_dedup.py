@@ -1,7 +1,7 @@
 """Near-duplicate documents by HyperMinHash signatures, links verified exactly.
 
-1. A document is the set of its word shingles (64-bit hashes).  Equal sets form
-   a class; from here on one document stands for its class.
+1. A document is the set of its word shingles (64-bit hashes, from a base drawn
+   for each job, see ``hashing``).  Equal sets form a class; from here on one document stands for its class.
 2. HyperMinHash: the hash range is cut into equal buckets, and a bucket keeps of
    its least hash the count of leading zeros and some mantissa bits, in 16 bits.
    An empty bucket borrows the register of a full one, so short documents have
@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from .common import Out, cut_lineage, prepare, rows_of, shared_folder, slices
 from .components import components
-from .hashing import mix, prefix, ranges
+from .hashing import FIXED_BASE, Hasher, draw, hasher, mix
 
 MISS = 1e-6  # chance that a pair at the threshold shares no band
 MOST_BANDS = 48
@@ -53,6 +53,7 @@ _SURE = 6  # standard deviations that an estimate may be off
 
 _SEPARATOR = re.compile(rb"[\x20\x09-\x0D]")
 _PIECE = 1 << 20
+_LONG = 1 << 21  # bytes; longer words are hashed part by part
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _IS_SEPARATOR = np.array([c == 32 or 9 <= c <= 13 for c in range(256)])
 
@@ -80,8 +81,9 @@ class Rule:
         return n * rows
 
 
-def word_hashes(text: str) -> np.ndarray:
+def word_hashes(text: str, base: int = FIXED_BASE) -> np.ndarray:
     """A hash of each word, in order; long texts are read in pieces cut at separators."""
+    hashes = hasher(base)
     data = text.encode("utf-8", "surrogatepass").translate(_LOWER)
     found, at = [], 0
     while at < len(data):
@@ -89,18 +91,33 @@ def word_hashes(text: str) -> np.ndarray:
         if end < len(data):
             m = _SEPARATOR.search(data, end)
             end = m.start() if m else len(data)
+        last = None
+        if end - at > _LONG + _PIECE:  # the last word here is a very long one
+            gaps = np.flatnonzero(_IS_SEPARATOR[np.frombuffer(data, np.uint8, _PIECE, at)])
+            last, end = end, at + int(gaps[-1]) + 1 if len(gaps) else at
         b = np.frombuffer(data, np.uint8, end - at, at)
         gap = np.concatenate(([True], _IS_SEPARATOR[b], [True]))
         edge = np.flatnonzero(gap[1:] != gap[:-1])
         if len(edge):
-            found.append(ranges(prefix(b), edge[::2], edge[1::2]))
+            found.append(hashes.ranges(hashes.prefix(b), edge[::2], edge[1::2]))
+        if last is not None:
+            found.append(_long_word(data[end:last], hashes))
+            end = last
         at = end
     return np.concatenate(found) if found else np.empty(0, np.uint64)
 
 
-def shingles(text: str | None, words: int) -> np.ndarray:
+def _long_word(data: bytes, hashes: Hasher) -> np.ndarray:
+    h = np.zeros(1, np.uint64)
+    for at in range(0, len(data), _LONG):
+        b = np.frombuffer(data, np.uint8, min(_LONG, len(data) - at), at)
+        h = mix(h * np.uint64(0x2545F4914F6CDD1D) + hashes.ranges(hashes.prefix(b), np.array([0]), np.array([len(b)])))
+    return h
+
+
+def shingles(text: str | None, words: int, base: int = FIXED_BASE) -> np.ndarray:
     """Different shingles, ascending."""
-    w = word_hashes(text or "")
+    w = word_hashes(text or "", base)
     n = min(len(w), words)
     if not n:
         return w
@@ -210,12 +227,12 @@ _SIGNED = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_k
 _LINK = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
-def _signed(rows: DataFrame, rule: Rule) -> DataFrame:
+def _signed(rows: DataFrame, rule: Rule, base: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         starts, out = _bucket_starts(rule.registers), Out(_SIGNED)
         for part in rows_of(batches, "doc_id", "text"):
             for doc_id, text in part:
-                s = shingles(text, rule.words)
+                s = shingles(text, rule.words, base)
                 if len(s):
                     out.add(doc_id, len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest(), band_hashes(signature(s, starts), *rule.bands).view(np.int64), size=400)
                 else:
@@ -227,13 +244,13 @@ def _signed(rows: DataFrame, rule: Rule) -> DataFrame:
     return rows.mapInArrow(run, "doc_id bigint, n_shingles bigint, set_key binary, bands array<bigint>")
 
 
-def _with_sets(rows: DataFrame, rule: Rule) -> DataFrame:
+def _with_sets(rows: DataFrame, rule: Rule, base: int) -> DataFrame:
     """Replace ``text`` by ``shingles`` (the sorted set as bytes)."""
     at = rows.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for c in slices(batches):
-            sets = pa.array([shingles(t, rule.words).tobytes() for t in c.column(at).to_pylist()], pa.binary())
+            sets = pa.array([shingles(t, rule.words, base).tobytes() for t in c.column(at).to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([sets if k == at else c.column(k) for k in range(c.num_columns)], names=["shingles" if k == at else n for k, n in enumerate(c.schema.names)])
 
     return rows.mapInArrow(run, ", ".join(f"{'shingles binary' if n == 'text' else f'{n} {k}'}" for n, k in rows.dtypes))
@@ -278,8 +295,8 @@ def link_documents(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id",
     rows = docs.selectExpr(f"cast(`{id_col}` as bigint) doc_id", f"cast(`{text_col}` as string) text")
 
     # 1. Sets, classes of equal sets.
-    folder = shared_folder(spark, "near-dedup")
-    _signed(rows, rule).write.parquet(f"{folder}/signed")
+    folder, base = shared_folder(spark, "near-dedup"), draw()
+    _signed(rows, rule, base).write.parquet(f"{folder}/signed")
     signed = spark.read.parquet(f"{folder}/signed")
     able = signed.where("n_shingles > 0 and doc_id is not null")
     classes = cut_lineage(able.groupBy("set_key", "n_shingles").agg(F.min("doc_id").alias("node")).select("set_key", F.col("node")))
@@ -295,7 +312,7 @@ def link_documents(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id",
     chunk, chunks = _chunk("node", "size", CHUNK, 1)
     member = groups.join(sizes, "component").select("node", F.col("component").alias("grp"), chunk.alias("chunk"), chunks.alias("chunks"), "size")
     # Merge join at every size: broadcasting the members would hold only for small tables.
-    texts = _with_sets(rows.join(member.hint("merge"), F.col("doc_id") == F.col("node")).select("node", "grp", "chunk", "chunks", "size", "text"), rule)
+    texts = _with_sets(rows.join(member.hint("merge"), F.col("doc_id") == F.col("node")).select("node", "grp", "chunk", "chunks", "size", "text"), rule, base)
     texts.write.parquet(f"{folder}/members")
     members = spark.read.parquet(f"{folder}/members")
     landmark = (F.col("chunks") > 1) & (F.pmod(F.xxhash64("node", F.lit(2)), F.col("size")) < LANDMARKS)
@@ -335,8 +352,9 @@ def one_of_each(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", te
     (of rows that repeat that id, the one whose text hashes least).  Rows with a
     null id all stay."""
     linked = link_documents(docs, rule, id_col, text_col)
-    dropped = linked.where("not kept").select(F.col("doc_id").alias("_dropped")).distinct()
-    order = Window.partitionBy(id_col).orderBy(F.xxhash64(text_col))
-    named = docs.where(F.col(id_col).isNotNull()).join(dropped, F.col(id_col).cast("bigint") == F.col("_dropped"), "left_anti")
-    first = named.withColumn("_place", F.row_number().over(order)).where("_place = 1").drop("_place")
-    return first.union(docs.where(F.col(id_col).isNull()))
+    dropped = linked.where("not kept").select(F.col("doc_id").alias("dropped")).distinct()
+    # Rows travel as one column each, so their names meet no others.
+    named = docs.select(F.struct("*").alias("doc"), F.col(id_col).cast("bigint").alias("own"), F.xxhash64(text_col).alias("order"))
+    left = named.where("own is not null").join(dropped, F.col("own") == F.col("dropped"), "left_anti")
+    first = left.withColumn("place", F.row_number().over(Window.partitionBy("own").orderBy("order"))).where("place = 1")
+    return first.select("doc.*").union(docs.where(F.col(id_col).isNull()))

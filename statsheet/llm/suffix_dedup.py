@@ -19,8 +19,10 @@ anchors at equal places, and about one byte in 75 is an anchor.
 4. The repeated strings of a document meet its text by a hash of id and text,
    and their union is cut out.
 
-Strings are compared by 64-bit hashes.  Defined cases: a null text counts as
-empty; texts shorter than ``length`` lose nothing; overlaps and repeats within
+Opened strings are compared by two hashes of 64 bits with bases of their own, runs by
+one among those with equal seeds; the bases are drawn anew for each job (see
+``hashing``).  A document is known by a hash of id and text; should two different ones
+share it, both are known by another.  Defined cases: a null text counts as empty; texts shorter than ``length`` lose nothing; overlaps and repeats within
 one document count; strings never cross documents.  A repeated row is a second
 document, so all its strings are repeated.  An empty table gives no rows.
 """
@@ -36,14 +38,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare, rows_of, shared_folder, slices
-from .hashing import mix, prefix, ranges, windows
+from .common import free_name, prepare, rows_of, shared_folder, slices
+from .hashing import FIXED_BASE, draw, hasher, mix
 
 LENGTH = 200
 SEED = 50
 _SEGMENT = 1 << 20  # string starts handled at once; bounds memory in long texts
 _BITS = 12  # of a run's size and of its anchor's place; starts have the other 40
 _ROWS = 200_000
+_MOST_SHARED = 100_000  # of 10**12 documents about 30,000 are expected to share a uid
 
 
 def _pack(start: np.ndarray, count: np.ndarray, place: np.ndarray) -> np.ndarray:
@@ -64,39 +67,39 @@ def _sliding_least(v: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[:n], ahead[width - 1 : width - 1 + n])
 
 
-def anchors(data: bytes, length: int = LENGTH, seed: int = SEED) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def anchors(data: bytes, length: int = LENGTH, seed: int = SEED, base: int = FIXED_BASE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(seed hash, run hash, packed run) of every run of strings with one anchor."""
-    found = []
+    found, hashes = [], hasher(base)
     bits = np.uint64((_SEGMENT + length).bit_length())
     for at in range(0, max(len(data) - length + 1, 0), _SEGMENT):
         d = np.frombuffer(data, np.uint8, min(_SEGMENT + length - 1, len(data) - at), at)
-        sums = prefix(d)
-        h = windows(sums, seed)
+        sums = hashes.prefix(d)
+        h = hashes.windows(sums, seed)
         ordered = ((h >> bits) << bits) | np.arange(len(h), dtype=np.uint64)  # ties to the left
         place = (_sliding_least(ordered, length - seed + 1) & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
         first = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
         last = np.append(first[1:], len(place)) - 1
         own = place[first]
-        run = ranges(sums, first, last + length) ^ mix(((last - first) * 4096 + own - first + 1).astype(np.uint64))
+        run = hashes.ranges(sums, first, last + length) ^ mix(((last - first) * 4096 + own - first + 1).astype(np.uint64))
         found.append((h[own].view(np.int64), run.view(np.int64), _pack(first + at, last - first + 1, own - first)))
     if not found:
         return (np.empty(0, np.int64),) * 3
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
-def string_hashes(data: bytes, packed: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, packed single string) of every string of the runs; runs are read one segment at a time."""
+def string_hashes(data: bytes, packed: np.ndarray, length: int = LENGTH, bases: tuple[int, int] = (FIXED_BASE, FIXED_BASE + 2)) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, other hash, packed single string) of every string of the runs; runs are read one segment at a time."""
     start, count = unpack(np.sort(packed))
     out = []
     for segment in np.unique(start // _SEGMENT):
         own = start // _SEGMENT == segment
-        base = int(segment) * _SEGMENT
-        d = np.frombuffer(data, np.uint8, min(2 * _SEGMENT + length, len(data) - base), base)
-        sums = prefix(d)
-        s, c = start[own] - base, count[own]
+        at = int(segment) * _SEGMENT
+        d = np.frombuffer(data, np.uint8, min(2 * _SEGMENT + length, len(data) - at), at)
+        s, c = start[own] - at, count[own]
         each = np.repeat(s - np.concatenate(([0], np.cumsum(c)[:-1])), c) + np.arange(c.sum())
-        out.append((ranges(sums, each, each + length).view(np.int64), _pack(each + base, np.ones_like(each), np.zeros_like(each))))
-    return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.empty(0, np.int64),) * 2
+        both = (h.ranges(h.prefix(d), each, each + length).view(np.int64) for h in map(hasher, bases))
+        out.append((*both, _pack(each + at, np.ones_like(each), np.zeros_like(each))))
+    return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.empty(0, np.int64),) * 3
 
 
 def removed(size: int, packed: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
@@ -239,12 +242,13 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> Da
         raise ValueError("seed must be shorter than length, by less than 4096")
     prepare(docs.sparkSession)
     folder = shared_folder(docs.sparkSession, "suffixes")
+    bases = (draw(), draw())
 
     def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def each():
             for part in rows_of(batches, "uid", "text"):
                 for uid, text in part:
-                    key, run, place = anchors((text or "").encode(), length, seed)
+                    key, run, place = anchors((text or "").encode(), length, seed, bases[0])
                     yield key, run, np.full(len(key), uid), place
 
         return _batches(each())
@@ -253,8 +257,8 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> Da
         def each():
             for part in rows_of(batches, "uid", "text", "places"):
                 for uid, text, places in part:
-                    key, place = string_hashes(text.encode(), np.array(places, np.int64), length)
-                    yield key, np.zeros_like(key), np.full(len(key), uid), place
+                    key, sub, place = string_hashes(text.encode(), np.array(places, np.int64), length, bases)
+                    yield key, sub, np.full(len(key), uid), place
 
         return _batches(each())
 
@@ -271,15 +275,25 @@ _CUT_PA = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_remove
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc, uid, text): ``doc`` holds the row, ``uid`` is a hash of its id and text.
+
+    Rows that repeat id and text share a uid, and nothing else may: uids that different
+    pairs share by chance (one pair in 2**64) are looked for, and give way to a second hash."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return docs.withColumns({"_uid": F.xxhash64(F.col(id_col), text)})
+    keyed = docs.select(F.struct("*").alias("doc"), F.xxhash64(F.col(id_col), text).alias("uid"), F.xxhash64(F.lit("other"), text, F.col(id_col)).alias("uid2"), text.alias("text"))
+    both = keyed.groupBy("uid").agg(F.min("uid2").alias("low"), F.max("uid2").alias("high"))
+    shared = [r["uid"] for r in both.where("low < high").select("uid").limit(_MOST_SHARED + 1).collect()]
+    if len(shared) > _MOST_SHARED:
+        raise RuntimeError("hashes of documents collide far more often than chance allows")
+    uid = F.when(F.col("uid").isin(shared), F.col("uid2")).otherwise(F.col("uid")) if shared else F.col("uid")
+    return keyed.select("doc", uid.alias("uid"), "text")
 
 
 def _places(docs: DataFrame, length: int, seed: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     keyed = _keyed(docs, id_col, text_col)
     # Rows that repeat id and text share a uid; a set holds its runs once for all of them.
-    runs = repeated_runs(keyed.select(F.col("_uid").alias("uid"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")), length, seed)
-    return keyed, runs.groupBy("uid").agg(F.collect_set("place").alias("_places")).withColumnRenamed("uid", "_uid")
+    runs = repeated_runs(keyed.select("uid", "text"), length, seed)
+    return keyed, runs.groupBy("uid").agg(F.collect_set("place").alias("places"))
 
 
 def _kept(data: bytes, places, length: int) -> tuple[bytes, np.ndarray, np.ndarray]:
@@ -294,7 +308,7 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, id_col
     keyed, places = _places(docs, length, seed, id_col, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in rows_of(batches, "doc_id", "text", "_places"):
+        for part in rows_of(batches, "doc_id", "text", "places"):
             rows = []
             for doc_id, text, runs in part:
                 data = (text or "").encode()
@@ -303,15 +317,15 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, id_col
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _CUT_PA)], schema=_CUT_PA)
 
-    joined = keyed.selectExpr(f"cast(`{id_col}` as bigint) doc_id", f"cast(`{text_col}` as string) text", "_uid").join(places, "_uid", "left")
-    return joined.select("doc_id", "text", "_places").mapInArrow(run, _CUT)
+    joined = keyed.select(F.col("doc").getField(id_col).cast("bigint").alias("doc_id"), "text", "uid").join(places, "uid", "left")
+    return joined.select("doc_id", "text", "places").mapInArrow(run, _CUT)
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the repeated passages cut out of the text.  A character of
     which a byte goes, goes whole; a null text stays null."""
     keyed, places = _places(docs, length, seed, id_col, text_col)
-    joined = keyed.join(places, "_uid", "left").select(*docs.columns, "_places")
+    joined = keyed.select("doc", "uid").join(places, "uid", "left").select("doc.*", F.col("places").alias(free_name(docs, "places")))
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

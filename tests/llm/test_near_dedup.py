@@ -106,3 +106,41 @@ def test_block_links_join_exactly():
     found = list(links_of_block(sets, [None] * len(sets), Rule(3, 85)))
     assert len(found) == len(sets) - 1  # a spanning tree of the chain
     assert list(links_of_block(sets, [1] * len(sets), Rule(3, 85))) == []
+
+
+def thue_morse(n, a="a", b="b"):
+    return "".join(b if bin(i).count("1") % 2 else a for i in range(n))
+
+
+def test_built_words_are_not_linked(spark, docs):
+    """Words whose polynomial sums modulo 2**64 are equal at any odd base and letter values."""
+    data = []
+    for n in (1024, 2048):
+        data += [(10 * n, thue_morse(n)), (10 * n + 1, thue_morse(n, "b", "a")), (10 * n + 2, "x " + thue_morse(n) + " y"), (10 * n + 3, "x " + thue_morse(n, "b", "a") + " y")]
+    got = {r["doc_id"]: r["component_id"] for r in link_documents(docs(data), Rule(3, 85)).collect()}
+    assert got == {i: i for i, _ in data}
+
+
+def test_very_long_words(monkeypatch):
+    monkeypatch.setattr(near_dedup, "_PIECE", 16)
+    texts = ["a b " + "x" * 500 + " c d", "y" * 501, "x" * 300 + " " + "y" * 300, "q", "a" * 90 + "\n" + "b" * 40]
+    want = [len(shingles(t, 2)) for t in texts]
+    monkeypatch.setattr(near_dedup, "_LONG", 64)
+    assert [len(shingles(t, 2)) for t in texts] == want == [len(shingle_set(t, 2)) for t in texts]
+    other = near_dedup.word_hashes("a b " + "x" * 499 + " c d")
+    assert (near_dedup.word_hashes(texts[0]) == other).tolist() == [True, True, False, True, True]
+
+
+def test_helper_names_in_the_input(spark, docs):
+    names = ["place", "_place", "dropped", "_dropped", "doc", "own", "order", "node", "kept"]
+    data = [(1, "a b c d e f g h"), (2, "a b c d e f g h"), (3, "other words that are here alone now"), (None, "a b c d e f g h")]
+    df = docs(data).drop("kept").selectExpr("*", *(f"doc_id as `{n}`" for n in names))
+    got = one_of_each(df, Rule(5, 80))
+    assert got.columns == df.columns
+    assert sorted((r["doc_id"] or 0, r["place"], r["_dropped"], r["doc"]) for r in got.collect() if r["doc_id"]) == [(1, 1, 1, 1), (3, 3, 3, 3)] and got.count() == 3
+
+
+def test_rows_that_repeat_an_id(spark, docs):
+    data = [(7, f"text number {i} of one id, words here") for i in range(40)] + [(8, "text number 3 of one id, words here")]
+    got = one_of_each(docs(data), Rule(5, 80)).collect()
+    assert sum(r["doc_id"] == 7 for r in got) == 1

@@ -25,10 +25,11 @@ def test_anchor_runs_cover_each_string_once(monkeypatch):
         seen = {}
         for x, k in seed_of.items():
             assert seen.setdefault(data[x : x + 40], k) == k
-        h, place = string_hashes(data, packed, 40)
+        h, other, place = string_hashes(data, packed, 40)
         at = unpack(place)[0].tolist()
         by = {}
-        for x, v in zip(at, h.tolist()):
+        assert not (h == other).any()
+        for x, v in zip(at, zip(h.tolist(), other.tolist())):
             assert by.setdefault(data[x : x + 40], v) == v
         assert sorted(at) == list(range(len(data) - 39)) and len(set(by.values())) == len(by)
     assert anchors(b"short", 40, 10)[0].size == 0
@@ -74,6 +75,42 @@ def test_repeated_rows_hold_their_runs_once(spark, docs):
     text = words(random.Random(9), 60)
     data = [(1, text)] * 40 + [(2, text)]
     _, places = suffix_dedup._places(docs(data, 3), 50, 12, "doc_id", "text")
-    got = [r["_places"] for r in places.collect()]
+    got = [r["places"] for r in places.collect()]
     assert len(got) == 2 and all(x and len(x) == len(set(x)) for x in got)
     compare(spark, docs(data, 3), data, 50, 12)
+
+
+def test_equal_first_hashes_do_not_repeat_a_string(spark, docs, monkeypatch):
+    """Opened strings are told apart by the second hash alone."""
+    rng = random.Random(12)
+    seed = words(rng, 8)[:20].ljust(20, "q")
+    data = [(i, words(rng, 3)[:4].ljust(4, "z") + seed + words(rng, 12)) for i in range(12)]
+    real = suffix_dedup.string_hashes
+
+    def weak(*args):
+        first, second, place = real(*args)
+        return first * 0 + 5, second, place
+
+    monkeypatch.setattr(suffix_dedup, "string_hashes", weak)
+    compare(spark, docs(data), data, 30, 10)
+
+
+def test_documents_whose_hashes_collide(spark, docs, monkeypatch):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(13)
+    passage = words(rng, 20)
+    data = [(1, words(rng, 9) + passage), (2, passage + words(rng, 7)), (3, words(rng, 30)), (3, words(rng, 31))]
+    real = F.xxhash64
+    monkeypatch.setattr(suffix_dedup.F, "xxhash64", lambda *c: real(*c) if len(c) == 3 else F.lit(77).cast("bigint"))
+    compare(spark, docs(data), data, 50, 12)
+
+
+def test_helper_names_in_the_input(spark, docs):
+    names = ["_uid", "uid", "_places", "places", "doc", "key", "sub", "place"]
+    text = words(random.Random(14), 40)
+    df = docs([(5, text + " end"), (6, "go " + text), (7, None)]).selectExpr("*", *(f"doc_id as `{n}`" for n in names))
+    got = remove_repeats(df, 50, 12)
+    assert got.columns == df.columns
+    assert all(r[n] == r["doc_id"] for r in got.collect() for n in names)
+    assert find_repeats(df, 50, 12).count() == 3

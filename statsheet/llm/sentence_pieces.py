@@ -1,18 +1,23 @@
 """SentencePiece encoding by streaming Viterbi search, and decoding.
 
 A text's pieces are those of the highest total score.  A model of merges has
-ranks for scores; they count as log-probabilities by Zipf's law.  The search reads the
-text left to right and keeps scores only for the last ``longest piece``
-positions; whenever the paths to all of them run through one boundary, the ids
-up to it are final and leave the window.  Between equal scores the longer last
-piece wins.  A character without a piece becomes its UTF-8 bytes' pieces, at
-ten below the worst score.
-
-No piece holds a space mark after another character, so a space always is such
-a boundary, and so is a line feed where no piece holds one: the search is run
-on what stands between, and the ids of short stretches are kept in a bounded
-memo.  Known short stretches are searched over the matches of an Aho-Corasick
-automaton, which gives the same paths.
+ranks for scores; they count as log-probabilities by Zipf's law.  Between equal
+scores the longer last piece wins.  A character without a piece becomes its UTF-8
+bytes' pieces, at ten below the worst score.
+
+The search (``Search``) reads the text left to right in any portions.  An
+Aho-Corasick automaton names the pieces that end at each character, and scores are
+kept for the last ``longest`` boundaries only: no piece reaches further back.
+The best paths to these boundaries form a tree.  A boundary that leaves the window
+without a path through it is pruned, and while the root has one branch left, all paths
+have converged on that branch's first boundary: its ids are final and the root
+moves there.  Every boundary is added, pruned and committed once, so the time is linear
+in the text, whatever it holds.  Where paths never meet (a long run of one character,
+say) the tree keeps 13 bytes a character until they do.
+
+No piece holds a space mark after another character, so a space always is a common
+boundary, and so is a line feed where no piece holds one.  The search is run on
+what stands between, and its results for short stretches are kept in a bounded memo.
 
 Defined cases: a null or empty text has no ids and decodes to the empty text.
 A text that holds the space mark itself (U+2581) decodes with a space there,
@@ -28,6 +33,7 @@ from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import ahocorasick
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
@@ -38,8 +44,7 @@ from .tokens import MAX_VOCABULARY_BYTES
 MARK = "▁"
 MEMO_ENTRIES = 600_000
 MEMO_LENGTH = 18
-_SHORT = 64
-_CHECK = 32  # positions between looks for a common boundary
+_TRIM = 4096  # committed boundaries that may stay in the arrays
 _UNKNOWN_PENALTY = 10.0
 _STRETCH = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
@@ -56,12 +61,23 @@ class Model:
     longest: int = field(init=False)
     unknown: float = field(init=False)
     byte_ids: list[int] = field(init=False)
+    automaton: ahocorasick.Automaton = field(init=False)
 
     def __post_init__(self) -> None:
         self.longest = max(map(len, self.pieces), default=1)
         self.unknown = min((s for _, s in self.pieces.values()), default=0.0) - _UNKNOWN_PENALTY
         to_id = {b: i for i, b in self.bytes_of.items()}
         self.byte_ids = [to_id[b] for b in range(256)] if len(to_id) == 256 else []
+        self.automaton = ahocorasick.Automaton()
+        for t, (i, score) in self.pieces.items():
+            self.automaton.add_word(t, (len(t), score, i))
+        self.automaton.make_automaton()
+
+    def spelt(self, char: str) -> list[int]:
+        """A character as its bytes' pieces."""
+        if not self.byte_ids:
+            raise ValueError("the model has no byte pieces for an unknown character")
+        return [self.byte_ids[b] for b in char.encode("utf-8", "surrogatepass")]
 
     @staticmethod
     def load(data: bytes) -> Model:
@@ -83,69 +99,100 @@ class Model:
 
 
 class Search:
-    """Streaming Viterbi: ``feed`` text in any pieces, take ids as they become final."""
+    """Streaming Viterbi: ``feed`` text in any portions, take ids as they become final."""
 
     def __init__(self, model: Model):
         self.model = model
-        self.text = ""  # characters after the last committed boundary
-        self.score = [0.0]  # of the best path to each boundary of ``text``
-        self.back = [0]  # length of that path's last piece
-        self.ids = [-1]  # its id; -1: an unknown character
+        self.tail = ""  # the last characters that a later piece may hold
+        self.size = model.longest + 1
+        self.score = [0.0] * self.size  # of the best path to a boundary, by boundary modulo ``size``
+        self.end = 0  # characters read
+        self.root = 0  # the last boundary that all paths share
+        self.unknown: dict[int, str] = {}  # characters without a piece on some path, by boundary
+        # The tree of paths, from boundary ``base`` on: the length and the id of the
+        # piece that ends there (-1: an unknown character), branches, and their
+        # boundaries' exclusive or, which is the branch where there is one.
+        self.base = 0
+        self.back, self.ids, self.branches, self.toward = array("H", [0]), array("i", [-1]), array("H", [0]), array("q", [0])
 
     def feed(self, more: str) -> list[int]:
-        m, get = self.model, self.model.pieces.get
         done: list[int] = []
-        text, score, back, ids = self.text, self.score, self.back, self.ids
-        for at in range(0, len(more), _CHECK):
-            text += more[at : at + _CHECK]
-            for end in range(len(score), len(text) + 1):
-                best, length, piece = score[end - 1] + m.unknown, 1, -1
-                for start in range(end - 1, max(0, end - m.longest) - 1, -1):
-                    found = get(text[start:end])
-                    if found is not None and score[start] + found[1] >= best:
-                        best, length, piece = score[start] + found[1], end - start, found[0]
-                score.append(best)
-                back.append(length)
-                ids.append(piece)
-            if len(text) > m.longest + _CHECK:
-                done += self._commit(text, self._boundary(len(text)))
-                text, score, back, ids = self.text, self.score, self.back, self.ids
-            else:
-                self.text = text
+        score, size, first = self.score, self.size, self.end
+        least = self.model.unknown
+        before = len(self.tail)
+        text = self.tail + more
+        self.tail = text[max(len(text) - self.model.longest + 1, 0) :]
+        at, best, length, piece = -1, 0.0, 0, -1
+        for last, (n, worth, i) in self.model.automaton.iter(text):  # by end; of one end the longest first
+            last -= before
+            if last < 0:
+                continue
+            if last != at:
+                if at >= 0:
+                    self._add(best, length, piece, more[at], done)
+                for k in range(at + 1, last):
+                    self._add(score[(first + k) % size] + least, 1, -1, more[k], done)
+                at = last
+                best, length, piece = score[(first + at) % size] + least, 1, -1
+            s = score[(first + at + 1 - n) % size] + worth
+            if s > best or piece < 0 and s >= best:
+                best, length, piece = s, n, i
+        if at >= 0:
+            self._add(best, length, piece, more[at], done)
+        for k in range(at + 1, len(more)):
+            self._add(score[(first + k) % size] + least, 1, -1, more[k], done)
         return done
 
-    def _boundary(self, end: int) -> int:
-        """The last boundary that every path to a live position runs through."""
-        live = set(range(max(0, end - self.model.longest + 1), end + 1))
-        while len(live) > 1:
-            last = max(live)
-            live.remove(last)
-            live.add(last - self.back[last])
-        return live.pop()
-
-    def _commit(self, text: str, at: int) -> list[int]:
-        out: list[int] = []
-        end = at
-        while end:
-            start = end - self.back[end]
-            if self.ids[end] >= 0:
-                out.append(self.ids[end])
-            else:
-                out += reversed(self.unknown(text[start:end]))
-            end = start
-        self.text = text[at:]
-        self.score, self.back, self.ids = ([*x[at:]] for x in (self.score, self.back, self.ids))
-        return out[::-1]
-
-    def unknown(self, char: str) -> list[int]:
-        if not self.model.byte_ids:
-            raise ValueError("the model has no byte pieces for an unknown character")
-        return [self.model.byte_ids[b] for b in char.encode("utf-8", "surrogatepass")]
+    def _add(self, best: float, length: int, piece: int, char: str, done: list[int]) -> None:
+        """The next boundary, the piece that ends there on its best path, and what that settles."""
+        self.end = end = self.end + 1
+        self.score[end % self.size] = best
+        branches, toward, back = self.branches, self.toward, self.back
+        back.append(length)
+        self.ids.append(piece)
+        branches.append(0)
+        toward.append(0)
+        if piece < 0:
+            self.unknown[end] = char
+        base = self.base
+        start = end - length - base
+        branches[start] += 1
+        toward[start] ^= end
+        old = end - self.model.longest - base  # no later piece starts here
+        root = self.root - base
+        while old > root and not branches[old]:
+            up = old - back[old]
+            branches[up] -= 1
+            toward[up] ^= old + base
+            old = up
+        # A root that has left the window gets no more branches.
+        while root <= end - self.model.longest - base and branches[root] == 1:
+            root = toward[root] - base
+            self._final(root, done)
+        self.root = root + base
+        if root > _TRIM and 2 * root > len(back):
+            for a in (back, self.ids, branches, toward):
+                del a[:root]
+            self.base += root
+
+    def _final(self, at: int, done: list[int]) -> None:
+        char = self.unknown.pop(at + self.base, None)
+        if self.ids[at] >= 0:
+            done.append(self.ids[at])
+        else:
+            done += self.model.spelt(char)
 
     def finish(self) -> list[int]:
-        out = self._commit(self.text, len(self.text))
+        """The rest of the ids; the search is at its beginning again."""
+        path, at = [], self.end - self.base
+        while at > self.root - self.base:
+            path.append(at)
+            at -= self.back[at]
+        done: list[int] = []
+        for at in reversed(path):
+            self._final(at, done)
         self.__init__(self.model)
-        return out
+        return done
 
 
 def encode(model: Model, text: str) -> list[int]:
@@ -155,42 +202,14 @@ def encode(model: Model, text: str) -> list[int]:
 
 
 class _Memo(dict):
-    """Stretch (without the mark that it starts with) -> ids."""
+    """Stretch (without the mark that it starts with) -> ids, as the search gives them."""
 
     def __init__(self, model: Model, before: str):
-        import ahocorasick
-
         super().__init__()
         self.model, self.before = model, before
-        self.found = ahocorasick.Automaton()
-        for t, (i, score) in model.pieces.items():
-            self.found.add_word(t, (len(t), score, i))
-        self.found.make_automaton()
-
-    def short(self, text: str) -> list[int] | None:
-        """The best path over known pieces; None where a character is unknown."""
-        n = len(text)
-        score, back = [0.0] + [None] * n, [None] * (n + 1)
-        for last, match in self.found.iter(text):  # by end; the longest first
-            end = last + 1
-            s = score[end - match[0]]
-            if s is None:
-                return None
-            s += match[1]
-            if back[end] is None or s > score[end]:
-                score[end], back[end] = s, match
-        ids = []
-        while n:
-            if back[n] is None:
-                return None
-            ids.append(back[n][2])
-            n -= back[n][0]
-        return ids[::-1]
 
     def __missing__(self, stretch: str) -> bytes:
-        text = self.before + stretch
-        found = self.short(text) if len(text) <= _SHORT else None
-        ids = array("I", encode(self.model, text) if found is None else found).tobytes()
+        ids = array("I", encode(self.model, self.before + stretch)).tobytes()
         if len(stretch) <= MEMO_LENGTH:
             if len(self) >= MEMO_ENTRIES:
                 self.clear()

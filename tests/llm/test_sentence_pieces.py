@@ -1,10 +1,12 @@
 import random
 import re
+import time
 
 import pytest
 import sentencepiece
 from array import array
 from brute import docs, rows  # noqa: F401
+from statsheet.llm import sentence_pieces
 from statsheet.llm.queries import vocabulary_path
 from statsheet.llm.sentence_pieces import MARK, Coder, Model, Search, decode_ids, encode, encode_texts
 
@@ -62,10 +64,62 @@ def test_stream_in_any_pieces(coder):
         assert got + s.finish() == whole_search(coder.model, t)
 
 
+def held(search):
+    return len(search.back)
+
+
 def test_window_stays_small(coder):
     s = Search(coder.model)
-    committed = len(s.feed("the cat sat on the mat " * 2000))
-    assert committed and len(s.text) < 200
+    committed, most = 0, 0
+    text = "the cat sat on the mat " * 4000
+    for at in range(0, len(text), 1000):
+        committed += len(s.feed(text[at : at + 1000]))
+        most = max(most, held(s))
+    assert committed > 20_000 and len(s.score) == coder.model.longest + 1 and most < 3 * sentence_pieces._TRIM
+    assert s.end - s.root < 2 * coder.model.longest
+
+
+def test_paths_that_never_meet():
+    m = Model({"aa": (1, -1.0)}, ["", "aa", *map(str, range(256))], {2 + b: b for b in range(256)}, frozenset({0}), False)
+    s = Search(m)
+    assert s.feed("a" * 4001) == [] and len(s.score) == 3 and s.end - s.root == 4001
+    assert s.finish() == whole_search(m, "a" * 4001) and s.end == 0
+    # One more character settles which of the two it was.
+    got = s.feed("a" * 4000 + "ba")
+    assert len(got) >= 1999 and got + s.finish() == whole_search(m, "a" * 4000 + "ba")
+
+
+@pytest.mark.parametrize("text", ["a" * 1_000_000, " " * 300_000, "\n" * 300_000, "ab" * 200_000, "日" * 200_000])
+def test_time_is_linear(coder, text):
+    """Long runs without a common boundary: a character costs the same at any length."""
+    marked = text.replace(" ", MARK)
+
+    def seconds(t):
+        s, began = Search(coder.model), time.process_time()
+        ids = [i for at in range(0, len(t), 50_000) for i in s.feed(t[at : at + 50_000])] + s.finish()
+        return time.process_time() - began, ids
+
+    short, _ = seconds(marked[: len(marked) // 10])
+    long, ids = seconds(marked)
+    assert long < 30 * short + 1
+    assert coder.decode(array("I", ids).tobytes()).strip(" ") == text.strip(" ")
+    assert ids[:500] == whole_search(coder.model, marked[:20_000])[:500]
+
+
+def test_random_models_against_whole_search():
+    rng = random.Random(11)
+    for _ in range(40):
+        pieces = {"".join(rng.choice("ab") for _ in range(rng.randint(1, 5))): 0 for _ in range(rng.randint(1, 9))}
+        pieces = {t: (k + 1, -float(rng.randint(1, 6))) for k, t in enumerate(pieces)}
+        n = len(pieces) + 1
+        m = Model(pieces, ["", *pieces, *map(str, range(256))], {n + b: b for b in range(256)}, frozenset({0}), False)
+        t = "".join(rng.choice("ab" if rng.random() < 0.99 else "c") for _ in range(rng.randint(0, 300)))
+        s, got, at = Search(m), [], 0
+        while at < len(t):
+            k = rng.randint(1, 40)
+            got += s.feed(t[at : at + k])
+            at += k
+        assert got + s.finish() == whole_search(m, t)
 
 
 def test_unigram_scores_against_the_library():

@@ -13,11 +13,11 @@ sides end.  Within a group the overlaps of A with B tokens are expanded to links
   most frequent pairs are broadcast, at most ``FREQUENT`` of them (17 bytes each); a
   document's links to all other pairs are joined to the counts, so nothing is left out.
 
-A token's neighbours do not matter across a single space between two visible
-characters: no pre-token of the byte-level rule spans it, and no piece holds a
-space mark after another character (checked on the model).  Texts are cut there,
-and the ids of short stretches are kept in a bounded memo.  Any other tokenizer
-pair gets its texts whole.
+Texts of plain characters (``tokens``) are cut into stretches: white space, then letters
+(with apostrophes inside) or a run of anything else.  No pre-token of the byte-level rule
+spans two of these, and no piece does either (checked on the model), so a stretch's ids do not
+depend on its neighbours.  Those that the bounded memo lacks are encoded by the
+libraries, and short ones are kept.  Other texts and tokenizers are encoded whole.
 
 Defined cases: a text that is null, empty or not valid UTF-8, or whose tokens'
 joined bytes of either side differ from space + text (it holds U+2581, say), has no tokens: all
@@ -32,6 +32,8 @@ from __future__ import annotations
 import re
 from array import array
 from collections.abc import Iterator
+from functools import cached_property
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +43,7 @@ from pyspark.sql import functions as F
 
 from .common import Out, prepare, rows_of, shared_folder
 from .sentence_pieces import MARK, broadcast_model
-from .tokens import _BYTE_LEVEL, Encoder, _byte_letters, broadcast_vocabulary
+from .tokens import _BYTE_LEVEL, _L, _ODD, Encoder, _byte_letters, broadcast_vocabulary
 
 #: Pairs of the broadcast table, at most; a table of so many takes 17 MB.
 FREQUENT = 1_000_000
@@ -50,8 +52,11 @@ HELD_PAIRS = 2_000_000  # different pairs a task sums up before it hands them on
 MEMO_ENTRIES = 250_000
 MEMO_LENGTH = 20
 
-# A single space between characters that no Unicode version counts as white space or control.
-_CUT = re.compile("(?<=[!-~\xa1-ᙿ、-퟿]) (?=[!-~\xa1-ᙿ、-퟿])")
+_STRETCH = re.compile(rf"\s*[{_L}]+(?:'[{_L}]+)*|\s*[^\s{_L}]+(?:(?<=')[{_L}]+)*|\s+")
+#: Not plain: also carriage returns, which stand behind other characters in some pieces.
+_OTHER = re.compile(_ODD.pattern + "|\r")
+#: What a piece of plain characters may be: spaces, then letters only or none.
+_PIECE = re.compile(rf" *(?:[{_L}]+|[^\s{_L}]+)| +")
 
 
 class _PlainEncoder(Encoder):
@@ -83,46 +88,77 @@ class Pair:
         self.a_bytes = [b""] * (max(vocabulary.values()) + 1)
         for token, i in vocabulary.items():
             self.a_bytes[i] = b"".join(back.get(c, c.encode()) for c in token)
+        #: With an entry for every byte, byte-level tokens always spell the text.
+        self.spells = self.a.pattern is _BYTE_LEVEL and len({x for x in self.a_bytes if len(x) == 1}) == 256
         b, n = self.b, self.b.get_piece_size()
         pieces = [b.id_to_piece(i) for i in range(n)]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if b.is_byte(i) else p.replace(MARK, " ").encode() for i, p in enumerate(pieces)]
-        cuttable = self.a.pattern is _BYTE_LEVEL and not any(MARK in p.lstrip(MARK) for p in pieces)
-        self.cut = _CUT if cuttable else re.compile(r"(?!)")
+        own = [p.replace(MARK, " ") for i, p in enumerate(pieces) if not (b.is_byte(i) or b.is_control(i) or b.is_unknown(i))]
+        self.cuttable = self.a.pattern is _BYTE_LEVEL and all(_PIECE.fullmatch(p) for p in own if not _OTHER.search(p))
+        self.before = b.encode("\n")  # what stands before a stretch that is encoded alone
         self.a_size = np.array([len(x) for x in self.a_bytes], np.int32)
         self.b_size = np.array([len(x) for x in self.b_bytes], np.int32)
         # In the groups' text an A id is followed by another or by its group's B ids.
         self.a_text = _table(self.a_bytes, ",", "|")
         self.b_text = _table(self.b_bytes, ",", ";")
-        self.memo: dict[str, tuple[bytes, bytes] | None] = {}
-
-    def _stretch(self, s: str) -> tuple[bytes, bytes] | None:
-        a, b = array("I", self.a.ids(s)), self.b.encode(s[1:])
-        data = s.encode()
-        same = b"".join([self.a_bytes[i] for i in a]) == data == b"".join([self.b_bytes[i] for i in b])
-        found = (a.tobytes(), array("I", b).tobytes()) if same else None
-        if len(s) <= MEMO_LENGTH and len(self.memo) < MEMO_ENTRIES:
-            self.memo[s] = found
-        return found
-
-    def ids(self, text: bytes | None) -> tuple[bytes, bytes]:
-        """Little-endian unsigned 32-bit ids of both sides; none where they do not spell space + text."""
-        try:
-            text = (text or b"").decode()
-        except UnicodeDecodeError:
-            text = ""
-        if not text or MARK in text:
-            return b"", b""
-        memo, found, at = self.memo, [], 0
-        text = " " + text
-        for cut in [*(m.start() for m in self.cut.finditer(text)), len(text)]:
-            s = text[at:cut]
-            at = cut
-            ids = memo[s] if s in memo else self._stretch(s)
-            if ids is None:
-                return b"", b""
-            found.append(ids)
-        a, b = zip(*found)
-        return b"".join(a), b"".join(b)
+        self.memo: dict[str, tuple[bytes, bytes]] = {}
+
+    def _same(self, text: str, a: bytes, b: list[int]) -> bool:
+        """Both sides spell the text."""
+        data = text.encode()
+        return b"".join(map(self.b_bytes.__getitem__, b)) == data and (self.spells or b"".join(map(self.a_bytes.__getitem__, array("I", a))) == data)
+
+    def _encoded(self, stretches: list[str]) -> Iterator[tuple[bytes, bytes]]:
+        """Both sides' ids of stretches of plain texts; ``_NONE`` where they spell something else."""
+        skip, memo, pieces = len(self.before), self.a.memo, self.a.pattern.findall
+        for s, ids in zip(stretches, self.b.encode(["\n" + s for s in stretches], num_threads=1)):
+            a, b = b"".join(map(memo.__getitem__, pieces(s))), ids[skip:]
+            yield (a, array("I", b).tobytes()) if ids[:skip] == self.before and self._same(s, a, b) else _NONE
+
+    def ids(self, texts: list[bytes | None]) -> list[tuple[bytes, bytes]]:
+        """Of each text the little-endian unsigned 32-bit ids of both sides; none where
+        they do not spell space + text."""
+        memo, out, cut = self.memo, [], []
+        missing: dict[str, tuple[bytes, bytes] | None] = {}
+        for t in map(_decoded, texts):
+            text = " " + t
+            if not t or MARK in t:
+                out.append(_NONE)
+            elif not self.cuttable or _OTHER.search(t):
+                a, b = self.a.ids(text), self.b.encode(t)
+                out.append((a, array("I", b).tobytes()) if self._same(text, a, b) else _NONE)
+            else:
+                stretches = _STRETCH.findall(text)
+                found = [*map(memo.get, stretches)]
+                lacking = [i for i, x in enumerate(found) if x is None]
+                own = [stretches[i] for i in lacking]
+                missing.update(dict.fromkeys(own))
+                cut.append((len(out), found, lacking, own))
+                out.append(_NONE)
+        for at in range(0, len(missing), 1000):
+            some = [*islice(missing, at, at + 1000)]
+            missing.update(zip(some, self._encoded(some)))
+        for k, found, lacking, own in cut:
+            for i, s in zip(lacking, own):
+                found[i] = missing[s]
+            if _NONE not in found:
+                out[k] = (b"".join([a for a, _ in found]), b"".join([b for _, b in found]))
+        for s, x in missing.items():
+            if len(memo) >= MEMO_ENTRIES:
+                break
+            if len(s) <= MEMO_LENGTH:
+                memo[s] = x
+        return out
+
+
+_NONE = (b"", b"")
+
+
+def _decoded(text: bytes | None) -> str:
+    try:
+        return (text or b"").decode()
+    except UnicodeDecodeError:
+        return ""
 
 
 class Aligned:
@@ -134,19 +170,23 @@ class Aligned:
         self.a, self.b, self.n_a, self.n_b = a, b, n_a, n_b
         self.a_doc = np.repeat(np.arange(len(n_a)), n_a)
         a_end, b_end = np.cumsum(a_size[a], dtype=np.int64), np.cumsum(b_size[b], dtype=np.int64)
-        a_start, b_start = a_end - a_size[a], b_end - b_size[b]
-        side = np.repeat(np.array([0, 1], np.int8), [len(a), len(b)])
-        start, end = np.concatenate((a_start, b_start)), np.concatenate((a_end, b_end))
-        order = np.lexsort((side, start))
-        reach = np.maximum.accumulate(end[order])
+        self.start = np.concatenate((a_end - a_size[a], b_end - b_size[b]))
+        self.end = np.concatenate((a_end, b_end))
+        a_start, b_start = self.start[: len(a)], self.start[len(a) :]
+        # An A token meets the B tokens that end after its start and start before its end.
+        self.low = np.searchsorted(b_end, a_start, "right")
+        self.n = np.searchsorted(b_start, a_end, "left") - self.low
+
+    @cached_property
+    def groups(self) -> tuple[np.ndarray, np.ndarray]:
+        """The group of each A and of each B token."""
+        order = np.lexsort((self.start,))  # stable: of one start, A first
+        reach = np.maximum.accumulate(self.end[order])
         first = np.ones(len(order), bool)
-        first[1:] = start[order][1:] >= reach[:-1]
+        first[1:] = self.start[order][1:] >= reach[:-1]
         group = np.empty(len(order), np.int64)
         group[order] = np.cumsum(first) - 1
-        self.a_group, self.b_group = group[: len(a)], group[len(a) :]
-        # Within its group an A token meets the B tokens that end after its start and start before its end.
-        self.low = np.searchsorted(b_end, a_start, "right")
-        self.n = np.searchsorted(b_start, a_end, "left") - self.low
+        return group[: len(self.a)], group[len(self.a) :]
 
     def links(self) -> tuple[np.ndarray, np.ndarray]:
         """(place of the A token, place of the B token) of every link."""
@@ -161,26 +201,32 @@ class Aligned:
 
     def n_groups(self) -> np.ndarray:
         new = np.ones(len(self.a), np.int64)
-        new[1:] = self.a_group[1:] != self.a_group[:-1]
+        group, _ = self.groups
+        new[1:] = group[1:] != group[:-1]
         return self.by_document(new)
 
     def group_texts(self, a_text: np.ndarray, b_text: np.ndarray) -> list[bytes]:
         """``a1,a2|b1;a3|b2,b3`` of each document."""
-        a_last, b_last = (np.append(g[1:] != g[:-1], True) if len(g) else np.empty(0, bool) for g in (self.a_group, self.b_group))
-        a_at = np.arange(len(self.a)) + np.searchsorted(self.b_group, self.a_group, "left")
-        b_at = np.arange(len(self.b)) + np.searchsorted(self.a_group, self.b_group, "right")
-        wide = max(a_text.shape[1], b_text.shape[1])
-        cells = np.zeros((len(self.a) + len(self.b), wide), np.uint8)
-        cells[a_at, : a_text.shape[1]] = a_text[self.a.astype(np.int64) * 2 + a_last]
-        cells[b_at, : b_text.shape[1]] = b_text[self.b.astype(np.int64) * 2 + b_last]
-        size = np.concatenate(([0], np.cumsum((cells != 0).sum(axis=1))))
+        a_group, b_group = self.groups
+        a_last, b_last = (np.append(g[1:] != g[:-1], True) if len(g) else np.empty(0, bool) for g in (a_group, b_group))
+        a_at = np.arange(len(self.a)) + np.searchsorted(b_group, a_group, "left")
+        b_at = np.arange(len(self.b)) + np.searchsorted(a_group, b_group, "right")
+        cells = np.zeros((len(self.a) + len(self.b), max(a_text.shape[1], b_text.shape[1])), np.uint8)
+        cells[a_at, : a_text.shape[1]] = a_text[self.a * 2 + a_last]
+        cells[b_at, : b_text.shape[1]] = b_text[self.b * 2 + b_last]
         text = cells.ravel()
         text = text[text != 0].tobytes()
-        ends = np.concatenate(([0], np.cumsum(self.n_a + self.n_b)))
-        edge = size[ends].tolist()
+        # An id's text is as long as its digits, and one character.
+        size = np.empty(len(cells), np.int64)
+        size[a_at], size[b_at] = (np.searchsorted(_POWERS, x, "right") + 2 for x in (self.a, self.b))
+        upto = np.concatenate(([0], np.cumsum(size)))
+        edge = upto[np.concatenate(([0], np.cumsum(self.n_a + self.n_b)))].tolist()
         return [text[i : max(j - 1, i)] for i, j in zip(edge[:-1], edge[1:])]
 
 
+_POWERS = 10 ** np.arange(1, 10)
+
+
 _PAIRS: dict[tuple[int, int], Pair] = {}
 
 
@@ -233,7 +279,7 @@ def align(docs: DataFrame, tokenizers: Tokenizers, id_col: str = "doc_id", text_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p, out = tokenizers.pair(), Out(_ALIGNED)
         for chunk in _chunks(batches, ("row_id", "doc_id", "text"), "text"):
-            ids = [p.ids(text) for *_, text in chunk]
+            ids = p.ids([text for *_, text in chunk])
             (a, n_a), (b, n_b) = _joined([x for x, _ in ids]), _joined([x for _, x in ids])
             found = Aligned(a, b, n_a, n_b, p.a_size, p.b_size)
             counts = zip(n_a.tolist(), n_b.tolist(), found.n_groups().tolist(), found.by_document(found.n).tolist())

@@ -1,4 +1,5 @@
 import hashlib
+import random
 from collections import Counter
 
 import pytest
@@ -82,12 +83,35 @@ def test_equals_all_pairs(spark, docs, libraries, most):  # noqa: F811
 
 def test_stretches_have_the_librarys_ids(libraries):
     p = Pair(open(A, encoding="utf-8").read(), open(B, "rb").read())
-    assert p.cut is alignment._CUT
-    for t in TEXTS * 2:
-        one, two = tokens(libraries, t)
-        got = [memoryview(x).cast("I").tolist() for x in p.ids(None if t is None else t.encode())]
-        assert got == [[i for i, _ in one], [i for i, _ in two]], t
-    assert p.ids(b"ab\xff") == (b"", b"")
+    assert p.cuttable and p.spells
+    rng = random.Random(2)
+    mixed = ["".join(rng.choice(["den", ".", "\n", " ", "Teer", "é", "日", "\t", "1", "'s", "\r\n", "<0x0A>", "a b"]) for _ in range(60)) for _ in range(200)]
+    for texts in (TEXTS, TEXTS + mixed, mixed):
+        for t, ids in zip(texts, p.ids([None if t is None else t.encode() for t in texts])):
+            one, two = tokens(libraries, t)
+            assert [memoryview(x).cast("I").tolist() for x in ids] == [[i for i, _ in one], [i for i, _ in two]], t
+    assert p.ids([b"ab\xff"]) == [(b"", b"")] and p.memo
+
+
+def test_memo_is_bounded(libraries, monkeypatch):
+    monkeypatch.setattr(alignment, "MEMO_ENTRIES", 5)
+    p = Pair(open(A, encoding="utf-8").read(), open(B, "rb").read())
+    p.ids([b"one two three four five six seven eight nine"])
+    assert len(p.memo) == 5
+    assert p.ids([b"nine " + b"x" * 99]) == p.ids([b"nine " + b"x" * 99]) and len(p.memo) == 5
+
+
+def test_other_tokenizers_get_texts_whole(libraries):
+    import json
+
+    spec = json.loads(open(A, encoding="utf-8").read())
+    spec["normalizer"] = {"type": "Lowercase"}
+    p = Pair(json.dumps(spec), open(B, "rb").read())
+    assert not p.spells
+    p.cuttable = False
+    got = p.ids([b"Some Text", b"some text", "日本 x".encode()])
+    assert got[0] == (b"", b"") and [memoryview(x).cast("I").tolist() for x in got[1]] == [[i for i, _ in side] for side in tokens(libraries, "some text")]
+    assert memoryview(got[2][1]).cast("I").tolist() == [i for i, _ in tokens(libraries, "日本 x")[1]]
 
 
 def test_groups_are_given_as_text(spark, docs, libraries):  # noqa: F811
@@ -118,7 +142,7 @@ def test_many_pairs_are_handed_on(spark, docs, libraries, monkeypatch):  # noqa:
 
     import pyarrow as pa
 
-    ids = [p.ids(t.encode()) for _, t in data]
+    ids = p.ids([t.encode() for _, t in data])
     taken = {}
 
     class Frame:  # the function that a task runs

@@ -5,9 +5,7 @@ range is a difference of two sums times the inverse power of its start.  Two
 different strings of n bytes collide for at most n of the 2**61 - 2 bases, so for a
 base drawn at random with a probability of at most n / 2**61, whatever the strings are
 (sums modulo 2**64, by contrast, collide for some strings at every base).  Jobs
-draw their base on the driver (``draw``); where equality alone decides a result, two
-hashers of different bases are used, or what is hashed is compared.  ``mix`` spreads
-a value over 64 bits.
+draw their base on the driver (``draw``).  ``mix`` spreads a value over 64 bits.
 """
 
 from __future__ import annotations
@@ -99,6 +97,38 @@ class Hasher:
         return mix(times(reduced(sums[size:] + _P - sums[:n]), self.inverses[:n]))
 
 
+class Wrapping:
+    """Cheaper sums modulo 2**64, for choices that equal bytes must make alike but where
+    a collision does no harm, or beside a ``Hasher``: some built strings collide at any base."""
+
+    def __init__(self, base: int):
+        self.base = base | 1
+        self.inverse_base = pow(self.base, -1, 1 << 64)
+        self.powers = self.inverses = np.ones(1, np.uint64)
+        self.table = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(self.base))
+
+    def prefix(self, data: np.ndarray) -> np.ndarray:
+        n = len(data)
+        while len(self.powers) <= n:
+            have = len(self.powers)
+            self.powers, self.inverses = (np.concatenate((x, x * np.uint64(pow(b, have, 1 << 64)))) for x, b in ((self.powers, self.base), (self.inverses, self.inverse_base)))
+        out = np.zeros(n + 1, np.uint64)
+        np.cumsum(self.table[data] * self.powers[:n], out=out[1:])
+        return out
+
+    def ranges(self, sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return mix((sums[end] - sums[start]) * self.inverses[start])
+
+    def windows(self, sums: np.ndarray, size: int) -> np.ndarray:
+        n = len(sums) - size
+        return mix((sums[size:] - sums[:n]) * self.inverses[:n]) if n > 0 else np.empty(0, np.uint64)
+
+
+@lru_cache(maxsize=8)
+def wrapping(base: int) -> Wrapping:
+    return Wrapping(base)
+
+
 @lru_cache(maxsize=8)
 def hasher(base: int) -> Hasher:
     """One hasher for each base and Python worker."""

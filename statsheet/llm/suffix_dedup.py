@@ -19,9 +19,8 @@ anchors at equal places, and about one byte in 75 is an anchor.
 4. The repeated strings of a document meet its text by a hash of id and text,
    and their union is cut out.
 
-Opened strings are compared by two hashes of 64 bits with bases of their own, runs by
-one among those with equal seeds; the bases are drawn anew for each job (see
-``hashing``).  A document is known by a hash of id and text; should two different ones
+Runs are compared by a hash modulo 2**61 - 1, opened strings by that and 32 bits of an
+independent one (93 bits in all); the bases are drawn anew for each job (see ``hashing``).  A document is known by a hash of id and text; should two different ones
 share it, both are known by another.  Defined cases: a null text counts as empty; texts shorter than ``length`` lose nothing; overlaps and repeats within
 one document count; strings never cross documents.  A repeated row is a second
 document, so all its strings are repeated.  An empty table gives no rows.
@@ -39,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import free_name, prepare, rows_of, shared_folder, slices
-from .hashing import FIXED_BASE, draw, hasher, mix
+from .hashing import FIXED_BASE, draw, hasher, mix, wrapping
 
 LENGTH = 200
 SEED = 50
@@ -69,18 +68,17 @@ def _sliding_least(v: np.ndarray, width: int) -> np.ndarray:
 
 def anchors(data: bytes, length: int = LENGTH, seed: int = SEED, base: int = FIXED_BASE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(seed hash, run hash, packed run) of every run of strings with one anchor."""
-    found, hashes = [], hasher(base)
+    found, seeds, hashes = [], wrapping(base), hasher(base)
     bits = np.uint64((_SEGMENT + length).bit_length())
     for at in range(0, max(len(data) - length + 1, 0), _SEGMENT):
         d = np.frombuffer(data, np.uint8, min(_SEGMENT + length - 1, len(data) - at), at)
-        sums = hashes.prefix(d)
-        h = hashes.windows(sums, seed)
+        h = seeds.windows(seeds.prefix(d), seed)  # seeds that collide are told apart by their runs
         ordered = ((h >> bits) << bits) | np.arange(len(h), dtype=np.uint64)  # ties to the left
         place = (_sliding_least(ordered, length - seed + 1) & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
         first = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
         last = np.append(first[1:], len(place)) - 1
         own = place[first]
-        run = hashes.ranges(sums, first, last + length) ^ mix(((last - first) * 4096 + own - first + 1).astype(np.uint64))
+        run = hashes.ranges(hashes.prefix(d), first, last + length) ^ mix(((last - first) * 4096 + own - first + 1).astype(np.uint64))
         found.append((h[own].view(np.int64), run.view(np.int64), _pack(first + at, last - first + 1, own - first)))
     if not found:
         return (np.empty(0, np.int64),) * 3
@@ -97,8 +95,8 @@ def string_hashes(data: bytes, packed: np.ndarray, length: int = LENGTH, bases:
         d = np.frombuffer(data, np.uint8, min(2 * _SEGMENT + length, len(data) - at), at)
         s, c = start[own] - at, count[own]
         each = np.repeat(s - np.concatenate(([0], np.cumsum(c)[:-1])), c) + np.arange(c.sum())
-        both = (h.ranges(h.prefix(d), each, each + length).view(np.int64) for h in map(hasher, bases))
-        out.append((*both, _pack(each + at, np.ones_like(each), np.zeros_like(each))))
+        one, two = (h.ranges(h.prefix(d), each, each + length) for h in (hasher(bases[0]), wrapping(bases[1])))
+        out.append((one.view(np.int64), (two >> np.uint64(32)).view(np.int64), _pack(each + at, np.ones_like(each), np.zeros_like(each))))
     return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.empty(0, np.int64),) * 3
 
 
@@ -231,7 +229,8 @@ def _repeated(rows: DataFrame, folder: str) -> DataFrame:
         if high[0] == low[0]:
             shared += [(x, high[0], high[1] if high[1] == low[1] else None) for x in (b, c)]
     # At most two rows for each bucket, so small whatever the input.
-    beside = F.broadcast(spark.createDataFrame(shared, "bucket int, key bigint, at bigint").groupBy("bucket", "key").agg(F.collect_set("at").alias("at")))
+    # The row of no bucket keeps the plan the same where no edge is shared.
+    beside = F.broadcast(spark.createDataFrame([*shared, (-1, 0, None)], "bucket int, key bigint, at bigint").groupBy("bucket", "key").agg(F.collect_set("at").alias("at")))
     both = flagged.join(beside, ["bucket", "key"], "left")
     return both.select(*order, (F.col("same") | F.coalesce(F.array_contains("at", F.col("sub")), F.lit(False))).alias("same"), (F.col("other") | F.col("at").isNotNull()).alias("other"), "first")
 

@@ -102,8 +102,10 @@ def filename_date_score(name: Column | str) -> Column:
         F.lit(0),
         lambda acc, y: F.greatest(acc, F.when(y.cast("int").between(1990, 2100), y.cast("int") * 100).otherwise(F.lit(0))),
     )
-    dated = F.greatest(named, numeric)
-    return F.when(dated > 0, dated).otherwise(bare)
+    # Each pass is worked out once: the dated score is bound to a name, the bare years
+    # are looked for only without one, and nothing is where there is no year at all.
+    score = F.get(F.transform(F.array(F.greatest(named, numeric)), lambda dated: F.when(dated > 0, dated).otherwise(bare)), F.lit(0))
+    return F.when(s.rlike(r"\d{4}"), score).otherwise(F.lit(0))
 
 
 def _without_dots(path: Column) -> Column:
@@ -158,7 +160,14 @@ def prefer_database(name: Column | str, enabled: Column | bool) -> Column:
 
 
 def url_host(url: Column | str) -> Column:
-    return F.lower(F.try_parse_url(_col(url), F.lit("HOST")))
+    """The host of a URL, lower-cased; null without one.
+
+    It is read from the authority (what stands between ``//`` and the next ``/``,
+    ``?`` or ``#``), less user info and port, so the rest of the URL may hold spaces or other
+    characters that a strict parser refuses."""
+    authority = F.regexp_extract(_col(url), r"(?s)^\s*(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)", 1)
+    host = F.regexp_extract(F.substring_index(authority, "@", -1), r"(?s)^(?:\[([^\]]*)\]|([^:]*))", 0)
+    return F.nullif(F.lower(F.regexp_replace(host, r"^\[|\]$", "")), F.lit(""))
 
 
 def host_allowed(url: Column | str, hosts: list[str]) -> Column:

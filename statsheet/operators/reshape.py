@@ -42,11 +42,9 @@ def melt_transposed(
     period_cols = [c for c in cols[1:] if is_period_header(c)]
     if not period_cols:
         return df
-    if start_iso or end_iso:
-        period_cols = [
-            c for c in period_cols
-            if not (start_iso and header_period(c) < start_iso) and not (end_iso and header_period(c) > end_iso)
-        ]
+    inside = [c for c in period_cols if (start_iso or "") <= header_period(c) and (not end_iso or header_period(c) <= end_iso)]
+    # A range that no header meets gives no rows: one column stands for the schema.
+    period_cols = inside or period_cols[:1]
     types = {f.name: f.dataType for f in df.schema.fields}
     numeric = all(isinstance(types[c], NumericType) for c in period_cols)
     vtype = "double" if numeric else "string"
@@ -68,6 +66,8 @@ def melt_transposed(
     ]
     wide = base.select(entity_alias, *keep, *cells)
     long = wide.unpivot([entity_alias, *keep], [f"_m{i}" for i in range(len(period_cols))], "_hdr", "_cell")
+    if not inside:
+        long = long.where(F.lit(False))
     return long.select(
         entity_alias,
         F.col("_cell.p").alias("period"),

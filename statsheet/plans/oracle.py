@@ -193,6 +193,14 @@ WITH m AS (
 SELECT p.priority, m.period, agg.value
 FROM p CROSS JOIN m LEFT JOIN agg ON agg.priority = p.priority AND agg.label = m.label
 """
+SQL["transposed_range"] = """
+WITH agg AS (
+  SELECT o_orderpriority AS priority, strftime(last_day(o_orderdate), '%Y-%m-%d') AS period, max(o_totalprice) AS value
+  FROM orders WHERE o_orderpriority IS NOT NULL GROUP BY 1, 2
+)
+SELECT period, 'max_total_price' AS measure, value, 'USD' AS unit, priority, '1996-Q2' AS asked
+FROM agg WHERE period BETWEEN '1996-04-01' AND '1996-09-30' AND value IS NOT NULL
+"""
 SQL["transposed_latest"] = """
 WITH agg AS (
   SELECT o_orderpriority AS priority, strftime(last_day(o_orderdate), '%Y-%m-%d') AS period, max(o_totalprice) AS value
@@ -301,10 +309,24 @@ SELECT o_orderkey AS orderkey,
 FROM orders
 """
 
-SQL["host_filter"] = """
-SELECT page_id, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^@/?#]*@)?([^:/?#]*)', 1)) AS host,
-       lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^@/?#]*@)?([^:/?#]*)', 1))
-         IN ('blog.tionsh.example.net', 'thther.example.org', 'www.ththhe.example.com') AS allowed
+
+def _host(url: str) -> str:
+    """The host from the authority: what follows its last @, up to a port."""
+    return f"lower(split_part(list_last(string_split(regexp_extract({url}, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)', 1), '@')), ':', 1))"
+
+
+_HOSTS = "('blog.tionsh.example.net', 'thther.example.org', 'www.ththhe.example.com')"
+_REST = "split_part(url, '://', 2)"
+_FORMS = {
+    "spaced": "url || '/annual report|final 2.xlsx'",
+    "user": f"'HTTPS://me:p@ss@' || {_REST}",
+    "port": f"'http://' || upper(regexp_extract({_REST}, '^[^/?#]*')) || ':8080?q=a b#/x'",
+    "bare": f"'//' || {_REST}",
+}
+SQL["host_filter"] = f"""
+SELECT page_id, {_host('url')} AS host, {_host('url')} IN {_HOSTS} AS allowed,
+       {', '.join(f"{_host(f'({u})')} AS {k}_host, {_host(f'({u})')} IN {_HOSTS} AS {k}_allowed" for k, u in _FORMS.items())},
+       CAST(NULL AS VARCHAR) AS path_host, FALSE AS path_allowed
 FROM pages
 """
 
@@ -470,3 +492,49 @@ SELECT 'ORDERS' AS dataset_id, 'Orders by status and priority' AS dataset_name,
        'Synthetic order book.' AS attribution
 FROM ({ORDERS_OBS}) o WHERE status = 'F'
 """
+
+
+# ---- matching and search between tables -----------------------------------------------
+
+_URLS = "SELECT DISTINCT url AS r FROM pages WHERE url <> ''"
+_WRITTEN = """
+SELECT k, CASE k % 5 WHEN 0 THEN t WHEN 1 THEN before || after WHEN 2 THEN before || after || '/x'
+  WHEN 3 THEN before || here || here || after ELSE before || 'zq' || after END AS l
+FROM (SELECT k, t, substr(t, 1, pos - 1) AS before, substr(t, pos, 1) AS here, substr(t, pos + 1) AS after
+      FROM (SELECT page_id AS k, url AS t, ((page_id * 7) % (length(url) - 2) + 2)::INT AS pos FROM pages WHERE length(url) > 3))
+"""
+
+
+def _grams(t: str) -> str:
+    return f"list_distinct(list_transform(range(1, greatest(length({t}), 1) + 1), lambda i: substr(' ' || lower({t}) || ' ', i::INT, 3)))"
+
+
+SQL["similar_names"] = f"""
+WITH w AS ({_WRITTEN}),
+a AS (SELECT l, {_grams('l')} AS x FROM (SELECT DISTINCT l FROM w WHERE l <> '')),
+b AS (SELECT r, {_grams('r')} AS y FROM ({_URLS})),
+s AS (SELECT l, r, len(list_intersect(x, y)) AS common, len(x) + len(y) AS n FROM a CROSS JOIN b),
+j AS (SELECT l, r, common, common::DOUBLE / (n - common) AS jaccard FROM s),
+best AS (SELECT * FROM j WHERE jaccard >= 0.7 QUALIFY row_number() OVER (PARTITION BY l ORDER BY jaccard DESC, levenshtein(lower(l), lower(r)), r) = 1)
+SELECT w.k AS page_id, w.l AS written, best.r AS url, best.common::BIGINT AS common, best.jaccard FROM w JOIN best ON w.l = best.l
+"""
+SQL["close_names"] = f"""
+WITH w AS ({_WRITTEN}), b AS ({_URLS}),
+s AS (SELECT l, r, levenshtein(l, r) AS edits, 1 - levenshtein(l, r)::DOUBLE / greatest(length(l), length(r)) AS score FROM (SELECT DISTINCT l FROM w WHERE l <> '') CROSS JOIN b),
+best AS (SELECT *, row_number() OVER (PARTITION BY l ORDER BY score DESC, r) AS rank FROM s WHERE score >= 0.85 QUALIFY rank <= 3)
+SELECT w.k AS page_id, best.rank::BIGINT AS rank, best.r AS url, best.edits::BIGINT AS edits FROM w JOIN best ON w.l = best.l
+"""
+
+
+def _tokens(t: str) -> str:
+    return f"list_distinct(regexp_extract_all(translate({t}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\p{{L}}\\p{{N}}]+'))"
+
+
+SQL["search_texts"] = f"""
+WITH p AS (SELECT DISTINCT doc_id, unnest({_tokens('text')}) AS token FROM documents),
+w AS (SELECT token, floor(log2((SELECT count(DISTINCT doc_id) FROM documents) // count(*)))::BIGINT AS weight FROM p GROUP BY token),
+q AS (SELECT DISTINCT item_id, unnest({_tokens('text')}) AS token FROM benchmark),
+s AS (SELECT item_id, doc_id, sum(weight)::BIGINT AS score FROM q JOIN w USING (token) JOIN p USING (token) WHERE weight > 0 GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, max(score) OVER (PARTITION BY item_id) AS best FROM s)
+SELECT item_id, rank::BIGINT AS rank, doc_id, score, round(score * 100.0 / best, 1)::DOUBLE AS relevance FROM r WHERE rank <= 10
+"""

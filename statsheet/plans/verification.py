@@ -32,8 +32,10 @@ from ..functions.periods import expand_periods, header_period_col
 from ..functions.places import normalise_state_column
 from ..operators.links import best_links, candidate_links, extract_links, manifest_diff, resolve_tiers, seed_manifest
 from ..operators.lookups import pair_bases, pair_entities, translate_column
+from ..operators.matching import close_pairs, similar_pairs
 from ..operators.observe import records
 from ..operators.reshape import drop_blank_rows, melt_transposed, promote_header
+from ..operators.retrieval import index_texts, search_texts
 from ..operators.summary import series_stats
 from ..plans.api import get_data, latest, top_n
 from ..sources.tables import read_table
@@ -416,8 +418,28 @@ def manifest_diff_q(spark: SparkSession, root: str) -> DataFrame:
 
 @register("host_filter")
 def host_filter_q(spark: SparkSession, root: str) -> DataFrame:
+    """C9 on each page's URL and on forms of it with user info, a port, spaces, bars and upper case."""
     p = read_table(spark, root, "pages")
-    return p.select("page_id", url_host("url").alias("host"), host_allowed("url", ALLOWED_HOSTS).alias("allowed"))
+    rest = F.substring_index("url", "://", -1)
+    forms = {
+        "spaced": F.concat("url", F.lit("/annual report|final 2.xlsx")),
+        "user": F.concat(F.lit("HTTPS://me:p@ss@"), rest),
+        "port": F.concat(F.lit("http://"), F.upper(F.regexp_extract(rest, "^[^/?#]*", 0)), F.lit(":8080?q=a b#/x")),
+        "bare": F.concat(F.lit("//"), rest),
+        "path": F.concat(F.lit("/files//"), rest),
+    }
+    each = p.select("page_id", "url", *(c.alias(k) for k, c in forms.items()))
+    return each.select("page_id", url_host("url").alias("host"), host_allowed("url", ALLOWED_HOSTS).alias("allowed"),
+                       *[e for k in forms for e in (url_host(k).alias(f"{k}_host"), host_allowed(k, ALLOWED_HOSTS).alias(f"{k}_allowed"))])
+
+
+@register("transposed_range")
+def transposed_range_q(spark: SparkSession, root: str) -> DataFrame:
+    """F7 on a transposed sheet: a range inside its headers, and two that meet none of them."""
+    src = orders_month_pivot(spark, root).withColumnRenamed("Priority", "priority")
+    parts = [("1996-Q2", "1996-09"), ("1890", "1899"), ("2090", None)]
+    found = [get_data(spark, "ORDERS_MONTHLY", start_period=a, end_period=b, source=src).records.withColumn("asked", F.lit(a)) for a, b in parts]
+    return found[0].unionByName(found[1]).unionByName(found[2])
 
 
 @register("redact_urls")
@@ -569,3 +591,40 @@ def filters_json_q(spark: SparkSession, root: str) -> DataFrame:
 @register("bottom_n_wildcard")
 def bottom_n_wildcard_q(spark: SparkSession, root: str) -> DataFrame:
     return top_n(spark, "ORDERS", "o_totalprice", 15, {"priority": "*high"}, direction="asc", root=root).records
+
+
+# ---- matching and search between tables (T1..T6, L8) -----------------------------------
+
+
+def misspelt_urls(spark: SparkSession, root: str) -> DataFrame:
+    """Every page's URL with planted errors, by the page's number: a character left
+    out, one left out and a part added, one doubled, two put in, or (every fifth) none."""
+    p = read_table(spark, root, "pages").where("length(url) > 3")
+    t, k = F.col("url"), F.col("page_id")
+    at = (F.pmod(k * 7, F.length(t) - 2) + 2).cast("int")
+    before, here, after = F.substring(t, F.lit(1), at - 1), F.substring(t, at, F.lit(1)), F.substring(t, at + 1, F.length(t))
+    cut = F.concat(before, after)
+    wrong = F.when(k % 5 == 0, t).when(k % 5 == 1, cut).when(k % 5 == 2, F.concat(cut, F.lit("/x"))).when(k % 5 == 3, F.concat(before, here, here, after)).otherwise(F.concat(before, F.lit("zq"), after))
+    return p.select("page_id", wrong.alias("written"))
+
+
+@register("similar_names")
+def similar_names_q(spark: SparkSession, root: str) -> DataFrame:
+    """T4, T5: the URL most like each misspelt one (Jaccard of 3-grams of 0.7 or more)."""
+    found = similar_pairs(misspelt_urls(spark, root), read_table(spark, root, "pages"), "page_id", "written", "url", least=0.7)
+    return found.select(F.col("key").alias("page_id"), F.col("left_text").alias("written"), F.col("right_text").alias("url"), F.col("common").cast("long").alias("common"), "jaccard")
+
+
+@register("close_names")
+def close_names_q(spark: SparkSession, root: str) -> DataFrame:
+    """The three URLs closest to each misspelt one, by edits."""
+    found = close_pairs(misspelt_urls(spark, root), read_table(spark, root, "pages"), "page_id", "written", "url", least=0.85)
+    return found.select(F.col("key").alias("page_id"), F.col("rank").cast("long").alias("rank"), F.col("right_text").alias("url"), F.col("edits").cast("long").alias("edits"))
+
+
+@register("search_texts")
+def search_texts_q(spark: SparkSession, root: str) -> DataFrame:
+    """T1..T3, L8: the ten documents that each benchmark item names best."""
+    index = index_texts(read_table(spark, root, "documents"), "doc_id", "text")
+    found = search_texts(read_table(spark, root, "benchmark"), index, "item_id", "text")
+    return found.select(F.col("query_id").alias("item_id"), F.col("rank").cast("long").alias("rank"), F.col("id").alias("doc_id"), "score", "relevance")

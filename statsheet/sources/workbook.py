@@ -85,8 +85,10 @@ def _render_number(v: str, is_date: bool, epoch: _dt.datetime = _EXCEL_EPOCH) ->
     except ValueError:
         return v
     if is_date:
-        ts = epoch + _dt.timedelta(days=f)
-        ts = (ts + _dt.timedelta(microseconds=500_000)).replace(microsecond=0)
+        try:
+            ts = (epoch + _dt.timedelta(days=f, microseconds=500_000)).replace(microsecond=0)
+        except (OverflowError, ValueError):  # no day that a date can hold: the number stays
+            return _whole(v) or repr(f)
         return ts.strftime("%Y-%m-%d") if ts.time() == _dt.time(0) else ts.strftime("%Y-%m-%d %H:%M:%S")
     return _whole(v) or repr(f)
 

@@ -22,15 +22,14 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Out, cut_lineage, prepare, rows_of, slices
+from .common import Out, cut_lineage, prepare, rows_of, shared_folder, slices
 
 PROFILE = 400  # n-grams of a profile
 #: Learn from about this many rows of each language (drawn by a hash of the id).
 SAMPLE_PER_LANGUAGE = 5000
-MAX_LANGUAGES = 500
 UNKNOWN = "und"
 #: Least scores lie this far under this quantile of the learned rows' scores.
 LOW, MARGIN = 0.001, 0.1
@@ -137,16 +136,18 @@ _COUNTS = pa.schema([("lang", pa.string()), ("gram", pa.int64()), ("n", pa.int64
 
 
 def _sample(labelled: DataFrame, per_language: int, id_col: str, text_col: str, lang_col: str) -> tuple[DataFrame, list[str]]:
-    """The rows (lang, text) to learn from, and the languages."""
+    """The rows (lang, text) to learn from, and the languages: as many as there are
+    values, each of which is a part of the model.  A row is in if its hash falls under its
+    language's share of 2**20.  The shares are a written table, so Spark joins them to
+    the texts by its size: broadcast while it is small."""
     rows = labelled.selectExpr(f"cast(`{id_col}` as bigint) doc_id", f"cast(`{text_col}` as string) text", f"cast(`{lang_col}` as string) lang").where("lang is not null and text is not null")
-    sizes = rows.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()
-    if len(sizes) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} different values: {lang_col} holds no language names")
-    if not sizes:
-        return rows.select("lang", "text"), []
-    # A row is in if its hash falls under its language's share of 2**20.
-    share = F.create_map(*(F.lit(x) for r in sizes for x in (r["lang"], min(1 << 20, -(-(per_language << 20) // r["count"])))))
-    return rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share[F.col("lang")]).select("lang", "text"), [r["lang"] for r in sizes]
+    share = F.least(F.lit(1 << 20), F.ceil(F.lit(per_language << 20) / F.col("count"))).cast("bigint")
+    folder = shared_folder(labelled.sparkSession, "languages")
+    rows.groupBy("lang").count().select("lang", share.alias("share")).write.parquet(folder)
+    shares = labelled.sparkSession.read.schema("lang string, share bigint").parquet(folder)
+    languages = [r["lang"] for r in shares.select("lang").collect()]
+    drawn = rows.withColumn("place", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20))).join(shares, "lang")
+    return drawn.where("place < share").select("lang", "text"), languages
 
 
 def learn(labelled: DataFrame, size: int = PROFILE, sample_per_language: int = SAMPLE_PER_LANGUAGE, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Profiles:
@@ -183,7 +184,11 @@ def learn(labelled: DataFrame, size: int = PROFILE, sample_per_language: int = S
 
     counts = cut_lineage(sample.mapInArrow(count, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     # The model itself: ``size`` rows of each language.
-    profiles = {lang: [x["gram"] for x in counts.where(F.col("lang") == lang).orderBy(F.desc("n"), "gram").limit(size).collect()] for lang in languages}
+    best = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
+    top = counts.withColumn("place", F.row_number().over(best)).where(F.col("place") <= size)
+    profiles: dict[str, list[int]] = {lang: [] for lang in languages}
+    for r in sorted(top.select("lang", "place", "gram").collect()):
+        profiles[r["lang"]].append(r["gram"])
     return Profiles.of(profiles, size)
 
 

@@ -76,8 +76,6 @@ def test_edges(spark, docs):
     nothing = learn(df.where("lang is null"))
     assert nothing.languages == [] and rows(accept(df, nothing, 0.2), "doc_id") == [(None,), (1,), (2,), (2,)]
     assert predict(df.limit(0), profiles).count() == 0
-    with pytest.raises(ValueError):
-        learn(spark.range(langid.MAX_LANGUAGES + 1).selectExpr("id doc_id", "'a' text", "cast(id as string) lang"))
 
 
 def test_least_scores_by_language_and_size(spark, docs):
@@ -93,3 +91,17 @@ def test_least_scores_by_language_and_size(spark, docs):
     assert rows(accept(df, p, least), "doc_id") == [(i,) for i, *_ in long + rare]  # all that was learned from stays
     assert least("xx", 5) == 0.05 and langid.least_scores(docs(rare), learn(docs(rare)), 0.05)("de", 50) == 0.05
     assert langid.least_scores(df.limit(0), p, 0.2)("en", 50) == 0.2
+
+
+def test_many_languages(spark, docs):
+    """As many languages as there are, learned together."""
+    data = [(i, f"{chr(0x4E00 + i)}{chr(0x5E00 + i)} " * 3, f"l{i:03}") for i in range(600)] + [(1000, "12 34", "numbers")]
+    profiles = learn(docs(data, 4))
+    assert profiles.languages == sorted({x for *_, x in data})
+    for i in (0, 1, 299, 599):
+        assert profiles.predict(data[i][1])[0] == f"l{i:03}"
+    for i in (7, 512):
+        keys, counts = ngrams(data[i][1])
+        own = set(langid.ranked(keys, counts, 400).tolist())
+        j = profiles.languages.index(f"l{i:03}")
+        assert {k for k, r in zip(profiles.keys.tolist(), profiles.ranks[:, j]) if r < profiles.size} == own

@@ -54,7 +54,6 @@ def observations(keyed: DataFrame, spec: Spec, measures: list[str]) -> DataFrame
     cells = [
         F.struct(
             F.col(m).cast("double").alias("v"),
-            F.lit(units.get(m)).cast("string").alias("u"),
             F.lit(i).alias("i"),
         ).alias(m)
         for i, m in enumerate(measures)
@@ -66,7 +65,8 @@ def observations(keyed: DataFrame, spec: Spec, measures: list[str]) -> DataFrame
         "period",
         "measure",
         F.col("_cell.v").alias("value"),
-        F.col("_cell.u").alias("unit"),
+        # By position: a measure without a unit among others is null here.
+        F.get(F.array(*[F.lit(units.get(m)).cast("string") for m in measures]), F.col("_cell.i")).alias("unit"),
         *dims,
         *ords,
         F.col("_cell.i").alias(MEASURE_INDEX),

@@ -171,18 +171,21 @@ def promote_header(
 
 
 def header_names_table(grid: DataFrame, header_row: int) -> DataFrame:
-    """S4, S5 for many sheets at once: ``(source, sheet, col_idx, name)``.
+    """S4, S5 for many sheets at once: ``(source, sheet, col_idx, name)``."""
+    cells = grid.filter(F.col("row_idx") == header_row).select("source", "sheet", F.posexplode("cells").alias("col_idx", "raw"))
+    return header_names(cells, ["source", "sheet"])
+
+
+def header_names(cells: DataFrame, sheet: list[str]) -> DataFrame:
+    """Names of header cells ``(*sheet, col_idx, raw)``, as ``(*sheet, col_idx, name)``.
 
     Blank headers become ``Unnamed: i``; the k-th repeat of a name within a
     sheet gets ``.k``.  Windows are per (sheet, name), i.e. a handful of rows.
     """
-    cells = grid.filter(F.col("row_idx") == header_row).select("source", "sheet", F.posexplode("cells").alias("col_idx", "raw"))
     norm = normalize_header_col(F.col("raw"))
     named = cells.withColumn(
         "base", F.when(F.col("raw").isNull() | (norm == ""), F.concat(F.lit("Unnamed: "), F.col("col_idx").cast("string"))).otherwise(norm)
     )
-    w = Window.partitionBy("source", "sheet", "base").orderBy("col_idx")
+    w = Window.partitionBy(*sheet, "base").orderBy("col_idx")
     k = F.row_number().over(w) - 1
-    return named.select(
-        "source", "sheet", "col_idx", F.when(k == 0, F.col("base")).otherwise(F.concat(F.col("base"), F.lit("."), k.cast("string"))).alias("name")
-    )
+    return named.select(*sheet, "col_idx", F.when(k == 0, F.col("base")).otherwise(F.concat(F.col("base"), F.lit("."), k.cast("string"))).alias("name"))

@@ -538,3 +538,13 @@ s AS (SELECT item_id, doc_id, sum(weight)::BIGINT AS score FROM q JOIN w USING (
 r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, max(score) OVER (PARTITION BY item_id) AS best FROM s)
 SELECT item_id, rank::BIGINT AS rank, doc_id, score, round(score * 100.0 / best, 1)::DOUBLE AS relevance FROM r WHERE rank <= 10
 """
+
+SQL["many_sheets"] = """
+SELECT 'CUSTOMER_SNAPSHOT' AS dataset_id, 'nation-' || c_nationkey AS source,
+       strftime(last_day(make_date((2000 + c_nationkey // 12)::BIGINT, (c_nationkey % 12 + 1)::BIGINT, 1)), '%Y-%m-%d') AS period, 'account_balance' AS measure, c_acctbal AS value, 'USD' AS unit,
+       c_custkey::VARCHAR AS id, c_mktsegment AS kind, c_name AS entity
+FROM customer WHERE c_nationkey IS NOT NULL AND c_acctbal IS NOT NULL AND NOT isnan(c_acctbal)
+UNION ALL
+SELECT 'EVENTS', 'events-' || event_type, strftime(ts, '%Y-%m-%d'), 'value', value, 'points', event_id::VARCHAR, event_type, user_id::VARCHAR
+FROM events WHERE event_type IS NOT NULL AND value IS NOT NULL AND NOT isnan(value)
+"""

@@ -36,6 +36,7 @@ from ..operators.matching import close_pairs, similar_pairs
 from ..operators.observe import records
 from ..operators.reshape import drop_blank_rows, melt_transposed, promote_header
 from ..operators.retrieval import index_texts, search_texts
+from ..operators.sheets import observations_of_sheets
 from ..operators.summary import series_stats
 from ..plans.api import get_data, latest, top_n
 from ..sources.tables import read_table
@@ -628,3 +629,36 @@ def search_texts_q(spark: SparkSession, root: str) -> DataFrame:
     index = index_texts(read_table(spark, root, "documents"), "doc_id", "text")
     found = search_texts(read_table(spark, root, "benchmark"), index, "item_id", "text")
     return found.select(F.col("query_id").alias("item_id"), F.col("rank").cast("long").alias("rank"), F.col("id").alias("doc_id"), "score", "relevance")
+
+
+# ---- many sheets in one plan (S2, S5, S11, R1, R4) ---------------------------------------
+
+
+def snapshot_grid(spark: SparkSession, root: str) -> DataFrame:
+    """Raw grids of one workbook for each nation (a snapshot of its customers, whose
+    header is a month, with its columns in one of two orders) and one for each
+    event type (a wide sheet under two title rows)."""
+    c = read_table(spark, root, "customer").where("c_nationkey is not null")
+    month = F.date_format(F.expr("make_date(2000 + c_nationkey div 12, c_nationkey % 12 + 1, 1)"), "MMM yyyy")
+    source = F.concat(F.lit("nation-"), F.col("c_nationkey").cast("string"))
+    even, turned = F.col("c_nationkey") % 2 == 0, F.array("c_name", F.col("c_acctbal").cast("string"), "c_mktsegment", F.col("c_custkey").cast("string"))
+    straight = F.array("c_name", "c_mktsegment", F.col("c_custkey").cast("string"), F.col("c_acctbal").cast("string"))
+    body = c.select(source.alias("source"), F.lit("Data").alias("sheet"), (F.col("c_custkey") + 2).alias("row_idx"), F.when(even, straight).otherwise(turned).alias("cells"))
+    heads = c.select("c_nationkey", source.alias("source"), month.alias("month")).distinct()
+    names = F.when(even, F.array("month", F.lit("Segment"), F.lit("Customer\nkey"), F.lit("Account  balance"))).otherwise(F.array("month", F.lit("Account balance"), F.lit(" Segment"), F.lit("Customer key")))
+    e = read_table(spark, root, "events").where("event_type is not null")
+    kind = F.concat(F.lit("events-"), F.col("event_type"))
+    rows = e.select(kind.alias("source"), F.lit("Log").alias("sheet"), (F.col("event_id") + 4).alias("row_idx"), F.array("event_type", F.date_format("ts", "yyyy-MM-dd"), F.col("user_id").cast("string"), F.col("value").cast("string"), F.col("event_id").cast("string")).alias("cells"))
+    titles = e.select(kind.alias("source")).distinct().select("source", F.lit("Log").alias("sheet"), F.posexplode(F.array(F.array(F.lit("Events")), F.array(F.lit(None).cast("string")), F.array(*map(F.lit, ("event_type", "ts", "user_id", "value", "event_id"))))).alias("row_idx", "cells"))
+    return body.unionByName(heads.select("source", F.lit("Data").alias("sheet"), F.lit(1).cast("long").alias("row_idx"), names.alias("cells"))).unionByName(rows).unionByName(titles.withColumn("row_idx", F.col("row_idx").cast("long") + 1))
+
+
+@register("many_sheets")
+def many_sheets_q(spark: SparkSession, root: str) -> DataFrame:
+    """Every nation's snapshot and every event sheet read by one plan, each period from where its layout has it."""
+    grid = snapshot_grid(spark, root)
+    of = F.when(F.col("sheet") == "Data", F.struct(F.lit("CUSTOMER_SNAPSHOT").alias("d"), F.lit(1).alias("h"))).otherwise(F.struct(F.lit("EVENTS").alias("d"), F.lit(3).alias("h")))
+    layout = grid.select("source", "sheet").distinct().select(of["d"].alias("dataset_id"), "source", "sheet", of["h"].alias("header_row"), F.lit(None).cast("int").alias("data_start_row"))
+    found = observations_of_sheets(grid, layout, [get_spec("CUSTOMER_SNAPSHOT"), get_spec("EVENTS")])
+    d = F.col("dimensions")
+    return found.select("dataset_id", "source", "period", "measure", "value", "unit", F.coalesce(d["custkey"], d["event_id"]).alias("id"), F.coalesce(d["segment"], d["data_item"]).alias("kind"), F.coalesce(d["institution"], d["user"]).alias("entity"))

@@ -1,0 +1,83 @@
+"""Many sheets read by one plan, against each sheet read alone."""
+
+from pyspark.sql import functions as F
+
+from statsheet.operators.reshape import promote_header
+from statsheet.operators.sheets import observations_of_sheets, sheet_headers, sheet_rows
+from statsheet.spec import spec_from_dict
+
+
+def spec(id_, columns, **more):
+    return spec_from_dict({"id": id_, "name": id_, "columns": columns, **more})
+
+
+WIDE = spec("W", [
+    {"key": "period", "source": "Quarter", "role": "dimension", "dtype": "date"}, {"key": "bank", "source": "Bank", "role": "dimension", "dtype": "string"},
+    {"key": "assets", "source": "Total assets", "role": "measure", "unit": "AUD"}, {"key": "loans", "source": "Loans", "role": "measure"}], period_column="Quarter")
+SNAP = spec("S", [
+    {"key": "fund", "source": "Fund", "role": "dimension", "dtype": "string"}, {"key": "period", "source": "period", "role": "dimension", "dtype": "date"},
+    {"key": "members", "source": "Members", "role": "measure", "unit": "n"}], snapshot=True, period_column="period")
+TURNED = spec("T", [
+    {"key": "kind", "source": "kind", "role": "dimension", "dtype": "string"}, {"key": "period", "source": "period", "role": "dimension", "dtype": "date"},
+    {"key": "amount", "source": "value", "role": "measure", "unit": "m"}], layout="transposed", entity_alias="kind", period_column="period")
+
+SHEETS = {
+    ("W", "a", "1"): [["title"], ["Quarter", "Bank", "Total\nassets", "Loans"], ["2024-03-31", "A", "1", "x"], [None, None, None, None], ["2024-06-30 00:00:00", " B ", "2.5", "7"], [None, "no date", "3", None]],
+    ("W", "b", "1"): [["title"], ["Loans", "Total  assets", "Quarter", "Bank"], ["5", None, "2025-03-31", "C"], ["6", "8", None, None]],
+    ("S", "b", "s"): [["Jun 2023", "Members"], ["F1", "10"], [None, "99"], ["F2", "1e3"]],
+    ("S", "c", "s"): [["2024-09-30", "Notes", "Members"], ["F1", "n", "12"]],
+    ("T", "c", "t"): [["Type", "Mar 2024", "Notes", "2024-06-30", "mar 2025"], ["house", "1", "n", None, "3"], [None, "9", None, "9", "9"], ["flat", "bad", None, "2"]],
+}
+HEADER = {"W": 2, "S": 1, "T": 1}
+
+
+def tables(spark):
+    grid = [(src, sh, i, cells) for (_, src, sh), rows in SHEETS.items() for i, cells in enumerate(rows, 1)] + [("a", "other", 1, ["unused"])]
+    layout = [(d, src, sh, HEADER[d], None) for d, src, sh in SHEETS]
+    return (
+        spark.createDataFrame(grid, "source string, sheet string, row_idx long, cells array<string>").repartition(4),
+        spark.createDataFrame(layout, "dataset_id string, source string, sheet string, header_row int, data_start_row int"),
+    )
+
+
+def test_headers_of_all_sheets(spark):
+    grid, layout = tables(spark)
+    got = {(r["dataset_id"], r["source"], r["sheet"]): r["names"] for r in sheet_headers(grid, layout).collect()}
+    assert got[("W", "a", "1")] == ["Quarter", "Bank", "Total assets", "Loans"] and got[("W", "b", "1")] == ["Loans", "Total assets", "Quarter", "Bank"]
+    assert len(got) == len(SHEETS)
+    doubled = spark.createDataFrame([("x", "y", 1, ["A", "", "A", None])], "source string, sheet string, row_idx long, cells array<string>")
+    one = layout.limit(1).select(F.lit("D").alias("dataset_id"), F.lit("x").alias("source"), F.lit("y").alias("sheet"), F.lit(1).alias("header_row"), F.lit(None).cast("int").alias("data_start_row"))
+    assert sheet_headers(doubled, one).first()["names"] == ["A", "Unnamed: 1", "A.1", "Unnamed: 3"]
+
+
+def test_observations_equal_those_of_each_sheet_alone(spark):
+    grid, layout = tables(spark)
+    specs = {s.id: s for s in (WIDE, SNAP, TURNED)}
+    got = observations_of_sheets(grid, layout, list(specs.values())).collect()
+    want = []
+    for (d, src, sh), _ in SHEETS.items():
+        table = promote_header(grid.where((F.col("source") == src) & (F.col("sheet") == sh)), HEADER[d])
+        want += [(d, src, *r) for r in _alone(spark, specs[d], table)]
+    assert sorted((r["dataset_id"], r["source"], r["period"] or "", r["measure"], r["value"], r["unit"] or "", tuple(sorted(r["dimensions"].items()))) for r in got) == sorted(want)
+    assert {r["period"] for r in got if r["dataset_id"] == "S"} == {"2023-06-30", "2024-09-30"}
+
+
+def _alone(spark, s, table):
+    """One sheet through the single-sheet operators."""
+    from statsheet.operators.observe import observations
+    from statsheet.operators.project import project
+    from statsheet.operators.reshape import shape_source
+
+    keyed = project(shape_source(table, s), s)
+    keys = [c.key for c in s.measure_columns()]
+    dims = [c.key for c in s.dimension_columns() if c.key != "period"]
+    rows = observations(keyed, s, keys).collect()
+    return [(str(r["period"]) if r["period"] is not None else "", r["measure"], r["value"], r["unit"] or "", tuple(sorted((k, r[k]) for k in dims if r[k] is not None))) for r in rows]
+
+
+def test_blank_rows_and_unknown_sheets(spark):
+    grid, layout = tables(spark)
+    assert sheet_rows(grid, layout).where("sheet = 'other'").count() == 0
+    assert sheet_rows(grid, layout).where("dataset_id = 'W' and source = 'a'").count() == 3
+    plan = observations_of_sheets(grid, layout, [WIDE, SNAP, TURNED])._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan

@@ -8,10 +8,12 @@ aggregation, so its cost is one pass with a one-row shuffle.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_dir
 from ..spec import Spec
 from .observe import OBS_HEAD, row_order
 
@@ -181,12 +183,51 @@ def series_partitioned(obs: DataFrame, spec: Spec) -> DataFrame:
     return obs.repartitionByRange(*keys).sortWithinPartitions(*keys)
 
 
+def series_chunked(obs: DataFrame, spec: Spec, rows: int = 10_000, folder: str | None = None) -> DataFrame:
+    """K2 nested at any length: ``measure, unit, chunk, observations[]``.
+
+    A series is its chunks in order of ``chunk`` (from 0), each of at most ``rows``
+    observations (period, value, dimensions), in declared order.  The observations are
+    range-partitioned by (measure, order) and written once under ``folder`` (else
+    ``spark.checkpoint.dir``), so that chunks are cut inside the partitions, a third of all
+    rows of one measure lies in many of them, and no series meets in one task or row.
+    Only the number of chunks of each (partition, measure) is summed up globally.
+    """
+    if rows < 1:
+        raise ValueError("rows must be 1 or more")
+    spark = obs.sparkSession
+    dims = [c for c in obs.columns if c not in OBS_HEAD and not c.startswith("_")]
+    entries = F.filter(
+        F.array(*[F.struct(F.lit(d).alias("key"), F.col(d).cast("string").alias("value")) for d in dims]).cast("array<struct<key:string,value:string>>"),
+        lambda e: e["value"].isNotNull(),
+    )
+    # Rows that tie on the order are told apart by their content.
+    keys = [F.col("measure"), *row_order(obs, spec), F.xxhash64(*OBS_HEAD, *dims)]
+    path = f"{checkpoint_dir(spark, folder).rstrip('/')}/statsheet-series-{uuid.uuid4().hex}"
+    placed = obs.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    o = F.struct(*keys[1:]).alias("o")
+    placed.select(F.spark_partition_id().alias("part"), "measure", "unit", o, "period", "value", entries.alias("dims")).write.parquet(path)
+    stored = spark.read.parquet(path)
+    place = F.row_number().over(Window.partitionBy("part", "measure").orderBy("o")) - 1
+    item = F.struct("o", "period", "value", "dims")
+    cut = stored.withColumn("own", F.floor(place / rows)).groupBy("part", "measure", "own").agg(F.first("unit").alias("unit"), F.sort_array(F.collect_list(item)).alias("items"))
+    each = stored.groupBy("measure", "part").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("measure").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row of each partition
+    offsets = each.select("measure", "part", F.coalesce(F.sum(F.ceil(F.col("n") / rows)).over(before), F.lit(0)).alias("offset"))
+    return cut.join(offsets, ["measure", "part"]).select(
+        "measure",
+        "unit",
+        (F.col("offset") + F.col("own")).cast("bigint").alias("chunk"),
+        F.transform("items", lambda x: F.struct(x["period"].alias("period"), x["value"].alias("value"), F.map_from_entries(x["dims"]).alias("dimensions"))).alias("observations"),
+    )
+
+
 def series_nested(obs: DataFrame, spec: Spec) -> DataFrame:
     """K2 nested form ``measure, unit, observations[]`` for a bounded result.
 
     Only for slices already cut by a limit (the API uses it after ``limit``);
-    large slices use :func:`series_partitioned`, which never gathers a whole
-    series into one row.
+    large slices use :func:`series_chunked` or :func:`series_partitioned`, which
+    never gather a whole series into one row.
     """
     o = _ord_struct(obs, spec)
     dims = [c for c in obs.columns if c not in OBS_HEAD and not c.startswith("_")]

@@ -32,7 +32,7 @@ from ..operators.project import key_expressions, period_source_type, project
 from ..operators.ranking import latest as latest_op
 from ..operators.ranking import limit_rows, top_n as top_n_op
 from ..operators.reshape import shape_source
-from ..operators.summary import series_nested, series_partitioned, series_stats, summary_row
+from ..operators.summary import series_chunked, series_nested, series_partitioned, series_stats, summary_row
 from ..sources.tables import read_source
 from ..spec import Spec, get_spec, list_ids, load_all, parse_filters
 
@@ -59,11 +59,15 @@ class Result:
         no series is ever gathered into a single row or task."""
         return records(series_partitioned(self.observations, self.spec))
 
+    def chunked_series(self, rows: int = 10_000, folder: str | None = None) -> DataFrame:
+        """K2, nested, of any length: rows of at most ``rows`` observations, numbered in each measure."""
+        return series_chunked(self.observations, self.spec, rows, folder)
+
     def nested_series(self) -> DataFrame:
         """K2, nested: one row per measure with all its observations.  For a
         result that the caller has limited, since a series becomes one row."""
         if self.limit is None:
-            raise ValueError("nested series gather each measure in one row; pass a limit, or use series()")
+            raise ValueError("nested series gather each measure in one row; pass a limit, or use chunked_series() or series()")
         return series_nested(self.observations, self.spec)
 
     def series_stats(self) -> DataFrame:

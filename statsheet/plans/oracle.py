@@ -108,12 +108,10 @@ FROM orders
 
 SQL["top_n"] = f"""
 SELECT {ORDERS_COLS} FROM ({ORDERS_OBS}) o
-WHERE period BETWEEN '1996-01-01' AND '1996-12-31'
 ORDER BY value DESC, o0 LIMIT 10
 """
 SQL["bottom_n"] = f"""
 SELECT {ORDERS_COLS} FROM ({ORDERS_OBS}) o
-WHERE period BETWEEN '1996-01-01' AND '1996-12-31'
 ORDER BY value ASC, o0 LIMIT 10
 """
 SQL["top_n_all"] = f"""
@@ -121,7 +119,7 @@ SELECT {LINE_COLS} FROM ({lineitem_obs(('extended_price',))}) x
 ORDER BY value DESC, o0, o1, o2, o3 LIMIT 25
 """
 SQL["top_n_lines"] = f"""
-SELECT {LINE_COLS} FROM ({lineitem_obs(('extended_price',), where="l_linestatus = 'O'")}) x
+SELECT {LINE_COLS} FROM ({lineitem_obs(('quantity',))}) x
 ORDER BY value DESC, o0, o1, o2, o3 LIMIT 25
 """
 SQL["latest_multi"] = f"""
@@ -135,8 +133,7 @@ ORDER BY o0 LIMIT 50
 """
 SQL["latest_long"] = f"""
 SELECT {EVENTS_COLS} FROM ({EVENTS_OBS}) e
-WHERE data_item = 'purchase'
-  AND period = (SELECT max(period) FROM ({EVENTS_OBS}) p WHERE data_item = 'purchase')
+WHERE period = (SELECT max(period) FROM ({EVENTS_OBS}) p)
 """
 SQL["latest_n_periods"] = f"""
 SELECT {ORDERS_COLS} FROM ({ORDERS_OBS}) o
@@ -470,27 +467,26 @@ WHERE contains(upper(priority), 'HIGH')
 ORDER BY value ASC, o0 LIMIT 15
 """
 
-_NESTED = f"(SELECT * FROM ({lineitem_obs()}) x ORDER BY o0, o1, o2, o3, midx LIMIT 2000)"
 SQL["series_nested"] = f"""
 SELECT measure, any_value(unit) AS unit, count(*) AS n_obs,
        arg_min(period, (o0, o1, o2, o3)) AS first_period, arg_min(value, (o0, o1, o2, o3)) AS first_value,
        arg_max(period, (o0, o1, o2, o3)) AS last_period, arg_max(value, (o0, o1, o2, o3)) AS last_value,
-       arg_max(orderkey, (o0, o1, o2, o3)) AS last_orderkey
-FROM {_NESTED} n GROUP BY measure
+       arg_max(orderkey, (o0, o1, o2, o3)) AS last_orderkey, TRUE AS bounded, TRUE AS numbered
+FROM ({lineitem_obs()}) n GROUP BY measure
 """
 SQL["csv_output"] = f"""
 SELECT concat_ws(',', period, measure, CAST(value AS VARCHAR), unit, status, priority, customer, orderkey) AS csv
-FROM (SELECT * FROM ({ORDERS_OBS}) o ORDER BY o0 LIMIT 200) x
+FROM ({ORDERS_OBS}) x
 """
 SQL["summary_full"] = f"""
 SELECT 'ORDERS' AS dataset_id, 'Orders by status and priority' AS dataset_name,
-       '{{"dataset_id": "ORDERS", "end_period": null, "filters": {{"status": "filled"}}, "format": "records", "measures": null, "start_period": null}}' AS query,
+       '{{"dataset_id": "ORDERS", "end_period": null, "filters": {{}}, "format": "records", "measures": null, "start_period": null}}' AS query,
        min(period) AS period_start, max(period) AS period_end, CASE WHEN count(DISTINCT unit) = 1 THEN max(unit) END AS unit,
        CAST(least(count(*), 50) AS BIGINT) AS row_count, CAST(CASE WHEN count(*) > 50 THEN count(*) END AS BIGINT) AS truncated_at,
        '{{"basis":"Order book as recorded from 1995","break_date":"1998-01-01","break_reason":"Orders before this date were recorded on the earlier basis."}}' AS framework,
        FALSE AS stale, CAST(NULL AS VARCHAR) AS stale_reason, CAST(NULL AS VARCHAR) AS source_url, CAST(NULL AS VARCHAR) AS download_url,
        'Synthetic order book.' AS attribution
-FROM ({ORDERS_OBS}) o WHERE status = 'F'
+FROM ({ORDERS_OBS}) o
 """
 
 

@@ -27,6 +27,8 @@ import re
 import zipfile
 from collections.abc import Iterator
 from decimal import Decimal, InvalidOperation
+from functools import cached_property
+from typing import BinaryIO
 from xml.etree import ElementTree as ET
 
 import pandas as pd
@@ -94,11 +96,12 @@ def _render_number(v: str, is_date: bool, epoch: _dt.datetime = _EXCEL_EPOCH) ->
 
 
 class _Book:
-    def __init__(self, body: bytes):
+    def __init__(self, body: bytes | BinaryIO):
+        """A workbook's bytes, or an open file, of which only the parts asked for are read."""
         if not body:
             raise WorkbookError("empty workbook body")
         try:
-            self.zf = zipfile.ZipFile(io.BytesIO(body))
+            self.zf = zipfile.ZipFile(io.BytesIO(body) if isinstance(body, bytes) else body)
             wb = ET.fromstring(self.zf.read("xl/workbook.xml"))
         except (zipfile.BadZipFile, KeyError, ET.ParseError, OSError) as e:
             raise WorkbookError(f"could not open workbook (corrupt or truncated): {e}") from e
@@ -117,8 +120,14 @@ class _Book:
             if not target.startswith("xl/"):
                 target = "xl/" + target
             self.sheets[s.get("name")] = target
-        self.shared = self._shared_strings()
-        self.date_styles = self._date_styles()
+
+    @cached_property
+    def shared(self) -> list[str]:
+        return self._shared_strings()
+
+    @cached_property
+    def date_styles(self) -> set[int]:
+        return self._date_styles()
 
     def _shared_strings(self) -> list[str]:
         try:
@@ -151,7 +160,11 @@ class _Book:
             raise WorkbookError(f"sheet {sheet!r} not found in workbook")
         last = 0
         with self.zf.open(self.sheets[sheet]) as fh:
-            for _event, el in ET.iterparse(fh, events=("end",)):
+            table = None
+            for event, el in ET.iterparse(fh, events=("start", "end")):
+                if event == "start":
+                    table = el if el.tag == _M + "sheetData" else table
+                    continue
                 if el.tag != _M + "row":
                     continue
                 last = r = int(el.get("r") or last + 1)  # rows may leave out their number
@@ -178,6 +191,8 @@ class _Book:
                         val = None
                     cells[idx] = val
                 el.clear()
+                if table is not None:
+                    table.remove(el)  # an emptied row would stay a child of the sheet
                 width = max(cells) + 1 if cells else 0
                 yield r, [cells.get(i) for i in range(width)]
 

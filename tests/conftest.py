@@ -15,9 +15,10 @@ def spark():
     from statsheet.session import local_session
 
     s = local_session(4, shuffle_partitions=4, app="statsheet-tests")
-    # Tests run locally: the checkpoint folder is unset, so give it one.
+    # The checkpoint folder is fixed when a session starts: without one, start again with one.
     if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="statsheet-test-ckpt-"))
+        s.stop()
+        s = local_session(4, shuffle_partitions=4, app="statsheet-tests", extra_conf={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="statsheet-test-ckpt-")})
     yield s
     s.stop()
 

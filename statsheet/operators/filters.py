@@ -180,26 +180,27 @@ def close_values(df: DataFrame, expr: Column, value: str, n: int = 3) -> list[st
     return [r["v"] for r in rows.orderBy(F.desc("s"), "v").limit(n).collect()]
 
 
-def validate_permissive_values(df: DataFrame, spec: Spec, filters: dict[str, Any], exprs: dict[str, Column]) -> None:
+def validate_permissive_values(df: DataFrame, spec: Spec, filters: dict[str, Any], exprs: dict[str, Column], dictionary: DataFrame | None = None) -> None:
     """a plain value on a permissive column with an alias map must be an
     alias, a canonical value, or present in the unfiltered data.
 
     One job per checked key, which looks for those values only; the source's
-    own values are searched for a suggestion when one is missing.
+    own values are searched for a suggestion when one is missing.  With a
+    ``dictionary`` (key, value, n) the data themselves are not read.
     """
     for key, value in filters.items():
         asked = {v: {v, spec.translate(key, v)} for v in _unlisted(spec, key, value)}
         if not asked:
             continue
         wanted = sorted(set().union(*asked.values()))
-        text = exprs[key].cast("string")
-        present = {r["v"] for r in df.select(text.alias("v")).where(F.col("v").isin(wanted)).distinct().collect()}
+        held, text = (df, exprs[key].cast("string")) if dictionary is None else (dictionary.where(F.col("key") == key), F.col("value"))
+        present = {r["v"] for r in held.select(text.alias("v")).where(F.col("v").isin(wanted)).distinct().collect()}
         for v, forms in asked.items():
             if forms & present:
                 continue
             aliases = sorted(spec.dimension_values[key].values)
             near = best_match(v, aliases, cutoff=70)
-            hints = ([near] if near else []) + close_values(df, exprs[key], v)
+            hints = ([near] if near else []) + close_values(held, text, v)
             raise ValueError(
                 f"{v!r} is no value of {key!r} in {spec.id!r}."
                 + (f" Did you mean {' or '.join(map(repr, dict.fromkeys(hints)))}?" if hints else "")
@@ -222,3 +223,19 @@ def empty_result_hint(df: DataFrame, spec: Spec, key: str, value: str, expr: Col
             return f"No rows for {key}={value}: {key} runs from {years['first']} to {years['last']}, and {value} is {place}."
     near = close_values(df, expr, value)
     return f"No rows for {key}={value!r}. Close values: {', '.join(map(repr, near))}." if near else None
+
+
+def missing_value_hint(dictionary: DataFrame, spec: Spec, filters: dict[str, Any]) -> str | None:
+    """F11 from a dictionary alone: the hint for the first equality filter on a free-form
+    dimension whose value the data do not hold."""
+    for key, value in filters.items():
+        col = spec.column(key)
+        known = {c.key for c in spec.dimension_columns()} - {spec.period_key}
+        if col is None or key not in known or col.permissive or spec.dimension_values.get(key) or isinstance(value, (list, tuple)):
+            continue
+        v, held = str(value).strip(), dictionary.where(F.col("key") == key)
+        if held.where(F.col("value") == v).isEmpty():
+            hint = empty_result_hint(held, spec, key, v, F.col("value"))
+            if hint:
+                return hint
+    return None

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from ..functions.coerce import to_double
 from ..functions.periods import validate_period_arg
 from ..operators.newest import narrow, newest_bounds
-from ..operators.filters import apply_filters, apply_period_range, check_filter_keys, expand_bounds, validate_permissive_values
+from ..operators.filters import apply_filters, apply_period_range, check_filter_keys, expand_bounds, missing_value_hint, validate_permissive_values
 from ..operators.observe import csv_lines, observations, records, to_csv_text, with_dimension_map
 from ..operators.project import key_expressions, period_source_type, project
 from ..operators.ranking import latest as latest_op
@@ -115,6 +115,7 @@ def build_observations(
     start_iso: str | None,
     end_iso: str | None,
     validate: bool = False,
+    dictionary: DataFrame | None = None,
     source: DataFrame | None = None,
     last_n: int | None = None,
     mode: str = "auto",
@@ -136,7 +137,7 @@ def build_observations(
     raw = shape_source(raw, spec, start_iso, end_iso)
     exprs = key_expressions(raw, spec, measure_keys)
     if validate and filters:
-        validate_permissive_values(raw, spec, filters, exprs)
+        validate_permissive_values(raw, spec, filters, exprs, dictionary)
     filtered = apply_period_range(raw, spec, start_iso, end_iso)
     filtered = apply_filters(filtered, spec, filters, exprs)
     if last_n and stored_period:
@@ -175,13 +176,15 @@ def get_data(
     validate: bool = False,
     source: DataFrame | None = None,
     hints: bool = False,
+    dictionary: DataFrame | None = None,
 ) -> Result:
     """K6: one dataset, filtered and shaped; see module docs for the plan.
 
     ``validate=True`` checks plain values on permissive dimensions against
     the aliases and the data (F10); ``hints=True`` runs one ``isEmpty`` job
     and, when the result is empty, raises with a hint for the equality
-    filter that emptied it (F11).
+    filter that emptied it (F11).  With ``dictionary`` (key, value, n; see
+    ``operators.dictionary``) both read that table before any data.
     """
     spec = get_spec(dataset_id)
     fmt = _check_format(fmt)
@@ -199,8 +202,12 @@ def get_data(
         raise ValueError(f"dataset {spec.id!r} has no period column; omit start_period/end_period")
     obs, mode, dated, keyed = build_observations(
         spark, spec, root=root, filters=flt, measure_keys=measure_keys, start_iso=start_iso, end_iso=end_iso,
-        validate=validate, source=source, last_n=last_n, mode=mode,
+        validate=validate, source=source, last_n=last_n, mode=mode, dictionary=dictionary,
     )
+    if hints and flt and dictionary is not None:
+        hint = missing_value_hint(dictionary, spec, flt)
+        if hint:
+            raise ValueError(hint)
     if hints and flt and obs.isEmpty():
         _raise_empty_hint(spark, spec, flt, source, root, start_iso, end_iso)
     if last_n and mode != "narrowed":

@@ -18,6 +18,7 @@ from pyspark.sql.types import StringType
 
 from ..functions.coerce import clean_string, to_double
 from ..functions.periods import period_iso_col
+from ..operators.dictionary import dictionary_of, dictionary_path
 from ..operators.reshape import shape_source
 from ..sources.tables import read_silver, write_silver  # noqa: F401  (read_silver re-exported)
 from ..sources.workbook import read_workbooks
@@ -67,6 +68,8 @@ def ingest(spark: SparkSession, files: dict[str, str], bronze_path: str, silver_
             table = parsed_table(bronze, src, spec)
             period = spec.period_column if spec.layout == "wide" and not spec.snapshot else None
             write_silver(typed(shape_source(table, spec), spec), silver_root, did, cluster_by=period)
+            stored = read_silver(spark, silver_root, did)
+            dictionary_of(stored, spec).write.mode("overwrite").parquet(dictionary_path(silver_root, did))
             return did, "ok"
         except Exception as e:  # one dataset's failure must not stop the others
             return did, (f"error: {type(e).__name__}: {e}")[:STATUS_CHARS]

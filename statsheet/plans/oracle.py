@@ -544,3 +544,9 @@ UNION ALL
 SELECT 'EVENTS', 'events-' || event_type, strftime(ts, '%Y-%m-%d'), 'value', value, 'points', event_id::VARCHAR, event_type, user_id::VARCHAR
 FROM events WHERE event_type IS NOT NULL AND value IS NOT NULL AND NOT isnan(value)
 """
+
+SQL["dimension_dictionary"] = """
+SELECT 'returnflag' AS key, l_returnflag AS value, count(*) AS n FROM lineitem WHERE l_returnflag IS NOT NULL GROUP BY ALL
+UNION ALL
+SELECT 'linestatus', l_linestatus, count(*) FROM lineitem WHERE l_linestatus IS NOT NULL GROUP BY ALL
+"""

@@ -30,6 +30,7 @@ from ..functions.links import (
 )
 from ..functions.periods import expand_periods, header_period_col
 from ..functions.places import normalise_state_column
+from ..operators.dictionary import dictionary_of
 from ..operators.links import best_links, candidate_links, extract_links, manifest_diff, resolve_tiers, seed_manifest
 from ..operators.lookups import pair_bases, pair_entities, translate_column
 from ..operators.matching import close_pairs, similar_pairs
@@ -665,3 +666,10 @@ def many_sheets_q(spark: SparkSession, root: str) -> DataFrame:
     found = observations_of_sheets(grid, layout, [get_spec("CUSTOMER_SNAPSHOT"), get_spec("EVENTS")])
     d = F.col("dimensions")
     return found.select("dataset_id", "source", "period", "measure", "value", "unit", F.coalesce(d["custkey"], d["event_id"]).alias("id"), F.coalesce(d["segment"], d["data_item"]).alias("kind"), F.coalesce(d["institution"], d["user"]).alias("entity"))
+
+
+@register("dimension_dictionary")
+def dimension_dictionary_q(spark: SparkSession, root: str) -> DataFrame:
+    """The values of every dimension of the line items, with their rows."""
+    spec = get_spec("LINEITEM")
+    return dictionary_of(read_table(spark, root, "lineitem"), spec)

@@ -25,6 +25,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.dictionary import value_counts
 from ..session import checkpoint_dir
 
 
@@ -48,10 +49,15 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def upsert(
-    batch: DataFrame, history_path: str, keys: list[str], order: list[str], partition_col: str, checkpoints: str | None = None
+    batch: DataFrame, history_path: str, keys: list[str], order: list[str], partition_col: str, checkpoints: str | None = None,
+    dictionary_path: str | None = None, dimensions: list[str] | None = None,
 ) -> None:
     """Merge one batch of snapshot rows into the history table.  ``checkpoints``
-    is the shared folder for staging (else ``spark.checkpoint.dir``)."""
+    is the shared folder for staging (else ``spark.checkpoint.dir``).
+
+    With ``dictionary_path`` the values of ``dimensions`` are counted beside it, by
+    period, so that only the touched periods are counted anew
+    (``operators.dictionary.read_dictionary`` sums them up)."""
     spark = batch.sparkSession
     if batch.isEmpty():
         return
@@ -70,6 +76,9 @@ def upsert(
     staged.repartition(F.col(partition_col), F.pmod(F.xxhash64(*keys), F.lit(FILES_PER_PERIOD))).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
     ).partitionBy(partition_col).parquet(history_path)
+    if dictionary_path:
+        counts = value_counts(staged, {d: F.col(f"`{d}`") for d in dimensions or []}, (partition_col,))
+        counts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(dictionary_path)
     _delete(spark, staging)
 
 

@@ -550,3 +550,7 @@ SELECT 'returnflag' AS key, l_returnflag AS value, count(*) AS n FROM lineitem W
 UNION ALL
 SELECT 'linestatus', l_linestatus, count(*) FROM lineitem WHERE l_linestatus IS NOT NULL GROUP BY ALL
 """
+
+SQL["filter_long_list"] = f"""
+SELECT {LINE_COLS} FROM ({lineitem_obs(('quantity',), where="l_orderkey BETWEEN 0 AND 99999")}) x
+"""

@@ -673,3 +673,9 @@ def dimension_dictionary_q(spark: SparkSession, root: str) -> DataFrame:
     """The values of every dimension of the line items, with their rows."""
     spec = get_spec("LINEITEM")
     return dictionary_of(read_table(spark, root, "lineitem"), spec)
+
+
+@register("filter_long_list")
+def filter_long_list_q(spark: SparkSession, root: str) -> DataFrame:
+    """a list of 100,000 values on an id of the line items."""
+    return get_data(spark, "LINEITEM", {"orderkey": [str(i) for i in range(100_000)]}, "quantity", root=root).records

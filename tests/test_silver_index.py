@@ -1,0 +1,60 @@
+"""Zone maps and Bloom filters: only the files that can match are read."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from statsheet.sources.silver_index import matching_files, read_where, write_indexed
+from statsheet.sources.tables import read_table, silver_path
+
+
+@pytest.fixture(scope="module")
+def store(spark, root, tmp_path_factory):
+    silver = str(tmp_path_factory.mktemp("silver"))
+    orders = read_table(spark, root, "orders").withColumn("o_orderdate", F.to_date("o_orderdate"))
+    write_indexed(orders, silver, "ORDERS", "o_orderdate", ["o_orderkey", "o_custkey"], files=8)
+    return silver, orders
+
+
+def holding(spark, silver, cond):
+    t = spark.read.parquet(silver_path(silver, "ORDERS"))
+    return {r[0] for r in t.where(cond).select(F.col("_metadata.file_path")).distinct().collect()}
+
+
+def test_an_id_is_looked_for_where_it_can_be(spark, store):
+    silver, orders = store
+    every = set(matching_files(spark, silver, "ORDERS"))
+    assert len(every) == 8
+    seen = 0
+    for key in [r[0] for r in orders.select("o_orderkey").limit(25).collect()]:
+        found = set(matching_files(spark, silver, "ORDERS", ids={"o_orderkey": [key]}))
+        want = holding(spark, silver, f"o_orderkey = {key}")
+        assert want <= found
+        seen += len(found)
+    assert seen <= 25 * 1.2  # one file for each key, and few false ones
+    assert matching_files(spark, silver, "ORDERS", ids={"o_orderkey": [-5, 10**12]}) == []
+    got = read_where(spark, silver, "ORDERS", "o_orderdate", ids={"o_orderkey": [key]})
+    assert len(got.inputFiles()) <= 2 and got.count() == 1
+
+
+def test_a_period_range_reads_its_files(spark, store):
+    silver, orders = store
+    low, high = orders.agg(F.min("o_orderdate"), F.max("o_orderdate")).first()
+    day = low + (high - low) / 2
+    a, b = day, day + dt.timedelta(days=20)
+    cond = F.col("o_orderdate").between(F.lit(a), F.lit(b))
+    got = read_where(spark, silver, "ORDERS", "o_orderdate", a, b)
+    assert got.count() == orders.where(cond).count() > 0
+    assert set(matching_files(spark, silver, "ORDERS", a, b)) == holding(spark, silver, cond) and len(got.inputFiles()) <= 2
+    assert read_where(spark, silver, "ORDERS", "o_orderdate", high + dt.timedelta(days=1)).count() == 0
+
+
+def test_several_ids_and_a_range(spark, store):
+    silver, orders = store
+    some = [r[0] for r in orders.select("o_custkey").distinct().limit(5).collect()]
+    low = orders.agg(F.min("o_orderdate")).first()[0]
+    a, b = low, low + dt.timedelta(days=500)
+    got = read_where(spark, silver, "ORDERS", "o_orderdate", a, b, {"o_custkey": some})
+    want = orders.where(F.col("o_orderdate").between(F.lit(a), F.lit(b)) & F.col("o_custkey").isin(some))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.select(*got.columns).collect()))

@@ -15,9 +15,10 @@ moves there.  Every boundary is added, pruned and committed once, so the time is
 in the text, whatever it holds.  Where paths never meet (a long run of one character,
 say) the tree keeps 13 bytes a character until they do.
 
-No piece holds a space mark after another character, so a space always is a common
-boundary, and so is a line feed where no piece holds one.  The search is run on
-what stands between, and its results for short stretches are kept in a bounded memo.
+No piece holds a space mark after another character, so before a space there always is
+a common boundary; where pieces hold letters only or none (checked), there is one
+between these, too.  The search is run on what stands between, and its results for short
+stretches are kept in a bounded memo.
 
 Defined cases: a null or empty text has no ids and decodes to the empty text.
 A text that holds the space mark itself (U+2581) decodes with a space there,
@@ -45,8 +46,11 @@ MARK = "▁"
 MEMO_ENTRIES = 600_000
 MEMO_LENGTH = 18
 _TRIM = 4096  # committed boundaries that may stay in the arrays
+_PORTION = 4096  # characters read at a time
 _UNKNOWN_PENALTY = 10.0
-_STRETCH = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
+_SPACES = re.compile(" +[^ ]*|[^ ]+")
+#: Spaces, then a run of letters or a run of anything else.
+_CLASSES = re.compile(r" *(?:[^\W\d_²³¹¼-¾]+|(?:[^\w ]|[\d_²³¹¼-¾])+)| +")
 
 
 @dataclass
@@ -103,62 +107,87 @@ class Search:
 
     def __init__(self, model: Model):
         self.model = model
-        self.tail = ""  # the last characters that a later piece may hold
         self.size = model.longest + 1
-        self.score = [0.0] * self.size  # of the best path to a boundary, by boundary modulo ``size``
-        self.end = 0  # characters read
-        self.root = 0  # the last boundary that all paths share
-        self.unknown: dict[int, str] = {}  # characters without a piece on some path, by boundary
         # The tree of paths, from boundary ``base`` on: the length and the id of the
         # piece that ends there (-1: an unknown character), branches, and their
         # boundaries' exclusive or, which is the branch where there is one.
-        self.base = 0
         self.back, self.ids, self.branches, self.toward = array("H", [0]), array("i", [-1]), array("H", [0]), array("q", [0])
+        self.unknown: dict[int, str] = {}  # characters without a piece on some path, by boundary
+        self._begin()
+
+    def _begin(self) -> None:
+        self.tail = ""  # the last characters that a later piece may hold
+        self.score = [0.0]  # of the best paths to the last ``size`` boundaries
+        self.end = self.root = self.base = 0  # characters read; the last boundary that all paths share
+        self.unknown.clear()
+        for a in (self.back, self.ids, self.branches, self.toward):
+            del a[1:]
+        self.branches[0] = self.toward[0] = 0
 
     def feed(self, more: str) -> list[int]:
         done: list[int] = []
-        score, size, first = self.score, self.size, self.end
-        least = self.model.unknown
-        before = len(self.tail)
-        text = self.tail + more
-        self.tail = text[max(len(text) - self.model.longest + 1, 0) :]
-        at, best, length, piece = -1, 0.0, 0, -1
+        for at in range(0, len(more), _PORTION):
+            first = self.end
+            self._read(more[at : at + _PORTION])
+            # Each of these boundaries let the one ``longest`` before it out of the window.
+            for end in range(max(first + 1, self.size), self.end + 1):
+                self._settle(end, done)
+        return done
+
+    def _read(self, more: str) -> None:
+        """The best path to each boundary of ``more``."""
+        score, first, least, unknown = self.score, self.end, self.model.unknown, self.unknown
+        push, back, name = score.append, self.back.append, self.ids.append
+        here, before = len(score) - 1, len(self.tail)
+        text = self.tail + more if before else more
+        at, best, length, piece = 0, 0.0, 0, 0
+
+        def skip(to: int) -> None:
+            """Characters that no piece ends with."""
+            for k in range(len(score) - here, to):
+                push(score[-1] + least)
+                back(1)
+                name(-1)
+                unknown[first + k] = more[k - 1]
+
         for last, (n, worth, i) in self.model.automaton.iter(text):  # by end; of one end the longest first
-            last -= before
-            if last < 0:
-                continue
+            last -= before - 1
             if last != at:
-                if at >= 0:
-                    self._add(best, length, piece, more[at], done)
-                for k in range(at + 1, last):
-                    self._add(score[(first + k) % size] + least, 1, -1, more[k], done)
+                if last <= 0:
+                    continue
+                if at:
+                    push(best)
+                    back(length)
+                    name(piece)
+                    if piece < 0:
+                        unknown[first + at] = more[at - 1]
+                if last != at + 1:
+                    skip(last)
                 at = last
-                best, length, piece = score[(first + at) % size] + least, 1, -1
-            s = score[(first + at + 1 - n) % size] + worth
+                best, length, piece = score[-1] + least, 1, -1
+            s = score[here + at - n] + worth
             if s > best or piece < 0 and s >= best:
                 best, length, piece = s, n, i
-        if at >= 0:
-            self._add(best, length, piece, more[at], done)
-        for k in range(at + 1, len(more)):
-            self._add(score[(first + k) % size] + least, 1, -1, more[k], done)
-        return done
-
-    def _add(self, best: float, length: int, piece: int, char: str, done: list[int]) -> None:
-        """The next boundary, the piece that ends there on its best path, and what that settles."""
-        self.end = end = self.end + 1
-        self.score[end % self.size] = best
-        branches, toward, back = self.branches, self.toward, self.back
-        back.append(length)
-        self.ids.append(piece)
-        branches.append(0)
-        toward.append(0)
-        if piece < 0:
-            self.unknown[end] = char
-        base = self.base
-        start = end - length - base
-        branches[start] += 1
-        toward[start] ^= end
-        old = end - self.model.longest - base  # no later piece starts here
+        if at:
+            push(best)
+            back(length)
+            name(piece)
+            if piece < 0:
+                unknown[first + at] = more[at - 1]
+        skip(len(more) + 1)
+        self.end = first + len(more)
+        self.tail = text[max(len(text) - self.model.longest + 1, 0) :]
+        del score[: -self.size]
+
+    def _settle(self, end: int, done: list[int]) -> None:
+        """Prune the boundary that leaves the window at ``end``, and commit what all paths share."""
+        base, branches, toward, back = self.base, self.branches, self.toward, self.back
+        for new in range(len(branches), end - base + 1):  # branches of the tree up to here
+            branches.append(0)
+            toward.append(0)
+            branches[new - back[new]] += 1
+            toward[new - back[new]] ^= new + base
+        old = last = end - self.model.longest - base  # no later piece starts here
         root = self.root - base
         while old > root and not branches[old]:
             up = old - back[old]
@@ -166,32 +195,33 @@ class Search:
             toward[up] ^= old + base
             old = up
         # A root that has left the window gets no more branches.
-        while root <= end - self.model.longest - base and branches[root] == 1:
+        while root <= last and branches[root] == 1:
             root = toward[root] - base
-            self._final(root, done)
+            done += self._final(root)
         self.root = root + base
-        if root > _TRIM and 2 * root > len(back):
+        if root > _TRIM and 2 * root > len(branches):
             for a in (back, self.ids, branches, toward):
                 del a[:root]
             self.base += root
 
-    def _final(self, at: int, done: list[int]) -> None:
-        char = self.unknown.pop(at + self.base, None)
-        if self.ids[at] >= 0:
-            done.append(self.ids[at])
-        else:
-            done += self.model.spelt(char)
+    def _final(self, at: int) -> list[int]:
+        i = self.ids[at]
+        char = self.unknown.pop(at + self.base, None) if self.unknown else None
+        return [i] if i >= 0 else self.model.spelt(char)
 
     def finish(self) -> list[int]:
         """The rest of the ids; the search is at its beginning again."""
-        path, at = [], self.end - self.base
-        while at > self.root - self.base:
+        at, root, back = self.end - self.base, self.root - self.base, self.back
+        path = []
+        while at > root:
             path.append(at)
-            at -= self.back[at]
-        done: list[int] = []
-        for at in reversed(path):
-            self._final(at, done)
-        self.__init__(self.model)
+            at -= back[at]
+        path.reverse()
+        ids = self.ids
+        done = [ids[at] for at in path]
+        if -1 in done:
+            done = [i for at in path for i in self._final(at)]
+        self._begin()
         return done
 
 
@@ -202,14 +232,15 @@ def encode(model: Model, text: str) -> list[int]:
 
 
 class _Memo(dict):
-    """Stretch (without the mark that it starts with) -> ids, as the search gives them."""
+    """Stretch -> ids, as the search gives them."""
 
-    def __init__(self, model: Model, before: str):
+    def __init__(self, model: Model):
         super().__init__()
-        self.model, self.before = model, before
+        self.search = Search(model)
 
     def __missing__(self, stretch: str) -> bytes:
-        ids = array("I", encode(self.model, self.before + stretch)).tobytes()
+        s = self.search
+        ids = array("I", s.feed(stretch.replace(" ", MARK)) + s.finish()).tobytes()
         if len(stretch) <= MEMO_LENGTH:
             if len(self) >= MEMO_ENTRIES:
                 self.clear()
@@ -217,52 +248,27 @@ class _Memo(dict):
         return ids
 
 
-class _Lines(_Memo):
-    """As the memo, for stretches that may hold line feeds."""
-
-    def __init__(self, model: Model):
-        super().__init__(model, MARK)
-        self.inner = _Memo(model, "") if not any("\n" in t for t in model.pieces) else None
-        self.feed = array("I", encode(model, "\n")).tobytes() if self.inner is not None else b""
-
-    def __missing__(self, stretch: str) -> bytes:
-        if "\n" not in stretch or self.inner is None:
-            return super().__missing__(stretch)
-        first, *rest = stretch.split("\n")
-        return b"".join([self[first], *(x for r in rest for x in (self.feed, self.inner[r]))])
-
-
 class Coder:
     def __init__(self, data: bytes):
-        self.model = Model.load(data)
-        self.memo = _Lines(self.model)
+        self.model = m = Model.load(data)
+        self.memo = _Memo(m)
+        pieces = [t.replace(MARK, " ") for t in m.pieces]
+        self.cut = _CLASSES if all(map(_CLASSES.fullmatch, pieces)) else _SPACES
+        self.spelt = [bytes([m.bytes_of[i]]) if i in m.bytes_of else b"" if i in m.skip else t.encode() for i, t in enumerate(m.texts)]
 
     def encode(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids of a whole text."""
         if not text:
             return b""
-        memo = self.memo
-        if self.model.prefix and "  " not in text and text[0] != " " and text[-1] != " " and MARK not in text:
-            return b"".join(map(memo.__getitem__, text.split(" ")))
-        marked = (" " * self.model.prefix + text).replace(" ", MARK)
-        out = []
-        for stretch in _STRETCH.findall(marked):
-            if stretch[0] != MARK:  # only a first one, in a model without prefix
-                out.append(array("I", encode(self.model, stretch)).tobytes())
-            else:
-                out.append(memo[stretch[1:]])
-        return b"".join(out)
+        text = " " * self.model.prefix + text
+        if MARK in text:  # it counts as a space, and is not one
+            return array("I", encode(self.model, text.replace(" ", MARK))).tobytes()
+        return b"".join(map(self.memo.__getitem__, self.cut.findall(text)))
 
     def decode(self, ids: bytes) -> str:
-        m, out = self.model, bytearray()
-        for i in array("I", ids):
-            b = m.bytes_of.get(i)
-            if b is not None:
-                out.append(b)
-            elif i not in m.skip:
-                out += m.texts[i].encode()
+        out = b"".join(map(self.spelt.__getitem__, array("I", ids)))
         text = out.decode("utf-8", "surrogatepass").replace(MARK, " ")
-        return text[1:] if m.prefix and text.startswith(" ") else text
+        return text[1:] if self.model.prefix and text.startswith(" ") else text
 
 
 _CODERS: dict[int, Coder] = {}

@@ -75,7 +75,7 @@ def test_window_stays_small(coder):
     for at in range(0, len(text), 1000):
         committed += len(s.feed(text[at : at + 1000]))
         most = max(most, held(s))
-    assert committed > 20_000 and len(s.score) == coder.model.longest + 1 and most < 3 * sentence_pieces._TRIM
+    assert committed > 20_000 and len(s.score) <= coder.model.longest + 1 and most < 3 * sentence_pieces._TRIM
     assert s.end - s.root < 2 * coder.model.longest
 
 

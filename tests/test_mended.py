@@ -113,7 +113,10 @@ def test_bad_files_do_not_stop_the_others(spark, tmp_path):
     _replace(dated, str(tmp_path / "huge.xlsx"), "xl/worksheets/sheet1.xml", lambda t: t.replace(serial, "99999999999"))
     grid = read_workbooks(spark, str(tmp_path), ["T"]).collect()
     failed = {r["source"].rsplit("/", 1)[1] for r in grid if r["error"]}
-    assert failed == {"strings.xlsx", "index.xlsx", "huge.xlsx"}
+    assert failed == {"strings.xlsx", "index.xlsx"}
+    # A number beyond all days is no date: it stays, and so does the rest of its sheet.
+    huge = [r["cells"] for r in grid if r["source"].endswith("huge.xlsx")]
+    assert [c[1] for c in huge] == ["When", "99999999999", "2024-06-30"]
     assert [r["cells"] for r in grid if r["source"].endswith("good.xlsx")] == [["Name"], ["alpha"], ["beta"]]
 
 
@@ -194,3 +197,48 @@ print("ROWS", sum(p["numInputRows"] for p in q.recentProgress))
 """
     said = [subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=240).stdout for _ in range(2)]
     assert "ROWS 0" not in said[0] and "ROWS 0" in said[1]
+
+
+def test_range_outside_a_transposed_sheet_is_empty(spark):
+    sheet = spark.createDataFrame([("Office", 1.0, 2.0), ("Retail", 3.0, None)], "priority string, `Mar 2025` double, `Jun 2025` double")
+    for a, b in (("1900", "1950"), ("2030", None), (None, "2024")):
+        res = get_data(spark, "ORDERS_MONTHLY", start_period=a, end_period=b, source=sheet)
+        assert res.records.collect() == [] and res.summary.first()["row_count"] == 0
+        assert res.records.columns == get_data(spark, "ORDERS_MONTHLY", source=sheet).records.columns
+    assert get_data(spark, "ORDERS_MONTHLY", start_period="2025-Q2", source=sheet).records.count() == 1
+    assert latest(spark, "ORDERS_MONTHLY", source=sheet).records.count() == 1
+
+
+def test_hosts_as_the_standard_library_reads_them(spark):
+    from statsheet.functions.links import host_allowed, url_host
+
+    urls = ["http://a.org/x y", "http://a.org/x|y", "https://A.org:8443/p", "http://me:p@w@a.org/q", "//a.org/x", "http://a.org?u=http://b.org", "http://a.org#@b.org", "ftp://a.org", "a.org/x", "", "http:///x", "http://[::1]:80/x", "mailto:x@a.org", "http://a.org.evil.net/", "http://evil.net/a.org"]
+    got = spark.createDataFrame([(u,) for u in [*urls, None]], "u string").select("u", url_host("u").alias("h"), host_allowed("u", ["a.org"]).alias("ok")).collect()
+    for r in got:
+        host = urllib.parse.urlparse(r["u"]).hostname if r["u"] else None
+        assert (r["h"] or None) == host and r["ok"] == (host == "a.org"), r
+
+
+def test_a_measure_without_a_unit_beside_one_with(spark):
+    spec = spec_from_dict({"id": "U", "name": "u", "columns": [
+        {"key": "x", "source": "X", "role": "dimension", "dtype": "string"},
+        {"key": "a", "source": "A", "role": "measure", "unit": "AUD"}, {"key": "b", "source": "B", "role": "measure"}]})
+    from statsheet.operators.observe import observations
+    from statsheet.operators.project import project
+
+    rows = observations(project(spark.createDataFrame([("p", 1.0, 2.0)], "X string, A double, B double"), spec), spec, ["a", "b"]).collect()
+    assert sorted((r["measure"], r["unit"], r["value"]) for r in rows) == [("a", "AUD", 1.0), ("b", None, 2.0)]
+
+
+def test_chunked_series_of_any_length(spark, root):
+    res = get_data(spark, "LINEITEM", measures=["quantity", "tax"], root=root)
+    chunks = res.chunked_series(rows=70).collect()
+    for m in ("quantity", "tax"):
+        own = sorted((c for c in chunks if c["measure"] == m), key=lambda c: c["chunk"])
+        assert [c["chunk"] for c in own] == list(range(len(own))) and max(len(c["observations"]) for c in own) <= 70
+        flat = [(o["period"], o["value"], o["dimensions"]["orderkey"]) for c in own for o in c["observations"]]
+        lines = spark.read.parquet(f"{root}/lineitem.parquet").orderBy("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber").select("l_quantity" if m == "quantity" else "l_tax", "l_orderkey").collect()
+        # Lines may tie on all order columns.
+        assert [k for *_, k in flat] == [str(r[1]) for r in lines] and sorted((v, k) for _, v, k in flat) == sorted((r[0], str(r[1])) for r in lines)
+    with pytest.raises(ValueError):
+        res.chunked_series(rows=0)

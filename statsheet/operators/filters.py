@@ -22,7 +22,7 @@ from ..spec import Spec
 
 _CANON_INT = re.compile(r"^(0|-?[1-9][0-9]{0,17})$")
 #: Longer lists of values are joined instead of written into the predicate.
-LONG_LIST = 1000
+LONG_LIST = 20_000
 #: How close (one less the share of edits) a value must be to be suggested.
 CLOSE = 0.6
 

@@ -48,10 +48,10 @@ class TextIndex:
 def index_texts(texts: DataFrame, id_col: str, text_col: str) -> TextIndex:
     rows = texts.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     postings = rows.select("id", F.explode(tokens(F.col("text"))).alias("token")).distinct()
-    total = rows.agg(F.count_distinct("id").alias("total"))
+    total = rows.agg(F.count_distinct("id")).first()[0]  # one number
     # floor(log2(total / held)) without floating point: the length of the quotient in bits, less 1.
-    quotient = F.expr("total div held")
-    held = postings.groupBy("token").agg(F.count(F.lit(1)).alias("held")).crossJoin(F.broadcast(total))  # one row
+    quotient = F.expr(f"{total} div held")
+    held = postings.groupBy("token").agg(F.count(F.lit(1)).alias("held"))
     weights = held.select("token", (F.length(F.bin(quotient)) - 1).cast("int").alias("weight")).where("weight > 0")
     return TextIndex(postings, weights)
 

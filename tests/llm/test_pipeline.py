@@ -8,7 +8,7 @@ from statsheet.llm.queries import REGISTRY, SQL, vocabulary_path
 
 def test_stages_and_registry():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language", "quality", "near_dedup", "suffix_dedup", "packing"]
-    assert sorted(int(n[2:].split("_")[0]) for n in REGISTRY) == list(range(1, 11)) and set(SQL) <= set(REGISTRY)
+    assert sorted(int(n[2:].split("_")[0]) for n in REGISTRY) == list(range(1, 14)) and set(SQL) <= set(REGISTRY)
 
 
 def test_run_against_plain_stages(spark, root):

@@ -64,7 +64,9 @@ def _ordered(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame]:
     each = both.select("side", "text", F.explode("tokens").alias("token"))
     held = each.groupBy("token").agg(F.count(F.lit(1)).alias("held"))
     ranked = F.concat(F.lpad(F.col("held").cast("string"), 12, "0"), F.col("token"))
-    listed = each.join(held, "token").groupBy("side", "text").agg(F.sort_array(F.collect_list(ranked)).alias("tokens"))
+    # Every token is held.  The rows of ``each`` are many more than the engine takes an
+    # exploded table to have, and as the outer side they are never broadcast.
+    listed = each.join(held, "token", "left").groupBy("side", "text").agg(F.sort_array(F.collect_list(ranked)).alias("tokens"))
     return listed.where("side = 0").drop("side"), listed.where("side = 1").drop("side")
 
 
@@ -86,7 +88,8 @@ def _candidates(left: DataFrame, right: DataFrame, prefix, needed: Column) -> Da
     # What both hold from the first common token on.
     possible = F.least(F.size("l_tokens") - F.col("l_at"), F.size("r_tokens") - F.col("r_at")) >= needed
     first = ~F.arrays_overlap(F.slice("l_rare", F.lit(1), F.col("l_at")), F.slice("r_rare", F.lit(1), F.col("r_at")))
-    return l.join(r, ["token", "salt"]).where(possible).where(first).select("l", "l_tokens", "r", "r_tokens")
+    # Nor are the entries, each of which carries all tokens of its text.
+    return l.join(r.hint("merge"), ["token", "salt"]).where(possible).where(first).select("l", "l_tokens", "r", "r_tokens")
 
 
 def _keyed(pairs: DataFrame, left: DataFrame, right: DataFrame, n: int | None, order: list[Column], scores: list[str]) -> DataFrame:

@@ -10,9 +10,10 @@ a loop over sheets or datasets:
          ⋈ columns of each dataset → observations
 
 The grid is scanned once for headers (one row of each sheet) and once for rows.
-Headers and dataset columns are as small as the number of sheets and specs; they
-are joined without a hint, so Spark broadcasts them while they are.  Sheets
-may have their columns in any order, since cells are found by name.
+Dataset columns are as small as the number of specs and broadcast.  So are headers
+of up to ``FEW_SHEETS`` sheets: dealt out by so few keys, all rows of a sheet or
+dataset would be sorted in one task.  Headers of more sheets are joined by sheet.
+Sheets may have their columns in any order, since cells are found by name.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ from ..spec import Spec
 from .reshape import header_names
 
 SHEET = ("dataset_id", "source", "sheet")
+#: Sheets whose headers one task may hold.
+FEW_SHEETS = 1000
 _ISO = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 _COLUMNS = "array<struct<key: string, source: string, unit: string, place: int>>"
 
@@ -44,6 +47,8 @@ def sheet_rows(grid: DataFrame, layout: DataFrame) -> DataFrame:
     headers, fully blank ones left out."""
     start = F.coalesce(F.col("data_start_row"), F.col("header_row") + 1).alias("data_start")
     heads = sheet_headers(grid, layout).join(layout.select(*SHEET, start), list(SHEET))
+    if layout.limit(FEW_SHEETS + 1).count() <= FEW_SHEETS:
+        heads = F.broadcast(heads)
     rows = grid.select("source", "sheet", "row_idx", "cells").join(heads, ["source", "sheet"]).where(F.col("row_idx") >= F.col("data_start"))
     own = F.slice("cells", F.lit(1), F.size("names"))
     return rows.where(F.exists(own, lambda c: c.isNotNull())).select(*SHEET, "row_idx", "names", "cells")
@@ -78,7 +83,7 @@ def observations_of_sheets(grid: DataFrame, layout: DataFrame, specs: list[Spec]
     header, each its own; transposed sheets have one for each period header.
     Rows without any dimension go, as do cells without a number.
     """
-    rows = sheet_rows(grid, layout).join(spec_table(grid.sparkSession, specs), "dataset_id")
+    rows = sheet_rows(grid, layout).join(F.broadcast(spec_table(grid.sparkSession, specs)), "dataset_id")
     entity = F.col("first_source")
 
     def value_of(source: Column) -> Column:

@@ -25,11 +25,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Out, cut_lineage, prepare, rows_of, shared_folder, slices
+from .common import Out, cut_lineage, prepare, rows_of, slices
 
 PROFILE = 400  # n-grams of a profile
-#: Learn from about this many rows of each language (drawn by a hash of the id).
-SAMPLE_PER_LANGUAGE = 5000
 UNKNOWN = "und"
 #: Least scores lie this far under this quantile of the learned rows' scores.
 LOW, MARGIN = 0.001, 0.1
@@ -135,25 +133,17 @@ class Profiles:
 _COUNTS = pa.schema([("lang", pa.string()), ("gram", pa.int64()), ("n", pa.int64())])
 
 
-def _sample(labelled: DataFrame, per_language: int, id_col: str, text_col: str, lang_col: str) -> tuple[DataFrame, list[str]]:
-    """The rows (lang, text) to learn from, and the languages: as many as there are
-    values, each of which is a part of the model.  A row is in if its hash falls under its
-    language's share of 2**20.  The shares are a written table, so Spark joins them to
-    the texts by its size: broadcast while it is small."""
-    rows = labelled.selectExpr(f"cast(`{id_col}` as bigint) doc_id", f"cast(`{text_col}` as string) text", f"cast(`{lang_col}` as string) lang").where("lang is not null and text is not null")
-    share = F.least(F.lit(1 << 20), F.ceil(F.lit(per_language << 20) / F.col("count"))).cast("bigint")
-    folder = shared_folder(labelled.sparkSession, "languages")
-    rows.groupBy("lang").count().select("lang", share.alias("share")).write.parquet(folder)
-    shares = labelled.sparkSession.read.schema("lang string, share bigint").parquet(folder)
-    languages = [r["lang"] for r in shares.select("lang").collect()]
-    drawn = rows.withColumn("place", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20))).join(shares, "lang")
-    return drawn.where("place < share").select("lang", "text"), languages
+def _learned(labelled: DataFrame, text_col: str, lang_col: str) -> tuple[DataFrame, list[str]]:
+    """All rows (lang, text) with both, and the languages: as many as there are values,
+    each of which is a part of the model."""
+    rows = labelled.selectExpr(f"cast(`{text_col}` as string) text", f"cast(`{lang_col}` as string) lang").where("lang is not null and text is not null")
+    return rows.select("lang", "text"), sorted(r["lang"] for r in rows.select("lang").distinct().collect())
 
 
-def learn(labelled: DataFrame, size: int = PROFILE, sample_per_language: int = SAMPLE_PER_LANGUAGE, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Profiles:
-    """Profiles from the labelled rows' texts; a bounded sample of each language."""
+def learn(labelled: DataFrame, size: int = PROFILE, text_col: str = "text", lang_col: str = "lang") -> Profiles:
+    """Profiles from all of the labelled rows' texts."""
     prepare(labelled.sparkSession)
-    sample, languages = _sample(labelled, sample_per_language, id_col, text_col, lang_col)
+    rows, languages = _learned(labelled, text_col, lang_col)
     if not languages:
         return Profiles.of({}, size)
 
@@ -182,7 +172,7 @@ def learn(labelled: DataFrame, size: int = PROFILE, sample_per_language: int = S
                         load = 0
         yield from flush()
 
-    counts = cut_lineage(sample.mapInArrow(count, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n")))
+    counts = cut_lineage(rows.mapInArrow(count, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     # The model itself: ``size`` rows of each language.
     best = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
     top = counts.withColumn("place", F.row_number().over(best)).where(F.col("place") <= size)
@@ -230,13 +220,13 @@ class Least:
 _SCORES = pa.schema([("lang", pa.string()), ("bits", pa.int32()), ("step", pa.int32())])
 
 
-def least_scores(labelled: DataFrame, profiles: Profiles, floor: float, sample_per_language: int = SAMPLE_PER_LANGUAGE, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Least:
-    """Least scores from the rows that were learned from and read as their own
+def least_scores(labelled: DataFrame, profiles: Profiles, floor: float, text_col: str = "text", lang_col: str = "lang") -> Least:
+    """Least scores from all rows that were learned from and read as their own
     language: their ``LOW`` quantile less ``MARGIN``, and ``floor`` at least.
     A language or size with too few rows takes the wider group's quantile, or
     its own lowest score where that is lower."""
     prepare(labelled.sparkSession)
-    sample, languages = _sample(labelled, sample_per_language, id_col, text_col, lang_col)
+    rows, languages = _learned(labelled, text_col, lang_col)
     model = labelled.sparkSession.sparkContext.broadcast(profiles)
 
     def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,7 +241,7 @@ def least_scores(labelled: DataFrame, profiles: Profiles, floor: float, sample_p
         yield out.take()
 
     # A histogram: at most languages * sizes * steps rows.
-    steps = sample.mapInArrow(scores, "lang string, bits int, step int").groupBy("lang", "bits", "step").count().collect() if languages else []
+    steps = rows.mapInArrow(scores, "lang string, bits int, step int").groupBy("lang", "bits", "step").count().collect() if languages else []
 
     def low(rows: list, wider: float | None) -> float | None:
         n = {}
